@@ -7,6 +7,10 @@ from types import ModuleType
 
 FAMILIES = (
     "funnel_queries",
+    "bidreq_queries",
+    "scalar_queries",
+    "set_queries",
+    "name_queries",
 )
 
 

@@ -170,7 +170,7 @@ REPORT = {
     "adName": "concat('ad ', CAST(l_suppkey AS STRING))",
     "impressions": "CAST(l_quantity * 10 AS BIGINT)",
     "clicks": "CAST(l_quantity AS BIGINT)",
-    "costMicros": "CAST(l_extendedprice * 1000000 AS BIGINT)",
+    "costMicros": "CAST(round(l_extendedprice * 100) AS BIGINT) * 10000",
     "conversions": "CAST(l_discount * 100 AS BIGINT)",
     "deviceCode": "CAST(l_linenumber AS INT)",
     "networkType": "CAST(l_partkey % 8 AS INT)",
