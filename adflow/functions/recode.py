@@ -209,9 +209,13 @@ def decode_codes(
 ) -> DataFrame:
     """Array of codes to an array of labels: explode, look up, collect back.
 
-    ``codes`` has columns ``code`` and ``label``. ``key`` names the row, so one
-    group is one row's array. Unknown codes fall out, as NULLs do in a list.
+    ``codes`` has columns ``code`` and ``label``. Equal (key, array) pairs are
+    decoded once, and grouping by both keeps a group as short as its own array,
+    even when one key owns very many rows. Unknown codes drop out.
     """
-    single = df.select(*key, F.explode_outer(array_col).alias("__code"))
+    pairs = df.select(*key, array_col).distinct()
+    single = pairs.select(*key, array_col, F.explode_outer(array_col).alias("__code"))
     named = single.join(codes, F.col("__code") == F.col("code"), "left")
-    return named.groupBy(*key).agg(F.sort_array(F.collect_list("label")).alias(out))
+    return named.groupBy(*key, array_col).agg(
+        F.sort_array(F.collect_list("label")).alias(out)
+    )

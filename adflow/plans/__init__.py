@@ -11,6 +11,7 @@ FAMILIES = (
     "scalar_queries",
     "set_queries",
     "name_queries",
+    "source_queries",
 )
 
 

@@ -60,17 +60,18 @@ def strip_names(spark, sf_dir):
 
 @query(
     "p12_normalize_records",
-    """SELECT o_orderkey AS order_id, o_orderstatus AS status, l_linenumber AS line, l_quantity AS metrics_qty, l_tax AS metrics_detail_tax
-FROM orders JOIN lineitem ON o_orderkey = l_orderkey""",
+    """SELECT l_orderkey AS order_id, l_linestatus AS status, p AS part, CASE p WHEN 0 THEN l_quantity ELSE l_extendedprice END AS metrics_amount,
+  CASE p WHEN 0 THEN l_tax ELSE l_discount END AS metrics_detail_rate FROM lineitem, (VALUES (0), (1)) AS t(p)""",
 )
 def normalize_records(spark, sf_dir):
-    lines = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct(
-        F.col("l_linenumber").alias("line"),
-        F.struct(F.col("l_quantity").alias("qty"), F.struct(F.col("l_tax").alias("tax")).alias("detail")).alias("metrics"),
-    )).alias("data"))
-    orders = read(spark, sf_dir, "orders")
-    nested = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left").select(
-        F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("status"), "data"
+    def record(part, amount, rate):
+        detail = F.struct(F.col(rate).alias("rate"))
+        metrics = F.struct(F.col(amount).alias("amount"), detail.alias("detail"))
+        return F.struct(F.lit(part).alias("part"), metrics.alias("metrics"))
+
+    nested = read(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_linestatus").alias("status"),
+        F.array(record(0, "l_quantity", "l_tax"), record(1, "l_extendedprice", "l_discount")).alias("data"),
     )
     return nm.normalize(nested, "data", ["order_id", "status"])
 
