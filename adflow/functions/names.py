@@ -93,20 +93,20 @@ def null_types_to_string(df: DataFrame) -> DataFrame:
     })
 
 
-def leaves(schema: T.StructType, path: str = "") -> list[tuple[str, str]]:
+def leaves(schema: T.StructType, path: str = "", sep: str = "_") -> list[tuple[str, str]]:
     """Dotted path and flat name (``a_b``) of every non-struct field."""
     out = []
     for field in schema.fields:
         full = f"{path}.{field.name}" if path else field.name
         if isinstance(field.dataType, T.StructType):
-            out += leaves(field.dataType, full)
+            out += leaves(field.dataType, full, sep)
         else:
-            out.append((full, full.replace(".", "_")))
+            out.append((full, full.replace(".", sep)))
     return out
 
 
-def flatten(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(path).alias(name) for path, name in leaves(df.schema)])
+def flatten(df: DataFrame, sep: str = "_") -> DataFrame:
+    return df.select(*[F.col(path).alias(name) for path, name in leaves(df.schema, sep=sep)])
 
 
 def normalize(df: DataFrame, record_path: str, meta: Sequence[str]) -> DataFrame:

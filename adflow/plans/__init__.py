@@ -12,6 +12,8 @@ FAMILIES = (
     "set_queries",
     "name_queries",
     "source_queries",
+    "web_queries",
+    "report_queries",
 )
 
 

@@ -171,7 +171,7 @@ REPORT = {
     "impressions": "CAST(l_quantity * 10 AS BIGINT)",
     "clicks": "CAST(l_quantity AS BIGINT)",
     "costMicros": "CAST(round(l_extendedprice * 100) AS BIGINT) * 10000",
-    "conversions": "CAST(l_discount * 100 AS BIGINT)",
+    "conversions": "CAST(round(l_discount * 100) AS BIGINT)",
     "deviceCode": "CAST(l_linenumber AS INT)",
     "networkType": "CAST(l_partkey % 8 AS INT)",
     "labelCode": "CASE l_returnflag WHEN 'R' THEN 4 WHEN 'A' THEN 5 ELSE 6 END",

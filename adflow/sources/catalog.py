@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -136,8 +137,7 @@ def partition_tables(
     """Rewrite large tables partitioned by their date column; names of those changed.
 
     Tables without a date column, already partitioned ones, and those below the
-    threshold stay. The copy is built beside the table and renamed into place,
-    so readers never meet a half-written table.
+    threshold stay.
     """
     changed = []
     for name in names:
@@ -146,16 +146,33 @@ def partition_tables(
         day = detect_date_col(df.schema)
         if day is None or partition_columns(spark, full) or df.count() < row_threshold:
             continue
-        staged, old = f"{database}.{name}__staged", f"{database}.{name}__old"
-        spark.sql(f"DROP TABLE IF EXISTS {staged}")
-        _sized(df, [day]).write.partitionBy(day).saveAsTable(staged)
-        spark.sql(f"ALTER TABLE {full} RENAME TO {old}")
-        spark.sql(f"ALTER TABLE {staged} RENAME TO {full}")
-        spark.sql(f"DROP TABLE {old}")
+        _swap_in(df, database, name, [day])
         changed.append(name)
     return changed
 
 
+def _swap_in(df: DataFrame, database: str, name: str, parts: Sequence[str]) -> None:
+    """Put ``df``, which may read the table, in the table's place.
+
+    The files are complete before the catalog changes. The new table points at
+    its own folder beside the database's others; renaming a partitioned table
+    instead would leave its partitions pointing at the old folder.
+    """
+    spark = df.sparkSession
+    base = spark.catalog.getDatabase(database).locationUri
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    writer = _sized(df, parts).write
+    (writer.partitionBy(*parts) if parts else writer).parquet(path)
+    full, old = f"{database}.{name}", f"{database}.{name}__old"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    clause = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})" if parts else ""
+    spark.sql(f"ALTER TABLE {full} RENAME TO {old}")
+    spark.sql(f"CREATE TABLE {full} ({columns}) USING parquet {clause} LOCATION '{path}'")
+    if parts:
+        spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
+    spark.sql(f"DROP TABLE {old}")
+
+
 def alter_nested(df: DataFrame, path: str, kind: str) -> DataFrame:
     """Change the type of a field inside structs (``a.b.c``)."""
     root, rest = path.split(".", 1)
@@ -174,15 +191,9 @@ def cast_in_array(df: DataFrame, array_col: str, field: str, kind: str) -> DataF
 def alter_column(spark: SparkSession, table: str, column: str, kind: str) -> None:
     """Change a column's type by a staged rewrite."""
     database, name = table.split(".")
-    staged, old = f"{database}.{name}__staged", f"{database}.{name}__old"
-    spark.sql(f"DROP TABLE IF EXISTS {staged}")
     parts = partition_columns(spark, table)
-    df = spark.table(table).withColumn(column, F.col(column).cast(kind))
-    writer = _sized(df, parts).write
-    (writer.partitionBy(*parts) if parts else writer).saveAsTable(staged)
-    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
-    spark.sql(f"DROP TABLE {old}")
+    changed = spark.table(table).withColumn(column, F.col(column).cast(kind))
+    _swap_in(changed, database, name, parts)
 
 
 def read_merged(spark: SparkSession, *paths: str) -> DataFrame:
