@@ -8,6 +8,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def plan_size(df: DataFrame) -> int:
+    """The optimizer's size estimate in bytes."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the estimate is below the session's broadcast threshold."""
+    return plan_size(df) <= _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+
+
+def _bytes(text: str) -> int:
+    units = {"k": 10, "m": 20, "g": 30, "t": 40}
+    number = text.lower().rstrip("b")
+    if number and number[-1] in units:
+        return int(number[:-1]) << units[number[-1]]
+    return int(number)
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.001) -> DataFrame:
     """Keys holding at least ``share`` of all rows.
 
@@ -33,14 +51,18 @@ def skew_join(
     how: str = "left",
     salts: int = 64,
     share: float = 0.001,
+    salted: bool | None = None,
 ) -> DataFrame:
     """Equi-join that spreads each hot left key over ``salts`` tasks.
 
     Rows of a hot key get one of ``salts`` numbers from a hash of the whole row,
     and the few right rows of that key are repeated once per number. All other
     keys keep salt 0 and are not repeated. NULL keys, which match nothing, are
-    spread too. Meant for a right side with few rows per key (a dimension).
+    spread too. Meant for a right side with few rows per key (a dimension). When
+    that side fits a broadcast, nothing is shuffled and no salt is needed.
     """
+    if salted is None and fits_broadcast(right):
+        return left.join(F.broadcast(right), list(keys), how)
     if how not in ("left", "inner"):
         raise ValueError("only left and inner joins can be salted on the left side")
     keys = list(keys)
@@ -56,3 +78,41 @@ def skew_join(
         "__salt", F.explode(copies)
     ).drop("__hot")
     return l.join(r, [*keys, "__salt"], how).drop("__salt")
+
+
+def fanout_left_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], salts: int = 64,
+    share: float = 0.001, salted: bool | None = None,
+) -> DataFrame:
+    """Left join whose right side has frequent keys; every match is kept.
+
+    The optimizer cannot split the right side of a left join. So the matches are
+    an inner join with the hot right rows spread over ``salts`` tasks and the few
+    left rows of those keys repeated, and the rest is an anti join against the
+    distinct keys. Meant for a left side with few rows per key. A right side
+    that fits a broadcast needs none of this.
+    """
+    keys = list(keys)
+    if salted is None and fits_broadcast(right):
+        return left.join(F.broadcast(right), keys, "left")
+    hot = hot_keys(right, keys, share).withColumn("__hot", F.lit(True))
+    spread = F.pmod(F.xxhash64(*right.columns), F.lit(salts)).cast("int")
+    r = right.where(_not_null(keys)).join(F.broadcast(hot), keys, "left").withColumn(
+        "__salt", F.when(F.col("__hot"), spread).otherwise(0)
+    ).drop("__hot")
+    copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
+        F.array(F.lit(0))
+    )
+    l = left.join(F.broadcast(hot), keys, "left").withColumn(
+        "__salt", F.explode(copies)
+    ).drop("__hot")
+    matched = l.join(r, [*keys, "__salt"]).drop("__salt")
+    alone = left.join(right.select(*keys).distinct(), keys, "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True)
+
+
+def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
+    """Fail when a key tuple occurs twice, naming one."""
+    twice = df.groupBy(*keys).agg(F.count("*").alias("rows")).where("rows > 1").head()
+    if twice is not None:
+        raise ValueError(f"not unique on {list(keys)}: {twice}")

@@ -14,6 +14,8 @@ FAMILIES = (
     "source_queries",
     "web_queries",
     "report_queries",
+    "quality_queries",
+    "feature_queries",
 )
 
 

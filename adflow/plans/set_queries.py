@@ -247,7 +247,7 @@ def skewed_lookup(spark, sf_dir):
     labels = read(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("user_id"), F.concat(F.lit("q"), F.col("quality").cast("string")).alias("label")
     )
-    return skew_join(events, labels, ["user_id"], "left", salts=8, share=0.005)
+    return skew_join(events, labels, ["user_id"], "left", salts=8, share=0.005, salted=True)
 
 
 @query(
