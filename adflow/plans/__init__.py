@@ -16,6 +16,8 @@ FAMILIES = (
     "report_queries",
     "quality_queries",
     "feature_queries",
+    "stream_queries",
+    "ml_queries",
 )
 
 
