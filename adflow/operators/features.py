@@ -16,7 +16,7 @@ from adflow.functions.scalars import (
     imp_flag,
     null_if_blank,
 )
-from adflow.operators.skew import assert_unique, fanout_left_join, skew_join
+from adflow.operators.skew import assert_unique, fanout_left_join, skew_join, staged
 
 
 def request_attributes(bronze: DataFrame) -> DataFrame:
@@ -42,7 +42,7 @@ def request_attributes(bronze: DataFrame) -> DataFrame:
 def with_category(bids: DataFrame, apps: DataFrame) -> DataFrame:
     """App store category by bundle. ``apps`` has ``bundle`` and ``category``.
 
-    A few bundles bring most of the traffic, so the bid side is salted.
+    A few bundles bring most of the traffic, so their bids are spread.
     """
     return app_category(skew_join(bids, apps, ["bundle"], "left"), "category", "appCategory")
 
@@ -68,10 +68,14 @@ FEATURES = (
 def bid_features(
     funnel: DataFrame, bids: DataFrame, apps: DataFrame, start: str, end: str
 ) -> DataFrame:
-    """Categorical view of each bid: flags, size, device, place and app class."""
+    """Categorical view of each bid: flags, size, device, place and app class.
+
+    The joined rows are staged before the look-up by bundle, which reads them twice.
+    """
     in_days = F.col("actiontime_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
-    requests = with_category(request_attributes(bids.where(in_days)), apps).drop("actiontime_date")
-    rows = with_request(funnel, requests, start, end)
+    requests = request_attributes(bids.where(in_days)).drop("actiontime_date")
+    rows = staged(with_request(funnel, requests, start, end), "bid-requests")
+    rows = with_category(rows, apps)
     b, i, c = F.col("bidtime"), F.col("imptime"), F.col("clktime")
     return rows.select(
         "Date", "DeviceId", "tid",
@@ -110,7 +114,7 @@ def training_set(
     if unique:
         assert_unique(people, ["DeviceId"])
         assert_unique(web, ["tid", "DeviceId"])
-    rows = skew_join(features, people, ["DeviceId"], "left")
+    rows = skew_join(staged(features, "features"), people, ["DeviceId"], "left")
     days = web.drop("Date")
     rows = fanout_left_join(rows, days, ["tid", "DeviceId"])
     return rows.withColumn("dow", F.dayofweek("Date").cast("string")).fillna(2.0, subset=["cv"])
@@ -144,14 +148,13 @@ def fill_missing(df: DataFrame, cols: Sequence[str], value: str = "missing") ->
 def impute_mean(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Mean in place of NULL, in ``{name}_imputed``. Columns without a value stay NULL.
 
-    The means are scalar subqueries, which the optimizer folds into one pass.
+    All means come from one scalar subquery.
     """
-
-    def filled(name: str) -> Column:
-        number = F.col(name).cast("double")
-        return F.coalesce(number, df.select(F.avg(number)).scalar())
-
-    return df.withColumns({f"{c}_imputed": filled(c) for c in cols})
+    numbers = {c: F.col(c).cast("double") for c in cols}
+    means = df.select(F.struct(*[F.avg(n).alias(c) for c, n in numbers.items()])).scalar()
+    return df.withColumns({
+        f"{c}_imputed": F.coalesce(n, means[c]) for c, n in numbers.items()
+    })
 
 
 def split(df: DataFrame, key: Sequence[str], weights: Sequence[float], seed: int) -> list[DataFrame]:

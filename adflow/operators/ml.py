@@ -114,7 +114,9 @@ def fit_gbt_cls(
     The metric is named: scores printed elsewhere as accuracy were F1.
     """
     base = GBTClassifier(labelCol=LABEL, featuresCol=FEATURES, seed=seed)
-    estimator = OneVsRest(labelCol=LABEL, featuresCol=FEATURES, classifier=base)
+    estimator = OneVsRest(
+        labelCol=LABEL, featuresCol=FEATURES, classifier=base, parallelism=parallelism
+    )
     candidates = [
         base.copy({base.maxDepth: d, base.maxIter: r}) for d in depths for r in rounds
     ]

@@ -46,10 +46,10 @@ def anti(
 ) -> DataFrame:
     """Rows whose key tuple does not occur in ``other``.
 
-    ``null_aware`` gives SQL ``NOT IN``: any NULL key tuple part on the right may
-    empty the result, and rows with a NULL key on the left go as well. It is
-    decided by a per-column anti join, since one broadcast side per row pair
-    would not scale; only a single key column is supported that way.
+    ``null_aware`` gives SQL ``NOT IN`` on one key: a NULL on the right empties
+    the result, and unless the right side is empty, rows with a NULL key go as
+    well. Both facts are one aggregate row, looked up first; the join itself
+    stays a plain anti join, where SQL's form would compare every pair of rows.
     """
     keys = list(keys)
     if not null_aware:
@@ -57,10 +57,14 @@ def anti(
     if len(keys) != 1:
         raise ValueError("null-aware anti join takes one key column")
     key = keys[0]
-    has_null = other.select(F.coalesce(F.bool_or(F.col(key).isNull()), F.lit(False))).scalar()
-    is_empty = other.select(F.count("*") == 0).scalar()
-    rest = raw.join(other.select(key), key, "left_anti")
-    return rest.where(is_empty | (~has_null & F.col(key).isNotNull()))
+    facts = other.agg(
+        F.count("*").alias("rows"), F.count_if(F.col(key).isNull()).alias("nulls")
+    ).first()
+    if facts["rows"] == 0:
+        return raw
+    if facts["nulls"]:
+        return raw.where(F.lit(False))
+    return raw.where(F.col(key).isNotNull()).join(other.select(key), key, "left_anti")
 
 
 def new_ids(current: DataFrame, known: DataFrame, key: str) -> DataFrame:
@@ -74,13 +78,14 @@ def overlay(
 ) -> DataFrame:
     """Late restatement: washed keys keep raw descriptors and take wash metrics.
 
-    Untouched raw rows pass through as they are; a wash key absent from raw adds
-    nothing. The wash batch is one row per key.
+    Equal descriptors of a washed key merge into one row. Untouched raw rows
+    pass through as they are; a wash key absent from raw adds nothing. The wash
+    batch is one row per key.
     """
     keys = list(keys)
     columns = [*dict.fromkeys([*keys, *descriptors, *metrics])]
-    touched = semi(raw.select(*columns).drop(*metrics).distinct(), wash, keys)
-    restated = touched.join(wash.select(*keys, *metrics), keys, "left").select(*columns)
+    described = raw.select(*[c for c in columns if c not in metrics])
+    restated = described.join(wash.select(*keys, *metrics), keys).select(*columns).distinct()
     return restated.unionByName(anti(raw, wash, keys).select(*columns))
 
 

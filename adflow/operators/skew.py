@@ -1,4 +1,4 @@
-"""Joins whose left side has a few very frequent keys."""
+"""Joins in which a few keys hold most of the rows."""
 
 from __future__ import annotations
 
@@ -7,6 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adflow.session import work_dir
+
+# A key with at least this share of the rows counts as frequent; so there are
+# never more than 1 / SHARE of them.
+SHARE = 0.001
+SALTS = 64
+
 
 def plan_size(df: DataFrame) -> int:
     """The optimizer's size estimate in bytes."""
@@ -26,15 +33,23 @@ def _bytes(text: str) -> int:
     return int(number)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.001) -> DataFrame:
-    """Keys holding at least ``share`` of all rows.
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Write a costly frame to the shared folder once and read it from there.
 
-    No more than ``1 / share`` keys can qualify, whatever the data, so the
-    result is safe to broadcast.
+    Cuts the lineage too: a lost executor does not send the job back to the start.
     """
-    counts = df.where(_not_null(keys)).groupBy(*keys).agg(F.count("*").alias("__n"))
-    total = df.select(F.count("*").alias("n")).scalar()
-    return counts.where(F.col("__n") >= total * share).select(*keys)
+    path = work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def key_hash(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> Column:
+    """Hash of the key tuple, equal on both frames even if key types differ."""
+    parts = [
+        F.col(k) if df.schema[k].dataType == other.schema[k].dataType else F.col(k).cast("string")
+        for k in keys
+    ]
+    return F.xxhash64(*parts)
 
 
 def _not_null(keys: Sequence[str]) -> Column:
@@ -44,71 +59,87 @@ def _not_null(keys: Sequence[str]) -> Column:
     return cond
 
 
+def frequent(df: DataFrame, keys: Sequence[str], value: Column, share: float = SHARE) -> list[int]:
+    """Hashes of the frequent keys, by a heavy-hitter sketch.
+
+    One pass over the key columns; each task keeps a sketch of fixed size and
+    nothing is shuffled by key. At most ``1 / share`` numbers come back. The
+    counts are estimates, which is enough: the list decides how rows are spread,
+    never which rows there are.
+    """
+    limit = int(1 / share)
+    row = df.where(_not_null(keys)).select(value.alias("h")).agg(
+        F.count("*").alias("n"), F.expr(f"approx_top_k(h, {limit}, {limit * 10})").alias("top")
+    ).first()
+    return [t["item"] for t in row["top"] or [] if t["count"] >= share * row["n"]]
+
+
+def _spread(df: DataFrame, cond: Column, salts: int) -> DataFrame:
+    """Number rows under ``cond`` by a hash of the row, all others 0."""
+    number = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")
+    return df.withColumn("__salt", F.when(cond, number).otherwise(0))
+
+
+def _repeat(df: DataFrame, cond: Column, salts: int) -> DataFrame:
+    """Repeat rows under ``cond`` once per number."""
+    copies = F.when(cond, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    return df.withColumn("__salt", F.explode(copies))
+
+
 def skew_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    how: str = "left",
-    salts: int = 64,
-    share: float = 0.001,
-    salted: bool | None = None,
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left",
+    salts: int = SALTS, share: float = SHARE, salted: bool | None = None,
 ) -> DataFrame:
-    """Equi-join that spreads each hot left key over ``salts`` tasks.
+    """Equi-join that spreads each frequent left key over ``salts`` tasks.
 
-    Rows of a hot key get one of ``salts`` numbers from a hash of the whole row,
-    and the few right rows of that key are repeated once per number. All other
-    keys keep salt 0 and are not repeated. NULL keys, which match nothing, are
-    spread too. Meant for a right side with few rows per key (a dimension). When
-    that side fits a broadcast, nothing is shuffled and no salt is needed.
+    The right rows of those keys are repeated once per salt; other keys are
+    neither salted nor repeated, and without a frequent key this is a plain
+    join. NULL keys match nothing and are spread as well. Meant for a right side
+    with few rows per key (a dimension). When that side fits a broadcast, nothing
+    is shuffled and no salt is needed.
+
+    The left side is read twice: pass a table, or a frame that is ``staged``.
     """
-    if salted is None and fits_broadcast(right):
-        return left.join(F.broadcast(right), list(keys), how)
     if how not in ("left", "inner"):
         raise ValueError("only left and inner joins can be salted on the left side")
     keys = list(keys)
-    hot = hot_keys(left, keys, share).withColumn("__hot", F.lit(True))
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
-    l = left.join(F.broadcast(hot), keys, "left").withColumn(
-        "__salt", F.when(F.col("__hot") | ~_not_null(keys), spread).otherwise(0)
-    ).drop("__hot")
-    copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    r = right.join(F.broadcast(hot), keys, "left").withColumn(
-        "__salt", F.explode(copies)
-    ).drop("__hot")
+    if salted is None and fits_broadcast(right):
+        return left.join(F.broadcast(right), keys, how)
+    hashed = key_hash(left, right, keys)
+    hot = frequent(left, keys, hashed, share)
+    l = _spread(left, hashed.isin(hot) | ~_not_null(keys), salts)
+    r = _repeat(right, hashed.isin(hot), salts)
     return l.join(r, [*keys, "__salt"], how).drop("__salt")
 
 
 def fanout_left_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], salts: int = 64,
-    share: float = 0.001, salted: bool | None = None,
+    left: DataFrame, right: DataFrame, keys: Sequence[str], salts: int = SALTS,
+    share: float = SHARE, salted: bool | None = None,
 ) -> DataFrame:
     """Left join whose right side has frequent keys; every match is kept.
 
-    The optimizer cannot split the right side of a left join. So the matches are
-    an inner join with the hot right rows spread over ``salts`` tasks and the few
-    left rows of those keys repeated, and the rest is an anti join against the
-    distinct keys. Meant for a left side with few rows per key. A right side
-    that fits a broadcast needs none of this.
+    The optimizer cannot split the right side of a left join. So frequent keys
+    are taken out: their matches are an inner join with the right rows spread
+    over ``salts`` tasks and the left rows repeated; left rows of theirs without
+    a match follow by an anti join. The left side is staged for that. Without a
+    frequent key it is a plain join. Meant for a left side with few rows per key.
+    A right side that fits a broadcast needs none of this.
     """
     keys = list(keys)
     if salted is None and fits_broadcast(right):
         return left.join(F.broadcast(right), keys, "left")
-    hot = hot_keys(right, keys, share).withColumn("__hot", F.lit(True))
-    spread = F.pmod(F.xxhash64(*right.columns), F.lit(salts)).cast("int")
-    r = right.where(_not_null(keys)).join(F.broadcast(hot), keys, "left").withColumn(
-        "__salt", F.when(F.col("__hot"), spread).otherwise(0)
-    ).drop("__hot")
-    copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    l = left.join(F.broadcast(hot), keys, "left").withColumn(
-        "__salt", F.explode(copies)
-    ).drop("__hot")
-    matched = l.join(r, [*keys, "__salt"]).drop("__salt")
-    alone = left.join(right.select(*keys).distinct(), keys, "left_anti")
-    return matched.unionByName(alone, allowMissingColumns=True)
+    hashed = key_hash(left, right, keys)
+    hot = frequent(right, keys, hashed, share)
+    if not hot:
+        return left.join(right, keys, "left")
+    left = staged(left, "fanout")
+    is_hot = hashed.isin(hot)
+    cold = left.where(~is_hot).join(right.where(~is_hot), keys, "left")
+    l, r = left.where(is_hot), right.where(is_hot)
+    every = F.lit(True)
+    matched = _repeat(l, every, salts).join(_spread(r, every, salts), [*keys, "__salt"]).drop("__salt")
+    alone = l.join(r.select(*keys).distinct(), keys, "left_anti")
+    return cold.unionByName(matched).unionByName(alone, allowMissingColumns=True)
 
 
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
