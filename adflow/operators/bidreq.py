@@ -75,12 +75,22 @@ def count_split(flat: DataFrame, split: str) -> DataFrame:
     """Transactions per split value and key, each counted once at its first event.
 
     Only the key columns travel, and the group limit of ``first_by`` sends one
-    row per transaction and task.
+    row per transaction and task. User agents are counted as text first and
+    parsed per distinct text and key, not per event.
     """
-    rows = SPLITS[split](flat)
+    if split == "ua":
+        raw = flat.select(F.col("device.ua").alias("__ua"), *COUNT_KEYS, "tid", "actiontime_local")
+        texts = count_by(_first(raw, ("__ua", *COUNT_KEYS)), ("__ua", *COUNT_KEYS))
+        parsed = texts.select(parse_ua(F.col("__ua")).alias("p"), *COUNT_KEYS, "count")
+        keys = [F.col(f"p.{k}").alias(k) for k in SPLIT_KEYS["ua"]]
+        return parsed.groupBy(*keys, *COUNT_KEYS).agg(F.sum("count").alias("count"))
     keys = (*SPLIT_KEYS[split], *COUNT_KEYS)
-    first = first_by(rows.select(*keys, "tid", "actiontime_local"), ["tid"], ["actiontime_local", *keys])
-    return count_by(first, keys)
+    rows = SPLITS[split](flat).select(*keys, "tid", "actiontime_local")
+    return count_by(_first(rows, keys), keys)
+
+
+def _first(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    return first_by(rows, ["tid"], ["actiontime_local", *keys])
 
 
 def expect_or_drop(df: DataFrame, condition: str | Column) -> DataFrame:

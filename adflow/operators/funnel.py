@@ -39,14 +39,12 @@ def silver(bronze: DataFrame, kind: str, minutes: int = 60) -> DataFrame:
     """Rename the nested payload to report names and add the time bucket ``Date``."""
     if kind not in KINDS:
         raise ValueError(f"unknown event kind {kind!r}")
-    columns = [
-        time_bucket(F.col("actiontime_local"), minutes).alias("Date"),
-        F.col("actiontime_local").alias(f"{kind}time"),
-        *[F.col(f"BidStream.{field}").alias(name) for name, field in PAYLOAD.items()],
-    ]
+    columns = ["Date", f"actiontime_local AS {kind}time"]
+    columns += [f"BidStream.{field} AS {name}" for name, field in PAYLOAD.items()]
     if kind == "imp":
-        columns.append(F.col("BidStream.win_price").cast(PRICE).alias("Revenue"))
-    return bronze.select(*columns, "tid")
+        columns.append(f"CAST(BidStream.win_price AS {PRICE}) AS Revenue")
+    bucketed = bronze.withColumn("Date", time_bucket(F.col("actiontime_local"), minutes))
+    return bucketed.selectExpr(*columns, "tid")
 
 
 def first_events(events: DataFrame, kind: str, bucketed: bool = True) -> DataFrame:
@@ -65,10 +63,7 @@ def bucket_counts(events: DataFrame, kind: str, dims: Sequence[str] = STAT_DIMS)
 
 
 def _equal(left: str, right: str, names: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for name in names:
-        cond = cond & (F.col(f"{left}.{name}") == F.col(f"{right}.{name}"))
-    return cond
+    return F.expr(" AND ".join(f"{left}.{n} = {right}.{n}" for n in names))
 
 
 def funnel_agg(
@@ -97,10 +92,10 @@ def funnel_agg(
         )
     anchor = "c" if how == "right" else "b"
     joined = b.join(i, _equal("b", "i", keys), how).join(c, on_click, how)
-    return joined.select(
-        *[F.col(f"{anchor}.{k}").alias(k) for k in keys],
-        *[F.coalesce(F.col(n), F.lit(0)).alias(n) for n in KINDS],
-        F.coalesce(F.col("Revenue"), F.lit(0).cast(PRICE)).alias("Revenue"),
+    return joined.selectExpr(
+        *[f"{anchor}.{k} AS {k}" for k in keys],
+        *[f"coalesce({n}, 0L) AS {n}" for n in KINDS],
+        f"coalesce(Revenue, CAST(0 AS {PRICE})) AS Revenue",
     )
 
 
@@ -114,15 +109,12 @@ def _attach(
     the attributes afterwards is equal to joining on them, since the right side
     holds one row per key. NULL attributes never agree.
     """
-    side = other.select(
-        *keys, *[F.col(a).alias(f"__{a}") for a in ATTRIBUTES], *carry
-    )
-    same = F.coalesce(
-        F.expr(" AND ".join(f"{a} = __{a}" for a in ATTRIBUTES)), F.lit(False)
-    )
+    side = other.selectExpr(*keys, *[f"{a} AS __{a}" for a in ATTRIBUTES], *carry)
     joined = base.join(side, list(keys), "left")
-    kept = {c: F.when(same, F.col(c)) for c in carry}
-    return joined.withColumns(kept).drop(*[f"__{a}" for a in ATTRIBUTES])
+    same = " AND ".join(f"{a} = __{a}" for a in ATTRIBUTES)
+    return joined.selectExpr(
+        *base.columns, *[f"CASE WHEN {same} THEN {c} END AS {c}" for c in carry]
+    )
 
 
 def _funnel(

@@ -1,8 +1,8 @@
 """User agent families by ordered patterns, as JVM expressions.
 
-Covers the families seen in app traffic. A pattern with a group yields the
-group; the first pattern that matches wins. Everything stays inside generated
-code: no Python per row and no shuffle, whatever the number of distinct agents.
+Covers the families seen in app traffic. The first rule that matches wins. All
+of it compiles into the surrounding stage: no Python per row and no shuffle,
+whatever the number of distinct agents.
 """
 
 from __future__ import annotations
@@ -12,58 +12,64 @@ from pyspark.sql import functions as F
 
 UNKNOWN = "Unknown"
 
-# (pattern, label); {1} stands for the first group of the pattern.
-BOT = r"(Googlebot|bingbot|Yeti|AdsBot|facebookexternalhit)"
+# A rule is (needles, pattern, label). One of the needles has to occur, which is
+# a cheap test; then the pattern, if any, has to match. {1} is its first group.
+BOTS = ("Googlebot", "bingbot", "Yeti", "AdsBot", "facebookexternalhit")
+APPLE_MOBILE = ("iPhone", "iPad", "iPod")
+ANDROID = ("Android",)
+ANDROID_MODEL = r"Android[^;)]*; ([^;)]+?)(?: Build|\))"
+BOT_NAME = r"(Googlebot|bingbot|Yeti|AdsBot|facebookexternalhit)"
+
 DEVICE_BRAND = (
-    (BOT, "Spider"),
-    (r"iPhone|iPad|iPod|Macintosh", "Apple"),
-    (r"Android[^;)]*; (SM-|SHV-|SAMSUNG)", "Samsung"),
-    (r"Android[^;)]*; (LM-|LG-)", "LG"),
-    (r"Android[^;)]*; Pixel", "Google"),
-    (r"Android", "Generic_Android"),
+    (BOTS, None, "Spider"),
+    ((*APPLE_MOBILE, "Macintosh"), None, "Apple"),
+    (ANDROID, r"Android[^;)]*; (?:SM-|SHV-|SAMSUNG)", "Samsung"),
+    (ANDROID, r"Android[^;)]*; (?:LM-|LG-)", "LG"),
+    (ANDROID, r"Android[^;)]*; Pixel", "Google"),
+    (ANDROID, None, "Generic_Android"),
 )
 DEVICE_MODEL = (
-    (BOT, "Desktop"),
-    (r"(iPhone|iPad|iPod)", "{1}"),
-    (r"Macintosh", "Mac"),
-    (r"Android[^;)]*; ([^;)]+?)(?: Build|\))", "{1}"),
+    (BOTS, None, "Desktop"),
+    (APPLE_MOBILE, r"(iPhone|iPad|iPod)", "{1}"),
+    (("Macintosh",), None, "Mac"),
+    (ANDROID, ANDROID_MODEL, "{1}"),
 )
 DEVICE_FAMILY = (
-    (BOT, "Spider"),
-    (r"(iPhone|iPad|iPod)", "{1}"),
-    (r"Macintosh", "Mac"),
-    (r"Android[^;)]*; (SM-[^;)]+?|SHV-[^;)]+?)(?: Build|\))", "Samsung {1}"),
-    (r"Android[^;)]*; ([^;)]+?)(?: Build|\))", "{1}"),
+    (BOTS, None, "Spider"),
+    (APPLE_MOBILE, r"(iPhone|iPad|iPod)", "{1}"),
+    (("Macintosh",), None, "Mac"),
+    (ANDROID, r"Android[^;)]*; (SM-[^;)]+?|SHV-[^;)]+?)(?: Build|\))", "Samsung {1}"),
+    (ANDROID, ANDROID_MODEL, "{1}"),
 )
 OS_FAMILY = (
-    (r"iPhone|iPad|iPod", "iOS"),
-    (r"Android", "Android"),
-    (r"Windows", "Windows"),
-    (r"Mac OS X", "Mac OS X"),
-    (r"Linux", "Linux"),
+    (APPLE_MOBILE, None, "iOS"),
+    (ANDROID, None, "Android"),
+    (("Windows",), None, "Windows"),
+    (("Mac OS X",), None, "Mac OS X"),
+    (("Linux",), None, "Linux"),
 )
 OS_VERSION = (
-    (r"(?:iPhone OS|CPU OS) ([0-9_]+)", "{1}"),
-    (r"Android ([0-9.]+)", "{1}"),
-    (r"Windows NT ([0-9]+)", "{1}"),
-    (r"Mac OS X ([0-9_]+)", "{1}"),
+    (("iPhone OS ", "CPU OS "), r"(?:iPhone OS|CPU OS) ([0-9_]+)", "{1}"),
+    (ANDROID, r"Android ([0-9.]+)", "{1}"),
+    (("Windows NT ",), r"Windows NT ([0-9]+)", "{1}"),
+    (("Mac OS X ",), r"Mac OS X ([0-9_]+)", "{1}"),
 )
 BROWSER_FAMILY = (
-    (BOT, "{1}"),
-    (r"Chrome/[0-9.]+ Mobile", "Chrome Mobile"),
-    (r"Chrome/", "Chrome"),
-    (r"Version/[0-9.]+ Mobile/[0-9A-Z]+ Safari", "Mobile Safari"),
-    (r"(?:iPhone|iPad|iPod).*Mobile/", "Mobile Safari UI/WKWebView"),
-    (r"Version/[0-9.]+ Safari", "Safari"),
-    (r"Dalvik|Android", "Android"),
+    (BOTS, BOT_NAME, "{1}"),
+    (("Chrome/",), r"Chrome/[0-9.]+ Mobile", "Chrome Mobile"),
+    (("Chrome/",), None, "Chrome"),
+    (("Safari",), r"Version/[0-9.]+ Mobile/[0-9A-Z]+ Safari", "Mobile Safari"),
+    (APPLE_MOBILE, r"(?:iPhone|iPad|iPod).*Mobile/", "Mobile Safari UI/WKWebView"),
+    (("Safari",), r"Version/[0-9.]+ Safari", "Safari"),
+    (("Dalvik", "Android"), None, "Android"),
 )
 BROWSER_VERSION = (
-    (r"(?:Googlebot|bingbot|Yeti|AdsBot)/([0-9.]+)", "{1}"),
-    (r"Chrome/([0-9]+\.[0-9]+\.[0-9]+)", "{1}"),
-    (r"Version/([0-9.]+)", "{1}"),
-    (r"Android ([0-9.]+)", "{1}"),
+    (BOTS, r"(?:Googlebot|bingbot|Yeti|AdsBot)/([0-9.]+)", "{1}"),
+    (("Chrome/",), r"Chrome/([0-9]+\.[0-9]+\.[0-9]+)", "{1}"),
+    (("Version/",), r"Version/([0-9.]+)", "{1}"),
+    (ANDROID, r"Android ([0-9.]+)", "{1}"),
 )
-MOBILE = r"iPhone|iPad|iPod|Android"
+MOBILE = (*APPLE_MOBILE, "Android")
 
 FIELDS = {
     "ua_device_brand": (DEVICE_BRAND, UNKNOWN),
@@ -76,16 +82,26 @@ FIELDS = {
 }
 
 
+def _has(ua: Column, needles: tuple) -> Column:
+    found = ua.contains(needles[0])
+    for needle in needles[1:]:
+        found = found | ua.contains(needle)
+    return found
+
+
+def _value(ua: Column, pattern: str | None, label: str) -> Column:
+    """The label when the pattern matches, else NULL. A group is matched once."""
+    if pattern is None:
+        return F.lit(label)
+    if "{1}" not in label:
+        return F.when(ua.rlike(pattern), label)
+    group = F.nullif(F.regexp_extract(ua, pattern, 1), F.lit(""))
+    return F.concat(F.lit(label.replace("{1}", "")), group)
+
+
 def _pick(ua: Column, rules: tuple, missing: str) -> Column:
-    out = F.when(ua.isNull(), UNKNOWN)
-    for pattern, label in rules:
-        value = F.lit(label)
-        if "{1}" in label:
-            value = F.concat(
-                F.lit(label.replace("{1}", "")), F.regexp_extract(ua, pattern, 1)
-            )
-        out = out.when(ua.rlike(pattern), value)
-    return out.otherwise(missing)
+    hits = [F.when(_has(ua, needles), _value(ua, pattern, label)) for needles, pattern, label in rules]
+    return F.when(ua.isNull(), UNKNOWN).otherwise(F.coalesce(*hits, F.lit(missing)))
 
 
 def parse_ua(ua: Column) -> Column:
@@ -96,7 +112,6 @@ def parse_ua(ua: Column) -> Column:
         if name.endswith("version"):
             value = F.replace(value, F.lit("_"), F.lit("."))
         fields.append(value.alias(name))
-    flag = lambda pattern: F.coalesce(ua.rlike(pattern), F.lit(False))
-    fields.append(flag(MOBILE).alias("ua_is_mobile"))
-    fields.append(flag(BOT).alias("ua_is_bot"))
+    fields.append(F.coalesce(_has(ua, MOBILE), F.lit(False)).alias("ua_is_mobile"))
+    fields.append(F.coalesce(_has(ua, BOTS), F.lit(False)).alias("ua_is_bot"))
     return F.struct(*fields)

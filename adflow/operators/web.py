@@ -56,27 +56,40 @@ def ga4_flatten(
     Parameters are read out of the array in place and events without any are
     left out. Equal event tuples then merge, each parameter at its largest value.
     Because that happens per row first, the shuffle carries one row per event,
-    not one per parameter.
+    not one per parameter. A key is found by position, which compiles; only
+    events that repeat a key look at each of its values.
     """
     if exclude:
         df = df.where(~F.col("event_name").isin(*exclude))
     rows = df.where(F.size("event_params") > 0)
     local = F.from_utc_timestamp(F.timestamp_micros("event_timestamp"), zone)
 
-    def largest(key: str, field: str) -> Column:
-        hits = F.filter("event_params", lambda p: p["key"] == key)
-        return F.array_max(F.transform(hits, lambda p: p["value"][field]))
-
-    flat = rows.select(
-        *[F.col(path).alias(name) for name, path in GA4_KEYS.items()],
-        local.cast("timestamp_ntz").alias("event_time"),
-        *[largest(key, field).alias(f"p_{key}") for key, field in params.items()],
+    def largest(key: str, field: str) -> str:
+        values = f"event_params.value.{field}"
+        found = f"size(__keys) - size(array_remove(__keys, '{key}'))"
+        every = f"array_max(transform(event_params, p -> IF(p.key = '{key}', p.value.{field}, NULL)))"
+        return (
+            f"CASE {found} WHEN 0 THEN NULL"
+            f" WHEN 1 THEN get({values}, CAST(array_position(__keys, '{key}') AS INT) - 1)"
+            f" ELSE {every} END AS p_{key}"
+        )
+
+    flat = rows.withColumns(
+        {"__keys": F.col("event_params.key"), "event_time": local.cast("timestamp_ntz")}
+    ).selectExpr(
+        *[f"{path} AS {name}" for name, path in GA4_KEYS.items()], "event_time",
+        *[largest(key, field) for key, field in params.items()],
     )
     return flat.groupBy(*GA4_KEYS, "event_time").agg(
         *[F.max(f"p_{key}").alias(key) for key in params]
     )
 
 
+def unnest(df: DataFrame, array: str, keep: Sequence[str]) -> DataFrame:
+    """One row per element of a struct array; rows with an empty array drop out."""
+    return df.select(*keep, F.explode(array).alias("__e")).select(*keep, "__e.*")
+
+
 def pivot_actions(
     actions: str, types: Sequence[str], prefix: str = ""
 ) -> dict[str, Column]:
@@ -87,9 +100,9 @@ def pivot_actions(
     """
 
     def last(kind: str) -> Column:
-        # A second argument of the function would be the element's position.
-        hits = F.filter(actions, lambda a: a["action_type"] == kind)
-        return F.try_element_at(hits, F.lit(-1))["value"]
+        # The first match from the end.
+        place = f"array_position(reverse({actions}.action_type), '{kind}')"
+        return F.expr(f"get(reverse({actions}.value), CAST({place} AS INT) - 1)")
 
     return {camel(f"{prefix}{kind}"): last(kind) for kind in types}
 

@@ -43,23 +43,29 @@ SPLIT_SQL = {
 }
 
 
+def _has_sql(needles, ua="ua"):
+    return "(" + " OR ".join(f"contains({ua}, '{n}')" for n in needles) + ")"
+
+
 def _ua_sql(name, ua="ua"):
     """The pattern table as a DuckDB CASE."""
     rules, missing = uag.FIELDS[name]
     parts = [f"WHEN {ua} IS NULL THEN '{uag.UNKNOWN}'"]
-    for pattern, label in rules:
-        value = f"'{label}'"
+    for needles, pattern, label in rules:
+        value, test = f"'{label}'", _has_sql(needles, ua)
+        if pattern:
+            test = f"regexp_matches({ua}, '{pattern}')"
         if "{1}" in label:
             value = f"concat('{label.replace('{1}', '')}', regexp_extract({ua}, '{pattern}', 1))"
-        parts.append(f"WHEN regexp_matches({ua}, '{pattern}') THEN {value}")
+        parts.append(f"WHEN {test} THEN {value}")
     case = f"CASE {' '.join(parts)} ELSE '{missing}' END"
     return f"replace({case}, '_', '.')" if name.endswith("version") else case
 
 
 UA_COLS = {name: _ua_sql(name) for name in uag.FIELDS}
 UA_FLAGS = {
-    "ua_is_mobile": f"COALESCE(regexp_matches(ua, '{uag.MOBILE}'), false)",
-    "ua_is_bot": f"COALESCE(regexp_matches(ua, '{uag.BOT}'), false)",
+    "ua_is_mobile": f"COALESCE({_has_sql(uag.MOBILE)}, false)",
+    "ua_is_bot": f"COALESCE({_has_sql(uag.BOTS)}, false)",
 }
 UA_SQL = "SELECT {cols}, * EXCLUDE (ua) FROM ({inner})".format(
     cols=", ".join(f"{e} AS {n}" for n, e in {**UA_COLS, **UA_FLAGS}.items()),

@@ -182,3 +182,23 @@ def postback_reload(spark, sf_dir):
     since = F.col("day") >= F.lit("2024-01-10").cast("date")
     sk.replace_window(rows.where(since), table, since)
     return spark.table(table).drop("day")
+
+
+@query("q8_daily_numbers_load", "SELECT CAST(CAST(ts AS DATE) AS STRING) AS day, event_type, COUNT(*) AS events FROM events GROUP BY ALL")
+def daily_numbers_load(spark, sf_dir):
+    """Another team's daily CSV, loaded over the same days of the comparison table."""
+    from adflow.functions.names import drop_cols
+    from adflow.session import work_dir
+    from adflow.sources.readers import read_csv
+
+    path = work_dir(spark, "numbers")
+    numbers = read(spark, sf_dir, "events").groupBy(
+        F.to_date("ts").cast("string").alias("day"), "event_type"
+    ).agg(F.count("*").alias("events"))
+    numbers.withColumn("_id", F.lit("x")).write.option("header", True).csv(path)
+    rows = drop_cols(read_csv(spark, path), ["_id"]).withColumn("events", F.col("events").cast("long"))
+    table = f"{temp_database(spark, 'compare')}.numbers"
+    sk.overwrite(rows.withColumn("events", F.col("events") - 1), table, ["day"])
+    since = F.col("day") >= "2024-01-01"
+    sk.replace_window(rows, table, since)
+    return spark.table(table).select("day", "event_type", "events")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from adflow.functions.timewin import Window, preset
 from adflow.plans.registry import query
-from adflow.plans.views import read
+from adflow.plans.views import exprs, read, struct_text
 from adflow.reports import channels as ch
 from adflow.reports import joined as jn
 from adflow.reports.engine import (
@@ -82,23 +82,21 @@ LEAVES = {
     **{f"metrics.{m}": f"CAST((l_orderkey + l_partkey + {i}) % 97 AS BIGINT)" for i, m in enumerate(GENERIC_METRICS)},
 }
 ARRAYS = {
-    "ad_group_ad.ad.final_urls": lambda c: F.array(c, F.lit("https://other.example/?mkt_second")),
-    "ad_group_ad.ad.responsive_display_ad.descriptions": lambda c: F.array(F.struct(c.alias("text"))),
+    "ad_group_ad.ad.final_urls": "array({}, 'https://other.example/?mkt_second')",
+    "ad_group_ad.ad.responsive_display_ad.descriptions": "array(named_struct('text', {}))",
 }
 
 
-def _struct(paths, prefix=""):
-    """Nest dotted paths into struct columns."""
-    heads = list(dict.fromkeys(p.split(".")[0] for p in paths))
-    out = []
-    for head in heads:
+def _nested(paths, prefix=""):
+    """Nest dotted paths into struct texts by their first step."""
+    out = {}
+    for head in dict.fromkeys(p.split(".")[0] for p in paths):
         full = f"{prefix}{head}"
         if full in LEAVES:
-            column = F.expr(LEAVES[full])
-            out.append(ARRAYS.get(full, lambda c: c)(column).alias(head))
+            out[head] = ARRAYS.get(full, "{}").format(LEAVES[full])
         else:
             rest = [p.split(".", 1)[1] for p in paths if p.startswith(f"{head}.")]
-            out.append(F.struct(*_struct(rest, f"{full}.")).alias(head))
+            out[head] = struct_text(_nested(rest, f"{full}."))
     return out
 
 
@@ -109,7 +107,7 @@ def _lines(spark, sf_dir):
 
 
 def google_landed(spark, sf_dir):
-    return _lines(spark, sf_dir).select(*_struct(list(LEAVES)))
+    return _lines(spark, sf_dir).selectExpr(*exprs(_nested(list(LEAVES))))
 
 
 def _source_sql(source, leaf=LEAVES):

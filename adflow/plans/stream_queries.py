@@ -128,9 +128,16 @@ def idempotent_batches(spark, sf_dir):
     ),
 )
 def stream_expectations(spark, sf_dir):
-    watched = ss.expect_stream(_stream(spark, sf_dir), "bronze", RULES)
-    done = ss.run_available(watched, work_dir(spark, "z6"))
-    return ss.ledger(spark, done.recentProgress, "bronze", RULES)
+    kept, book = work_dir(spark, "z6"), work_dir(spark, "ledger")
+    ss.run_available(_stream(spark, sf_dir), kept, batch=ss.expect_batches(kept, book, RULES))
+    return ss.ledger(spark, book)
+
+
+@query("z6_stream_kept_rows", f"SELECT * FROM events WHERE {' AND '.join(f'({r})' for r in RULES.values())}")
+def stream_kept_rows(spark, sf_dir):
+    kept, book = work_dir(spark, "z6"), work_dir(spark, "ledger")
+    ss.run_available(_stream(spark, sf_dir), kept, batch=ss.expect_batches(kept, book, RULES))
+    return spark.read.parquet(kept).drop("batch_id")
 
 
 @query("z7_backfill", "SELECT event_id, ts, event_type, CAST(CAST(ts AS DATE) AS STRING) AS day FROM events")

@@ -7,7 +7,6 @@ that the Spark view and its twin in the check SQL share one definition.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 KIND_OF = {"bid": "view", "imp": "click", "clk": "purchase"}
 
@@ -91,47 +90,40 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
-def exprs(columns: dict[str, str]) -> list:
-    return [F.expr(text).alias(name) for name, text in columns.items()]
+def exprs(columns: dict[str, str]) -> list[str]:
+    """Texts for ``selectExpr``: one call for all columns."""
+    return [f"{text} AS `{name}`" for name, text in columns.items()]
 
 
-def sql_cols(columns: dict[str, str]) -> str:
-    return ", ".join(f"{text} AS {name}" for name, text in columns.items())
+def struct_text(fields: dict[str, str]) -> str:
+    return "named_struct(" + ", ".join(f"'{n}', {e}" for n, e in fields.items()) + ")"
 
 
-def flat_events(spark: SparkSession, sf_dir: str, kind: str, **columns: dict) -> DataFrame:
-    events = read(spark, sf_dir, "events").where(F.col("event_type") == KIND_OF[kind])
-    merged = {k: v for group in columns.values() for k, v in group.items()}
-    return events.select(*exprs(merged))
+def sql_cols(columns: dict[str, str]) -> str:
+    return ", ".join(f"{text} AS {name}" for name, text in columns.items())
 
 
 def bronze(spark: SparkSession, sf_dir: str, kind: str, coarse: bool = False) -> DataFrame:
     """Nested event rows, the way they arrive from the exchange."""
-    f = COARSE if coarse else FULL
-    e = {**f, **REQUEST}
-    c = lambda name: F.expr(e[name]).alias(name)
-    request = F.struct(
-        F.struct(c("bundle")).alias("app"),
-        F.array(
-            F.struct(
-                F.struct(F.expr(e["Width"]).alias("w"), F.expr(e["Height"]).alias("h")).alias("banner"),
-                c("tagid"),
-            )
-        ).alias("imp"),
-        F.struct(
-            c("ua"), c("os"), c("osv"), c("model"), c("make"), c("devicetype"), c("ip"), c("pxratio"),
-            F.struct(c("country"), c("region"), c("lat"), c("lon")).alias("geo"),
-        ).alias("device"),
-    ).alias("request")
-    payload = F.struct(
-        c("AdExchangeTypes"), c("ad_adv"), F.expr(e["PubId"]).alias("ad_imp"), c("ad_grp"),
-        F.expr(e["Width"]).alias("w"), F.expr(e["Height"]).alias("h"), c("ad_crt"),
-        F.expr(e["url"]).alias("bundle_domain"), c("InventoryIdx"), c("ad_cam"),
-        c("UserId"), c("DeviceId"), F.expr(PRICE).alias("win_price"),
-        c("bidfloor"), c("bid_price"), c("bidrequest_type"), request,
-    ).alias("BidStream")
-    events = read(spark, sf_dir, "events").where(F.col("event_type") == KIND_OF[kind])
-    return events.select(*exprs(HEAD), payload)
+    e = {**(COARSE if coarse else FULL), **REQUEST}
+    pick = lambda *names: {n: e[n] for n in names}
+    banner = struct_text({"w": e["Width"], "h": e["Height"]})
+    request = struct_text({
+        "app": struct_text(pick("bundle")),
+        "imp": f"array({struct_text({'banner': banner, **pick('tagid')})})",
+        "device": struct_text({
+            **pick("ua", "os", "osv", "model", "make", "devicetype", "ip", "pxratio"),
+            "geo": struct_text(pick("country", "region", "lat", "lon")),
+        }),
+    })
+    payload = struct_text({
+        **pick("AdExchangeTypes", "ad_adv"), "ad_imp": e["PubId"], **pick("ad_grp"),
+        "w": e["Width"], "h": e["Height"], **pick("ad_crt"), "bundle_domain": e["url"],
+        **pick("InventoryIdx", "ad_cam", "UserId", "DeviceId"), "win_price": PRICE,
+        **pick("bidfloor", "bid_price", "bidrequest_type"), "request": request,
+    })
+    events = read(spark, sf_dir, "events").where(f"event_type = '{KIND_OF[kind]}'")
+    return events.selectExpr(*exprs({**HEAD, "BidStream": payload}))
 
 
 def flat_sql(kind: str, columns: dict[str, str], extra: str = "") -> str:
@@ -183,7 +175,7 @@ REPORT = {
 def report(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read(spark, sf_dir, "lineitem")
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(*exprs(REPORT))
+    return lines.join(orders, lines.l_orderkey == orders.o_orderkey).selectExpr(*exprs(REPORT))
 
 
 REPORT_SQL = (

@@ -94,6 +94,19 @@ def ga4_day_and_intraday(spark, sf_dir):
     return web.ga4_flatten(rd.read_ga4(spark, f"{database}.daily", f"{database}.intraday"))
 
 
+J17_SQL = " UNION ALL ".join(
+    [f"SELECT event_id, '{k}' AS key, {v} AS string_value, CAST(NULL AS BIGINT) AS int_value FROM events WHERE {HAS_PARAMS}" for k, v in STRING_PARAMS.items()]
+    + [f"SELECT event_id, '{k}' AS key, NULL AS string_value, {v} AS int_value FROM events WHERE {HAS_PARAMS}" for k, v in INT_PARAMS.items()]
+    + [f"SELECT event_id, 'ga_session_id' AS key, NULL AS string_value, user_id AS int_value FROM events WHERE {HAS_PARAMS}"]
+)
+
+
+@query("j17_unnest", f"SELECT key, string_value, int_value, COUNT(*) AS cnt FROM ({J17_SQL}) GROUP BY ALL")
+def unnest(spark, sf_dir):
+    rows = web.unnest(_ga4(spark, sf_dir), "event_params", ["event_timestamp"])
+    return rows.groupBy("key", "value.string_value", "value.int_value").agg(F.count("*").alias("cnt"))
+
+
 KV_PIVOT_SQL = """SELECT user_id, MAX(CASE WHEN event_type = 'view' THEN value END) AS view,
   MAX(CASE WHEN event_type = 'click' THEN value END) AS click FROM events GROUP BY user_id"""
 

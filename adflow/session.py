@@ -18,6 +18,14 @@ DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JVM does not compile methods above 8000 bytes of code; split those.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Streaming state on local disk instead of the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    # Do not record the Python call site of every column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adflow.functions.timewin import between_seconds
+from adflow.operators.quality import observed
 from adflow.session import work_dir
 from adflow.sources.readers import read_json
 from adflow.sources.sinks import replace_window
@@ -129,27 +130,38 @@ def _keys(tid: str, kind: str, attributes: Sequence[str]) -> Column:
     return cond
 
 
-def expect_stream(
-    df: DataFrame, name: str, rules: Mapping[str, str], drop: bool = True
-) -> DataFrame:
-    """Count rows passing each rule per micro-batch; drop those failing any."""
-    passed = [F.count_if(F.expr(rule)).alias(rule_name) for rule_name, rule in rules.items()]
-    watched = df.observe(name, F.count("*").alias("rows"), *passed)
-    if drop:
+def expect_batches(
+    path: str, ledger_path: str, rules: Mapping[str, str]
+) -> Callable[[DataFrame, int], None]:
+    """Sink for ``foreachBatch``: keep rows meeting every rule, and count per rule.
+
+    Counts are taken while the batch is written and stored per batch, so the
+    ledger covers all batches and a batch that runs again is counted once.
+    """
+    keep = idempotent_batches(path)
+    book = idempotent_batches(ledger_path)
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        watched, counts = observed(rows, f"batch {batch_id}", rules)
+        passing = watched
         for rule in rules.values():
-            watched = watched.where(rule)
-    return watched
-
-
-def ledger(spark: SparkSession, progress: Sequence, name: str, rules: Mapping[str, str]) -> DataFrame:
-    """Passed and dropped rows per rule, summed over the reported micro-batches."""
-    rows = [Row(**p.observedMetrics[name].asDict()) for p in progress if name in p.observedMetrics]
-    total = sum(r["rows"] or 0 for r in rows)
-    out = []
-    for rule in rules:
-        good = sum(r[rule] or 0 for r in rows)
-        out.append((rule, good, total - good))
-    return spark.createDataFrame(out, "rule string, passed bigint, dropped bigint")
+            passing = passing.where(rule)
+        keep(passing, batch_id)
+        got = counts.get
+        entries = [(name, got[name], got["rows"] - got[name]) for name in rules]
+        book(rows.sparkSession.createDataFrame(entries, LEDGER), batch_id)
+
+    return write
+
+
+LEDGER = "rule string, passed bigint, dropped bigint"
+
+
+def ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
+    """Passed and dropped rows per rule over all batches."""
+    return spark.read.parquet(ledger_path).groupBy("rule").agg(
+        F.sum("passed").alias("passed"), F.sum("dropped").alias("dropped")
+    )
 
 
 def run_available(
