@@ -12,20 +12,17 @@ KST = "Asia/Seoul"
 
 
 def time_bucket(ts: Column, minutes: int) -> Column:
-    """Start of the bucket holding ``ts``, as ``timestamp_ntz``.
+    """Start of the bucket holding ``ts``, in the type of ``ts``.
 
     ``minutes`` divides an hour, or is 60 or 1440. Unlike ``window()`` it keeps
-    rows whose time is NULL.
+    rows whose time is NULL, and unlike ``date_trunc`` it leaves times without a
+    zone alone, so the session's zone plays no part.
     """
-    if minutes == 1440:
-        return F.date_trunc("day", ts).cast("timestamp_ntz")
-    hour = F.date_trunc("hour", ts).cast("timestamp_ntz")
-    if minutes == 60:
-        return hour
-    if minutes <= 0 or 60 % minutes:
+    if minutes not in (60, 1440) and (minutes <= 0 or 60 % minutes):
         raise ValueError(f"bucket of {minutes} minutes does not divide an hour")
-    offset = (F.minute(ts) - F.minute(ts) % F.lit(minutes)).cast("int")
-    return hour + F.make_dt_interval(mins=offset)
+    hours = F.hour(ts) if minutes == 1440 else F.lit(0)
+    past = F.minute(ts) % F.lit(min(minutes, 60))
+    return ts - F.make_dt_interval(F.lit(0), hours, past, F.extract(F.lit("SECOND"), ts))
 
 
 def hour_of(ts: Column) -> Column:
@@ -50,6 +47,11 @@ def clock_time(ts: Column) -> Column:
     return F.date_format(ts, "HH:mm:ss")
 
 
+def moment(t: datetime) -> Column:
+    """Literal without a zone. A datetime literal would take the machine's zone."""
+    return F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 @dataclass(frozen=True)
 class Window:
     """Half-open time range ``[start, end)``."""
@@ -59,9 +61,7 @@ class Window:
 
     def holds(self, ts: Column) -> Column:
         """Range predicate a Parquet scan can use, unlike one on a function of ``ts``."""
-        return (ts >= F.lit(self.start).cast("timestamp_ntz")) & (
-            ts < F.lit(self.end).cast("timestamp_ntz")
-        )
+        return (ts >= moment(self.start)) & (ts < moment(self.end))
 
     def holds_date(self, day: Column) -> Column:
         return (day >= F.lit(self.start.date())) & (day < F.lit(self.end.date()))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from adflow.functions.timewin import moment
 from adflow.sources.sinks import append
 
 SKIPPED_NULL_TYPES = (T.BooleanType, T.StructType, T.DateType)
@@ -72,7 +73,7 @@ def validate(
     return profile(df, date_col, start, end).select(
         F.lit(database).alias("database"), F.lit(table).alias("table"), "*",
         F.lit(is_washing).alias("is_washing"), F.lit(f"{start}|{end}").alias("period"),
-        F.lit(validated_at).cast("timestamp_ntz").alias("validated_at"),
+        moment(validated_at).alias("validated_at"),
         F.lit(validated_by).alias("validated_by"),
     )
 

@@ -8,6 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adflow.functions.timewin import moment
 from adflow.operators.quality import save_validation, validate
 from adflow.sources.sinks import overwrite, replace_window
 
@@ -40,8 +41,8 @@ def wash(
             overwrite(rows, table)
             continue
         kind = spark.table(table).schema[date_col].dataType
-        window = (F.col(date_col) >= F.lit(low).cast("timestamp_ntz").cast(kind)) & (
-            F.col(date_col) < F.lit(high).cast("timestamp_ntz").cast(kind)
+        window = (F.col(date_col) >= moment(low).cast(kind)) & (
+            F.col(date_col) < moment(high).cast(kind)
         )
         if kind.typeName() == "string":
             window = (F.col(date_col) >= low.strftime("%Y-%m-%d")) & (

@@ -62,7 +62,12 @@ def ga4_flatten(
     if exclude:
         df = df.where(~F.col("event_name").isin(*exclude))
     rows = df.where(F.size("event_params") > 0)
-    local = F.from_utc_timestamp(F.timestamp_micros("event_timestamp"), zone)
+    # Times without a zone throughout, so the session's zone plays no part.
+    seconds = "CAST(event_timestamp / 1000000BD AS DECIMAL(18, 6))"
+    local = F.expr(
+        f"convert_timezone('UTC', '{zone}', "
+        f"TIMESTAMP_NTZ'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {seconds}))"
+    )
 
     def largest(key: str, field: str) -> str:
         values = f"event_params.value.{field}"
@@ -75,7 +80,7 @@ def ga4_flatten(
         )
 
     flat = rows.withColumns(
-        {"__keys": F.col("event_params.key"), "event_time": local.cast("timestamp_ntz")}
+        {"__keys": F.col("event_params.key"), "event_time": local}
     ).selectExpr(
         *[f"{path} AS {name}" for name, path in GA4_KEYS.items()], "event_time",
         *[largest(key, field) for key, field in params.items()],

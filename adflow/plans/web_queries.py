@@ -48,7 +48,7 @@ def _ga4(spark, sf_dir):
     params.append(param("ga_session_id", number="user_id"))
     plain = ("event_date", "event_name", "user_pseudo_id", "user_id", "stream_id", "platform", "user_first_touch_timestamp")
     return read(spark, sf_dir, "events").select(
-        F.unix_micros(F.col("ts").cast("timestamp")).alias("event_timestamp"),
+        F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)").alias("event_timestamp"),
         *[e[k].alias(k) for k in plain],
         F.struct(e["category"].alias("category")).alias("device"),
         F.struct(e["region"].alias("region"), e["city"].alias("city")).alias("geo"),
