@@ -74,7 +74,10 @@ def feature_table(spark, sf_dir):
     return table.select("o_orderkey", "label", F.get(vector_to_array(ml.FEATURES), F.lit(0)).alias("first"))
 
 
-@query("m9_index_vector")
+@query(
+    "m9_index_vector",
+    'SELECT CAST(dense_rank() OVER (ORDER BY l_linenumber) - 1 AS DOUBLE) AS line_index, COUNT(*) AS "rows" FROM lineitem GROUP BY l_linenumber',
+)
 def index_vector(spark, sf_dir):
     rows = ml.assemble(read(spark, sf_dir, "lineitem"), ["l_linenumber", "l_quantity", "l_discount"])
     indexed = ml.index_vector(rows, 16).transform(rows)

@@ -70,6 +70,17 @@ for _k in fn.KINDS:
 CLOSED = "epoch_us(window_end) <= (SELECT epoch_us(MAX(ts)) // 1000 * 1000 FROM events WHERE event_type = '{kind}') - {delay} * 3600000000"
 
 
+@query(
+    "z1_first_per_hour",
+    f"""SELECT tid, ts, ad_adv FROM (SELECT {HEAD['tid']} AS tid, ts, CAST(user_id % 5 AS INT) AS ad_adv, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
+  row_number() OVER (PARTITION BY {HEAD['tid']}, date_trunc('hour', ts) ORDER BY ts) AS rn FROM events WHERE event_type = 'view')
+WHERE rn = 1 AND {CLOSED.format(kind='view', delay=1)}""",
+)
+def first_per_hour(spark, sf_dir):
+    out = ss.first_per_window(_kind(spark, sf_dir, "bid").drop("price"), ["tid"], "ts")
+    return _run(_ntz(out.drop("window"), "ts"), spark, "z1")
+
+
 @query(
     "z2_count_stream",
     f"""SELECT * FROM (SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,

@@ -30,16 +30,33 @@ def dedup_stream(df: DataFrame, keys: Sequence[str], ts: str, delay: str) -> Dat
     return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+def first_per_window(
+    df: DataFrame, keys: Sequence[str], ts: str, delay: str = "1 hour", size: str = "1 hour",
+    ties: Sequence[str] = (),
+) -> DataFrame:
+    """First event per key and tumbling window, emitted when the window closes.
+
+    The batch job's "first per transaction and bucket" as a stream. Being an
+    aggregate it folds repeats on the map side, so a key with very many events
+    sends one row per task; ``dedup_stream`` answers sooner but sends them all.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    order = F.struct(ts, *ties) if ties else F.col(ts)
+    first = F.min_by(F.struct(*rest), order).alias("first")
+    grouped = df.withWatermark(ts, delay).groupBy(F.window(ts, size), *keys).agg(first)
+    return grouped.select("window", *keys, *[F.col(f"first.{c}").alias(c) for c in rest])
+
+
 def count_stream(
     df: DataFrame, key: str, dims: Sequence[str], ts: str, delay: str = "1 hour",
-    size: str = "1 hour", unit: str = "hour",
+    size: str = "1 hour",
 ) -> DataFrame:
-    """Transactions per window and dimensions, each counted once per window."""
-    tagged = df.withColumn("__unit", F.date_trunc(unit, ts))
-    once = dedup_stream(tagged, [key, "__unit"], ts, delay)
-    return _flat_window(
-        once.groupBy(F.window(ts, size), *dims).agg(F.count("*").alias("count")), dims, ["count"]
+    """Transactions per window and dimensions, each counted once, at its first event."""
+    once = first_per_window(df.select(key, ts, *dims), [key], ts, delay, size)
+    counted = once.groupBy(F.window(F.window_time("window"), size), *dims).agg(
+        F.count("*").alias("count")
     )
+    return _flat_window(counted, dims, ["count"])
 
 
 def window_stats(
