@@ -16,7 +16,6 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join side even when it costs one more shuffle later on.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # The JVM does not compile methods above 8000 bytes of code; split those.
     "spark.sql.codegen.hugeMethodLimit": "8000",

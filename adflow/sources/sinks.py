@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -63,6 +64,18 @@ def write_sized(df: DataFrame, path: str, rows_per_file: int) -> None:
     ).parquet(path)
 
 
+@contextmanager
+def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Overwrite only the partitions written. Table inserts read this from the session."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
@@ -116,9 +129,8 @@ def replace_window(
         return
     kept = target.where(_one_of(parts, touched)).where(~F.coalesce(doomed, F.lit(False)))
     result = kept.unionByName(staged).select(*columns)
-    _sized(result, parts).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).insertInto(table)
+    with dynamic_overwrite(spark):
+        _sized(result, parts).write.mode("overwrite").insertInto(table)
     _drop_empty(spark, table, parts, gone, fresh, doomed)
 
 
