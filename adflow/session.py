@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Fits a laptop run; on a cluster the submit configuration wins, because only
-# unset keys are filled in.
+# keys it leaves unset are filled in.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -29,32 +29,28 @@ DEFAULTS = {
 
 
 def build_session(app: str = "adflow", master: str | None = None, **conf: str) -> SparkSession:
+    """A session with ``conf`` set, and ``DEFAULTS`` where neither it nor the submit
+    configuration sets a key."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **conf}.items():
+    for key, value in conf.items():
         builder = builder.config(key, value)
+    SparkContext._ensure_initialized(conf=SparkConf(loadDefaults=False).setAll(list(conf.items())))
+    given = {key for key, _ in SparkConf().getAll()} | set(conf)
+    active = SparkSession.getActiveSession()
+    for key, value in DEFAULTS.items():
+        if key not in given and (active is None or active.conf.get(key, None) is None):
+            builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
-_local_base: dict[str, str] = {}
-
-
 def shared_base(spark: SparkSession) -> str:
-    """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
-
-    A machine-local folder is used only in local mode, where the driver is the
-    one machine there is. On a cluster a missing setting is an error.
-    """
+    """Folder every executor can reach: ``spark.checkpoint.dir``, else one below the warehouse."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local_base:
-        _local_base[app] = tempfile.mkdtemp(prefix="adflow-")
-    return _local_base[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
