@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from adflow.llm import decontaminate, host_rules
+from adflow.llm import decontaminate, host_rules, toxicity
 from adflow.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
 
+@query("op3_toxicity")
+def op3_toxicity(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 OP8_SQL = r"""
 WITH d AS (
     SELECT doc_id, source, COALESCE(text, '') AS t,

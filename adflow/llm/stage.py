@@ -26,22 +26,17 @@ def held_out(key: str, parts: int, rest: int) -> Column:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, parts: int,
                     rest: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Texts of at most ``most`` labelled documents of each class, with ``weight``.
+    """``key``, ``text`` and ``label`` of at most ``most`` labelled documents of each class.
 
-    The documents are the first in hash order of those that are not held out, so the
-    sample is the same in every run. ``weight`` makes the classes count as they do among
-    all labelled documents. Only the sampled ids are broadcast: at most 2 x ``most``.
+    They are the first in hash order of those that are not held out, so the sample is the
+    same in every run. A document with several labels has the largest; one whose label is
+    neither 0 nor 1 has none. Only the sampled ids are broadcast: at most 2 x ``most``.
     """
     known = labels.where(
         F.col(key).isNotNull() & F.col(label).isin(0, 1) & ~held_out(key, parts, rest)
-    ).groupBy(key).agg(F.max(label).alias("label"))
-    sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
-    total = max(sum(sizes.values()), 1)
-    picked = None
-    for value in (0, 1):
-        one = known.where(F.col("label") == value).orderBy(F.xxhash64(key), key).limit(most)
-        share = sizes.get(value, 0) / total / max(min(sizes.get(value, 0), most), 1)
-        one = one.select(F.col(key).alias("__key"), "label", F.lit(share).alias("weight"))
-        picked = one if picked is None else picked.union(one)
+    ).groupBy(key).agg(F.max(label).cast("int").alias("label"))
+    ones, zeros = (known.where(F.col("label") == v).orderBy(F.xxhash64(key), key).limit(most)
+                   for v in (1, 0))
+    picked = ones.union(zeros).withColumnRenamed(key, "__key")
     return docs.join(F.broadcast(picked), docs[key] == picked["__key"]).select(
-        docs[key].alias("key"), docs[text].alias("text"), "label", "weight")
+        docs[key].alias("key"), docs[text].alias("text"), "label")
