@@ -20,6 +20,7 @@ MAX_REPEAT_PCT = 50
 MAX_SYMBOL_PCT = 10
 MAX_DUP_LINES_PCT = 30
 HOST_LIMIT = 0.5
+HOST_SALTS = 32
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_repeat_words")
 _SYMBOL = np.isin(np.arange(256), list(b"#*$%&|<>"))
@@ -133,8 +134,12 @@ def judge(docs: DataFrame, key: str = "doc_id", host: str = "source",
     own = docs.select(F.col(key).alias("k"), F.col(host).alias("h"), F.col(text).alias("t"))
     judged = staged(measures(own, ["k", "h"], "t").withColumn("base_failed", base_failed())
                     .withColumn("rule_failed", rule_failed()), "host-rules")
-    hosts = host_verdicts(judged, "h", limit)
-    return judged.join(hosts.select("h", "host_rate", "host_rejected"), "h", "left").select(
+    # A hot host's documents meet its verdict in many tasks.
+    salt = F.array(*[F.lit(i) for i in range(HOST_SALTS)])
+    hosts = host_verdicts(judged, "h", limit).select(
+        "h", "host_rate", "host_rejected", F.explode(salt).alias("salt"))
+    salted = judged.withColumn("salt", F.pmod(F.xxhash64("k"), F.lit(HOST_SALTS)).cast("int"))
+    return salted.join(hosts, ["h", "salt"], "left").select(
         F.col("k").alias(key), F.col("h").alias(host), *MEASURES, "base_failed", "rule_failed",
         "host_rate", F.coalesce("host_rejected", F.lit(False)).alias("host_rejected"),
         (~F.col("base_failed") & ~F.coalesce("host_rejected", F.lit(False))).alias("kept"))

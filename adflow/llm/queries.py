@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from adflow.llm import decontaminate, host_rules, toxicity
+from adflow.llm import decontaminate, host_rules, packing, toxicity
 from adflow.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -14,6 +14,11 @@ def op3_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op4_pattern_packing")
+def op4_pattern_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 OP8_SQL = r"""
 WITH d AS (
     SELECT doc_id, source, COALESCE(text, '') AS t,
