@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from adflow.llm import decontaminate, host_rules, packing, toxicity
+from adflow.llm import decontaminate, host_rules, language, packing, toxicity
 from adflow.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
 
+@query("op2_language")
+def op2_language(spark, sf_dir):
+    return language.languages(table(spark, sf_dir, "documents"))
+
+
 @query("op3_toxicity")
 def op3_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
