@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from adflow.llm import decontaminate, host_rules, language, packing, toxicity
+from adflow.llm import decontaminate, host_rules, language, packing, quality, toxicity
 from adflow.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -24,6 +24,11 @@ def op4_pattern_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query("op5_quality")
+def op5_quality(spark, sf_dir):
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 OP8_SQL = r"""
 WITH d AS (
     SELECT doc_id, source, COALESCE(text, '') AS t,
