@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from adflow.llm import decontaminate, host_rules, language, packing, quality, toxicity
+from adflow.llm import decontaminate, host_rules, html_text, language, packing, quality, toxicity
 from adflow.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -29,6 +29,11 @@ def op5_quality(spark, sf_dir):
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op7_main_text")
+def op7_main_text(spark, sf_dir):
+    return html_text.page_texts(table(spark, sf_dir, "pages"))
+
+
 OP8_SQL = r"""
 WITH d AS (
     SELECT doc_id, source, COALESCE(text, '') AS t,
