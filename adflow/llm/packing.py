@@ -28,7 +28,8 @@ from adflow.llm.text import Texts, slices
 SIZE = 2048
 UNIT = 4
 SALT_ROWS = 100_000
-CACHED_WORDS = 1 << 20
+CACHED_WORDS = 3 << 19
+SLICE_BYTES = 1 << 22
 VOCABULARY = "word_bpe_49k.json"
 END = 0
 
@@ -50,7 +51,7 @@ def _vocabulary(path: str) -> str:
 
 
 class WordTokens:
-    """Token ids of white-space separated words, each encoded once.
+    """Token ids of white-space separated words, each encoded once while it is cached.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of
     its words in order.
@@ -84,11 +85,10 @@ class WordTokens:
             at = len(self.ids) + np.cumsum(size) - size
             self.ids = np.concatenate([self.ids, np.fromiter(
                 itertools.chain.from_iterable(found), np.uint32, int(size.sum()))])
-            joined = np.concatenate([self.hashes, hashes[fresh]])
-            order = np.argsort(joined)
-            self.hashes = joined[order]
-            self.at = np.concatenate([self.at, at])[order]
-            self.size = np.concatenate([self.size, size])[order]
+            spot = known[fresh]
+            self.hashes = np.insert(self.hashes, spot, hashes[fresh])
+            self.at = np.insert(self.at, spot, at)
+            self.size = np.insert(self.size, spot, size)
             known = np.searchsorted(self.hashes, hashes)
         return known[place]
 
@@ -109,6 +109,12 @@ class WordTokens:
         return out, np.concatenate([[0], closing + 1])
 
 
+@lru_cache(maxsize=1)
+def _word_tokens(path: str) -> WordTokens:
+    """One per Python worker, so that later tasks find the words of earlier ones."""
+    return WordTokens(path)
+
+
 def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE,
            vocabulary: str = VOCABULARY, with_ids: bool = False) -> DataFrame:
     """Pieces of at most ``size`` tokens: key, piece, start, length, ids_crc32 and, if asked
@@ -117,8 +123,8 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
     columns = ["k", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
 
     def run(batches):
-        tokens = WordTokens(vocabulary)
-        for batch in slices(batches, "t"):
+        tokens = _word_tokens(vocabulary)
+        for batch in slices(batches, "t", SLICE_BYTES):
             ids, at = tokens.encode(batch.column("t"))
             count = -(-np.diff(at) // size)
             row = np.repeat(np.arange(len(count)), count)
