@@ -4,11 +4,51 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from adflow.llm import decontaminate, host_rules, html_text, language, packing, quality, toxicity
+from adflow.llm import (
+    decontaminate,
+    host_rules,
+    html_text,
+    language,
+    ngram_join,
+    packing,
+    quality,
+    toxicity,
+)
 from adflow.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
 
+OP1_SQL = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+s AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+    FROM (SELECT doc_id, w, unnest(range(1, GREATEST(len(w) - 4, 1) + 1)) AS i
+          FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, COUNT(*) AS n FROM s GROUP BY doc_id),
+o AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, COUNT(*) AS o
+    FROM s AS a JOIN s AS b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+    SELECT x, y FROM o JOIN n AS p ON p.doc_id = x JOIN n AS q ON q.doc_id = y
+    WHERE 100 * o >= 75 * (p.n + q.n - o)),
+reach AS (
+    SELECT doc_id AS v, doc_id AS c FROM d
+    UNION
+    SELECT l.y, r.c FROM reach AS r JOIN links AS l ON l.x = r.v)
+SELECT d.doc_id, COALESCE(n.n, 0) AS n_shingles, MIN(c) AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN reach ON v = d.doc_id GROUP BY d.doc_id, n.n
+"""
+
+
+@query("op1_ngram_join", OP1_SQL)
+def op1_ngram_join(spark, sf_dir):
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op2_language")
 def op2_language(spark, sf_dir):
     return language.languages(table(spark, sf_dir, "documents"))
