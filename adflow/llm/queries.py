@@ -9,6 +9,7 @@ from adflow.llm import (
     host_rules,
     html_text,
     language,
+    language_model,
     ngram_join,
     packing,
     quality,
@@ -74,6 +75,11 @@ def op7_main_text(spark, sf_dir):
     return html_text.page_texts(table(spark, sf_dir, "pages"))
 
 
+@query("op6_language_model")
+def op6_language_model(spark, sf_dir):
+    return language_model.score(table(spark, sf_dir, "documents"))
+
+
 OP8_SQL = r"""
 WITH d AS (
     SELECT doc_id, source, COALESCE(text, '') AS t,
