@@ -223,9 +223,8 @@ def cut(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) ->
 
     A null text stays null.
     """
-    others = [c for c in docs.columns if c != text]
-    found = find(docs.select(*[F.col(f"`{c}`") for c in others], F.col(text)), benchmark,
-                 others, text, **options)
+    found = find(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text] or [
+        F.lit(1).alias("none")]).alias("__row"), F.col(text)), benchmark, ["__row"], text, **options)
     raw = F.col("__text").cast("binary")
 
     def step(state, h):
@@ -241,4 +240,4 @@ def cut(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) ->
         .cast("string"))
     return found.select(*[
         F.when(F.size("hits") > 0, kept).otherwise(F.col("__text")).alias(text) if c == text
-        else F.col(f"`{c}`") for c in docs.columns])
+        else F.col("__row")[c].alias(c) for c in docs.columns])

@@ -143,3 +143,20 @@ def judge(docs: DataFrame, key: str = "doc_id", host: str = "source",
         F.col("k").alias(key), F.col("h").alias(host), *MEASURES, "base_failed", "rule_failed",
         "host_rate", F.coalesce("host_rejected", F.lit(False)).alias("host_rejected"),
         (~F.col("base_failed") & ~F.coalesce("host_rejected", F.lit(False))).alias("kept"))
+
+
+def kept(docs: DataFrame, host: str = "source", text: str = "text",
+         limit: float = HOST_LIMIT) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, all columns.
+
+    Texts are measured twice rather than shuffled or written: once for the hosts, once to
+    filter. The rejected hosts are written first, so the planner knows their size and only
+    broadcasts them below the session's threshold.
+    """
+    judged = measures(docs.select(F.col(host).alias("h"), F.col(text).alias("t")), ["h"], "t")
+    bad = staged(host_verdicts(judged.withColumn("rule_failed", rule_failed()), "h", limit)
+                 .where("host_rejected").select(F.col("h").alias("__host")), "rejected-hosts")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(host).alias("h"),
+                       F.col(text).alias("t"))
+    own = measures(rows, ["row", "h"], "t").where(~base_failed())
+    return own.join(bad, own["h"] == bad["__host"], "left_anti").select("row.*")

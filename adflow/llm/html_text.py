@@ -367,10 +367,10 @@ def main_texts(net: BiLstm, pages: list[str]) -> list[str]:
 def train(pages: DataFrame, key: str = "page_id", page: str = "html",
           most: int = SAMPLE) -> BiLstm:
     """Fit on the first ``most`` pages in hash order of their key."""
-    picked = pages.where(F.length(page) > 0).select(F.col(key).alias("k")).orderBy(
-        F.xxhash64("k"), "k").limit(most)
-    rows = pages.join(F.broadcast(picked), F.col(key).eqNullSafe(F.col("k"))).select(
-        "k", F.col(page).alias("page")).distinct().toLocalIterator()
+    every = pages.select(F.col(key).alias("k"), F.col(page).alias("page")).where(
+        F.col("k").isNotNull() & (F.length("page") > 0))
+    picked = every.select("k").orderBy(F.xxhash64("k"), "k").limit(most)
+    rows = every.join(F.broadcast(picked.distinct()), "k").distinct().toLocalIterator()
     return fit([r["page"] for r in sorted(rows, key=lambda r: (str(r["k"]), r["page"]))][:most])
 
 

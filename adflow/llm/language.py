@@ -188,8 +188,8 @@ def fit(x: np.ndarray, y: np.ndarray) -> Model:
 def train(docs: DataFrame, most: int = SAMPLE, parts: int = 5, rest: int = 0) -> Model:
     """Fit on at most ``most`` texts of each language that are not held out, the first in
     hash order. Only their ids are broadcast, only their features reach the driver."""
-    known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull()
-                       & ~held_out("doc_id", parts, rest))
+    known = docs.select("doc_id", "lang").where(
+        F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id", parts, rest))
     picked = known.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(64)).alias("salt"))
     # Within salts first, so that a language of a third of all rows is not in one task.
     for groups in (("lang", "salt"), ("lang",)):
@@ -197,8 +197,8 @@ def train(docs: DataFrame, most: int = SAMPLE, parts: int = 5, rest: int = 0) ->
             Window.partitionBy(*groups).orderBy(F.xxhash64("doc_id"), "doc_id"))
         picked = picked.withColumn("rank", rank).where(F.col("rank") <= most)
     picked = picked.select(F.col("doc_id").alias("key"), F.col("lang").alias("name"))
-    texts = docs.join(F.broadcast(picked), (docs["doc_id"] == picked["key"])
-                      & (docs["lang"] == picked["name"])).select("key", "name", docs["text"])
+    texts = docs.select(F.col("doc_id").alias("key"), F.col("lang").alias("name"), "text").join(
+        F.broadcast(picked.distinct()), ["key", "name"])
 
     def run(batches):
         for batch in slices(batches):

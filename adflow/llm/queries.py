@@ -10,6 +10,7 @@ from adflow.llm import (
     html_text,
     language,
     language_model,
+    licenses,
     ngram_join,
     packing,
     quality,
@@ -129,6 +130,19 @@ def op8_host_rules(spark, sf_dir):
         "base_failed", "kept")
 
 
+@query("op9_licenses")
+def op9_licenses(spark, sf_dir):
+    """Documents as files of a tree: d<id / 1000>/d<id / 50>/<id>.txt. The first of every
+    1000 and of every 50 is the LICENSE file of its folder."""
+    number = F.col("doc_id")
+    top, low = (F.concat(F.lit("d"), F.floor(number / n).cast("string")) for n in (1000, 50))
+    path = F.when(number % 1000 == 0, F.concat(top, F.lit("/LICENSE"))).when(
+        number % 50 == 0, F.concat_ws("/", top, low, F.lit("LICENSE"))).otherwise(
+        F.concat(F.concat_ws("/", top, low, number.cast("string")), F.lit(".txt")))
+    docs = table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text")
+    return licenses.licenses(docs, key="doc_id")
+
+
 _LOWERED = ("translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
             "'abcdefghijklmnopqrstuvwxyz')")
 OP10_SQL = rf"""

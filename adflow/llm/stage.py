@@ -37,6 +37,5 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, p
     ).groupBy(key).agg(F.max(label).cast("int").alias("label"))
     ones, zeros = (known.where(F.col("label") == v).orderBy(F.xxhash64(key), key).limit(most)
                    for v in (1, 0))
-    picked = ones.union(zeros).withColumnRenamed(key, "__key")
-    return docs.join(F.broadcast(picked), docs[key] == picked["__key"]).select(
-        docs[key].alias("key"), docs[text].alias("text"), "label")
+    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    return texts.join(F.broadcast(ones.union(zeros).withColumnRenamed(key, "key")), "key")
