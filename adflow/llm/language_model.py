@@ -32,8 +32,8 @@ from adflow.llm.ngram_trie import WORD_BITS, Trie, restored
 from adflow.llm.stage import staged
 from adflow.llm.text import BLANK, Texts, mix, slices
 
-SHARD_CHARS = 16 << 20
-BLOCK_TOKENS = 3 << 19
+SHARD_CHARS = 8 << 20
+BLOCK_TOKENS = 1 << 20
 _FP = np.uint64((1 << 40) - 1)
 _LOW = np.uint64((1 << WORD_BITS) - 1)
 # Hashes of the end token and of the start of a text.

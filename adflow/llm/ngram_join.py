@@ -37,13 +37,13 @@ from adflow.llm.stage import staged
 from adflow.llm.text import BLANK, Texts, joined, mix, slices, windows
 
 WORDS = 5
-SHARD_CHARS = 16 << 20
-BLOCK_SHINGLES = 1 << 21
+SHARD_CHARS = 8 << 20
+BLOCK_SHINGLES = 1 << 20
 BLOCK_TEXTS = 50_000
 REPEATED = 4  # texts of a block that make a shingle go once for all of them
 CELLS = 64
 CHUNK = 1024
-PAIRS_AT_ONCE = 1 << 19
+PAIRS_AT_ONCE = 1 << 18
 _FP = np.uint64((1 << 40) - 1)
 _ALL = 0xFFFF
 

@@ -28,8 +28,8 @@ from adflow.llm.text import Texts, slices
 SIZE = 2048
 UNIT = 4
 SALT_ROWS = 100_000
-CACHED_WORDS = 3 << 19
-SLICE_BYTES = 1 << 22
+CACHED_WORDS = 1 << 20
+SLICE_BYTES = 1 << 21
 VOCABULARY = "word_bpe_49k.json"
 END = 0
 
@@ -161,10 +161,6 @@ def nnls(columns: np.ndarray, target: np.ndarray, weight: np.ndarray, rounds: in
     row enter together; columns that turn negative leave.
     """
     n = len(target)
-    matrix = np.zeros((n, len(columns)), np.float32)
-    for k in range(columns.shape[1]):
-        used = columns[:, k] >= 0
-        np.add.at(matrix, (columns[used, k], np.flatnonzero(used)), 1)
     padded = np.where(columns < 0, n, columns)
     x = np.zeros(len(columns))
     passive = np.zeros(len(columns), bool)
@@ -187,7 +183,10 @@ def nnls(columns: np.ndarray, target: np.ndarray, weight: np.ndarray, rounds: in
             break
         while True:
             own = np.flatnonzero(passive)
-            a = matrix[:, own] * weight[:, None]
+            a = np.zeros((n + 1, len(own)))
+            for place in padded[own].T:
+                np.add.at(a, (place, np.arange(len(own))), 1)
+            a = a[:n] * weight[:, None]
             gram = a.T @ a + 1e-9 * np.eye(len(own))
             z = np.linalg.solve(gram, a.T @ (weight * target))
             if (z > 0).all():
@@ -200,7 +199,8 @@ def nnls(columns: np.ndarray, target: np.ndarray, weight: np.ndarray, rounds: in
             x[~passive] = 0
         x[:] = 0
         x[own] = z
-        rest = target - matrix @ x
+        rest = target - np.bincount(padded[own].ravel(), weights=np.repeat(z, padded.shape[1]),
+                                    minlength=n + 1)[:n]
     return x
 
 

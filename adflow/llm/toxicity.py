@@ -67,9 +67,11 @@ def fit(examples: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS) ->
     if not len(examples) or labels.min() == labels.max():
         mean = float(labels.mean()) if len(labels) else 0.0
         return Model(np.zeros(0, np.int64), np.zeros(0), 35.0 if mean == 1 else -35.0)
-    seen = np.bincount(np.concatenate(examples), minlength=PLACES)
+    seen = np.zeros(PLACES, np.int32)
+    for e in examples:
+        seen[e] += 1
     places = np.flatnonzero(seen > 1)
-    examples = [np.searchsorted(places, e[seen[e] > 1]) for e in examples]
+    examples = [np.searchsorted(places, e[seen[e] > 1]).astype(np.int32) for e in examples]
     # The last place is the intercept, which has no penalty.
     z, n = np.zeros(len(places) + 1), np.zeros(len(places) + 1)
     w = np.zeros(len(places) + 1)
@@ -109,7 +111,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int =
     rows = sorted(sample.mapInArrow(
         run, f"key {key}, label int, places binary").toLocalIterator(),
         key=lambda r: (r["key"], r["places"]))
-    return fit([np.frombuffer(r["places"], "<i4").astype(np.int64) for r in rows],
+    return fit([np.frombuffer(r["places"], "<i4") for r in rows],
                np.array([r["label"] for r in rows], np.float64))
 
 
