@@ -75,8 +75,8 @@ def blocks(benchmark: DataFrame, window: int, most: int, item: str, text: str) -
 class _Shard:
     """Slices of texts that are searched together."""
 
-    def __init__(self, phrases: Phrases):
-        self.phrases, self.parts, self.size, self.bytes = phrases, [], 0, 0
+    def __init__(self, phrases: Phrases, most: int):
+        self.phrases, self.most, self.parts, self.size, self.bytes = phrases, most, [], 0, 0
         self.least = int(phrases.lengths.min()) if len(phrases.lengths) else 1 << 60
 
     def add(self, batch: pa.RecordBatch) -> None:
@@ -103,7 +103,7 @@ class _Shard:
         self.bytes += batch.column("__text").nbytes
 
     def full(self) -> bool:
-        return self.size >= SHARD_SYMBOLS or self.bytes >= SHARD_BYTES
+        return self.size >= self.most or self.bytes >= SHARD_BYTES
 
     def found(self) -> Iterator[tuple[pa.RecordBatch, np.ndarray, list, list]]:
         """Per slice: the batch, words per text, merged hits and items per text."""
@@ -158,7 +158,7 @@ def _merged(own: list[tuple], before: list[dict] | None) -> list[tuple]:
     return out
 
 
-def _pass(df: DataFrame, phrases: Phrases, keep: list[str], first: bool) -> DataFrame:
+def _pass(df: DataFrame, phrases: Phrases, keep: list[str], first: bool, most: int) -> DataFrame:
     def emit(shard):
         for batch, counts, hits, items in shard.found():
             if not first:
@@ -173,12 +173,12 @@ def _pass(df: DataFrame, phrases: Phrases, keep: list[str], first: bool) -> Data
                 ], names=[*keep, "__text", "n_words", "hits", "items"])
 
     def run(batches):
-        shard = _Shard(phrases)
+        shard = _Shard(phrases, most)
         for batch in slices(batches, "__text"):
             shard.add(batch)
             if shard.full():
                 yield from emit(shard)
-                shard = _Shard(phrases)
+                shard = _Shard(phrases, most)
         yield from emit(shard)
 
     types = dict(df.dtypes)
@@ -201,8 +201,8 @@ def find(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "te
     df = docs.select(*keep, F.col(text).alias("__text"))
     first = True
     for phrases in blocks(benchmark, window, block_bytes, item, item_text):
-        df, first = _pass(df, phrases, keep, first), False
-    return _pass(df, Phrases.of([], window), keep, True) if first else df
+        df, first = _pass(df, phrases, keep, first, SHARD_SYMBOLS), False
+    return _pass(df, Phrases.of([], window), keep, True, SHARD_SYMBOLS) if first else df
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id",

@@ -136,7 +136,7 @@ class Duel:
             w = svm(x[own], sign)
             weights.append(w)
             sigmoids.append(platt(x[own] @ w[:-1] + w[-1], sign))
-        out.weights = np.array(weights, np.float32).reshape(len(out.pairs), -1)
+        out.weights = np.array(weights, np.float32).reshape(len(out.pairs), x.shape[1] + 1)
         out.sigmoids = np.array(sigmoids).reshape(len(out.pairs), 2)
         return out
 

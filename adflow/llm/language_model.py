@@ -126,7 +126,7 @@ class Block:
                     pair_counts=pa.array([_planes(pair_counts[pairs].astype("<u4"))]))
 
 
-def _send(shards: int, parts: int, rest: int):
+def _send(shards: int, parts: int, rest: int, most: int):
     def run(batches):
         from pyspark import TaskContext
 
@@ -154,7 +154,7 @@ def _send(shards: int, parts: int, rest: int):
             words = Texts.of(batch.column("t"), lower=True).words(BLANK)
             held.append((np.insert(words.hashes(), words.first[1:], END), words.counts + 1,
                          batch.column("k")))
-            if sum(len(h[0]) for h in held) >= BLOCK_TOKENS:
+            if sum(len(h[0]) for h in held) >= most:
                 yield block()
         if held:
             yield block()
@@ -303,7 +303,7 @@ def statistics(docs: DataFrame, key: str = "doc_id", text: str = "text", parts:
     schema = "shard bigint, block bigint, directory boolean, payload binary"
     kind = dict(picked.dtypes)["k"]
     arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-    return staged(picked.mapInArrow(_send(shards, parts, rest), schema).groupBy(
+    return staged(picked.mapInArrow(_send(shards, parts, rest, BLOCK_TOKENS), schema).groupBy(
         "shard").applyInArrow(_answer, schema).groupBy("block").applyInArrow(
         _collect(arrow, shards), f"k {kind}, apart boolean, {_RESULT}"), "language-model")
 

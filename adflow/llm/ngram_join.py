@@ -107,8 +107,8 @@ class _Block:
             self.sets.append((k, own))
             self.total += len(own)
 
-    def full(self) -> bool:
-        return self.total >= BLOCK_SHINGLES or len(self.keys) >= BLOCK_TEXTS
+    def full(self, most: int) -> bool:
+        return self.total >= most or len(self.keys) >= BLOCK_TEXTS
 
     def _directory(self, many: np.ndarray, texts: np.ndarray) -> bytes:
         """Per text its key, size and first copy; and the texts of repeated shingles."""
@@ -151,7 +151,7 @@ class _Block:
                 yield s, block, False, pack(keys[a:b] & _FP, text[a:b], count[a:b])
 
 
-def _send(shards: int, size: int):
+def _send(shards: int, size: int, most: int):
     """Blocks of texts as packed rows; block numbers follow from task and order."""
 
     def run(batches):
@@ -163,7 +163,7 @@ def _send(shards: int, size: int):
             for key, own in zip(batch.column("k").to_pylist(),
                                 shingle_sets(batch.column("t"), size)):
                 block.add(key, own)
-                if block.full():
+                if block.full(most):
                     yield _packed(block.rows(number, shards))
                     number, block = number + 1, _Block(batch.column("k").type)
         if block is not None and block.keys:
@@ -260,7 +260,7 @@ def shared_keys(docs: DataFrame, key: str = "doc_id", text: str = "text",
     shards = max(4, -(-chars // SHARD_CHARS))
     kind = dict(picked.dtypes)["k"]
     schema = "shard bigint, block bigint, directory boolean, payload binary"
-    return picked.mapInArrow(_send(shards, size), schema).groupBy("shard").applyInArrow(
+    return picked.mapInArrow(_send(shards, size, BLOCK_SHINGLES), schema).groupBy("shard").applyInArrow(
         _answer, schema).groupBy("block").applyInArrow(
         _collect, f"k {kind}, n bigint, first {kind}, m bigint, common double, "
         "prefix array<bigint>, shared binary, cells binary")
