@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from adflow.operators.rollup import latest
 from adflow.operators.web import expand_json
 
+# The word after the last "of", whole, in quotes or not.
+NAMED = r"^.*\bof\s+['\"`]?([^\s'\"`]+)"
 DROPPED = "array<struct<dropped_records: bigint>>"
 
 
@@ -45,12 +47,12 @@ def lineage(log: DataFrame, update_id: str | None = None) -> DataFrame:
 
 
 def dropped_records(log: DataFrame, skip: str = "%_v2%") -> DataFrame:
-    """Rows dropped by expectations, per message; the table name is part of the text."""
+    """Rows dropped by expectations, per message. The table's name follows ``of`` in the text."""
     flows = log.where((F.col("event_type") == "flow_progress") & ~F.col("message").like(skip))
     rules = expand_json(flows, "details", "$.flow_progress.data_quality", DROPPED, "rule")
     return rules.groupBy("message").agg(
         F.sum("rule.dropped_records").alias("dropped_records")
-    ).select(F.substring("message", 34, 26).alias("table_name"), "message", "dropped_records")
+    ).select(F.regexp_extract("message", NAMED, 1).alias("table_name"), "message", "dropped_records")
 
 
 def alerts(log: DataFrame, skip: str = "%_v2%") -> DataFrame:

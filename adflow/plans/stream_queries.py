@@ -131,6 +131,17 @@ def idempotent_batches(spark, sf_dir):
     return spark.read.parquet(path).drop("batch_id")
 
 
+@query("z8_replace_window", WINDOW_SQL.format(start=BUCKET[60], minutes=60))
+def replace_window_batches(spark, sf_dir):
+    """Closed windows replace those of a table; the stream runs twice from the start."""
+    table = f"{temp_database(spark, 'stats')}.hourly"
+    out = _window(spark, sf_dir, "1 hour").withColumn("day", F.to_date("window_start"))
+    sk.overwrite(spark.createDataFrame([], out.schema), table, ["day"])
+    for _ in range(2):
+        ss.run_available(out, work_dir(spark, "z8"), batch=ss.window_batches(table, "window_start"))
+    return spark.table(table).drop("day")
+
+
 @query(
     "z6_stream_expectations",
     " UNION ALL ".join(
@@ -165,14 +176,26 @@ def backfill(spark, sf_dir):
 
 # --- joins of streams ------------------------------------------------------
 
-def _silver(spark, sf_dir, kind):
-    """First event per transaction and hour, landed and read back as a stream."""
+END = "end of the fixture"
+
+
+def _silver(spark, sf_dir, kind, attributes=("ad_adv",)):
+    """First event per transaction and hour, landed and read back as a stream.
+
+    A last file holds one event of a month later, which moves the watermark past all others:
+    so the stream releases every row. It carries the transaction ``END``.
+    """
     rows = fn.first_events(fn.silver(bronze(spark, sf_dir, kind, True), kind, 60), kind)
-    columns = [f"{kind}time", "ad_adv", "tid"] + (["Revenue"] if kind == "imp" else [])
+    columns = [f"{kind}time", *attributes, "tid"] + (["Revenue"] if kind == "imp" else [])
     # One event per transaction and hour: the hour joins the key.
     rows = rows.withColumn("tid", F.concat_ws("-", "tid", F.date_format("Date", "HH"))).select(*columns)
     path = work_dir(spark, f"silver-{kind}")
     rows.write.parquet(path)
+    # With real attributes: rows with NULL keys may be dropped before the watermark sees them.
+    closing = spark.read.parquet(path).orderBy(F.desc(f"{kind}time"), "tid").limit(1).withColumns({
+        "tid": F.lit(END), f"{kind}time": F.expr(f"{kind}time + INTERVAL 30 DAYS"),
+    })
+    closing.write.mode("append").parquet(path)
     return ss.event_time(rd.stream_parquet(spark, path, rows.schema), f"{kind}time")
 
 
@@ -183,7 +206,7 @@ def _silver_cte():
         parts += [
             f"{kind}_s AS ({silver_sql(kind, BUCKET[60], True)})",
             f"{kind}_f AS ({first_sql(kind + '_s', kind)})",
-            f"{kind} AS (SELECT concat(tid, '-', strftime(\"Date\", '%H')) AS tid, {kind}time, ad_adv{price} FROM {kind}_f)",
+            f"{kind} AS (SELECT concat(tid, '-', strftime(\"Date\", '%H')) AS tid, {kind}time, {', '.join(fn.ATTRIBUTES)}{price} FROM {kind}_f)",
         ]
     return "WITH " + ",\n".join(parts)
 
@@ -202,22 +225,23 @@ def stream_attribution(spark, sf_dir):
         _silver(spark, sf_dir, "imp"), clicks, [("tid", "clk_tid")], "imptime", "clktime"
     )
     rows = joined.select("tid", "imptime", "clktime", F.col("Revenue").cast("double"))
-    return _run(_ntz(rows, "imptime", "clktime"), spark, "j4")
+    return _run(_ntz(rows, "imptime", "clktime"), spark, "j4").where(F.col("tid") != END)
 
 
-# Bids this old have passed every watermark of the fixture's month.
-SETTLED = "2024-01-28 00:00:00"
+SAME = {k: " AND ".join(f"bid.{a} = {k}.{a}" for a in fn.ATTRIBUTES) for k in ("imp", "clk")}
 
 
 @query(
     "j5_stream_funnel",
-    f"""{_silver_cte()} SELECT bid.tid AS tid, bid.ad_adv AS ad_adv, bidtime, imptime, clktime, CAST(Revenue AS DOUBLE) AS Revenue,
+    f"""{_silver_cte()} SELECT bid.tid AS tid, bid.ad_adv AS ad_adv, bid.url AS url, bidtime, imptime, clktime, CAST(Revenue AS DOUBLE) AS Revenue,
   CAST(trunc((epoch_us(clktime) - epoch_us(imptime)) / 1000000.0) AS BIGINT) AS "ITCT"
-FROM bid LEFT JOIN imp ON bid.tid = imp.tid AND bid.ad_adv = imp.ad_adv AND {IN_TIME.format(a='bid', b='imp')}
-LEFT JOIN clk ON bid.tid = clk.tid AND bid.ad_adv = clk.ad_adv AND {IN_TIME.format(a='imp', b='clk')} WHERE bidtime < TIMESTAMP '{SETTLED}'""",
+FROM bid LEFT JOIN imp ON bid.tid = imp.tid AND {SAME['imp']} AND {IN_TIME.format(a='bid', b='imp')}
+LEFT JOIN clk ON bid.tid = clk.tid AND {SAME['clk']} AND {IN_TIME.format(a='imp', b='clk')}""",
 )
 def stream_funnel(spark, sf_dir):
-    rows = ss.funnel_stream(*[_silver(spark, sf_dir, k) for k in fn.KINDS], attributes=["ad_adv"])
-    rows = rows.select("tid", "ad_adv", "bidtime", "imptime", "clktime", F.col("Revenue").cast("double"), "ITCT")
-    out = _run(_ntz(rows, "bidtime", "imptime", "clktime"), spark, "j5")
-    return out.where(F.col("bidtime") < F.lit(SETTLED).cast("timestamp_ntz"))
+    """Every bid, joined on the transaction and all twelve attributes."""
+    rows = ss.funnel_stream(
+        *[_silver(spark, sf_dir, k, fn.ATTRIBUTES) for k in fn.KINDS], attributes=fn.ATTRIBUTES
+    )
+    rows = rows.select("tid", "ad_adv", "url", "bidtime", "imptime", "clktime", F.col("Revenue").cast("double"), "ITCT")
+    return _run(_ntz(rows, "bidtime", "imptime", "clktime"), spark, "j5").where(F.col("tid") != END)

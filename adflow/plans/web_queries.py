@@ -226,8 +226,8 @@ def audit(spark, sf_dir):
     return el.audit(_log(spark, sf_dir))
 
 
-DROPPED_SQL = f"""SELECT substring(message, 34, 26) AS table_name, message, CAST(SUM(k + user_id % 4) AS BIGINT) AS dropped_records
-FROM ({LOG_SQL}) WHERE event_type = 'flow_progress' AND message NOT LIKE '%_v2%' GROUP BY message"""
+DROPPED_SQL = f"""SELECT 'table_' || CAST(user_id % 12 AS VARCHAR) AS table_name, message, CAST(SUM(k + user_id % 4) AS BIGINT) AS dropped_records
+FROM ({LOG_SQL}) WHERE event_type = 'flow_progress' AND message NOT LIKE '%_v2%' GROUP BY table_name, message"""
 
 
 @query("l3_dropped_records", DROPPED_SQL)

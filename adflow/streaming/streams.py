@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,9 +27,31 @@ def event_time(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp") for c in columns})
 
 
+def fold_repeats(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
+    """The latest event per key of each Arrow batch: a stateless step before a shuffle.
+
+    Spark has no partial form of stream de-duplication. With this a key that a third of
+    all events have sends a row per batch of rows instead of all of them. The latest event
+    is the one least likely to be too late.
+    """
+    columns, by = df.columns, list(keys)
+
+    def run(batches):
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            order = pc.sort_indices(table, sort_keys=[(ts, "descending")])
+            rank = pa.table({**{k: table.column(k) for k in by},
+                             "__row": pa.array(range(table.num_rows))}).take(order)
+            first = rank.group_by(by, use_threads=False).aggregate([("__row", "first")])
+            yield from table.take(first.column("__row_first")).select(columns).to_batches()
+
+    return df.mapInArrow(run, df.schema)
+
+
 def dedup_stream(df: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:
     """One event per key within the delay; older keys leave the state."""
-    return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+    folded = fold_repeats(df, keys, ts)
+    return folded.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
 def first_per_window(
@@ -183,9 +207,9 @@ def ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
 
 def run_available(
     df: DataFrame, path: str, checkpoint: str | None = None, partition_by: Sequence[str] = (),
-    batch: Callable[[DataFrame, int], None] | None = None, timeout: int = 3600,
+    batch: Callable[[DataFrame, int], None] | None = None,
 ):
-    """Process what has arrived, then stop. Returns the finished query.
+    """Process what has arrived, however long that takes. Returns the finished query.
 
     With the same checkpoint a later call continues where this one ended.
     """
@@ -198,23 +222,36 @@ def run_available(
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         running = writer.start(path)
-    if not running.awaitTermination(timeout):
-        running.stop()
-        raise TimeoutError(f"stream not done after {timeout} s")
+    running.awaitTermination()
     return running
 
 
 def idempotent_batches(path: str) -> Callable[[DataFrame, int], None]:
-    """Sink for ``foreachBatch``: a batch that runs again replaces its own output."""
+    """Sink for ``foreachBatch``: a batch that runs again replaces its own folder.
+
+    Also with no rows: then what an earlier run of the batch left is gone.
+    """
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        (
-            rows.withColumn("batch_id", F.lit(batch_id))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(path)
-        )
+        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return write
+
+
+def window_batches(table: str, ts: str) -> Callable[[DataFrame, int], None]:
+    """Sink for ``foreachBatch``: the event windows of a batch replace those of the table.
+
+    For closed windows, which come in order of time: the windows of a batch are then all
+    of its span. A batch that runs again, or a stream that starts anew and groups its files
+    in another way, leaves the same rows.
+    """
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        rows = rows.persist()
+        span = rows.agg(F.min(ts).alias("first"), F.max(ts).alias("last")).first()
+        if span["first"] is not None:
+            replace_window(rows, table, F.col(ts).between(F.lit(span["first"]), F.lit(span["last"])))
+        rows.unpersist()
 
     return write
 

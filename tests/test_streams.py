@@ -2,11 +2,11 @@
 
 from datetime import datetime, timedelta
 
-import pytest
 from pyspark.sql import functions as F
 
-from adflow.session import work_dir
+from adflow.session import temp_database, work_dir
 from adflow.sources import readers as rd
+from adflow.sources import sinks as sk
 from adflow.streaming import streams as ss
 
 T0 = datetime(2024, 1, 1, 10)
@@ -34,7 +34,7 @@ class Topic:
         return ss.event_time(rd.stream_parquet(self.spark, self.path, schema), "ts")
 
     def run(self, df, **options):
-        ss.run_available(df, self.out, checkpoint=self.checkpoint, timeout=120, **options)
+        ss.run_available(df, self.out, checkpoint=self.checkpoint, **options)
         return self.spark.read.schema(df.schema).parquet(self.out)
 
 
@@ -109,8 +109,29 @@ def test_expectation_ledger_sums_batches(spark):
     assert [r["tid"] for r in spark.read.parquet(topic.out).collect()] == ["a"]
 
 
-def test_stream_that_does_not_end(spark, monkeypatch):
-    topic = Topic(spark, "slow")
-    topic.add(("a", 0, 1))
-    with pytest.raises(TimeoutError):
-        ss.run_available(topic.stream(), topic.out, timeout=0.001)
+def test_empty_batch_clears_its_earlier_output(spark):
+    path = work_dir(spark, "sink")
+    write = ss.idempotent_batches(path)
+    rows = spark.range(3).toDF("id")
+    write(rows, 0)
+    write(rows, 1)
+    write(rows.where("false"), 1)
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_window_batches_replace_their_windows(spark, rows):
+    name = f"{temp_database(spark, 'windows')}.t"
+    sk.overwrite(spark.createDataFrame([], "ts timestamp, n int"), name)
+    write = ss.window_batches(name, "ts")
+    make = lambda *pairs: spark.createDataFrame([(at(m), n) for m, n in pairs], "ts timestamp, n int")
+    write(make((0, 1), (60, 2)), 0)
+    write(make((120, 3)), 1)
+    write(make((0, 1), (60, 2), (120, 3)), 0)
+    write(make(), 1)
+    assert rows(spark.table(name), "n") == [(1,), (2,), (3,)]
+
+
+def test_fold_keeps_the_latest_of_a_hot_key(spark):
+    events = spark.createDataFrame([("a", at(m)) for m in range(500)] + [(None, at(1)), ("b", at(0))], "tid string, ts timestamp")
+    got = ss.fold_repeats(events.coalesce(1), ["tid"], "ts").collect()
+    assert {(r["tid"], r["ts"]) for r in got} == {("a", at(499)), (None, at(1)), ("b", at(0))}
