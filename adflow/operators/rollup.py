@@ -105,12 +105,14 @@ def sum_by(df: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFr
 def cardinality(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
     """Distinct values per string column, one row.
 
-    The exact form expands each row once per column; ``approx=True`` keeps one
-    sketch per column instead and is the choice for very large tables.
+    The exact form counts column by column in two steps, each reading its own column;
+    ``approx=True`` keeps one sketch per column in a single pass.
     """
     cols = list(cols or [f.name for f in df.schema.fields if f.dataType.typeName() == "string"])
-    count = F.approx_count_distinct if approx else F.count_distinct
-    return df.agg(*[count(F.col(c)).alias(c) for c in cols])
+    if approx:
+        return df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols])
+    counts = [df.select(c).distinct().agg(F.count(c).alias("n")).scalar().alias(c) for c in cols]
+    return df.sparkSession.range(1).select(*counts)
 
 
 def label_counts(df: DataFrame, label: str) -> DataFrame:
@@ -120,13 +122,14 @@ def label_counts(df: DataFrame, label: str) -> DataFrame:
 def ratio_by(df: DataFrame, key: Column | str, name: str | None = None) -> DataFrame:
     """Rows per value and their share of all rows, in percent.
 
-    The total is a scalar subquery over the partial counts, not a window over
-    one partition, so a column with very many values stays distributed.
+    The total is a scalar subquery that sums the groups, not a window over one
+    partition, so a column with very many values stays distributed and the grouping is
+    reused.
     """
     name = name or (key if isinstance(key, str) else "value")
     column = F.col(key) if isinstance(key, str) else key
     groups = df.groupBy(column.alias(name)).agg(F.count("*").alias("cnt"))
-    total = df.select(F.count("*").alias("n")).scalar()
+    total = groups.select(F.sum("cnt").alias("n")).scalar()
     return groups.withColumn("ratio", F.col("cnt") / total * 100)
 
 

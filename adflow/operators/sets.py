@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adflow.operators.dedup import first_by
+from adflow.operators.skew import assert_unique
 
 
 def append_rows(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -74,19 +75,28 @@ def new_ids(current: DataFrame, known: DataFrame, key: str) -> DataFrame:
 
 def overlay(
     raw: DataFrame, wash: DataFrame, keys: Sequence[str], descriptors: Sequence[str],
-    metrics: Sequence[str],
+    metrics: Sequence[str], unique: bool = False,
 ) -> DataFrame:
     """Late restatement: washed keys keep raw descriptors and take wash metrics.
 
     Equal descriptors of a washed key merge into one row. Untouched raw rows
-    pass through as they are; a wash key absent from raw adds nothing. The wash
-    batch is one row per key.
+    pass through as they are, repeats included; a wash key absent from raw adds
+    nothing. The wash batch is one row per key; ``unique=True`` checks that.
+
+    One left join. Restated rows are merged by a grouping in which every untouched row
+    has a number of its own.
     """
     keys = list(keys)
     columns = [*dict.fromkeys([*keys, *descriptors, *metrics])]
-    described = raw.select(*[c for c in columns if c not in metrics])
-    restated = described.join(wash.select(*keys, *metrics), keys).select(*columns).distinct()
-    return restated.unionByName(anti(raw, wash, keys).select(*columns))
+    if unique:
+        assert_unique(wash, keys)
+    new = wash.select(*keys, F.struct(*metrics).alias("__new"))
+    joined = raw.select(*columns).join(new, keys, "left")
+    washed = F.col("__new").isNotNull()
+    values = [F.when(washed, F.col(f"__new.{c}")).otherwise(F.col(c)).alias(c)
+              if c in metrics else F.col(c) for c in columns]
+    row = F.when(~washed, F.monotonically_increasing_id()).alias("__row")
+    return joined.select(*values, row).distinct().drop("__row")
 
 
 def enrich(stats: DataFrame, dims: Sequence[tuple[DataFrame, Sequence[str]]], how: str = "inner") -> DataFrame:

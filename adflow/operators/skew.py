@@ -15,24 +15,6 @@ SHARE = 0.001
 SALTS = 64
 
 
-def plan_size(df: DataFrame) -> int:
-    """The optimizer's size estimate in bytes."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the estimate is below the session's broadcast threshold."""
-    return plan_size(df) <= _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
-
-
-def _bytes(text: str) -> int:
-    units = {"k": 10, "m": 20, "g": 30, "t": 40}
-    number = text.lower().rstrip("b")
-    if number and number[-1] in units:
-        return int(number[:-1]) << units[number[-1]]
-    return int(number)
-
-
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write a costly frame to the shared folder once and read it from there.
 
@@ -88,53 +70,53 @@ def _repeat(df: DataFrame, cond: Column, salts: int) -> DataFrame:
 
 def skew_join(
     left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left",
-    salts: int = SALTS, share: float = SHARE, salted: bool | None = None,
+    salts: int = SALTS, share: float = SHARE,
 ) -> DataFrame:
     """Equi-join that spreads each frequent left key over ``salts`` tasks.
 
     The right rows of those keys are repeated once per salt; other keys are
-    neither salted nor repeated, and without a frequent key this is a plain
-    join. NULL keys match nothing and are spread as well. Meant for a right side
-    with few rows per key (a dimension). When that side fits a broadcast, nothing
-    is shuffled and no salt is needed.
+    neither salted nor repeated. NULL keys match nothing and are spread as well.
+    Meant for a right side with few rows per key (a dimension). Whether that side
+    is broadcast is left to the optimizer and to adaptive execution.
 
     The left side is read twice: pass a table, or a frame that is ``staged``.
     """
     if how not in ("left", "inner"):
         raise ValueError("only left and inner joins can be salted on the left side")
     keys = list(keys)
-    if salted is None and fits_broadcast(right):
-        return left.join(F.broadcast(right), keys, how)
     hashed = key_hash(left, right, keys)
     hot = frequent(left, keys, hashed, share)
     l = _spread(left, hashed.isin(hot) | ~_not_null(keys), salts)
-    r = _repeat(right, hashed.isin(hot), salts)
+    r = _repeat(right.where(_not_null(keys)), hashed.isin(hot), salts)
     return l.join(r, [*keys, "__salt"], how).drop("__salt")
 
 
 def fanout_left_join(
     left: DataFrame, right: DataFrame, keys: Sequence[str], salts: int = SALTS,
-    share: float = SHARE, salted: bool | None = None,
+    share: float = SHARE,
 ) -> DataFrame:
     """Left join whose right side has frequent keys; every match is kept.
 
     The optimizer cannot split the right side of a left join. So frequent keys
     are taken out: their matches are an inner join with the right rows spread
     over ``salts`` tasks and the left rows repeated; left rows of theirs without
-    a match follow by an anti join. The left side is staged for that. Without a
-    frequent key it is a plain join. Meant for a left side with few rows per key.
-    A right side that fits a broadcast needs none of this.
+    a match follow by an anti join. Left rows with a NULL key match nothing and are
+    spread over the tasks by a salt of their own. Both sides are staged, as they are
+    read more than once. Meant for a left side with few rows per key.
     """
     keys = list(keys)
-    if salted is None and fits_broadcast(right):
-        return left.join(F.broadcast(right), keys, "left")
+    right = staged(right.where(_not_null(keys)), "fanout-right")
     hashed = key_hash(left, right, keys)
     hot = frequent(right, keys, hashed, share)
+    if hot:
+        left = staged(left, "fanout-left")
+    is_hot = F.coalesce(hashed.isin(hot), F.lit(False)) & _not_null(keys)
+    l, r = _spread(left.where(~is_hot), ~_not_null(keys), salts), right.where(~is_hot)
+    # Always 0, but not a literal: the planner would take a literal out of the join keys.
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int")
+    cold = l.join(r.withColumn("__salt", zero), [*keys, "__salt"], "left").drop("__salt")
     if not hot:
-        return left.join(right, keys, "left")
-    left = staged(left, "fanout")
-    is_hot = hashed.isin(hot)
-    cold = left.where(~is_hot).join(right.where(~is_hot), keys, "left")
+        return cold
     l, r = left.where(is_hot), right.where(is_hot)
     every = F.lit(True)
     matched = _repeat(l, every, salts).join(_spread(r, every, salts), [*keys, "__salt"]).drop("__salt")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,16 +29,18 @@ def wash(
     spark: SparkSession, job: Job, table: str, date_col: str, start: datetime, end: datetime,
     by: str = "interval", scope: Mapping[str, object] | None = None,
     runs: str | None = None, run_by: str = "adflow", as_of: datetime | None = None,
+    partition_by: Sequence[str] = (),
 ) -> DataFrame:
     """Recompute ``[start, end)``, replace it in the table, and validate the result.
 
-    The window replaced is the window computed, so a second run changes nothing.
+    The window replaced is the window computed, so a second run changes nothing. A missing
+    table is made with partitions by ``partition_by``, so that later runs rewrite days only.
     Returns the validation row; it is also appended to ``runs`` when given.
     """
     for low, high in intervals(start, end, by):
         rows = job(low, high)
         if not spark.catalog.tableExists(table):
-            overwrite(rows, table)
+            overwrite(rows, table, partition_by)
             continue
         kind = spark.table(table).schema[date_col].dataType
         window = (F.col(date_col) >= moment(low).cast(kind)) & (

@@ -107,7 +107,7 @@ def _training(spark, sf_dir):
 def fanout_join(spark, sf_dir):
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     lines = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey", "l_linenumber", "l_quantity")
-    return fanout_left_join(orders, lines, ["o_orderkey"], salts=4, share=0.0002, salted=True)
+    return fanout_left_join(orders, lines, ["o_orderkey"], salts=4, share=0.0002)
 
 
 @query(

@@ -216,10 +216,10 @@ def left_lookup(spark, sf_dir):
 @query(
     "j19_campaign_scope",
     f"""SELECT segmentsDate, campaignId, adId, impressions FROM ({REPORT_SQL})
-WHERE campaignId IN (SELECT DISTINCT CAST(c_custkey % 50 AS BIGINT) FROM customer WHERE c_mktsegment IN ('BUILDING') AND c_nationkey < 3)""",
+WHERE campaignId IN (SELECT DISTINCT CAST(c_custkey % 50 AS BIGINT) FROM customer WHERE c_mktsegment IN ('BUILDING'))""",
 )
 def campaign_scope(spark, sf_dir):
-    campaigns = read(spark, sf_dir, "customer").where("c_nationkey < 3").select(
+    campaigns = read(spark, sf_dir, "customer").select(
         F.expr("CAST(c_custkey % 50 AS BIGINT) AS campaignId"), F.col("c_mktsegment").alias("campaignType")
     )
     rows = report(spark, sf_dir).select("segmentsDate", "campaignId", "adId", "impressions")
@@ -247,7 +247,7 @@ def skewed_lookup(spark, sf_dir):
     labels = read(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("user_id"), F.concat(F.lit("q"), F.col("quality").cast("string")).alias("label")
     )
-    return skew_join(events, labels, ["user_id"], "left", salts=8, share=0.005, salted=True)
+    return skew_join(events, labels, ["user_id"], "left", salts=8, share=0.005)
 
 
 @query(

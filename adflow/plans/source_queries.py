@@ -324,9 +324,26 @@ def partition_values(spark, sf_dir):
     return spread.groupBy("event_type").agg(F.sum("rows").alias("rows"))
 
 
-@query("r10_partition_profile")
+@query("r10_partition_profile", "SELECT CAST(event_id % 7 AS INT) AS partition, COUNT(*) AS \"rows\" FROM events GROUP BY ALL")
 def partition_profile(spark, sf_dir):
-    return ct.partition_profile(_events(spark, sf_dir))
+    """Events dealt to seven partitions by number."""
+    dealt = _events(spark, sf_dir).repartitionById(7, F.expr("CAST(event_id % 7 AS INT)"))
+    return ct.partition_profile(dealt)
+
+
+@query(
+    "q12_schema_diff",
+    """SELECT * FROM (VALUES ('customer', '*', NULL, 'present'), ('nation', '*', 'present', NULL), ('orders', 'o_totalprice', 'double', 'string'),
+  ('orders', 'o_comment', NULL, 'string'), ('part', 'p_size', 'int', NULL)) AS t("table", "column", "left", "right") WHERE (SELECT COUNT(*) FROM orders) > 0""",
+)
+def schema_diff(spark, sf_dir):
+    """Two databases out of the given tables: a type, a column more, one less, one-sided tables."""
+    left = _small_db(spark, sf_dir, "left", ["orders", "part", "nation"])
+    right = _small_db(spark, sf_dir, "right", ["customer"])
+    orders = read(spark, sf_dir, "orders")
+    sk.overwrite(orders.withColumn("o_totalprice", F.col("o_totalprice").cast("string")).withColumn("o_comment", F.lit("x")), f"{right}.orders")
+    sk.overwrite(read(spark, sf_dir, "part").drop("p_size"), f"{right}.part")
+    return ct.schema_diff(spark, left, right)
 
 
 @query("r11_write_sized", "SELECT * FROM lineitem")

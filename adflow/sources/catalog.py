@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adflow.functions.names import leaves
-from adflow.sources.sinks import _sized, partition_columns
+from adflow.sources.sinks import overwrite, partition_columns
 
 DEV_PREFIX = "tt_"
 DATE_WORDS = ("date", "Date", "start")
@@ -134,10 +133,12 @@ def table_inventory(spark: SparkSession, database: str, names: Sequence[str]) ->
 def partition_tables(
     spark: SparkSession, database: str, names: Sequence[str], row_threshold: int
 ) -> list[str]:
-    """Rewrite large tables partitioned by their date column; names of those changed.
+    """Rewrite large tables partitioned by day; names of those changed.
 
-    Tables without a date column, already partitioned ones, and those below the
-    threshold stay.
+    A date column is the partition column itself; of a timestamp the day is, in a column
+    ``<name>_day``, as its own values would make a folder each. So is the first ten
+    characters' date of a text. Tables without a date column, already partitioned ones, and
+    those below the threshold stay.
     """
     changed = []
     for name in names:
@@ -146,31 +147,18 @@ def partition_tables(
         day = detect_date_col(df.schema)
         if day is None or partition_columns(spark, full) or df.count() < row_threshold:
             continue
-        _swap_in(df, database, name, [day])
+        part = day
+        if not isinstance(df.schema[day].dataType, T.DateType):
+            part = f"{day}_day"
+            df = df.withColumn(part, F.to_date(F.substring(F.col(day).cast("string"), 1, 10)))
+        _swap_in(df, database, name, [part])
         changed.append(name)
     return changed
 
 
 def _swap_in(df: DataFrame, database: str, name: str, parts: Sequence[str]) -> None:
-    """Put ``df``, which may read the table, in the table's place.
-
-    The files are complete before the catalog changes. The new table points at
-    its own folder beside the database's others; renaming a partitioned table
-    instead would leave its partitions pointing at the old folder.
-    """
-    spark = df.sparkSession
-    base = spark.catalog.getDatabase(database).locationUri
-    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-    writer = _sized(df, parts).write
-    (writer.partitionBy(*parts) if parts else writer).parquet(path)
-    full, old = f"{database}.{name}", f"{database}.{name}__old"
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    clause = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})" if parts else ""
-    spark.sql(f"ALTER TABLE {full} RENAME TO {old}")
-    spark.sql(f"CREATE TABLE {full} ({columns}) USING parquet {clause} LOCATION '{path}'")
-    if parts:
-        spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
-    spark.sql(f"DROP TABLE {old}")
+    """Put ``df``, which may read the table, in the table's place."""
+    overwrite(df, f"{database}.{name}", parts)
 
 
 def alter_nested(df: DataFrame, path: str, kind: str) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
-from contextlib import contextmanager
+import uuid
+from collections.abc import Mapping, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,52 @@ def _sized(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
+def _folder(spark: SparkSession, table: str) -> str:
+    """A fresh folder beside the table's database, for a new version of its files."""
+    database, _, name = table.rpartition(".")
+    base = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_files(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote and nothing refers to any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def recover(spark: SparkSession, table: str) -> None:
+    """Finish a swap that stopped after the old table had gone: its successor is complete."""
+    if not spark.catalog.tableExists(table) and spark.catalog.tableExists(f"{table}__next"):
+        spark.sql(f"ALTER TABLE {table}__next RENAME TO {table}")
+
+
+def publish(spark: SparkSession, path: str, table: str, schema, partition_by: Sequence[str] = ()) -> None:
+    """Put complete files at ``path`` in the place of ``table``, or make the table.
+
+    The successor is registered first, under a name of its own; only then does the old
+    table go and the successor take its name. A run that stops in between is finished
+    by ``recover``, which every write calls first.
+    """
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    clause = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in partition_by)})" if partition_by else ""
+    spark.sql(f"DROP TABLE IF EXISTS {table}__next")
+    spark.sql(f"CREATE TABLE {table}__next ({columns}) USING parquet {clause} LOCATION '{path}'")
+    if partition_by:
+        spark.sql(f"ALTER TABLE {table}__next RECOVER PARTITIONS")
+    old = _location(spark, table) if spark.catalog.tableExists(table) else None
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {table}__next RENAME TO {table}")
+    if old:
+        remove_files(spark, old)
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
+
+
 def append(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
+    recover(df.sparkSession, table)
     if df.sparkSession.catalog.tableExists(table):
         _sized(df.select(*df.sparkSession.table(table).columns), partition_by).write.insertInto(table)
     else:
@@ -28,10 +74,19 @@ def append(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
 
 
 def overwrite(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
-    writer = _sized(df, partition_by).write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(table)
+    """New content for a table, or a new table. The files are complete before the catalog
+    changes, so a failed run leaves the table as it was; ``df`` may read the table."""
+    spark = df.sparkSession
+    recover(spark, table)
+    if not spark.catalog.tableExists(table):
+        writer = _sized(df, partition_by).write
+        (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
+        return
+    path = _folder(spark, table)
+    writer = _sized(df, partition_by).write
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    ordered = df.select(*[c for c in df.columns if c not in partition_by], *partition_by)
+    publish(spark, path, table, ordered.schema, partition_by)
 
 
 def refresh_dim(df: DataFrame, table: str) -> None:
@@ -64,18 +119,6 @@ def write_sized(df: DataFrame, path: str, rows_per_file: int) -> None:
     ).parquet(path)
 
 
-@contextmanager
-def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """Overwrite only the partitions written. Table inserts read this from the session."""
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
@@ -94,76 +137,116 @@ def _one_of(parts: Sequence[str], values: Sequence[Row]) -> Column:
 def replace_window(
     new: DataFrame, table: str, window: Column, scope: Mapping[str, object] | None = None
 ) -> None:
-    """Delete the rows of a window (and scope), then add ``new``: as one write.
+    """Delete the rows of a window (and scope), then add ``new``.
 
-    The window need not match partition bounds. Partitions it touches are
-    rewritten as their surviving rows plus the new ones; Spark stages the files
-    and swaps partitions when the job commits, so a failed run leaves the table
-    as it was. Rows for which the predicate is unknown (NULL) survive.
-    Partitions left without rows are dropped afterwards; a run that stops before
-    that is repaired by repeating it.
+    The window need not match partition bounds. Partitions it touches are written anew, as
+    their surviving rows plus the new ones, into folders of their own; when all files are
+    complete the catalog is pointed at them, then the old folders go. A run that fails
+    while writing leaves the table as it was. One that stops while the catalog changes
+    leaves old partitions beside new ones and loses nothing; repeating it completes it.
+    Rows for which the predicate is unknown (NULL) survive.
 
     ``new`` is written to the shared folder first: it is computed once, and may
-    read the table it is going to change.
+    read the table it is going to change. That copy is removed after success.
     """
     spark = new.sparkSession
+    recover(spark, table)
     parts = partition_columns(spark, table)
-    columns = spark.table(table).columns
+    target = spark.table(table)
+    columns = target.columns
     doomed = window
     for name, value in (scope or {}).items():
         doomed = doomed & (F.col(name) == F.lit(value))
 
     staged_at = work_dir(spark, "staged")
     new.select(*columns).write.parquet(staged_at)
-    staged = spark.read.schema(spark.table(table).schema).parquet(staged_at)
+    staged = spark.read.schema(target.schema).parquet(staged_at)
+    survives = ~F.coalesce(doomed, F.lit(False))
+    if parts:
+        _replace_partitions(target, staged, table, parts, doomed, survives)
+    else:
+        path, old = _folder(spark, table), _location(spark, table)
+        target.where(survives).unionByName(staged).write.parquet(path)
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(table)
+        remove_files(spark, old)
+    remove_files(spark, staged_at)
 
-    target = spark.table(table)
-    if not parts:
-        _replace_unpartitioned(target, staged, table, doomed)
-        return
-    # Partition values are catalog metadata: as many as the window has folders.
+
+def _spec(parts: Sequence[str], row: Row) -> str:
+    return ", ".join(
+        f"`{p}` = NULL" if row[p] is None else f"`{p}` = '{row[p]}'" for p in parts
+    )
+
+
+def _replace_partitions(target, staged, table, parts, doomed, survives) -> None:
+    """Write the touched partitions beside the old ones, then change the catalog.
+
+    Partition values are catalog metadata: as many as the window has folders.
+    """
+    spark = target.sparkSession
     gone = target.where(doomed).select(*parts).distinct().collect()
     fresh = staged.select(*parts).distinct().collect()
     touched = list({tuple(r): r for r in [*gone, *fresh]}.values())
     if not touched:
         return
-    kept = target.where(_one_of(parts, touched)).where(~F.coalesce(doomed, F.lit(False)))
-    result = kept.unionByName(staged).select(*columns)
-    with dynamic_overwrite(spark):
-        _sized(result, parts).write.mode("overwrite").insertInto(table)
-    _drop_empty(spark, table, parts, gone, fresh, doomed)
-
-
-def _drop_empty(spark, table, parts, gone, fresh, doomed) -> None:
-    """Drop partitions whose every row was in the window and that got no new row."""
-    written = {tuple(r) for r in fresh}
-    candidates = [r for r in gone if tuple(r) not in written]
-    if not candidates:
-        return
-    left = spark.table(table).where(_one_of(parts, candidates))
-    alive = {
-        tuple(r) for r in
-        left.where(~F.coalesce(doomed, F.lit(False))).select(*parts).distinct().collect()
-    }
-    for row in candidates:
-        if tuple(row) in alive:
-            continue
-        spec = ", ".join(
-            f"`{p}` = NULL" if row[p] is None else f"`{p}` = '{row[p]}'" for p in parts
-        )
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
-
-
-def _replace_unpartitioned(target, staged, table, doomed) -> None:
-    """A table without partitions is rewritten whole, through a staged copy."""
-    spark = target.sparkSession
-    merged_at = work_dir(spark, "merged")
-    kept = target.where(~F.coalesce(doomed, F.lit(False)))
-    kept.unionByName(staged).write.parquet(merged_at)
-    merged = spark.read.schema(target.schema).parquet(merged_at)
-    merged.write.mode("overwrite").insertInto(table)
+    path = _folder(spark, table)
+    kept = target.where(_one_of(parts, touched)).where(survives)
+    result = kept.unionByName(staged).select(*target.columns)
+    _sized(result, parts).write.partitionBy(*parts).parquet(path)
+
+    # The new folders as a table: its partitions say where each lies.
+    new, columns = f"{table}__parts", ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}" for f in target.schema.fields)
+    clause = ", ".join(f"`{p}`" for p in parts)
+    spark.sql(f"DROP TABLE IF EXISTS {new}")
+    spark.sql(f"CREATE TABLE {new} ({columns}) USING parquet PARTITIONED BY ({clause}) LOCATION '{path}'")
+    spark.sql(f"ALTER TABLE {new} RECOVER PARTITIONS")
+    written, before = _partitions(spark, new), _partitions(spark, table)
+    old = []
+    for row in touched:
+        spec, key = _spec(parts, row), tuple(None if v is None else str(v) for v in row)
+        if key in before:
+            old.append(_part_location(spark, table, spec))
+        if key not in written:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+        else:
+            place = _part_location(spark, new, spec)
+            spark.sql(
+                f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{place}'" if key in before
+                else f"ALTER TABLE {table} ADD PARTITION ({spec}) LOCATION '{place}'")
+    spark.sql(f"DROP TABLE {new}")
+    spark.catalog.refreshTable(table)
+    for place in old:
+        remove_files(spark, place)
+
+
+NULL_PART = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _partitions(spark: SparkSession, table: str) -> set[tuple]:
+    """Values of the table's partitions, as text."""
+    out = set()
+    for (text,) in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        values = (unquote(piece.split("=", 1)[1]) for piece in text.split("/"))
+        out.add(tuple(None if v in (NULL_PART, "null") else v for v in values))
+    return out
+
+
+def _part_location(spark: SparkSession, table: str, spec: str) -> str:
+    rows = spark.sql(f"DESCRIBE FORMATTED {table} PARTITION ({spec})").where(
+        "col_name = 'Location'").collect()
+    return rows[0]["data_type"]
 
 
 def save_features(df: DataFrame, table: str) -> None:
-    """Feature rows as a table; vector columns keep their type."""
-    df.write.mode("overwrite").saveAsTable(table)
+    """Feature rows as a table; vector columns keep their type, which only Spark's own
+    writer stores. A new table is complete or absent; an old one is replaced at the end."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        df.write.saveAsTable(table)
+        return
+    spark.sql(f"DROP TABLE IF EXISTS {table}__next")
+    df.write.saveAsTable(f"{table}__next")
+    spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"ALTER TABLE {table}__next RENAME TO {table}")

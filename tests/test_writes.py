@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from adflow.operators import skew as sw
-from adflow.operators.wash import intervals
+from adflow.operators.wash import intervals, wash
 from adflow.session import temp_database, work_dir
 from adflow.sources import catalog as ct
 from adflow.sources import sinks as sk
@@ -67,6 +67,63 @@ def test_replace_window_without_partitions(spark, rows):
     assert rows(spark.table(name)) == [(1, "a"), (2, "z"), (None, "c")]
 
 
+def _failing(df):
+    """The rows of ``df``, of which one fails when it is written."""
+    return df.withColumn("v", F.when(F.col("v") == F.lit(df.first()["v"]), F.raise_error(F.lit("broken")).cast("int")).otherwise(F.col("v")))
+
+
+@pytest.mark.parametrize("parts", [(), ("half",)])
+@pytest.mark.parametrize("write", ["window", "overwrite", "refresh"])
+def test_failed_write_leaves_the_table(spark, rows, parts, write):
+    name = f"{temp_database(spark, 'fail')}.t"
+    df = spark.createDataFrame([(k, k * 10, "ab"[k % 2]) for k in range(10)], "k int, v int, half string")
+    sk.overwrite(df, name, parts)
+    before = rows(spark.table(name), "k", "v", "half")
+    bad = _failing(df.where("k > 5"))
+    with pytest.raises(Exception, match="broken"):
+        if write == "window":
+            sk.replace_window(bad, name, F.col("k") > 5)
+        elif write == "overwrite":
+            sk.overwrite(bad, name, parts)
+        else:
+            sk.refresh_dim(bad, name)
+    assert rows(spark.table(name), "k", "v", "half") == before
+    sk.replace_window(df.where("k > 5").withColumn("v", F.lit(1)), name, F.col("k") > 5)
+    assert spark.table(name).where("v = 1").count() == 4 and spark.table(name).count() == 10
+
+
+def test_overwrite_may_read_its_target(spark, rows):
+    name = f"{temp_database(spark, 'self')}.t"
+    sk.overwrite(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), name)
+    sk.overwrite(spark.table(name).where("k = 2"), name)
+    assert rows(spark.table(name)) == [(2, "b")]
+
+
+def test_swap_that_stopped_is_finished(spark, rows):
+    name = f"{temp_database(spark, 'swap')}.t"
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    sk.overwrite(df, f"{name}__next")
+    sk.append(spark.createDataFrame([(2, "b")], "k int, v string"), name)
+    assert rows(spark.table(name)) == [(1, "a"), (2, "b")]
+
+
+def test_wash_makes_a_missing_table_with_partitions(spark):
+    name = f"{temp_database(spark, 'wash')}.t"
+    make = lambda low, high: spark.createDataFrame([(low.date(), 1)], "day date, v int")
+    for _ in range(2):
+        wash(spark, make, name, "day", datetime(2024, 1, 1), datetime(2024, 1, 3), by="day", partition_by=["day"])
+    assert sk.partition_columns(spark, name) == ["day"]
+    assert spark.table(name).count() == 2
+
+
+def test_partition_tables_by_the_day_of_a_timestamp(spark):
+    db = temp_database(spark, "stamp")
+    spark.sql(f"CREATE TABLE {db}.t USING parquet AS SELECT id, TIMESTAMP'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, CAST(id AS INT)) AS start FROM range(50)")
+    assert ct.partition_tables(spark, db, ["t"], 10) == ["t"]
+    assert len(spark.sql(f"SHOW PARTITIONS {db}.t").collect()) == 3
+    assert spark.table(f"{db}.t").count() == 50
+
+
 def test_append_follows_the_table_column_order(spark, rows):
     name = f"{temp_database(spark, 'order')}.t"
     sk.append(spark.createDataFrame([(1, "a")], "k int, v string"), name)
@@ -124,7 +181,7 @@ def _skewed(spark):
 @pytest.mark.parametrize("how", ["left", "inner"])
 def test_skew_join_equals_plain_join(spark, rows, how):
     left, right = _skewed(spark)
-    assert rows(sw.skew_join(left, right, ["k"], how, salts=8, share=0.05, salted=True)) == rows(left.join(right, ["k"], how))
+    assert rows(sw.skew_join(left, right, ["k"], how, salts=8, share=0.05)) == rows(left.join(right, ["k"], how))
 
 
 def test_skew_join_spreads_the_hot_key(spark):
@@ -138,17 +195,32 @@ def test_skew_join_spreads_the_hot_key(spark):
 def test_skew_join_with_different_key_types(spark, rows):
     left, right = _skewed(spark)
     narrow = right.withColumn("k", F.col("k").cast("int"))
-    got = sw.skew_join(left, narrow, ["k"], "left", salts=4, share=0.05, salted=True)
+    got = sw.skew_join(left, narrow, ["k"], "left", salts=4, share=0.05)
     assert rows(got, "id", "v") == rows(left.join(right, ["k"], "left"), "id", "v")
 
 
 def test_fanout_left_join_equals_plain_join(spark, rows):
     right, left = _skewed(spark)
     right = right.withColumnRenamed("id", "rid")
-    got = sw.fanout_left_join(left, right, ["k"], salts=8, share=0.05, salted=True)
+    got = sw.fanout_left_join(left, right, ["k"], salts=8, share=0.05)
     assert rows(got, "k", "v", "rid") == rows(left.join(right, ["k"], "left"), "k", "v", "rid")
 
 
+def test_null_keys_do_not_meet_in_one_task(spark):
+    left = spark.range(20_000).select(F.when(F.col("id") % 100 == 0, F.col("id")).alias("k"), "id")
+    right = spark.range(200).select((F.col("id") * 100).alias("k"), F.lit(1).alias("v"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = sw.fanout_left_join(left, right, ["k"], salts=16)
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 20_000 and max(sizes) < 10_000
+
+
 def test_assert_unique(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
     sw.assert_unique(df, ["k", "v"])
