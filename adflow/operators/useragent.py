@@ -13,12 +13,19 @@ from pyspark.sql import functions as F
 UNKNOWN = "Unknown"
 
 # A rule is (needles, pattern, label). One of the needles has to occur, which is
-# a cheap test; then the pattern, if any, has to match. {1} is its first group.
-BOTS = ("Googlebot", "bingbot", "Yeti", "AdsBot", "facebookexternalhit")
+# a cheap test; then the pattern, if any, has to match. {1} is its first group, {2} its second.
+BOTS = (
+    "Googlebot", "bingbot", "Yeti", "AdsBot", "facebookexternalhit", "Applebot", "YandexBot",
+    "Baiduspider", "DuckDuckBot", "Twitterbot", "AhrefsBot", "SemrushBot", "PetalBot", "Bytespider",
+    "Slurp", "Daum/",
+)
 APPLE_MOBILE = ("iPhone", "iPad", "iPod")
 ANDROID = ("Android",)
 ANDROID_MODEL = r"Android[^;)]*; ([^;)]+?)(?: Build|\))"
-BOT_NAME = r"(Googlebot|bingbot|Yeti|AdsBot|facebookexternalhit)"
+BOT_NAME = (
+    r"(Googlebot|bingbot|Yeti|AdsBot|facebookexternalhit|Applebot|YandexBot|Baiduspider|"
+    r"DuckDuckBot|Twitterbot|AhrefsBot|SemrushBot|PetalBot|Bytespider|Slurp|Daum)"
+)
 
 DEVICE_BRAND = (
     (BOTS, None, "Spider"),
@@ -46,6 +53,8 @@ OS_FAMILY = (
     (ANDROID, None, "Android"),
     (("Windows",), None, "Windows"),
     (("Mac OS X",), None, "Mac OS X"),
+    (("CrOS",), None, "Chrome OS"),
+    (("Ubuntu",), None, "Ubuntu"),
     (("Linux",), None, "Linux"),
 )
 OS_VERSION = (
@@ -53,19 +62,43 @@ OS_VERSION = (
     (ANDROID, r"Android ([0-9.]+)", "{1}"),
     (("Windows NT ",), r"Windows NT ([0-9]+)", "{1}"),
     (("Mac OS X ",), r"Mac OS X ([0-9_]+)", "{1}"),
+    (("CrOS ",), r"CrOS [a-z0-9_]+ ([0-9.]+)", "{1}"),
 )
+# Browsers built on another name it, so theirs comes first.
 BROWSER_FAMILY = (
     (BOTS, BOT_NAME, "{1}"),
+    (("KAKAOTALK",), None, "KakaoTalk"),
+    (("NAVER(",), None, "NAVER"),
+    (("Instagram",), None, "Instagram"),
+    (("FBAN", "FBAV"), None, "Facebook"),
+    (("EdgA/", "EdgiOS/"), None, "Edge Mobile"),
+    (("Edg/", "Edge/"), None, "Edge"),
+    (("SamsungBrowser/",), None, "Samsung Internet"),
+    (("Whale/",), None, "Whale"),
+    (("OPR/",), r"Android.*OPR/", "Opera Mobile"),
+    (("OPR/", "Opera/"), None, "Opera"),
+    (("FxiOS/",), None, "Firefox iOS"),
+    (("Firefox/",), r"(?:Android|Mobile).*Firefox/", "Firefox Mobile"),
+    (("Firefox/",), None, "Firefox"),
+    (("CriOS/",), None, "Chrome Mobile iOS"),
+    (("Chrome/",), r"; wv\).*Chrome/", "Chrome Mobile WebView"),
     (("Chrome/",), r"Chrome/[0-9.]+ Mobile", "Chrome Mobile"),
     (("Chrome/",), None, "Chrome"),
     (("Safari",), r"Version/[0-9.]+ Mobile/[0-9A-Z]+ Safari", "Mobile Safari"),
     (APPLE_MOBILE, r"(?:iPhone|iPad|iPod).*Mobile/", "Mobile Safari UI/WKWebView"),
     (("Safari",), r"Version/[0-9.]+ Safari", "Safari"),
+    (("MSIE ", "Trident/"), None, "IE"),
     (("Dalvik", "Android"), None, "Android"),
 )
 BROWSER_VERSION = (
-    (BOTS, r"(?:Googlebot|bingbot|Yeti|AdsBot)/([0-9.]+)", "{1}"),
-    (("Chrome/",), r"Chrome/([0-9]+\.[0-9]+\.[0-9]+)", "{1}"),
+    (BOTS, BOT_NAME + r"/([0-9.]+)", "{2}"),
+    (("KAKAOTALK",), r"KAKAOTALK[ /]([0-9]+(?:\.[0-9]+)*)", "{1}"),
+    (("Instagram",), r"Instagram ([0-9]+\.[0-9]+\.[0-9]+)", "{1}"),
+    (("FBAV/",), r"FBAV/([0-9]+\.[0-9]+\.[0-9]+)", "{1}"),
+    (("Edg", "Whale/", "OPR/", "SamsungBrowser/"),
+     r"(?:EdgA|EdgiOS|Edge|Edg|Whale|OPR|SamsungBrowser)/([0-9]+(?:\.[0-9]+){0,2})", "{1}"),
+    (("FxiOS/", "Firefox/"), r"(?:FxiOS|Firefox)/([0-9]+(?:\.[0-9]+)*)", "{1}"),
+    (("CriOS/", "Chrome/"), r"(?:CriOS|Chrome)/([0-9]+\.[0-9]+\.[0-9]+)", "{1}"),
     (("Version/",), r"Version/([0-9.]+)", "{1}"),
     (ANDROID, r"Android ([0-9.]+)", "{1}"),
 )
@@ -93,10 +126,11 @@ def _value(ua: Column, pattern: str | None, label: str) -> Column:
     """The label when the pattern matches, else NULL. A group is matched once."""
     if pattern is None:
         return F.lit(label)
-    if "{1}" not in label:
+    number = next((n for n in (1, 2) if f"{{{n}}}" in label), None)
+    if number is None:
         return F.when(ua.rlike(pattern), label)
-    group = F.nullif(F.regexp_extract(ua, pattern, 1), F.lit(""))
-    return F.concat(F.lit(label.replace("{1}", "")), group)
+    group = F.nullif(F.regexp_extract(ua, pattern, number), F.lit(""))
+    return F.concat(F.lit(label.replace(f"{{{number}}}", "")), group)
 
 
 def _pick(ua: Column, rules: tuple, missing: str) -> Column:

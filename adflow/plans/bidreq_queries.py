@@ -8,7 +8,18 @@ from adflow.operators import bidreq as br
 from adflow.operators import rollup as ru
 from adflow.operators import useragent as uag
 from adflow.plans.registry import query
-from adflow.plans.views import FULL, HEAD, PRICE, REQUEST, bronze, flat_sql, read
+from adflow.plans.views import (
+    AGENT_FIELDS,
+    FULL,
+    HEAD,
+    PRICE,
+    REQUEST,
+    agent_case,
+    bronze,
+    flat_sql,
+    read,
+    sql_cols,
+)
 
 TIMES = {**HEAD, "actiontime_date": "CAST(CAST(ts AS DATE) AS STRING)"}
 KEYS = {k: FULL[k] for k in br.KEYS}
@@ -43,34 +54,9 @@ SPLIT_SQL = {
 }
 
 
-def _has_sql(needles, ua="ua"):
-    return "(" + " OR ".join(f"contains({ua}, '{n}')" for n in needles) + ")"
-
-
-def _ua_sql(name, ua="ua"):
-    """The pattern table as a DuckDB CASE."""
-    rules, missing = uag.FIELDS[name]
-    parts = [f"WHEN {ua} IS NULL THEN '{uag.UNKNOWN}'"]
-    for needles, pattern, label in rules:
-        value, test = f"'{label}'", _has_sql(needles, ua)
-        if pattern:
-            test = f"regexp_matches({ua}, '{pattern}')"
-        if "{1}" in label:
-            value = f"concat('{label.replace('{1}', '')}', regexp_extract({ua}, '{pattern}', 1))"
-        parts.append(f"WHEN {test} THEN {value}")
-    case = f"CASE {' '.join(parts)} ELSE '{missing}' END"
-    return f"replace({case}, '_', '.')" if name.endswith("version") else case
-
-
-UA_COLS = {name: _ua_sql(name) for name in uag.FIELDS}
-UA_FLAGS = {
-    "ua_is_mobile": f"COALESCE({_has_sql(uag.MOBILE)}, false)",
-    "ua_is_bot": f"COALESCE({_has_sql(uag.BOTS)}, false)",
-}
-UA_SQL = "SELECT {cols}, * EXCLUDE (ua) FROM ({inner})".format(
-    cols=", ".join(f"{e} AS {n}" for n, e in {**UA_COLS, **UA_FLAGS}.items()),
-    inner=flat_sql("bid", {k: REQUEST[k] for k in ("ua", "os", "osv", "make", "model")} | KEYS | TIMES),
-)
+# What each agent of the fixture has to be read as is written out with the agents, by hand.
+UA_COLS = {name: agent_case(name) for name in AGENT_FIELDS}
+UA_SQL = flat_sql("bid", UA_COLS | {k: REQUEST[k] for k in ("os", "osv", "make", "model")} | KEYS | TIMES)
 
 FLAT_LEAVES = {
     "bidfloor": MONEY["bidfloor"], "bid_price": MONEY["bid_price"],
@@ -102,10 +88,7 @@ def split_ua(spark, sf_dir):
     return _plain(br.split_ua(_flat(spark, sf_dir)))
 
 
-U1_SQL = "SELECT event_id, {cols} FROM (SELECT event_id, {ua} AS ua FROM events)".format(
-    cols=", ".join(f"{e} AS {n}" for n, e in {**UA_COLS, **UA_FLAGS}.items()),
-    ua=REQUEST["ua"],
-)
+U1_SQL = f"SELECT event_id, {sql_cols(UA_COLS)} FROM events"
 
 
 @query("u1_enrich_ua", U1_SQL)

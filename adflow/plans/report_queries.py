@@ -7,16 +7,12 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from adflow.functions.timewin import Window, preset
-from adflow.plans.registry import query
+from adflow.plans.registry import ORACLES, query
+from adflow.plans.report_sql import REPORTS
 from adflow.plans.views import exprs, read, struct_text
 from adflow.reports import channels as ch
 from adflow.reports import joined as jn
 from adflow.reports.engine import (
-    Currency,
-    First,
-    Label,
-    Marked,
-    VideoUrl,
     load_report,
     normalize_report,
     table_name,
@@ -110,44 +106,25 @@ def google_landed(spark, sf_dir):
     return _lines(spark, sf_dir).selectExpr(*exprs(_nested(list(LEAVES))))
 
 
-def _source_sql(source, leaf=LEAVES):
-    match source:
-        case str():
-            return leaf[source]
-        case Label(path, labels):
-            whens = " ".join(f"WHEN {i} THEN '{x}'" for i, x in enumerate(labels))
-            return f"CASE {leaf[path]} {whens} END"
-        case Currency(path):
-            return f"CAST(round_even(CAST({leaf[path]} AS DOUBLE) * 0.000001, 0) AS BIGINT)"
-        case Marked(path, marker):
-            return f"CASE WHEN strpos({leaf[path]}, '{marker}') = 0 THEN NULL ELSE string_split({leaf[path]}, '{marker}')[2] END"
-        case First(path, _):
-            return leaf[path]
-        case VideoUrl(kind, video):
-            return f"CASE WHEN {leaf[kind]} = 2 THEN concat('https://www.youtube.com/watch?v=', {leaf[video]}) ELSE '' END"
+def filled(name, leaves):
+    """The written-out SELECT and WHERE of a report over the fixture's landed values."""
+    select, _, where = REPORTS[name].strip().partition("\nWHERE ")
+    for path, text in leaves.items():
+        select, where = (part.replace(f"{{{path}}}", text) for part in (select, where))
+    return select, where or "true"
 
 
-def _literal(value):
-    return str(value).lower() if isinstance(value, bool) else f"'{value}'"
-
-
-def google_sql(spec, window=None, constants=""):
-    cols = ", ".join(f'{_source_sql(s)} AS "{n}"' for n, s in spec.fields.items())
-    where = ["true"]
+def google_sql(name, window=None, constants=""):
+    select, where = filled(name, LEAVES)
     if window:
-        where.append(f"{LEAVES[spec.date]} >= '{window.first_day}' AND {LEAVES[spec.date]} <= '{window.last_day}'")
-    for path, values in spec.equal.items():
-        where.append(f"({LEAVES[path]}) IN ({', '.join(map(_literal, values))})")
-    if spec.positive:
-        where.append(f"({LEAVES[spec.positive]}) > 0")
-    distinct = "DISTINCT" if spec.distinct else ""
-    return f"SELECT {distinct} {cols}{constants} FROM {JOINED} WHERE {' AND '.join(where)}"
+        where += f" AND {LEAVES['segments.date']} >= '{window.first_day}' AND {LEAVES['segments.date']} <= '{window.last_day}'"
+    return f"{select}{constants} FROM {JOINED} WHERE {where}"
 
 
 def _google(name, spec, window=None, **constants):
     extra = "".join(f", '{v}' AS \"{k}\"" for k, v in constants.items())
 
-    @query(name, google_sql(spec, window, extra))
+    @query(name, google_sql(spec.name, window, extra))
     def run(spark, sf_dir):
         return normalize_report(google_landed(spark, sf_dir), spec, window, **constants)
 
@@ -171,22 +148,29 @@ SHARE = ch.GOOGLE_IMPRESSION_SHARE
 WASH_DAY = preset(AS_OF, "wash_day")
 
 
-@query("c24_google_impression_share_wash", google_sql(SHARE, WASH_DAY, ", '1999-06-20' AS \"washDate\""))
+@query(
+    "c24_google_impression_share_wash",
+    f"""{google_sql("google_impression_share", WASH_DAY, ", '1999-06-20' AS \"washDate\"")}
+UNION ALL {google_sql("google_impression_share", preset(AS_OF, "yesterday"), ", '1999-06-19' AS \"washDate\"")}""",
+)
 def impression_share_wash(spark, sf_dir):
-    """Loaded twice: the second run leaves the same rows."""
+    """The wash day is loaded twice into a table that holds yesterday, too: yesterday stays, and
+    the second run leaves no second copy of the wash day."""
     table = f"{temp_database(spark, 'share')}.{table_name('google', 'main', 'keyword', wash=True)}"
-    rows = normalize_report(google_landed(spark, sf_dir), SHARE, WASH_DAY, washDate="1999-06-20")
-    sk.overwrite(rows, table)
-    load_report(rows, table, SHARE, WASH_DAY)
+    landed = google_landed(spark, sf_dir)
+    sk.overwrite(normalize_report(landed, SHARE, preset(AS_OF, "yesterday"), washDate="1999-06-19"), table, ["washDate"])
+    rows = normalize_report(landed, SHARE, WASH_DAY, washDate="1999-06-20")
+    for _ in range(2):
+        load_report(rows, table, SHARE, WASH_DAY)
     return spark.table(table)
 
 
-ORIENTATION_SQL = "SELECT concat('v', CAST(n_nationkey AS STRING)) AS \"youtubeVideoID\", CASE n_regionkey WHEN 0 THEN 'Square' WHEN 1 THEN 'Landscape' ELSE 'Portrait' END AS orientation FROM nation WHERE n_nationkey < 20"
+ORIENTATION_SQL = "SELECT concat('v', CAST(n_nationkey AS STRING)) AS \"youtubeVideoID\", CASE n_regionkey WHEN 0 THEN 'Square' WHEN 1 THEN 'Landscape' ELSE 'Portrait' END AS orientation FROM nation"
 
 
-@query("c6_google_asset_orientation", f"SELECT * FROM ({google_sql(ch.GOOGLE_ASSET)}) LEFT JOIN ({ORIENTATION_SQL}) ON \"assetYoutubeVideoID\" = \"youtubeVideoID\"")
+@query("c6_google_asset_orientation", f"SELECT * FROM ({google_sql('google_asset')}) LEFT JOIN ({ORIENTATION_SQL}) ON \"assetYoutubeVideoID\" = \"youtubeVideoID\"")
 def asset_orientation(spark, sf_dir):
-    videos = read(spark, sf_dir, "nation").where("n_nationkey < 20").selectExpr(
+    videos = read(spark, sf_dir, "nation").selectExpr(
         "concat('v', CAST(n_nationkey AS STRING)) AS youtubeVideoID",
         "CASE n_regionkey WHEN 0 THEN 'Square' WHEN 1 THEN 'Landscape' ELSE 'Portrait' END AS orientation",
     )
@@ -198,8 +182,8 @@ KEYS7 = ", ".join(f'"{k}"' for k in ch.INSTALL_KEYS)
 
 @query(
     "c7_google_installs",
-    f"""WITH a AS ({google_sql(ch.GOOGLE_INSTALL_ADGROUP)}), i AS (SELECT {KEYS7}, CAST(SUM("metricsInstallConversions") AS BIGINT) AS "metricsInstallConversions"
-  FROM ({google_sql(ch.GOOGLE_INSTALLS)}) GROUP BY ALL HAVING SUM("metricsInstallConversions") > 0)
+    f"""WITH a AS ({google_sql('google_install_adgroup')}), i AS (SELECT {KEYS7}, CAST(SUM("metricsInstallConversions") AS BIGINT) AS "metricsInstallConversions"
+  FROM ({google_sql('google_installs')}) GROUP BY ALL HAVING SUM("metricsInstallConversions") > 0)
 SELECT a.*, i."metricsInstallConversions" FROM a LEFT JOIN i USING ({KEYS7})""",
 )
 def google_installs(spark, sf_dir):
@@ -250,17 +234,14 @@ def facebook_landed(spark, sf_dir):
     )
 
 
-def facebook_sql(spec, pivots):
-    values = {n: _source_sql(s, FB_LEAF) for n, s in spec.fields.items()} | pivots
-    cols = []
-    for name, text in values.items():
-        if name in spec.defaults:
-            text = f"CASE WHEN ({text}) IS NULL OR ({text}) = '' THEN '0' ELSE {text} END"
-        cols.append(f'{text} AS "{name}"')
-    return f"SELECT {', '.join(cols)} FROM {JOINED}"
+FB_LEAF |= {"link_click": FB_LINK, "app_install": "CASE l_returnflag WHEN 'A' THEN NULL ELSE CAST(l_linenumber AS STRING) END"}
+
+
+def facebook_sql(name):
+    return f"{filled(name, FB_LEAF)[0]} FROM {JOINED}"
 
 
-FB_SQL = facebook_sql(ch.FACEBOOK_AD, {"linkClick": FB_LINK})
+FB_SQL = facebook_sql("facebook_ad")
 
 
 @query("c10_facebook_ad", FB_SQL)
@@ -268,13 +249,7 @@ def facebook_ad(spark, sf_dir):
     return normalize_report(facebook_landed(spark, sf_dir), ch.FACEBOOK_AD)
 
 
-FB_INSTALL = "CASE l_returnflag WHEN 'A' THEN NULL ELSE CAST(l_linenumber AS STRING) END"
-NONE = "CAST(NULL AS VARCHAR)"
-APP = {"mobileAppInstall": NONE, "omniAppInstall": NONE, "postEngagement": NONE, "videoView": NONE, "landingPageView": NONE, "appInstall": FB_INSTALL, "omniActivateApp": NONE, "linkClick": FB_LINK}
-APP_UNIQUE = {f"unique{n[0].upper()}{n[1:]}": e for n, e in APP.items()}
-
-
-@query("c10_facebook_account", facebook_sql(ch.FACEBOOK_ACCOUNT, {**APP, **APP_UNIQUE}))
+@query("c10_facebook_account", facebook_sql("facebook_account"))
 def facebook_account(spark, sf_dir):
     return normalize_report(facebook_landed(spark, sf_dir), ch.FACEBOOK_ACCOUNT)
 
@@ -458,29 +433,44 @@ def branch_exports(spark, sf_dir):
     return jn.export_fields(rd.read_csv(spark, f"{base}/export_*"), fields, "click")
 
 
-def _fact_sql(spec, inner):
-    cols = []
-    kinds = {"impressions": "BIGINT", "clicks": "BIGINT", "cost": "DOUBLE", "conversions": "DOUBLE"}
-    for name in ("date", "channel", "campaign", "adgroup", "ad", "impressions", "clicks", "cost", "conversions"):
-        source = f"'{spec.name}'" if name == "channel" else (f'"{spec.fact[name]}"' if name in spec.fact else "NULL")
-        cols.append(f'CAST({source} AS {kinds.get(name, "VARCHAR")}) AS "{name}"')
-    return f"SELECT {', '.join(cols)} FROM ({inner})"
-
-
-@query(
-    "c19_cross_channel_fact",
-    " UNION ALL ".join([
-        _fact_sql(ch.GOOGLE_AD, google_sql(ch.GOOGLE_AD)),
-        _fact_sql(ch.GOOGLE_KEYWORD, google_sql(ch.GOOGLE_KEYWORD)),
-        _fact_sql(ch.FACEBOOK_AD, FB_SQL),
-        _fact_sql(ch.CRITEO, f"SELECT {CRITEO_COLS} FROM {JOINED}"),
-    ]),
-)
+# Written out from the tables, not from the specs: channel, grain and unit are what is checked.
+FACT_SQL = """
+SELECT strftime(l_shipdate, '%Y-%m-%d') AS "date", 'google_ad' AS channel, 'main' AS advertiser, CAST(o_custkey % 50 AS VARCHAR) AS campaign,
+  CAST(l_partkey % 40 AS VARCHAR) AS adgroup, CAST(l_suppkey AS VARCHAR) AS ad, CAST(l_quantity * 10 AS BIGINT) AS impressions, CAST(l_quantity AS BIGINT) AS clicks,
+  CASE WHEN l_linenumber = 1 THEN 0 ELSE CAST(CAST(round(l_extendedprice * 100) AS BIGINT) * 10000 AS DOUBLE) / 1000000 END AS cost,
+  CAST(round(l_discount * 100) AS DOUBLE) AS conversions FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+UNION ALL
+SELECT strftime(l_shipdate, '%Y-%m-%d'), 'facebook_ad', 'main', CAST(o_custkey % 50 AS VARCHAR), CAST(l_partkey % 40 AS VARCHAR), CAST(l_suppkey AS VARCHAR),
+  CAST(l_quantity * 10 AS BIGINT), CASE l_returnflag WHEN 'R' THEN CAST(l_quantity AS BIGINT) + 1 WHEN 'A' THEN 0 ELSE CAST(l_quantity AS BIGINT) END,
+  CAST(round(l_extendedprice) AS DOUBLE), NULL FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+UNION ALL
+SELECT strftime(l_shipdate, '%Y-%m-%d'), 'criteo', 'main', 'campaign ' || CAST(o_custkey % 50 AS VARCHAR), CAST(l_partkey % 40 AS VARCHAR), 'ad ' || CAST(l_suppkey AS VARCHAR),
+  CAST(l_quantity * 10 AS BIGINT), CAST(l_quantity AS BIGINT), l_extendedprice, NULL FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+UNION ALL
+SELECT strftime(l_shipdate, '%Y-%m-%d'), 'kakao', 'main', CAST(n_regionkey AS VARCHAR), CAST(s_nationkey AS VARCHAR), CAST(l_suppkey AS VARCHAR),
+  NULL, CAST(l_quantity AS BIGINT), l_extendedprice, NULL
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+UNION ALL
+SELECT "segmentDate", 'twitter', 'main', CAST("campaignId" AS VARCHAR), CAST("lineItemId" AS VARCHAR), CAST("tweetId" AS VARCHAR),
+  CAST("metricsImpressions" AS BIGINT), NULL, NULL, NULL FROM (""" + ORACLES["c14_promoted_tweets"] + """)
+UNION ALL
+SELECT NULL, 'twitterorganic', 'main', p_name, NULL, CAST(p_partkey * 1000 AS VARCHAR), p_size, NULL, p_retailprice / 1000000, NULL
+  FROM part JOIN supplier ON p_partkey = s_suppkey
+UNION ALL
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR), 'airbridge', 'main', event_type, NULL, NULL, CASE WHEN user_id % 3 = 0 THEN 0 ELSE event_id % 10 END,
+  CASE WHEN user_id % 4 = 0 THEN 0 ELSE event_id % 11 END, CASE WHEN user_id % 7 = 0 THEN 0 ELSE event_id % 14 END,
+  CASE WHEN user_id % 11 = 0 THEN 0 ELSE event_id % 18 END FROM events"""
+
+
+@query("c19_cross_channel_fact", FACT_SQL)
 def cross_channel_fact(spark, sf_dir):
-    google = google_landed(spark, sf_dir)
+    """Every channel at its finest grain, cost in whole units."""
     return union_facts([
-        (normalize_report(google, ch.GOOGLE_AD), ch.GOOGLE_AD),
-        (normalize_report(google, ch.GOOGLE_KEYWORD), ch.GOOGLE_KEYWORD),
+        (normalize_report(google_landed(spark, sf_dir), ch.GOOGLE_AD), ch.GOOGLE_AD),
         (normalize_report(facebook_landed(spark, sf_dir), ch.FACEBOOK_AD), ch.FACEBOOK_AD),
         (normalize_report(_criteo(spark, sf_dir), ch.CRITEO), ch.CRITEO),
-    ])
+        (kakao_creatives(spark, sf_dir), ch.KAKAO_FACT),
+        (promoted_tweets(spark, sf_dir), ch.TWITTER_FACT),
+        (organic_tweets(spark, sf_dir), ch.TWITTER_ORGANIC_FACT),
+        (airbridge_stats(spark, sf_dir), ch.AIRBRIDGE_FACT),
+    ], "main")

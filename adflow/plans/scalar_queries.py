@@ -138,8 +138,9 @@ CATEGORY_SQL = (
     " WHEN 3 THEN '8' WHEN 4 THEN '17' WHEN 5 THEN 'SomeThing' WHEN 6 THEN '' ELSE NULL END"
 )
 REGION_SQL = (
-    "CASE CAST(user_id % 8 AS INT) WHEN 0 THEN 'KR-11' WHEN 1 THEN 'KR-11' WHEN 2 THEN 'KR-26'"
-    " WHEN 3 THEN 'KR-26' WHEN 4 THEN 'KR-0' WHEN 5 THEN 'KR-49' ELSE NULL END"
+    "CASE CAST(user_id % 12 AS INT) WHEN 0 THEN 'KR-11' WHEN 1 THEN 'KR-11' WHEN 2 THEN 'KR-26'"
+    " WHEN 3 THEN 'KR-26' WHEN 4 THEN 'KR-0' WHEN 5 THEN 'KR-49' WHEN 7 THEN 'KR-11' WHEN 8 THEN 'KR-41'"
+    " WHEN 9 THEN 'KR-49' WHEN 10 THEN 'KR-44' ELSE NULL END"
 )
 DEVICE_SQL = (
     f"CASE {REQUEST['devicetype']} "

@@ -45,22 +45,61 @@ COARSE = {
 }
 PRICE = "CAST(value / 1000 AS DECIMAL(13,10))"
 
+# User agents, and what they have to be read as: device brand, family and model, operating system
+# and its version, browser and its version, mobile, bot.
+AGENT_FIELDS = (
+    "ua_device_brand", "ua_device_family", "ua_device_model", "ua_os_family", "ua_os_version",
+    "ua_browser_family", "ua_browser_version", "ua_is_mobile", "ua_is_bot",
+)
+AGENTS = [
+    ("Mozilla/5.0 (Linux; Android 10; SM-G960N) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/96.0.4664.45 Mobile Safari/537.36",
+     "Samsung", "Samsung SM-G960N", "SM-G960N", "Android", "10", "Chrome Mobile", "96.0.4664", True, False),
+    ("Mozilla/5.0 (iPhone; CPU iPhone OS 15_2 like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) Version/15.2 Mobile/15E148 Safari/604.1",
+     "Apple", "iPhone", "iPhone", "iOS", "15.2", "Mobile Safari", "15.2", True, False),
+    ("Mozilla/5.0 (Linux; Android 11; LM-Q730N) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/108.0.5359.79 Safari/537.36",
+     "LG", "LM-Q730N", "LM-Q730N", "Android", "11", "Chrome", "108.0.5359", True, False),
+    ("Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/110.0.0.0 Safari/537.36",
+     "Unknown", "Other", "Unknown", "Windows", "10", "Chrome", "110.0.0", False, False),
+    ("Dalvik/2.1.0 (Linux; U; Android 9; sdk_gphone_x86 Build/PSR1) lang:en",
+     "Generic_Android", "sdk_gphone_x86", "sdk_gphone_x86", "Android", "9", "Android", "9", True, False),
+    ("Mozilla/5.0 (iPad; CPU OS 14_8 like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) Mobile/15E148",
+     "Apple", "iPad", "iPad", "iOS", "14.8", "Mobile Safari UI/WKWebView", "", True, False),
+    ("sdk_phone_x86 lang:en", "Unknown", "Other", "Unknown", "Other", "", "Other", "", False, False),
+    ("Mozilla/5.0 (Macintosh; Intel Mac OS X 10_15_7) AppleWebKit/605.1.15 (KHTML, like Gecko) Version/16.1 Safari/605.1.15",
+     "Apple", "Mac", "Mac", "Mac OS X", "10.15.7", "Safari", "16.1", False, False),
+    ("Mozilla/5.0 (compatible; Googlebot/2.1; +http://www.google.com/bot.html)",
+     "Spider", "Spider", "Desktop", "Other", "", "Googlebot", "2.1", False, True),
+    ("Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/109.0.0.0 Safari/537.36 Edg/109.0.1518.61",
+     "Unknown", "Other", "Unknown", "Windows", "10", "Edge", "109.0.1518", False, False),
+    ("Mozilla/5.0 (Linux; Android 12; SAMSUNG SM-S908N) AppleWebKit/537.36 (KHTML, like Gecko) SamsungBrowser/19.0 Chrome/102.0.5005.125 Mobile Safari/537.36",
+     "Samsung", "SAMSUNG SM-S908N", "SAMSUNG SM-S908N", "Android", "12", "Samsung Internet", "19.0", True, False),
+    ("Mozilla/5.0 (X11; Ubuntu; Linux x86_64; rv:109.0) Gecko/20100101 Firefox/110.0",
+     "Unknown", "Other", "Unknown", "Ubuntu", "", "Firefox", "110.0", False, False),
+    ("Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/108.0.0.0 Safari/537.36 OPR/94.0.0.0",
+     "Unknown", "Other", "Unknown", "Windows", "10", "Opera", "94.0.0", False, False),
+    ("Mozilla/5.0 (X11; CrOS x86_64 14541.0.0) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/110.0.0.0 Safari/537.36",
+     "Unknown", "Other", "Unknown", "Chrome OS", "14541.0.0", "Chrome", "110.0.0", False, False),
+    ("Mozilla/5.0 (iPhone; CPU iPhone OS 16_1 like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) Mobile/15E148 KAKAOTALK 10.0.5",
+     "Apple", "iPhone", "iPhone", "iOS", "16.1", "KakaoTalk", "10.0.5", True, False),
+    ("Twitterbot/1.0", "Spider", "Spider", "Desktop", "Other", "", "Twitterbot", "1.0", False, True),
+]
+
+
+def agent_case(column: str) -> str:
+    """A column of ``AGENTS`` by user; every seventeenth user has no agent."""
+    def text(value) -> str:
+        return str(value).lower() if isinstance(value, bool) else "'" + value + "'"
+
+    number = ("ua", *AGENT_FIELDS).index(column)
+    missing = "NULL" if column == "ua" else "false" if "is_" in column else "'Unknown'"
+    whens = " ".join(f"WHEN {k} THEN {text(a[number])}" for k, a in enumerate(AGENTS))
+    return f"CASE CAST(user_id % {len(AGENTS) + 1} AS INT) {whens} ELSE {missing} END"
+
+
 # Request part of the payload.
 REQUEST = {
     "bundle": "concat('app.', CAST(user_id % 17 AS STRING))",
-    "ua": (
-        "CASE CAST(user_id % 10 AS INT)"
-        " WHEN 0 THEN 'Mozilla/5.0 (Linux; Android 10; SM-G960N) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/96.0.4664.45 Mobile Safari/537.36'"
-        " WHEN 1 THEN 'Mozilla/5.0 (iPhone; CPU iPhone OS 15_2 like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) Version/15.2 Mobile/15E148 Safari/604.1'"
-        " WHEN 2 THEN 'Mozilla/5.0 (Linux; Android 11; LM-Q730N) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/108.0.5359.79 Safari/537.36'"
-        " WHEN 3 THEN 'Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/110.0.0.0 Safari/537.36'"
-        " WHEN 4 THEN 'Dalvik/2.1.0 (Linux; U; Android 9; sdk_gphone_x86 Build/PSR1) lang:en'"
-        " WHEN 5 THEN 'Mozilla/5.0 (iPad; CPU OS 14_8 like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) Mobile/15E148'"
-        " WHEN 6 THEN 'sdk_phone_x86 lang:en'"
-        " WHEN 7 THEN 'Mozilla/5.0 (Macintosh; Intel Mac OS X 10_15_7) AppleWebKit/605.1.15 (KHTML, like Gecko) Version/16.1 Safari/605.1.15'"
-        " WHEN 8 THEN 'Mozilla/5.0 (compatible; Googlebot/2.1; +http://www.google.com/bot.html)'"
-        " ELSE NULL END"
-    ),
+    "ua": agent_case("ua"),
     "os": (
         "CASE CAST(user_id % 10 AS INT) WHEN 0 THEN 'Android' WHEN 1 THEN 'iOS' WHEN 2 THEN 'android'"
         " WHEN 3 THEN 'Windows' WHEN 4 THEN 'Linux' WHEN 5 THEN 'ios' WHEN 6 THEN 'unknown' WHEN 7 THEN 'macOS'"
@@ -74,8 +113,10 @@ REQUEST = {
     "pxratio": "CAST(user_id % 4 AS INT)",
     "country": "'KOR'",
     "region": (
-        "CASE CAST(user_id % 8 AS INT) WHEN 0 THEN '11' WHEN 1 THEN 'Seoul' WHEN 2 THEN 'KR-26'"
-        " WHEN 3 THEN 'busan' WHEN 4 THEN 'KR' WHEN 5 THEN 'Jeju-do' WHEN 6 THEN 'nowhere' ELSE NULL END"
+        "CASE CAST(user_id % 12 AS INT) WHEN 0 THEN '11' WHEN 1 THEN 'Seoul' WHEN 2 THEN 'KR-26'"
+        " WHEN 3 THEN 'busan' WHEN 4 THEN 'KR' WHEN 5 THEN 'Jeju-do' WHEN 6 THEN 'nowhere'"
+        " WHEN 7 THEN 'Gangnam-gu' WHEN 8 THEN 'suwon' WHEN 9 THEN 'Jeju City'"
+        " WHEN 10 THEN 'North Chungcheong' ELSE NULL END"
     ),
     "lat": "CAST(user_id % 90 AS DOUBLE)",
     "lon": "CAST(user_id % 180 AS DOUBLE) / 4",

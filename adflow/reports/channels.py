@@ -9,7 +9,16 @@ from adflow.functions.recode import (
     PERFORMANCE_LEVEL,
     SEGMENT_DEVICE,
 )
-from adflow.reports.engine import Actions, Currency, First, Label, Marked, ReportSpec, VideoUrl
+from adflow.reports.engine import (
+    Actions,
+    Currency,
+    First,
+    Label,
+    Marked,
+    Projection,
+    ReportSpec,
+    VideoUrl,
+)
 
 AD = "ad_group_ad.ad"
 DAY = "segments.date"
@@ -73,6 +82,7 @@ GOOGLE_AD = ReportSpec(
             VideoViews="video_views", VideoViewRate="video_view_rate",
         ),
     },
+    cost="micros",
     fact={
         "date": "segmentsDate", "campaign": "campaignId", "adgroup": "adgroupId", "ad": "adId",
         "impressions": "metricsImpressions", "clicks": "metricsClicks",
@@ -91,6 +101,7 @@ GOOGLE_KEYWORD = ReportSpec(
         "segmentDate": DAY,
         "segmentDevice": "segments.device",
     },
+    cost="micros",
     fact=PLAIN_FACT,
 )
 
@@ -223,6 +234,7 @@ GOOGLE_MARKED_AD = ReportSpec(
         **IDS, "adId": f"{AD}.id", "adName": f"{AD}.name",
         "assetName": Marked(f"{AD}.final_urls"), **PERFORMANCE, "segmentDate": DAY,
     },
+    cost="micros",
     fact={**PLAIN_FACT, "ad": "adId"},
 )
 
@@ -411,6 +423,23 @@ AIRBRIDGE_METRICS = (
     "app_unattributed_installs", "app_deferred_deeplink_installs", "app_uninstalls",
 )
 
+KAKAO_FACT = Projection("kakao", {
+    "date": "start", "campaign": "campaignId", "adgroup": "adgroupId", "ad": "id",
+    "clicks": "metricsClick", "cost": "metricsCostSum",
+})
+TWITTER_FACT = Projection("twitter", {
+    "date": "segmentDate", "campaign": "campaignId", "adgroup": "lineItemId", "ad": "tweetId",
+    "impressions": "metricsImpressions",
+})
+TWITTER_ORGANIC_FACT = Projection("twitterorganic", {
+    "campaign": "campaignName", "ad": "tweetId", "impressions": "metricsImpressions",
+    "cost": "metricsBilledChargeLocalMicro",
+}, cost="micros")
+AIRBRIDGE_FACT = Projection("airbridge", {
+    "date": "eventDate", "campaign": "channel", "impressions": "impressions", "clicks": "clicks",
+    "cost": "costChannel", "conversions": "appInstalls",
+})
+
 # Headers of the organic tweet sheets.
 ORGANIC_HEADERS = {
     "기간": "segmentDate",

@@ -70,7 +70,8 @@ class ReportSpec:
     """What one report selects and how.
 
     ``date`` is the landed path of the report day (text, ``yyyy-MM-dd``);
-    ``window`` names the preset a scheduled run restates.
+    ``window`` names the preset a scheduled run restates. ``fact`` says which columns go
+    into the cross-channel fact, ``cost`` in what unit the report's cost is.
     """
 
     name: str
@@ -82,7 +83,7 @@ class ReportSpec:
     actions: Sequence[Actions] = ()
     defaults: Sequence[str] = ()
     distinct: bool = False
-    cost: str | None = None
+    cost: str = "currency"
     fact: Mapping[str, str] = field(default_factory=dict)
 
     @property
@@ -160,28 +161,49 @@ def load_report(
     replace_window(rows, table, _in_window(spec.date_column, window), scope)
 
 
+@dataclass(frozen=True)
+class Projection:
+    """How a report that no spec describes goes into the cross-channel fact."""
+
+    name: str
+    fact: Mapping[str, str]
+    cost: str = "currency"
+
+
 FACT = (
-    "date", "channel", "campaign", "adgroup", "ad", "impressions", "clicks", "cost", "conversions",
+    "date", "channel", "advertiser", "campaign", "adgroup", "ad", "impressions", "clicks",
+    "cost", "conversions",
 )
+FACT_KINDS = {"impressions": "long", "clicks": "long", "cost": "double", "conversions": "double"}
+
 
+def to_fact(rows: DataFrame, spec: ReportSpec | Projection, advertiser: str) -> DataFrame:
+    """Project a report onto the shared fact; what it lacks is NULL.
 
-def to_fact(rows: DataFrame, spec: ReportSpec) -> DataFrame:
-    """Project a normalised report onto the shared fact; what it lacks is NULL."""
+    Cost is in whole units of the account's currency, whatever the report's unit.
+    """
 
     def column(name: str) -> Column:
-        if name == "channel":
-            return F.lit(spec.name)
+        if name in ("channel", "advertiser"):
+            return F.lit(spec.name if name == "channel" else advertiser)
         source = spec.fact.get(name)
-        kind = {"impressions": "long", "clicks": "long", "cost": "double", "conversions": "double"}
         value = F.col(source) if source else F.lit(None)
-        return value.cast(kind.get(name, "string"))
+        value = value.cast(FACT_KINDS.get(name, "string"))
+        return value / 1_000_000 if name == "cost" and spec.cost == "micros" else value
 
     return rows.select(*[column(n).alias(n) for n in FACT])
 
 
-def union_facts(parts: Sequence[tuple[DataFrame, ReportSpec]]) -> DataFrame:
+def union_facts(
+    parts: Sequence[tuple[DataFrame, ReportSpec | Projection]], advertiser: str
+) -> DataFrame:
+    """One fact of several channels. Each channel comes once, at its finest grain: two views
+    of the same spend would count it twice."""
+    names = [spec.name for _, spec in parts]
+    if len({n.split("_")[0] for n in names}) != len(names):
+        raise ValueError(f"a channel comes twice: {names}")
     out = None
     for rows, spec in parts:
-        fact = to_fact(rows, spec)
+        fact = to_fact(rows, spec, advertiser)
         out = fact if out is None else out.unionByName(fact)
     return out

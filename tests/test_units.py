@@ -14,6 +14,7 @@ from adflow.functions import timewin as tw
 from adflow.operators import bidreq as br
 from adflow.operators import dedup as dd
 from adflow.operators import funnel as fn
+from adflow.operators import ml
 from adflow.operators import quality as ql
 from adflow.operators import rollup as ru
 from adflow.operators import sets as st
@@ -356,3 +357,70 @@ def test_airbridge_and_export_fields(spark):
     assert "appDeferredDeeplinkInstalls" in out.columns and out.first()["costChannel"] == 0
     fields = spark.createDataFrame([("a", "y"), ("b", "n")], "dimension string, click string")
     assert jn.export_fields(spark.createDataFrame([(1, 2)], "a int, b int"), fields, "click").columns == ["a"]
+
+
+def test_regions_by_code_name_and_ending(spark):
+    from adflow.functions.recode import region_code
+
+    want = {
+        "KR": "KR-0", "11": "KR-11", "kr-26": "KR-26", "Gangnam-gu": "KR-11", "suwon": "KR-41", "Suwon-si": "KR-41",
+        "jeju city": "KR-49", "soeul": "KR-11", "north chungcheong": "KR-44", "cheorwon": "KR-42", "Cheorwon-gun": "KR-43",
+        "buk-gu": "KR-26", "Gapyeong County": "KR-41", "busan-gwangyeoksi": "KR-26", "nowhere": None, "99": None, None: None,
+    }
+    df = spark.createDataFrame([(k,) for k in want], "r string")
+    assert {r["r"]: r["c"] for r in df.select("r", region_code(F.col("r")).alias("c")).collect()} == want
+
+
+def test_costs_of_all_channels_have_one_unit(spark):
+    from adflow.plans.report_queries import cross_channel_fact
+
+    fact = cross_channel_fact(spark, "/root/testdata/sf0.001").where("cost > 0")
+    means = {r["channel"]: r["m"] for r in fact.groupBy("channel").agg(F.avg("cost").alias("m")).collect()}
+    paid = [means[c] for c in ("google_ad", "facebook_ad", "criteo", "kakao")]
+    assert max(paid) / min(paid) < 2
+    assert all(m < 1e6 for m in means.values())
+
+
+def test_a_channel_comes_once_in_the_fact(spark):
+    from adflow.reports import channels as ch
+    from adflow.reports.engine import union_facts
+
+    empty = spark.createDataFrame([], "a int")
+    with pytest.raises(ValueError):
+        union_facts([(empty, ch.GOOGLE_AD), (empty, ch.GOOGLE_KEYWORD)], "main")
+
+
+def test_names_of_tables_in_messages(spark):
+    from adflow.operators.eventlog import NAMED
+
+    texts = {
+        "Completed a streaming update of 'a_table_with_a_name_of_more_than_26_characters'.": "a_table_with_a_name_of_more_than_26_characters",
+        "Completed a streaming update of  t1 and more": "t1", "nothing": "",
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert {r["t"]: r["n"] for r in df.select("t", F.regexp_extract("t", NAMED, 1).alias("n")).collect()} == texts
+
+
+def test_category_weights_cover_many_values(spark):
+    df = spark.range(3000).selectExpr("CAST(id % 1500 AS STRING) AS c")
+    weights = ml.category_weights(df, "c").orderBy("low").collect()
+    assert len(weights) == 1500 and weights[0]["low"] == 0 and weights[-1]["high"] == 3000
+    assert all(a["high"] == b["low"] for a, b in zip(weights, weights[1:]))
+    ids = spark.range(500)
+    drawn = ml.draw_category(ids, "c", ml.category_weights(df, "c"), 3)
+    assert drawn.count() == 500 and drawn.where("c IS NULL").count() == 0
+    assert drawn.select("c").distinct().count() > 300
+
+
+def test_a_changed_spec_shows_in_its_check(spark, monkeypatch):
+    import dataclasses
+
+    from adflow.plans import report_queries as rq
+    from check_oracle import compare, connect
+
+    sf = "/root/testdata/sf0.001"
+    spec, sql = rq.ch.GOOGLE_SEARCH_TERM, rq.ORACLES["c3_google_search_term"]
+    run = lambda own: compare(rq.normalize_report(rq.google_landed(spark, sf), own), connect(sf), sql)
+    assert run(spec) is None
+    assert run(dataclasses.replace(spec, fields={**spec.fields, "clicks": "metrics.impressions"})) is not None
+    assert run(dataclasses.replace(spec, equal={"segments.conversion_action_name": ("purchase",)})) is not None
