@@ -17,7 +17,7 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 LABEL = "label"
@@ -33,7 +33,10 @@ def one_hot_names(cols: Sequence[str]) -> list[str]:
 
 
 def encoder(cols: Sequence[str]) -> Pipeline:
-    """Category index and one-hot vector of every column: one counting pass for all."""
+    """Category index and one-hot vector of every column: one counting pass for all.
+
+    The labels of a column reach the driver; ``prepare`` refuses columns with too many.
+    """
     return Pipeline(stages=[
         StringIndexer(inputCols=list(cols), outputCols=index_names(cols), handleInvalid="keep"),
         OneHotEncoder(inputCols=index_names(cols), outputCols=one_hot_names(cols)),
@@ -63,9 +66,18 @@ def as_doubles(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def prepare(
-    df: DataFrame, categories: Sequence[str], numbers: Sequence[str], label: str
+    df: DataFrame, categories: Sequence[str], numbers: Sequence[str], label: str,
+    most_categories: int = 10_000,
 ) -> tuple[DataFrame, PipelineModel]:
-    """Frame with ``features`` and ``label``, and the fitted preparation."""
+    """Frame with ``features`` and ``label``, and the fitted preparation.
+
+    A category column with more than about ``most_categories`` values is an error: its one-hot
+    vector and its labels would not fit a driver.
+    """
+    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in categories]).first()
+    wide = [c for c in categories if sizes[c] > most_categories]
+    if wide:
+        raise ValueError(f"more than {most_categories} values in {wide}")
     typed = as_doubles(df, [*numbers, label]).fillna("missing", subset=list(categories))
     fitted = feature_pipeline(typed, categories, numbers).fit(typed)
     return fitted.transform(typed).withColumn(LABEL, F.col(label)), fitted
@@ -202,25 +214,64 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def category_counts(df: DataFrame, column: str, limit: int = 100) -> dict[str, int]:
-    """Row count per value of a category; refuses columns that are none."""
-    rows = (
-        df.where(F.col(column).isNotNull()).groupBy(column)
-        .agg(F.count("*").alias("n")).orderBy(column).limit(limit + 1).collect()
+def labelled_rows(df: DataFrame, key: str, most: int) -> DataFrame:
+    """At most ``most`` rows with a label, the first in hash order of their key.
+
+    The bound is for models whose fitting time grows with rows times rounds.
+    """
+    return df.where(F.col(LABEL).isNotNull()).orderBy(F.xxhash64(key), key).limit(most)
+
+
+def category_weights(df: DataFrame, column: str) -> DataFrame:
+    """``value`` and its range ``[low, high)`` among all rows, for values of any number.
+
+    Values are ordered within 256 hashed buckets and the buckets after each other, so no
+    task has to hold or sort all values.
+    """
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias("value")).agg(
+        F.count("*").alias("n")
+    ).withColumn("bucket", F.substring(F.md5("value"), 1, 2))
+    inside = Window.partitionBy("bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # 256 rows
+    starts = counts.groupBy("bucket").agg(F.sum("n").alias("all")).select(
+        "bucket", F.coalesce(F.sum("all").over(before), F.lit(0)).alias("start")
+    )
+    high = F.col("start") + F.col("upto")
+    return counts.withColumn("upto", F.sum("n").over(inside)).join(starts, "bucket").select(
+        "value", (high - F.col("n")).alias("low"), high.alias("high")
     )
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} values")
-    return {r[column]: r["n"] for r in rows}
 
 
 def _draw(key, seed: int, name: str):
-    """32-bit number decided by seed, column and row id."""
+    """60-bit number decided by seed, column and row id."""
     text = F.concat_ws("|", F.lit(str(seed)), F.lit(name), key.cast("string"))
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+
+
+def draw_category(ids: DataFrame, name: str, weights: DataFrame, seed: int, key="id") -> DataFrame:
+    """``ids`` with a column of values in the proportions of ``category_weights``.
+
+    The range is cut into as many equal cells as there are values; a row meets the few
+    values of its cell, by an equi-join.
+    """
+    size = weights.agg(F.max("high").alias("total"), F.count("*").alias("n")).first()
+    if not size["total"]:
+        return ids.withColumn(name, F.lit(None).cast("string"))
+    width = max(size["total"] // size["n"], 1)
+
+    def cell(point):
+        return F.floor(point / width).cast("long")
+
+    cells = weights.select("low", "high", F.col("value").alias(name), F.explode(
+        F.sequence(cell(F.col("low")), cell(F.col("high") - 1))).alias("__cell"))
+    point = _draw(F.col(key), seed, name) % size["total"]
+    drawn = ids.withColumn("__point", point).withColumn("__cell", cell(F.col("__point")))
+    inside = (F.col("__point") >= F.col("low")) & (F.col("__point") < F.col("high"))
+    return drawn.join(cells, "__cell").where(inside).drop("__cell", "__point", "low", "high")
 
 
 def weighted(name: str, weights: Mapping[str, int], seed: int, key="id", null_percent: int = 0):
-    """Column of values in given integer proportions, the same for the same id."""
+    """Column of a few given values in integer proportions, the same for the same id."""
     ident = F.col(key)
     total = sum(weights.values())
     point = _draw(ident, seed, name) % total
@@ -243,5 +294,8 @@ def ranged(name: str, low: int, high: int, seed: int, key="id", null_percent: in
 
 
 def synthesize(ids: DataFrame, columns: Sequence) -> DataFrame:
-    """Rows drawn column by column for the ids given: spread out and repeatable."""
-    return ids.select("id", *columns)
+    """Rows drawn column by column for the ids given: spread out and repeatable.
+
+    Further columns of ``ids``, as ``draw_category`` adds them, stay.
+    """
+    return ids.select("*", *columns)

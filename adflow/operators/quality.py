@@ -103,31 +103,36 @@ def observed(df: DataFrame, name: str, rules: Mapping[str, str]) -> tuple[DataFr
     return df.observe(watch, F.count("*").alias("rows"), *passed), watch
 
 
-SUMMARY = ("column", "count", "nulls", "distinct", "min", "max", "mean", "stddev")
+SUMMARY = (
+    "column", "count", "nulls", "null_share", "min", "max", "mean", "stddev", "p25", "p50", "p75",
+)
 
 
 def summarize(
-    df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False
+    df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False, accuracy: int = 10_000
 ) -> DataFrame:
-    """Per column: count, NULLs, distinct values, range, mean and deviation, as rows.
+    """Per column, as rows: count, NULLs and their share, range, mean, deviation, quartiles and
+    distinct values.
 
-    All columns are aggregated in one pass. ``approx=True`` counts distinct
-    values by sketch, which avoids expanding every row once per column.
+    All but the last come from one pass; quartiles are off by one row in ``accuracy`` at
+    most. Distinct values are counted column by column in two steps, each reading its own
+    column, so no row is repeated; ``approx=True`` counts them by sketch.
     """
     cols = list(cols or df.columns)
     numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)}
-    distinct = F.approx_count_distinct if approx else F.count_distinct
 
     def stats(c: str) -> list[Column]:
-        number = F.col(c) if c in numeric else F.lit(None).cast("double")
+        number = F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")
+        quartiles = F.percentile_approx(number, [0.25, 0.5, 0.75], accuracy)
         return [
             F.count(c).alias(f"{c}__count"),
             F.count_if(F.col(c).isNull()).alias(f"{c}__nulls"),
-            distinct(F.col(c)).alias(f"{c}__distinct"),
+            (F.count_if(F.col(c).isNull()) / F.count("*")).alias(f"{c}__null_share"),
             F.min(c).cast("string").alias(f"{c}__min"),
             F.max(c).cast("string").alias(f"{c}__max"),
             F.avg(number).alias(f"{c}__mean"),
             F.stddev(number).alias(f"{c}__stddev"),
+            *[F.get(quartiles, F.lit(i)).alias(f"{c}__p{q}") for i, q in enumerate((25, 50, 75))],
         ]
 
     one = df.agg(*[s for c in cols for s in stats(c)])
@@ -135,4 +140,16 @@ def summarize(
         F.struct(F.lit(c).alias("column"), *[F.col(f"{c}__{s}").alias(s) for s in SUMMARY[1:]])
         for c in cols
     ]))
-    return one.select(rows.alias("r")).select("r.*")
+    return one.select(rows.alias("r")).select("r.*").join(distinct_counts(df, cols, approx), "column")
+
+
+def distinct_counts(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
+    """``column`` and ``distinct``: values of each column but NULL."""
+    out = None
+    for c in cols:
+        values = df.select(c)
+        one = values.agg(F.approx_count_distinct(c).alias("distinct")) if approx else (
+            values.distinct().agg(F.count(c).alias("distinct")))
+        one = one.select(F.lit(c).alias("column"), "distinct")
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -42,6 +42,9 @@ def _parts(spark, sf_dir):
     return split(table, ["o_orderkey"], [0.7, 0.3], seed=42)
 
 
+STATUS_SQL = "CASE o_orderstatus WHEN 'F' THEN 0.0::DOUBLE WHEN 'O' THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END"
+
+
 def _rank_sql(c):
     return f"SELECT {c} AS v, row_number() OVER (ORDER BY COUNT(*) DESC, {c}) - 1 AS i FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY {c}"
 
@@ -65,13 +68,26 @@ def assemble(spark, sf_dir):
     )
 
 
+# Price, balance and month as they are, then a one-hot slot per category column: the sum of these
+# slots is the number of columns, in every row.
+SLOTS_SQL = "o_totalprice AS slot0, c_acctbal AS slot1, CAST(month(o_orderdate) AS DOUBLE) AS slot2, 3.0::DOUBLE AS hot"
+
+
+def _slots(df):
+    slots = vector_to_array(ml.FEATURES)
+    return df.withColumn("f", slots).select(
+        "*", *[F.get("f", F.lit(i)).alias(f"slot{i}") for i in range(3)],
+        F.aggregate(F.slice("f", 4, F.size("f")), F.lit(0.0), lambda a, x: a + x).alias("hot"),
+    )
+
+
 @query(
     "k11_feature_table",
-    "SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 0.0::DOUBLE WHEN 'O' THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS label, o_totalprice AS first FROM orders JOIN customer ON o_custkey = c_custkey",
+    f"SELECT o_orderkey, {STATUS_SQL} AS label, {SLOTS_SQL} FROM orders JOIN customer ON o_custkey = c_custkey",
 )
 def feature_table(spark, sf_dir):
     table, _, _ = _prepared(spark, sf_dir)
-    return table.select("o_orderkey", "label", F.get(vector_to_array(ml.FEATURES), F.lit(0)).alias("first"))
+    return _slots(table).select("o_orderkey", "label", "slot0", "slot1", "slot2", "hot")
 
 
 @query(
@@ -92,61 +108,109 @@ def pca(spark, sf_dir):
     return ml.explained_variance(table, 10)
 
 
-@query("m12_random_forest")
+@query(
+    "m10_pca_two_columns",
+    """WITH c AS (SELECT VAR_SAMP(s_nationkey) AS a, VAR_SAMP(s_acctbal / 100) AS d, COVAR_SAMP(s_nationkey, s_acctbal / 100) AS b FROM supplier),
+e AS (SELECT (a + d) / 2 + sqrt(((a - d) / 2) ** 2 + b * b) AS big, a + d AS total FROM c)
+SELECT 1 AS component, round(big / total, 6) AS variance, round(big / total, 6) AS cumulative FROM e
+UNION ALL SELECT 2, round(1 - big / total, 6), 1.0 FROM e""",
+)
+def pca_two_columns(spark, sf_dir):
+    """Two columns, whose eigenvalues have a closed form."""
+    rows = read(spark, sf_dir, "supplier").selectExpr("s_nationkey", "s_acctbal / 100 AS balance")
+    shares = ml.explained_variance(ml.assemble(rows, ["s_nationkey", "balance"]), 2)
+    return shares.select("component", F.round("variance", 6).alias("variance"), F.round("cumulative", 6).alias("cumulative"))
+
+
+def _decided(spark, sf_dir):
+    """Orders whose status code, one of the features, decides the label; the month does not."""
+    rows = _frame(spark, sf_dir).withColumn("status", F.col("cv")).withColumn("month", F.col("month").cast("double"))
+    ready = ml.assemble(rows, ["status", "month"]).withColumn(ml.LABEL, F.col("cv"))
+    table = f"{temp_database(spark, 'decided')}.orders"
+    save_features(ready.select("o_orderkey", ml.FEATURES, ml.LABEL), table)
+    return spark.table(table), ready
+
+
+DECIDED_SQL = f"SELECT {STATUS_SQL} AS label, {STATUS_SQL} AS prediction, COUNT(*) AS \"rows\" FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL"
+# Boosting fits one tree after the other: its labelled rows are bounded, its grid and folds are not.
+BOOSTED_ROWS = 1000
+
+
+@query("m12_random_forest", DECIDED_SQL)
 def random_forest(spark, sf_dir):
+    table, _ = _decided(spark, sf_dir)
+    return ml.confusion(ml.score(ml.fit_rf(table, 20), table))
+
+
+@query("m12_random_forest_split")
+def random_forest_split(spark, sf_dir):
+    """Fitted on seven tenths of the rows, scored on the others, with all features."""
     train, test = _parts(spark, sf_dir)
     return ml.confusion(ml.score(ml.fit_rf(train, 20), test))
 
 
-@query("m13_boosted_classifier")
+@query("m13_boosted_classifier", DECIDED_SQL)
 def boosted_classifier(spark, sf_dir):
-    train, test = _parts(spark, sf_dir)
-    search = ml.fit_gbt_cls(train, depths=(2,), rounds=(2, 3), folds=2)
-    return ml.confusion(ml.score(search.bestModel, test))
+    """Depths 2 and 5, 10 and 100 rounds, three folds."""
+    table, _ = _decided(spark, sf_dir)
+    search = ml.fit_gbt_cls(ml.labelled_rows(table, "o_orderkey", BOOSTED_ROWS))
+    return ml.confusion(ml.score(search.bestModel, table))
 
 
-@query("m14_boosted_regressor")
+@query("m14_boosted_regressor", "SELECT i::INT AS point, 0.0::DOUBLE AS score FROM range(4) AS t(i) WHERE (SELECT COUNT(*) FROM orders) > 0")
 def boosted_regressor(spark, sf_dir):
-    """Price from the other features; the label itself is not among them."""
-    rows = _frame(spark, sf_dir)
-    ready, _ = ml.prepare(rows, CATEGORIES[:2], ["c_acctbal", "month"], "o_totalprice")
-    table = f"{temp_database(spark, 'price')}.orders"
-    save_features(ready.select("o_orderkey", ml.FEATURES, ml.LABEL), table)
-    search = ml.fit_gbt_reg(spark.table(table), depths=(2, 3), rounds=(3,), folds=2)
-    return ml.search_scores(search, rows)
+    """Depths 2 and 5, 10 and 100 rounds, three folds: the error of each, rounded."""
+    table, ready = _decided(spark, sf_dir)
+    search = ml.fit_gbt_reg(ml.labelled_rows(table, "o_orderkey", BOOSTED_ROWS))
+    return ml.search_scores(search, ready).withColumn("score", F.round("score", 6))
 
 
-@query("m15_importances")
+@query("m15_importances", "SELECT name, importance FROM (VALUES ('status', 1.0::DOUBLE), ('month', 0.0::DOUBLE)) AS t(name, importance) WHERE (SELECT COUNT(*) FROM orders) > 0")
 def importances(spark, sf_dir):
-    table, _, ready = _prepared(spark, sf_dir)
-    return ml.importances(ml.fit_rf(table, 10), ready)
+    table, ready = _decided(spark, sf_dir)
+    found = ml.importances(ml.fit_rf(table, 20), ready)
+    return found.withColumn("importance", F.round("importance", 6))
 
 
-@query("m16_evaluate")
-def evaluate(spark, sf_dir):
-    train, test = _parts(spark, sf_dir)
-    return ml.evaluate(ml.score(ml.fit_rf(train, 10), test))
+# A prediction by rule: the priority's number, over the three classes.
+GUESS = "CAST(CAST(substring(o_orderpriority, 1, 1) AS INT) % 3 AS DOUBLE)"
 
 
 @query(
-    "m18_score",
-    "SELECT COUNT(*) AS \"rows\" FROM orders JOIN customer ON o_custkey = c_custkey",
+    "m16_evaluate",
+    f"""WITH s AS (SELECT {STATUS_SQL} AS label, {GUESS} AS prediction FROM orders),
+k AS (SELECT DISTINCT label AS c FROM s),
+m AS (SELECT c, COUNT(*) FILTER (WHERE label = c) AS n, COUNT(*) FILTER (WHERE prediction = c) AS p, COUNT(*) FILTER (WHERE label = c AND prediction = c) AS tp FROM k, s GROUP BY c),
+r AS (SELECT n, CASE WHEN p > 0 THEN tp / p ELSE 0 END AS pr, tp / n AS re FROM m)
+SELECT 'accuracy' AS metric, round(SUM(tp) / SUM(n), 6) AS value FROM m
+UNION ALL SELECT 'f1', round(SUM(n * CASE WHEN pr + re > 0 THEN 2 * pr * re / (pr + re) ELSE 0 END) / SUM(n), 6) FROM r
+UNION ALL SELECT 'weightedPrecision', round(SUM(n * pr) / SUM(n), 6) FROM r
+UNION ALL SELECT 'weightedRecall', round(SUM(n * re) / SUM(n), 6) FROM r""",
 )
+def evaluate(spark, sf_dir):
+    scored = read(spark, sf_dir, "orders").select(
+        F.expr("CASE o_orderstatus WHEN 'F' THEN 0.0D WHEN 'O' THEN 1.0D ELSE 2.0D END").alias(ml.LABEL),
+        F.expr(GUESS).alias("prediction"),
+    )
+    return ml.evaluate(scored).withColumn("value", F.round("value", 6))
+
+
+@query("m18_score", f"SELECT o_orderkey, {STATUS_SQL} AS prediction FROM orders JOIN customer ON o_custkey = c_custkey")
 def score(spark, sf_dir):
-    table, _, _ = _prepared(spark, sf_dir)
-    return ml.score(ml.fit_rf(table, 5), table).where("prediction IN (0.0, 1.0, 2.0)").agg(F.count("*").alias("rows"))
+    table, _ = _decided(spark, sf_dir)
+    return ml.score(ml.fit_rf(table, 20), table).select("o_orderkey", "prediction")
 
 
 @query(
     "m19_reloaded_pipeline",
-    "SELECT o_orderkey, o_totalprice AS first FROM orders JOIN customer ON o_custkey = c_custkey",
+    f"SELECT o_orderkey, {SLOTS_SQL} FROM orders JOIN customer ON o_custkey = c_custkey",
 )
 def reloaded_pipeline(spark, sf_dir):
     rows = ml.as_doubles(_frame(spark, sf_dir), NUMBERS)
     path = work_dir(spark, "model")
     ml.save_model(ml.feature_pipeline(rows, CATEGORIES, NUMBERS).fit(rows), path)
     scored = ml.load_model(path).transform(rows)
-    return scored.select("o_orderkey", F.get(vector_to_array(ml.FEATURES), F.lit(0)).alias("first"))
+    return _slots(scored).select("o_orderkey", "slot0", "slot1", "slot2", "hot")
 
 
 # --- synthetic rows --------------------------------------------------------
@@ -155,11 +219,11 @@ SEED = 11
 
 
 def _draw_sql(name):
-    return f"CAST(concat('0x', substr(md5(concat('{SEED}|{name}|', CAST(id AS STRING))), 1, 8)) AS BIGINT)"
+    return f"CAST(concat('0x', substr(md5(concat('{SEED}|{name}|', CAST(id AS STRING))), 1, 15)) AS BIGINT)"
 
 
-SEGMENT_SQL = """SELECT c_mktsegment AS v, CAST(SUM(n) OVER (ORDER BY c_mktsegment) AS BIGINT) AS high, CAST(SUM(n) OVER (ORDER BY c_mktsegment) - n AS BIGINT) AS low
-FROM (SELECT c_mktsegment, COUNT(*) AS n FROM customer GROUP BY c_mktsegment)"""
+SEGMENT_SQL = """SELECT v, CAST(SUM(n) OVER (ORDER BY substr(md5(v), 1, 2), v) AS BIGINT) AS high, CAST(SUM(n) OVER (ORDER BY substr(md5(v), 1, 2), v) - n AS BIGINT) AS low
+FROM (SELECT c_mktsegment AS v, COUNT(*) AS n FROM customer GROUP BY c_mktsegment)"""
 SYNTH_SQL = f"""SELECT id, segment, imp, clk, CASE WHEN {_draw_sql('age null')} % 100 >= 20 THEN {_draw_sql('age')} % 50 + 10 END AS age FROM (
   SELECT id, v AS segment, CASE WHEN {_draw_sql('imp')} % 11 < 1 THEN '0' ELSE '1' END AS imp, CASE WHEN {_draw_sql('clk')} % 3 < 1 THEN '0' ELSE '1' END AS clk
   FROM (SELECT CAST(c_custkey AS BIGINT) AS id FROM customer) JOIN ({SEGMENT_SQL}) ON {_draw_sql('segment')} % (SELECT COUNT(*) FROM customer) >= low AND {_draw_sql('segment')} % (SELECT COUNT(*) FROM customer) < high)
@@ -168,8 +232,9 @@ WHERE NOT (imp = '0' AND clk = '1')"""
 
 def _synthetic(spark, sf_dir):
     customers = read(spark, sf_dir, "customer")
-    rows = ml.synthesize(customers.select(F.col("c_custkey").alias("id")), [
-        ml.weighted("segment", ml.category_counts(customers, "c_mktsegment"), SEED),
+    ids = customers.select(F.col("c_custkey").alias("id"))
+    ids = ml.draw_category(ids, "segment", ml.category_weights(customers, "c_mktsegment"), SEED)
+    rows = ml.synthesize(ids, [
         ml.weighted("imp", {"0": 1, "1": 10}, SEED),
         ml.weighted("clk", {"0": 1, "1": 2}, SEED),
         ml.ranged("age", 10, 59, SEED, null_percent=20),

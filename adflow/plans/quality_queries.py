@@ -84,18 +84,24 @@ def expectations(spark, sf_dir):
 SUM_COLS = ["p_partkey", "p_name", "p_brand", "p_size"]
 
 
-@query(
-    "q11_summarize",
-    " UNION ALL ".join(
-        f"SELECT '{c}' AS \"column\", COUNT({c}) AS \"count\", COUNT(*) - COUNT({c}) AS nulls, COUNT(DISTINCT {c}) AS \"distinct\", "
-        f"CAST(MIN({c}) AS VARCHAR) AS \"min\", CAST(MAX({c}) AS VARCHAR) AS \"max\", "
-        + (f"CAST(SUM({c}) AS DOUBLE) / COUNT({c}) AS mean" if c in ("p_partkey", "p_size") else "CAST(NULL AS DOUBLE) AS mean")
-        + " FROM part"
-        for c in SUM_COLS
-    ),
-)
+def _summary_sql(c):
+    number = c in ("p_partkey", "p_size")
+    quartiles = ", ".join(
+        (f"CAST(quantile_disc({c}, {q / 100}) AS DOUBLE)" if number else "CAST(NULL AS DOUBLE)") + f" AS p{q}"
+        for q in (25, 50, 75)
+    )
+    mean = f"CAST(SUM({c}) AS DOUBLE) / COUNT({c}) AS mean, round(STDDEV_SAMP({c}), 4) AS stddev" if number else (
+        "CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS stddev")
+    return (
+        f"SELECT '{c}' AS \"column\", COUNT({c}) AS \"count\", COUNT(*) - COUNT({c}) AS nulls, (COUNT(*) - COUNT({c})) / COUNT(*) AS null_share, "
+        f"COUNT(DISTINCT {c}) AS \"distinct\", CAST(MIN({c}) AS VARCHAR) AS \"min\", CAST(MAX({c}) AS VARCHAR) AS \"max\", {mean}, {quartiles} FROM part"
+    )
+
+
+@query("q11_summarize", " UNION ALL ".join(_summary_sql(c) for c in SUM_COLS))
 def summarize(spark, sf_dir):
-    return ql.summarize(read(spark, sf_dir, "part"), SUM_COLS).drop("stddev")
+    rows = ql.summarize(read(spark, sf_dir, "part"), SUM_COLS)
+    return rows.withColumn("stddev", F.round("stddev", 4))
 
 
 # --- re-processing ---------------------------------------------------------
