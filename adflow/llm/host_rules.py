@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adflow.llm.stage import staged
+from adflow.llm.stage import staged, unwrapped, wrapped
 from adflow.llm.text import BLANK, CONTINUATION, NEWLINE, Texts, mix, slices, windows
 
 MIN_WORDS = 50
@@ -72,11 +72,11 @@ def measure(column: pa.Array) -> dict[str, np.ndarray]:
 
 def measures(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` columns and the measures of ``text`` under ``MEASURES`` names."""
-    picked = docs.select(*keep, F.col(text).alias("__text"))
+    picked = docs.select(*keep) if text in keep else docs.select(*keep, text)
 
     def run(batches):
-        for batch in slices(batches, "__text"):
-            own = measure(batch.column("__text"))
+        for batch in slices(batches, text):
+            own = measure(batch.column(text))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(k) for k in keep]
                 + [pa.array(own[m].astype(np.int64)) for m in MEASURES],
@@ -156,7 +156,6 @@ def kept(docs: DataFrame, host: str = "source", text: str = "text",
     judged = measures(docs.select(F.col(host).alias("h"), F.col(text).alias("t")), ["h"], "t")
     bad = staged(host_verdicts(judged.withColumn("rule_failed", rule_failed()), "h", limit)
                  .where("host_rejected").select(F.col("h").alias("__host")), "rejected-hosts")
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(host).alias("h"),
-                       F.col(text).alias("t"))
-    own = measures(rows, ["row", "h"], "t").where(~base_failed())
-    return own.join(bad, own["h"] == bad["__host"], "left_anti").select("row.*")
+    own = measures(wrapped(docs, text), ["row", "t"], "t").where(~base_failed())
+    own = own.join(bad, F.col(f"row.{host}") == bad["__host"], "left_anti")
+    return unwrapped(own, docs.columns, text)

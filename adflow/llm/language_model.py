@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from adflow.llm.ngram_trie import WORD_BITS, Trie, restored
 from adflow.llm.stage import staged
-from adflow.llm.text import BLANK, Texts, mix, slices
+from adflow.llm.text import BLANK, Texts, mix, release, slices
 
 SHARD_CHARS = 8 << 20
 BLOCK_TOKENS = 1 << 20
@@ -207,6 +207,7 @@ def _answer(group: pa.Table) -> pa.Table:
         shard = asked.column("shard")[0].as_py()
         out.append(pa.Table.from_batches([_rows([(shard, -1 - shard, True, size)])]).cast(
             group.schema))
+    release()
     return pa.concat_tables(out).select(["shard", "block", "directory", "payload"])
 
 

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from adflow.llm.components import components
 from adflow.llm.stage import staged
-from adflow.llm.text import BLANK, Texts, joined, mix, slices, windows
+from adflow.llm.text import BLANK, Texts, joined, mix, release, slices, windows
 
 WORDS = 5
 SHARD_CHARS = 8 << 20
@@ -200,6 +200,7 @@ def _answer(group: pa.Table) -> pa.Table:
             payload.append(pack(own[shared], text[shared], of[a:b][shared]))
         out.append(asked.set_column(
             asked.column_names.index("payload"), "payload", pa.array(payload, pa.binary())))
+    release()
     return pa.concat_tables(out).select(["shard", "block", "directory", "payload"])
 
 

@@ -28,7 +28,7 @@ from adflow.llm.text import Texts, slices
 SIZE = 2048
 UNIT = 4
 SALT_ROWS = 100_000
-CACHED_WORDS = 1 << 20
+CACHED_WORDS = 3 << 18
 SLICE_BYTES = 1 << 21
 VOCABULARY = "word_bpe_49k.json"
 END = 0

@@ -18,6 +18,18 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def wrapped(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The text as ``t`` and all other columns as the struct ``row``, whatever they are called."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text] or [F.lit(1).alias("none")]
+    return docs.select(F.struct(*others).alias("row"), F.col(f"`{text}`").alias("t"))
+
+
+def unwrapped(df: DataFrame, columns: list[str], text: str = "text") -> DataFrame:
+    """The columns that ``wrapped`` put together."""
+    return df.select(*[F.col("t").alias(c) if c == text else F.col("row")[c].alias(c)
+                       for c in columns])
+
+
 def held_out(key: str, parts: int, rest: int) -> Column:
     """Whether crc32 of the key as text leaves ``rest``; a null key is never held out."""
     own = F.crc32(F.col(key).cast("string").cast("binary")) % parts

@@ -7,6 +7,7 @@ of a corpus of n words meet with a chance of about n^2 / 2^65.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -61,6 +62,15 @@ def slices(batches, column: str = "text", most: int = SLICE_BYTES) -> Iterator[p
             end = max(int(np.searchsorted(size, before + most, "right")), at + 1)
             yield batch.slice(at, end - at)
             at = end
+    release()
+
+
+def release() -> None:
+    """Hand freed memory back to the system: Spark keeps Python workers from task to task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def _length(column: pa.Array) -> np.ndarray:

@@ -118,11 +118,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int =
 def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` columns, ``score`` and ``predicted``. A null or empty text has no feature, so
     its score is the intercept's; repeated rows score alike."""
-    picked = docs.select(*keep, F.col(text).alias("__text"))
+    picked = docs.select(*keep) if text in keep else docs.select(*keep, text)
 
     def run(batches):
-        for batch in slices(batches, "__text"):
-            own = model.scores(batch.column("__text"))
+        for batch in slices(batches, text):
+            own = model.scores(batch.column(text))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(k) for k in keep]
                 + [pa.array(own), pa.array((own >= 0.5).astype(np.int32))],

@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 
 from adflow.llm import decontaminate, host_rules, ngram_join, packing, toxicity as toxic
 from adflow.llm.registry import table
-from adflow.llm.stage import staged
+from adflow.llm.stage import staged, unwrapped, wrapped
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A document without text has no toxic feature and stays."""
     model = toxic.train(docs, table(spark, sf_dir, "labels"))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("text"))
-    return toxic.score(rows, model, ["row"]).where("predicted = 0").select("row.*")
+    kept = toxic.score(wrapped(docs), model, ["row", "t"], "t").where("predicted = 0")
+    return unwrapped(kept, docs.columns)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
