@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -182,17 +183,26 @@ def _spec(parts: Sequence[str], row: Row) -> str:
 def _replace_partitions(target, staged, table, parts, doomed, survives) -> None:
     """Write the touched partitions beside the old ones, then change the catalog.
 
-    Partition values are catalog metadata: as many as the window has folders.
+    Partition values are catalog metadata: as many as the window has folders. A window over
+    partition columns alone is answered by the catalog: its partitions go whole, unread.
     """
     spark = target.sparkSession
-    gone = target.where(doomed).select(*parts).distinct().collect()
+    try:
+        gone = _known_partitions(target, table, parts).where(doomed).collect()
+        read = set(map(tuple, gone))
+    except AnalysisException:
+        gone = target.where(doomed).select(*parts).distinct().collect()
+        read = set()
     fresh = staged.select(*parts).distinct().collect()
     touched = list({tuple(r): r for r in [*gone, *fresh]}.values())
     if not touched:
         return
     path = _folder(spark, table)
-    kept = target.where(_one_of(parts, touched)).where(survives)
-    result = kept.unionByName(staged).select(*target.columns)
+    result, partly = staged, [r for r in touched if tuple(r) not in read]
+    if partly:
+        kept = target.where(_one_of(parts, partly)).where(survives)
+        result = kept.unionByName(staged)
+    result = result.select(*target.columns)
     _sized(result, parts).write.partitionBy(*parts).parquet(path)
 
     # The new folders as a table: its partitions say where each lies.
@@ -221,6 +231,14 @@ def _replace_partitions(target, staged, table, parts, doomed, survives) -> None:
         remove_files(spark, place)
 
 
+def _known_partitions(target: DataFrame, table: str, parts: Sequence[str]) -> DataFrame:
+    """The catalog's partitions as rows of the partition columns."""
+    spark = target.sparkSession
+    rows = list(_partitions(spark, table))
+    texts = spark.createDataFrame(rows, ", ".join(f"`{p}` string" for p in parts))
+    return texts.select(*[F.col(p).cast(target.schema[p].dataType).alias(p) for p in parts])
+
+
 NULL_PART = "__HIVE_DEFAULT_PARTITION__"
 
 

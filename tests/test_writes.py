@@ -92,6 +92,22 @@ def test_failed_write_leaves_the_table(spark, rows, parts, write):
     assert spark.table(name).where("v = 1").count() == 4 and spark.table(name).count() == 10
 
 
+def test_window_over_partitions_reads_none_of_them(spark, rows, monkeypatch):
+    name = f"{temp_database(spark, 'whole')}.t"
+    df = spark.createDataFrame([(date(2024, 1, d), d) for d in range(1, 6)] + [(None, 9)], "day date, v int")
+    sk.overwrite(df.select("v", "day"), name, ["day"])
+    asked = []
+    one_of = sk._one_of
+    monkeypatch.setattr(sk, "_one_of", lambda parts, values: asked.append(values) or one_of(parts, values))
+    new = spark.createDataFrame([(-3, date(2024, 1, 3)), (-7, date(2024, 1, 7))], "v int, day date")
+    sk.replace_window(new, name, _days(3, 5))
+    assert sorted(v for (v,) in rows(spark.table(name), "v")) == [-7, -3, 1, 2, 5, 9]
+    # Only the day that is new outside of the window was looked at.
+    assert [[r["day"] for r in values] for values in asked] == [[date(2024, 1, 7)]]
+    sk.replace_window(new.where("v = -3"), name, _days(3, 5))
+    assert sorted(v for (v,) in rows(spark.table(name), "v")) == [-7, -3, 1, 2, 5, 9]
+
+
 def test_overwrite_may_read_its_target(spark, rows):
     name = f"{temp_database(spark, 'self')}.t"
     sk.overwrite(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), name)
