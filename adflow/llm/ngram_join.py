@@ -382,7 +382,8 @@ def links(units: DataFrame) -> DataFrame:
                          & _positions_fit("own", leader)).select(
             F.least("k", f"{leader}.k").alias("x"), F.greatest("k", f"{leader}.k").alias("y"))
         stars = star if stars is None else stars.union(star)
-    first = staged(check(stars.distinct(), units).union(copies), "links")
+    tried = staged(stars.distinct(), "tried")
+    first = staged(check(tried, units).union(copies), "links")
 
     labels = components(first)
     placed = met.select("key", "k", "n", "m", "pos", "size").join(
@@ -402,7 +403,8 @@ def links(units: DataFrame) -> DataFrame:
     kind = dict(units.dtypes)["k"]
     across = parts.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(
         _across, f"x {kind}, y {kind}").select(
-        F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+        F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct().join(
+        tried, ["x", "y"], "left_anti")
     return first.union(check(across, units))
 
 

@@ -130,7 +130,47 @@ def op8_host_rules(spark, sf_dir):
         "base_failed", "kept")
 
 
-@query("op9_licenses")
+_WORD9 = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_PATH9 = """CASE WHEN doc_id % 1000 = 0 THEN 'd' || (doc_id // 1000) || '/LICENSE'
+  WHEN doc_id % 50 = 0 THEN 'd' || (doc_id // 1000) || '/d' || (doc_id // 50) || '/LICENSE'
+  ELSE 'd' || (doc_id // 1000) || '/d' || (doc_id // 50) || '/' || doc_id || '.txt' END"""
+_LOWER9 = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+OP9_SQL = f"""
+WITH templates(k, name, t) AS (VALUES {", ".join(
+    f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(licenses.TEMPLATES))}),
+tw AS (SELECT DISTINCT k, unnest(regexp_extract_all({_LOWER9.format("t")}, '{_WORD9}')) AS w FROM templates),
+files AS (SELECT doc_id, {_PATH9} AS path, COALESCE(text, '') AS t FROM documents),
+passages AS (
+    SELECT doc_id, unnest(range(len(string_split(t, chr(10))))) AS part, unnest(string_split(t, chr(10))) AS line FROM files
+    UNION ALL SELECT doc_id, -1, t FROM files WHERE path LIKE '%/LICENSE'),
+tokens AS (SELECT DISTINCT doc_id, part, unnest(regexp_extract_all({_LOWER9.format("line")}, '{_WORD9}')) AS w FROM passages),
+size AS (SELECT COUNT(*) AS n FROM files),
+idf AS (
+    SELECT w, ln((1 + n) / (1 + COALESCE(d, 0))) + 1 AS x FROM (SELECT DISTINCT w FROM tw)
+    LEFT JOIN (SELECT w, COUNT(DISTINCT doc_id) AS d FROM tokens GROUP BY w) USING (w), size),
+norms AS (
+    SELECT doc_id, part, sqrt(SUM(COALESCE(x, ln(1 + n) + 1) ** 2)) AS norm
+    FROM tokens LEFT JOIN idf USING (w), size GROUP BY doc_id, part),
+lengths AS (SELECT k, sqrt(SUM(x * x)) AS length FROM tw JOIN idf USING (w) GROUP BY k),
+cosines AS (
+    SELECT doc_id, k, round(MAX(dot / (norm * length)), 9) AS cosine
+    FROM (SELECT doc_id, part, k, SUM(x * x) AS dot FROM tokens JOIN tw USING (w) JOIN idf USING (w) GROUP BY ALL)
+    JOIN norms USING (doc_id, part) JOIN lengths USING (k) GROUP BY doc_id, k),
+best AS (SELECT doc_id, MAX(cosine) AS cosine, arg_min(k, (-cosine, k)) AS k FROM cosines GROUP BY doc_id),
+found AS (
+    SELECT doc_id, path, regexp_replace(path, '/[^/]*$', '') AS folder, COALESCE(cosine, 0) AS cosine,
+           CASE WHEN cosine >= 0.7 THEN name END AS license
+    FROM files LEFT JOIN best USING (doc_id) LEFT JOIN templates USING (k)),
+rules AS (SELECT folder, license, path FROM found WHERE license IS NOT NULL AND path LIKE '%/LICENSE')
+SELECT doc_id, f.path, COALESCE(f.license, low.license, top.license) AS license, round(f.cosine, 6) AS cosine,
+       CASE WHEN f.license IS NOT NULL THEN 'own' WHEN low.path IS NOT NULL OR top.path IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
+       CASE WHEN f.license IS NOT NULL THEN f.path ELSE COALESCE(low.path, top.path) END AS origin_path
+FROM found AS f LEFT JOIN rules AS low ON low.folder = f.folder
+LEFT JOIN rules AS top ON top.folder = split_part(f.folder, '/', 1)
+"""
+
+
+@query("op9_licenses", OP9_SQL)
 def op9_licenses(spark, sf_dir):
     """Documents as files of a tree: d<id / 1000>/d<id / 50>/<id>.txt. The first of every
     1000 and of every 50 is the LICENSE file of its folder."""
@@ -140,7 +180,7 @@ def op9_licenses(spark, sf_dir):
         number % 50 == 0, F.concat_ws("/", top, low, F.lit("LICENSE"))).otherwise(
         F.concat(F.concat_ws("/", top, low, number.cast("string")), F.lit(".txt")))
     docs = table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text")
-    return licenses.licenses(docs, key="doc_id")
+    return licenses.licenses(docs, key="doc_id").withColumn("cosine", F.round("cosine", 6))
 
 
 _LOWERED = ("translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
