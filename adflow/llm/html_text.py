@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 from adflow.llm.text import Texts, slices
 
 SAMPLE = 300  # pages the network learns on, at most
+COPIES = 4
 HIDDEN = 16
-PATH_PLACES = 96
+PATH_PLACES = 256
 LEAF_PLACES = 16
 WORD_PLACES = 32
 WIDTH = PATH_PLACES + LEAF_PLACES + WORD_PLACES + 4
@@ -276,6 +277,11 @@ _BESIDE = [("nav",), ("header",), ("footer",), ("aside",), ("form",), ("div", ".
 _MAIN = [("article",), ("main",), ("main", "article"), ("div", ".content"),
          ("div", ".article"), ("div", ".post"), ("div", ".entry", ".content"),
          ("section", ".article"), ("div", ".main")]
+# Leaves that main text may have besides paragraphs, headings and lists.
+_LEAVES = [("figure", "figcaption"), ("blockquote",), ("blockquote", "p"), ("pre",), ("table", "tr", "td"),
+           ("table", "tr", "th"), ("table", "tbody", "tr", "td"), ("dl", "dt"), ("dl", "dd"), ("h5",),
+           ("h6",), ("section", "p"), ("section", "h2"), ("div",), ("div", "p"), ("ol", "li"), ("ul", "li"),
+           ("ul", "li", "p"), ("details", "summary"), ("details", "p"), ()]
 
 
 def vary(page: list[Block], labels: np.ndarray, rng: np.random.Generator):
@@ -300,8 +306,12 @@ def vary(page: list[Block], labels: np.ndarray, rng: np.random.Generator):
     seen = False
     for (path, text, linked), y in zip(page, labels):
         if y:
-            leaf = tuple(n for n in path if n in (
-                "p", "h1", "h2", "h3", "h4", "li", "ul", "ol", "blockquote", "pre", "td"))
+            leaf = tuple(n for n in path if n in ("p", "h1", "h2", "h3", "h4", "li", "ul", "ol"))
+            if rng.random() < 0.2:
+                leaf = _LEAVES[rng.integers(len(_LEAVES))]
+            if rng.random() < 0.15:  # main text may be short, too
+                text = " ".join(text.split()[:rng.integers(1, 7)])
+                linked = min(linked, len(text))
             if seen and rng.random() < 0.08:
                 out += extra(main if rng.random() < 0.5 else ())
             out.append(((("html", "body") + main + leaf, text, linked), 1.0))
@@ -314,7 +324,7 @@ def vary(page: list[Block], labels: np.ndarray, rng: np.random.Generator):
 
 
 def fit(pages: list[str], epochs: int = 24, batch: int = 24, rate: float = 0.01) -> BiLstm:
-    """Train on pages and two varied copies of each, with Adam."""
+    """Train on pages and ``COPIES`` varied copies of each, with Adam."""
     rng = np.random.default_rng(13)
     net = BiLstm.fresh(rng)
     data = []
@@ -323,7 +333,7 @@ def fit(pages: list[str], epochs: int = 24, batch: int = 24, rate: float = 0.01)
         if own:
             y = teach(own)
             data.append((own, y))
-            data += [v for v in (vary(own, y, rng) for _ in range(2)) if v[0]]
+            data += [v for v in (vary(own, y, rng) for _ in range(COPIES)) if v[0]]
     data = [(features([p]), y) for p, y in data]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in net.params]
     step = 0
