@@ -25,6 +25,7 @@ two different ones meet with a chance of about n m / (shards 2^40).
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -59,14 +60,15 @@ def _unplanes(data: memoryview, n: int, kind: str) -> np.ndarray:
 
 
 def pack(fp: np.ndarray, text: np.ndarray, count: np.ndarray) -> bytes:
-    """Sorted fingerprints with a text (or ``_ALL``) and a count each."""
+    """Sorted fingerprints with a text (or ``_ALL``) and a count each, deflated."""
     steps = np.diff(fp, prepend=np.uint64(0)).astype("<u8")
-    return len(fp).to_bytes(8, "little") + _planes(steps) + _planes(text.astype("<u2")) + (
-        _planes(np.minimum(count, 0xFFFFFFFF).astype("<u4")))
+    return len(fp).to_bytes(8, "little") + zlib.compress(
+        _planes(steps) + _planes(text.astype("<u2"))
+        + _planes(np.minimum(count, 0xFFFFFFFF).astype("<u4")), 1)
 
 
 def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n, view = int.from_bytes(data[:8], "little"), memoryview(data)[8:]
+    n, view = int.from_bytes(data[:8], "little"), memoryview(zlib.decompress(data[8:]))
     return (np.cumsum(_unplanes(view, n, "<u8"), dtype=np.uint64),
             _unplanes(view[8 * n:], n, "<u2"), _unplanes(view[10 * n:], n, "<u4"))
 
@@ -271,11 +273,11 @@ def _lengths_fit(a: Column, b: Column) -> Column:
     return 4 * F.least(a, b) >= 3 * F.greatest(a, b)
 
 
-def _positions_fit(x: str, y: str) -> Column:
+def _positions_fit(other: str) -> Column:
     """At most the shingles before and after this one can be shared besides it."""
-    rest = F.least(F.col(f"{x}.m") - F.col(f"{x}.pos"), F.col(f"{y}.m") - F.col(f"{y}.pos"))
-    before = F.least(F.col(f"{x}.pos"), F.col(f"{y}.pos"))
-    return 7 * (before + rest) >= 3 * (F.col(f"{x}.n") + F.col(f"{y}.n"))
+    rest = F.least(F.col("m") - F.col("pos"), F.col(f"{other}.m") - F.col(f"{other}.pos"))
+    before = F.least(F.col("pos"), F.col(f"{other}.pos"))
+    return 7 * (before + rest) >= 3 * (F.col("n") + F.col(f"{other}.n"))
 
 
 def check(pairs: DataFrame, units: DataFrame) -> DataFrame:
@@ -368,18 +370,18 @@ def links(units: DataFrame) -> DataFrame:
     able = units.where(F.col("prefix").isNotNull() & F.col("k").isNotNull())
     copies = units.where(F.col("k") != F.col("first")).select(
         F.col("k").alias("x"), F.col("first").alias("y"))
-    own = F.struct("k", "n", "m", "pos", "common")
+    own = F.struct("k", "n", "m", "pos")
     postings = able.select("k", "n", "m", "common", F.posexplode("prefix").alias("pos", "key"))
     leaders = postings.groupBy("key").agg(
         F.max_by(own, F.struct("common", -F.col("k"))).alias("best"),
         F.min_by(own, "k").alias("least"), F.count(F.lit(1)).alias("size")).where("size > 1")
     met = staged(postings.join(leaders, "key").select(
-        "key", "k", "n", "m", "pos", own.alias("own"), "best", "least", "size"), "met")
+        "key", "k", "n", "m", "pos", "best", "least", "size"), "met")
     stars = None
     for leader in ("best", "least"):
         star = met.where((F.col("k") != F.col(f"{leader}.k"))
                          & _lengths_fit(F.col("n"), F.col(f"{leader}.n"))
-                         & _positions_fit("own", leader)).select(
+                         & _positions_fit(leader)).select(
             F.least("k", f"{leader}.k").alias("x"), F.greatest("k", f"{leader}.k").alias("y"))
         stars = star if stars is None else stars.union(star)
     tried = staged(stars.distinct(), "tried")
