@@ -241,16 +241,15 @@ def _collect(group: pa.Table) -> pa.Table:
     for k in np.flatnonzero((need > 0) & (shared > 0)):
         mine = key[cut[k]:cut[k + 1]]
         prefix[k] = mine[:need[k]].view(np.int64)
-        everything[k] = np.sort(mine).tobytes()
-        cells[k] = np.minimum(np.bincount(
-            (mix(mine) % np.uint64(CELLS)).astype(np.int64), minlength=CELLS),
-            0xFFFF).astype("<u2").tobytes()
+        everything[k] = mine.view(np.int64)
+        cells[k] = np.bincount((mix(mine) % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
         common[k] = float(np.log(count[cut[k]:cut[k + 1]]).sum() / sizes[k])
     return pa.table({
         "k": keys, "n": pa.array(sizes), "first": keys.take(first),
         "m": pa.array(shared.astype(np.int64)), "common": pa.array(common, pa.float64()),
         "prefix": pa.array(prefix, pa.list_(pa.int64())),
-        "shared": pa.array(everything, pa.binary()), "cells": pa.array(cells, pa.binary())})
+        "shared": pa.array(everything, pa.list_(pa.int64())),
+        "cells": pa.array(cells, pa.list_(pa.int32()))})
 
 
 def shared_keys(docs: DataFrame, key: str = "doc_id", text: str = "text",
@@ -266,7 +265,7 @@ def shared_keys(docs: DataFrame, key: str = "doc_id", text: str = "text",
     return picked.mapInArrow(_send(shards, size, BLOCK_SHINGLES), schema).groupBy("shard").applyInArrow(
         _answer, schema).groupBy("block").applyInArrow(
         _collect, f"k {kind}, n bigint, first {kind}, m bigint, common double, "
-        "prefix array<bigint>, shared binary, cells binary")
+        "prefix array<bigint>, shared array<bigint>, cells array<int>")
 
 
 def _lengths_fit(a: Column, b: Column) -> Column:
@@ -281,31 +280,16 @@ def _positions_fit(other: str) -> Column:
 
 
 def check(pairs: DataFrame, units: DataFrame) -> DataFrame:
-    """The pairs (x, y) whose sets link. A cell filter on the suffixes comes first: two sets
-    share at most the smaller count of each cell."""
+    """The pairs (x, y) whose sets link. The cell filter on the suffixes comes first: two sets
+    share at most the smaller count of each cell. Row by row in the JVM, so that memory
+    follows the longest pair and not a batch of them."""
     lists = units.where(F.col("prefix").isNotNull()).select("k", "n", "shared", "cells")
     own = pairs.join(lists.toDF("x", "xn", "xs", "xc"), "x").join(
-        lists.toDF("y", "yn", "ys", "yc"), "y").select("x", "y", "xn", "yn", "xs", "ys", "xc", "yc")
-    kind = dict(pairs.dtypes)["x"]
-
-    def run(batches):
-        for batch in batches:
-            keep = []
-            for a, b, s, t, c, d in zip(*(batch.column(k).to_pylist()
-                                          for k in ("xn", "yn", "xs", "ys", "xc", "yc"))):
-                most = np.minimum(np.frombuffer(c, "<u2"), np.frombuffer(d, "<u2"))
-                if most.max(initial=0) < 0xFFFF and 7 * int(most.sum()) < 3 * (a + b):
-                    keep.append(False)
-                    continue
-                p, q = np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64)
-                if len(p) > len(q):
-                    p, q = q, p
-                at = np.minimum(np.searchsorted(q, p), len(q) - 1)
-                same = int((q[at] == p).sum())
-                keep.append(100 * same >= 75 * (a + b - same))
-            yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
-
-    return own.mapInArrow(run, f"x {kind}, y {kind}")
+        lists.toDF("y", "yn", "ys", "yc"), "y")
+    most = F.aggregate(F.zip_with("xc", "yc", lambda a, b: F.least(a, b).cast("long")),
+                       F.lit(0).cast("long"), lambda total, c: total + c)
+    size, same = F.col("xn") + F.col("yn"), F.size(F.array_intersect("xs", "ys"))
+    return own.where((7 * most >= 3 * size) & (100 * same >= 75 * (size - same))).select("x", "y")
 
 
 def _across(batches) -> Iterator[pa.RecordBatch]:
@@ -330,7 +314,7 @@ def _pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
     key, i, j, chunk, n, m, pos = (table.column(c).to_numpy().astype(np.int64) for c in (
         "key", "i", "j", "chunk", "n", "m", "pos"))
     component = np.unique(table.column("component").to_numpy(), return_inverse=True)[1]
-    cells = np.frombuffer(b"".join(table.column("cells").to_pylist()), "<u2").reshape(-1, CELLS)
+    cells = table.column("cells").combine_chunks().flatten().to_numpy().reshape(-1, CELLS)
     size = len(key)
     new = np.ones(size + 1, bool)
     new[1:size] = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
@@ -355,8 +339,7 @@ def _pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
         for at in range(0, len(a), 1 << 15):
             p, q = a[at:at + (1 << 15)], b[at:at + (1 << 15)]
             most = np.minimum(cells[p], cells[q])
-            keep = (7 * most.sum(axis=1, dtype=np.int64) >= both[at:at + (1 << 15)]) | (
-                most.max(axis=1, initial=0) == 0xFFFF)
+            keep = 7 * most.sum(axis=1, dtype=np.int64) >= both[at:at + (1 << 15)]
             found.append((p[keep], q[keep]))
         lo = hi
     a, b = (np.concatenate([f[s] for f in found] or [np.zeros(0, np.int64)]) for s in (0, 1))
