@@ -35,15 +35,21 @@ BATCH_BYTES = 1 << 20
 
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data dfn em font i ins del kbd mark q s samp small "
-    "span strike strong sub sup time tt u var wbr".split())
+    "span strike strong sub sup time tt u var wbr "
+    # Formulas are part of the sentence around them.
+    "math annotation annotation-xml maction menclose merror mfrac mi mmultiscripts mn mo mover "
+    "mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtext "
+    "mtr munder munderover semantics".split())
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split())
-# What these hold is not text of the page.
-RAW = "script|style|template|noscript|svg|math|iframe|object|canvas|xmp|noembed|noframes"
+# What these hold is not text of the page. The first two and comments end with the page at the
+# latest; of the others a start tag without an end tag is passed over alone.
+RAW = frozenset("template noscript svg iframe object canvas noembed noframes".split())
 _TAG = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(script|style)(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>"""
     r"|<[!?/][^>]*>", re.S | re.I)
+_ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in [*RAW, "xmp"]}
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PART = re.compile(r"[a-z]+")
 # Opening one of these closes an open one of the same kind.
@@ -75,6 +81,13 @@ def blocks(page: str) -> list[Block]:
     parts: list[str] = []
     linked, anchors = 0, 0
     at = 0
+    endless: set[str] = set()
+
+    def end_of(tag: str) -> re.Match | None:
+        found = None if tag in endless else _ENDS[tag].search(page, at)
+        if not found:
+            endless.add(tag)
+        return found
 
     def close() -> None:
         nonlocal linked
@@ -84,7 +97,7 @@ def blocks(page: str) -> list[Block]:
         parts.clear()
         linked = 0
 
-    for m in _TAG.finditer(page):
+    while m := _TAG.search(page, at):
         if m.start() > at:
             parts.append(page[at:m.start()])
             if anchors:
@@ -103,7 +116,17 @@ def blocks(page: str) -> list[Block]:
             if depth is not None:
                 del stack[depth:]
             anchors = 0
-        elif tag == "br":
+        elif tag in RAW:
+            end = None if tag == "svg" and m[0].endswith("/>") else end_of(tag)
+            at = end.end() if end else at
+        elif tag == "xmp" and (end := end_of(tag)):
+            close()  # an old name of pre, with all it holds as text
+            stack.append(("pre", "pre"))
+            parts.append(html.escape(page[at:end.start()]))
+            close()
+            stack.pop()
+            at = end.end()
+        elif tag in ("br", "mtd"):
             parts.append(" ")
         elif tag in INLINE:
             anchors += tag == "a"

@@ -33,6 +33,35 @@ def test_any_text_is_a_page(page):
     ht.blocks(page)
 
 
+@pytest.mark.parametrize("mark", [
+    '<svg class="i"/>', '<svg-icon name="x"></svg-icon>', "<svg class=i />", '<svg title="a>b"/>', "<template-x></template-x>",
+    "<object-fit>", "<svg><text>no</text></svg>", "<SVG><path d='M0'/></SVG >", "<canvas>", "<iframe src=x>", "<svg>",
+    "<script-x></script-x>", "<style-y>", "<script>a</script-x>b</script >"])
+def test_text_after_a_mark_is_kept(mark):
+    page = f"<article><p>one</p>{mark}<p>two</p><p>three</p></article><svg-icon></svg-icon><footer>end</footer>"
+    assert [t for _, t, _ in ht.blocks(page)] == ["one", "two", "three", "end"]
+
+
+def test_formulas_and_old_code_are_text():
+    page = """<article><p>Let <math display="inline"><mi>x</mi><mo>=</mo><mn>1</mn></math> hold.</p>
+    <xmp>if (a < b) &amp; <p>x</p></xmp><p>Last<xmp>open"""
+    assert [(p, t) for p, t, _ in ht.blocks(page)] == [
+        (("article", "p"), "Let x=1 hold."), (("article", "pre"), "if (a < b) &amp; <p>x</p>"), (("article", "p"), "Last"),
+        (("article", "p", "xmp"), "open")]
+
+
+def test_marks_and_formulas_in_main_text(net):
+    one, two, three = (f"This is the {n} paragraph of the text, which is long enough." for n in ("first", "second", "third"))
+    for mark, text in (('<svg class="i"/>', ""), ("<svg-icon name='x'></svg-icon>", ""), ("<xmp>a < b, and some code.</xmp>", "a < b, and some code. "),
+                       ("<p>Here <math><mi>x</mi><mo>=</mo><mn>1</mn></math> is set to one.</p>", "Here x=1 is set to one. ")):
+        page = f"<nav><ul><li><a>Home</a></ul></nav><article><p>{one}</p>{mark}<p>{two}</p><p>{three}</p></article><footer>(c)</footer>"
+        assert ht.main_texts(net, [page]) == [f"{one} {text}{two} {three}"]
+
+
+def test_many_open_marks_cost_their_size():
+    assert len(ht.blocks("<p>x<iframe>" * 50_000)) == 50_000
+
+
 def test_article_of_every_page(spark, net):
     """The fixture's pages hold their text in an article element."""
     pages = [r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
