@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import log
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +38,23 @@ def held_out(key: str, parts: int, rest: int) -> Column:
     return F.coalesce(own == rest, F.lit(False))
 
 
+def _known(labels: DataFrame, label: str, parts: int, rest: int, key: str) -> DataFrame:
+    return labels.where(
+        F.col(key).isNotNull() & F.col(label).isin(0, 1) & ~held_out(key, parts, rest)
+    ).groupBy(key).agg(F.max(label).cast("int").alias("label"))
+
+
+def sample_shift(labels: DataFrame, label: str, most: int, parts: int, rest: int,
+                 key: str = "doc_id") -> float:
+    """What moves log-odds learnt on ``labelled_sample`` to the class shares of all labels that
+    it draws from: 0 where it takes all of both classes, or where there is one class only."""
+    n = {r["label"]: r["count"] for r in _known(labels, label, parts, rest, key).groupBy(
+        "label").count().collect()}
+    if len(n) < 2:
+        return 0.0
+    return log(n[1] / n[0]) - log(min(n[1], most) / min(n[0], most))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, parts: int,
                     rest: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, ``text`` and ``label`` of at most ``most`` labelled documents of each class.
@@ -44,9 +63,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, p
     same in every run. A document with several labels has the largest; one whose label is
     neither 0 nor 1 has none. Only the sampled ids are broadcast: at most 2 x ``most``.
     """
-    known = labels.where(
-        F.col(key).isNotNull() & F.col(label).isin(0, 1) & ~held_out(key, parts, rest)
-    ).groupBy(key).agg(F.max(label).cast("int").alias("label"))
+    known = _known(labels, label, parts, rest, key)
     ones, zeros = (known.where(F.col("label") == v).orderBy(F.xxhash64(key), key).limit(most)
                    for v in (1, 0))
     texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))

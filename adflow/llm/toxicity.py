@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adflow.llm.stage import held_out, labelled_sample
+from adflow.llm.stage import held_out, labelled_sample, sample_shift
 from adflow.llm.text import NOT_ALNUM, Texts, Words, mix, slices, windows
 
 PLACES = 1 << 22
@@ -94,7 +94,8 @@ def fit(examples: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS) ->
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = SAMPLE,
           parts: int = 5, rest: int = 0) -> Model:
-    """Fit on at most ``most`` documents of each class that are not held out."""
+    """Fit on at most ``most`` documents of each class that are not held out, and shift the
+    scores to the classes' shares among all such labels."""
 
     def run(batches):
         for batch in slices(batches):
@@ -111,8 +112,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int =
     rows = sorted(sample.mapInArrow(
         run, f"key {key}, label int, places binary").toLocalIterator(),
         key=lambda r: (r["key"], r["places"]))
-    return fit([np.frombuffer(r["places"], "<i4") for r in rows],
-               np.array([r["label"] for r in rows], np.float64))
+    model = fit([np.frombuffer(r["places"], "<i4") for r in rows],
+                np.array([r["label"] for r in rows], np.float64))
+    model.intercept += sample_shift(labels, label, most, parts, rest)
+    return model
 
 
 def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:

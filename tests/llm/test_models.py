@@ -41,6 +41,17 @@ def test_held_out_accuracy(tables, name, parts, rest, least):
     assert (own["predicted"] == own[name]).mean() > least
 
 
+def test_a_capped_sample_scores_like_all_labels(tables):
+    """500 of each class: without the shift the odds of every document are 5.6 times too high."""
+    docs, labels = tables["documents"], tables["labels"]
+    assert tx.sample_shift(labels, "toxic", tx.SAMPLE, 5, 0) == 0 > -1.6 > tx.sample_shift(labels, "toxic", 500, 5, 0)
+    own = docs.join(labels.select("doc_id").distinct(), "doc_id")
+    full, capped = (tx.score(own, tx.train(docs, labels, most=most), ["doc_id"]).toPandas().set_index("doc_id")["predicted"]
+                    for most in (tx.SAMPLE, 500))
+    assert (full == capped.loc[full.index]).mean() > 0.99
+    assert abs(full.mean() - capped.mean()) < 0.01
+
+
 def test_languages_of_held_out_documents(tables):
     docs = tables["documents"]
     got = lg.languages(docs).join(docs.select("doc_id", "lang"), "doc_id").toPandas()
