@@ -101,11 +101,13 @@ class _Block:
         name = np.array([len(own), own.sum(dtype=np.uint64),
                          np.bitwise_xor.reduce(mix(own)) if len(own) else 0], np.uint64).tobytes()
         k = len(self.keys)
-        first = self.seen.setdefault(name, k) if len(own) else k
+        # A row without a key links with nothing: it has its size, and stands for no copies.
+        able = key is not None and len(own) > 0
+        first = self.seen.setdefault(name, k) if able else k
         self.keys.append(key)
         self.sizes.append(len(own))
         self.first.append(first)
-        if first == k and len(own):
+        if first == k and able:
             self.sets.append((k, own))
             self.total += len(own)
 

@@ -86,6 +86,16 @@ def test_odd_rows(make_docs, odd_rows):
     assert by[5][1] == by[6][1] == 5 and by[None][1] is None and by[8][1] == 8
 
 
+def test_copies_behind_a_row_without_a_key(spark, rng):
+    base = words(rng, 60)
+    text, near = " ".join(base), " ".join([*base[:-1], "other"])
+    data = [(None, text), (4, text), (5, text), (None, text), (6, near), (7, " ".join(words(rng, 60)))]
+    df = spark.createDataFrame(data, "doc_id bigint, text string").coalesce(1)
+    got = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in nj.near_duplicates(df).collect()]
+    assert sorted(r for r in got if r[0] is not None) == [(4, 56, 4), (5, 56, 4), (6, 56, 4), (7, 56, 7)]
+    assert [r for r in got if r[0] is None] == [(None, 56, None)] * 2
+
+
 def test_empty_table_and_clashing_names(spark, make_docs):
     assert nj.near_duplicates(make_docs([])).count() == 0
     df = make_docs([(1, "a b c"), (2, "a b c")]).selectExpr("*", "1 AS k", "2 AS n", "'x' AS prefix", "3 AS component")
