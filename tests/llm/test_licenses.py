@@ -1,10 +1,13 @@
 import math
 import re
+import textwrap
 from collections import Counter
+from importlib import resources
 
 import pytest
 
 from adflow.llm import licenses as lc
+from adflow.llm.notices import notices
 
 FILES = "path string, text string"
 
@@ -74,3 +77,35 @@ def test_no_licence_anywhere_and_clashing_names(files):
     got = lc.licenses(df).collect()
     assert len(got) == 3 and {(r["license"], r["origin"]) for r in got} == {(None, "none")}
     assert lc.licenses(files([])).count() == 0
+
+
+GPL = """# This program is free software; you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation; either version {} of the License, or
+# (at your option) any later version.
+"""
+
+
+def full(name):
+    return (resources.files("adflow.llm") / "license_texts" / f"{name}.txt").read_text("utf-8")
+
+
+def test_wrapped_headers_and_full_texts(files):
+    code = "import os\n\n\ndef run(x):\n    return os.path.join(x, 'y')\n" * 40
+    rows = [
+        ("v2.py", "# This work is licensed under the GNU General Public License,\n# version 2.\n" + code),
+        ("v3.py", code + "# This work is licensed under the GNU General Public License,\n# version 3.\n" + code),
+        ("said.py", "# This work is licensed under the GNU General Public License,\n# version 3, as found beside.\n" + code),
+        ("gpl2.py", "#!/bin/sh\n# Copyright someone\n#\n" + GPL.format(2) + "#\n" + code), ("gpl3.py", GPL.format(3) + code),
+        ("apache.c", "/* Licensed under the Apache License, Version 2.0 (the\n * \"License\"); you may not use this file except in\n"
+                     " * compliance with the License. You may obtain a copy of\n * the License at\n */\n" + code),
+        ("mit.txt", "\n".join(textwrap.wrap(notices()[1][1], 50))), ("none.py", code),
+        *((f"{n}/COPYING", full(n)) for n in ("Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0")),
+        ("GPL-3.0/deep/code.py", "x = 1"),
+    ]
+    got = {r["path"]: (r["license"], r["origin"]) for r in lc.licenses(files(rows)).collect()}
+    want = {"v2.py": "GPL-2.0", "v3.py": "GPL-3.0", "said.py": "GPL-3.0", "gpl2.py": "GPL-2.0", "gpl3.py": "GPL-3.0",
+            "apache.c": "Apache-2.0", "mit.txt": "MIT", "none.py": None}
+    assert {k: got[k][0] for k in want} == want
+    assert all(got[p] == (p.split("/")[0], "own") for p, _ in rows if p.endswith("COPYING"))
+    assert got["GPL-3.0/deep/code.py"] == ("GPL-3.0", "inherited")
