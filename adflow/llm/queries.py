@@ -14,6 +14,7 @@ from adflow.llm import (
     ngram_join,
     packing,
     quality,
+    repeat_queries,  # noqa: F401  registers its queries
     toxicity,
 )
 from adflow.llm.registry import ORACLES, QUERIES, query, table
