@@ -9,7 +9,9 @@
    all blocks; a common one is one row per block that has it, however often it occurs there.
 3. Blocks send the pieces of shared anchors to the anchor's shard: each distinct piece of a
    block once, with the smallest key that has it. So copies and common passages fold before
-   the shuffle, and rows grow with the text, not with blocks times shards.
+   the shuffle, and rows grow with the text, not with blocks times shards. The edges of a
+   common passage differ from text to text and do not fold; an anchor that more than ``HOT``
+   texts have is therefore dealt window by window, by the hash of the whole window.
 4. A shard indexes its distinct pieces (``RunIndex``: runs of the Burrows-Wheeler transform
    in a wavelet matrix) and streams them through the index: backward search gives the
    matching statistics against pieces of smaller keys, and the stretches of 13 words or more.
@@ -35,26 +37,27 @@ LEAST = 13
 GRAM = 4
 BLOCK_BYTES = 4 << 20
 SHARD_BYTES = 8 << 20
+HOT = 4096
 STREAMED = 1 << 16
 
 
 class _Pieces:
     """The words of a block's texts, cut at anchors. Piece p has ``count`` words from ``word``
-    on in text ``row``; equal pieces share ``name``."""
+    on in text ``row``."""
 
     def __init__(self, words: Words, able: np.ndarray, least: int):
-        hashes, rows = words.hashes(), words.rows()
+        self.least, self.hashes, rows = least, words.hashes(), words.rows()
         none = np.zeros(0, np.int64)
-        self.row = self.word = self.count = self.name = none
-        self.anchor, self.names = none.astype(np.uint64), 0
-        at, grams = windows(hashes, rows, GRAM)
+        self.row = self.word = self.count = none
+        self.anchor = none.astype(np.uint64)
+        at, grams = windows(self.hashes, rows, GRAM)
         if not len(at):
             return
-        gram = np.full(len(hashes), np.uint64(0xFFFFFFFFFFFFFFFF))
+        gram = np.full(len(rows), np.uint64(0xFFFFFFFFFFFFFFFF))
         gram[at] = grams
         # Windows of whole texts that may take part.
-        start = np.flatnonzero(able[rows[:max(len(rows) - least + 1, 0)]]
-                               & (rows[:max(len(rows) - least + 1, 0)] == rows[least - 1:]))
+        begin = rows[:max(len(rows) - least + 1, 0)]
+        start = np.flatnonzero(able[begin] & (begin == rows[least - 1:]))
         if not len(start):
             return
         low, place = gram[start], np.zeros(len(start), np.int64)
@@ -71,12 +74,35 @@ class _Pieces:
         self.word = start[lead]
         self.count = np.diff(np.append(lead, len(start))) + least - 1
         self.row, self.anchor = rows[self.word], mix(low[lead])
-        name = np.zeros(len(lead), np.uint64)
-        for k in range(int(self.count.max())):
-            own = k < self.count
-            name[own] = mix(name[own] * np.uint64(31) + hashes[self.word[own] + k])
-        _, self.name = np.unique(name, return_inverse=True)
-        self.names = int(self.name.max()) + 1
+
+    def narrow(self, known: np.ndarray, hot: np.ndarray) -> None:
+        """Keep the pieces of the anchors ``known``, and cut those of ``hot`` into their
+        windows, each its own anchor."""
+        keep = np.isin(self.anchor, known)
+        self.word, self.row, self.count, self.anchor = (
+            x[keep] for x in (self.word, self.row, self.count, self.anchor))
+        cut = np.isin(self.anchor, hot)
+        if not cut.any():
+            return
+        n = self.count[cut] - self.least + 1
+        word = np.repeat(self.word[cut], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        row = np.repeat(self.row[cut], n)
+        count = np.full(len(word), self.least)
+        self.word, self.row, self.count, self.anchor = (
+            np.concatenate([old[~cut], new]) for old, new in (
+                (self.word, word), (self.row, row), (self.count, count),
+                (self.anchor, self._named(word, count))))
+
+    def _named(self, word: np.ndarray, count: np.ndarray) -> np.ndarray:
+        name = np.zeros(len(word), np.uint64)
+        for k in range(int(count.max(initial=0))):
+            own = k < count
+            name[own] = mix(name[own] * np.uint64(31) + self.hashes[word[own] + k])
+        return name
+
+    def names(self) -> np.ndarray:
+        """A number per piece, the same for pieces of the same words."""
+        return np.unique(self._named(self.word, self.count), return_inverse=True)[1]
 
 
 def _rank(keys: pa.Array) -> np.ndarray:
@@ -104,22 +130,24 @@ def _opened(payload: bytes) -> tuple[pa.RecordBatch, Words, np.ndarray]:
 
 
 def _gather(least: int, most: int):
-    """Rows (block, payload, bytes, anchors, many): the first ``many`` anchors are in several texts."""
+    """Rows (block, payload, bytes, anchors, texts): the distinct anchors, and how many texts of
+    the block have each."""
 
     def closed(number, keys, texts, size, kind):
         payload = _closed(keys, texts, kind)
         _, words, able = _opened(payload)
         pieces = _Pieces(words, able, least)
-        pairs = np.unique(np.stack([pieces.anchor, pieces.row.astype(np.uint64)], axis=1), axis=0)[:, 0] if (
-            len(pieces.anchor)) else pieces.anchor
-        anchors, count = np.unique(pairs, return_counts=True)
-        order = np.argsort(count < 2, kind="stable")
+        order = np.lexsort((pieces.row, pieces.anchor))
+        anchor, row = pieces.anchor[order], pieces.row[order]
+        new = np.ones(len(anchor), bool)
+        new[1:] = (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])
+        anchors, count = np.unique(anchor[new], return_counts=True)
         return pa.RecordBatch.from_arrays(
             [pa.array([number], pa.int64()), pa.array([payload], pa.binary()),
              pa.array([size], pa.int64()),
-             pa.array([anchors[order].view(np.int64)], pa.list_(pa.int64())),
-             pa.array([int((count > 1).sum())], pa.int32())],
-            names=["block", "payload", "bytes", "anchors", "many"])
+             pa.array([anchors.view(np.int64)], pa.list_(pa.int64())),
+             pa.array([count.astype(np.int32)], pa.list_(pa.int32()))],
+            names=["block", "payload", "bytes", "anchors", "texts"])
 
     def run(batches):
         from pyspark import TaskContext
@@ -146,31 +174,36 @@ def _joined(words: Words, pieces: _Pieces, lead: np.ndarray) -> pa.Array:
         pieces.word[lead].tolist(), pieces.count[lead].tolist())], pa.binary())
 
 
+def _numbers(lists: pa.Array) -> np.ndarray:
+    """What one row's list of anchors has; a null list is empty."""
+    return np.unique(lists.flatten().to_numpy().view(np.uint64))
+
+
 def _send(least: int, shards: int):
     """Rows (shard, block, piece, k, words) of a block's distinct pieces with shared anchors."""
 
-    def run(blocks: pa.Table, shared: pa.Table) -> pa.Table:
-        out = []
-        if blocks.num_rows and shared.num_rows:
-            batch, words, able = _opened(blocks.column("payload")[0].as_py())
-            known = np.unique(shared.column("anchors").combine_chunks().flatten().to_numpy())
-            pieces = _Pieces(words, able, least)
-            asked = np.flatnonzero(np.isin(pieces.anchor.view(np.int64), known))
-            keys = batch.column("k")
-            # The first of each name in the order of keys.
-            order = asked[np.argsort(_rank(keys)[pieces.row[asked]], kind="stable")]
-            name, lead = np.unique(pieces.name[order], return_index=True)
-            lead = order[lead]
-            out = [(pieces.anchor[lead] % np.uint64(shards)).astype(np.int64),
-                   np.full(len(lead), blocks.column("block")[0].as_py(), np.int64),
-                   name.astype(np.int32), keys.take(pa.array(pieces.row[lead])),
-                   _joined(words, pieces, lead)]
-            release()
-        else:
-            kind = pa.ipc.open_stream(blocks.column("payload")[0].as_py()).schema.field("k").type if (
-                blocks.num_rows) else pa.int64()
-            out = [pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int32(), kind, pa.binary())]
-        return pa.table(dict(zip(("shard", "block", "piece", "k", "words"), out)))
+    def run(batches):
+        for rows in batches:
+            for at in range(rows.num_rows):
+                own = rows.slice(at, 1)
+                known, hot = _numbers(own.column("shared")), _numbers(own.column("hot"))
+                if not len(known):
+                    continue
+                batch, words, able = _opened(own.column("payload")[0].as_py())
+                pieces = _Pieces(words, able, least)
+                pieces.narrow(known, hot)
+                keys = batch.column("k")
+                # The first of each name in the order of keys.
+                order = np.argsort(_rank(keys)[pieces.row], kind="stable")
+                name, lead = np.unique(pieces.names()[order], return_index=True)
+                lead = order[lead]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((pieces.anchor[lead] % np.uint64(shards)).astype(np.int64)),
+                     pa.array(np.full(len(lead), own.column("block")[0].as_py(), np.int64)),
+                     pa.array(name.astype(np.int32)), keys.take(pa.array(pieces.row[lead])),
+                     _joined(words, pieces, lead)],
+                    names=["shard", "block", "piece", "k", "words"])
+        release()
 
     return run
 
@@ -217,16 +250,17 @@ def _apply(least: int):
         change = np.zeros(len(rows) + 1, np.int64)
         if answers.num_rows:
             pieces = _Pieces(words, able, least)
+            known, hot = (_numbers(blocks.column(c).combine_chunks()) for c in ("shared", "hot"))
+            pieces.narrow(known, hot)
             name = answers.column("piece").to_numpy()
-            place = np.full(pieces.names, -1, np.int64)
+            place = np.zeros(len(name), np.int64)
             place[name] = np.arange(len(name))
-            asked = np.flatnonzero(place[pieces.name] >= 0)
-            answer = place[pieces.name[asked]]
+            answer = place[pieces.names()]
             covered = answers.column("covered").to_numpy()[answer]
             firsts = answers.column("k").combine_chunks()
             ranks = _rank(pa.chunked_array([keys, firsts.cast(keys.type)]).combine_chunks())
-            later = ranks[:len(keys)][pieces.row[asked]] > ranks[len(keys):][answer]
-            word, count = pieces.word[asked], pieces.count[asked]
+            later = ranks[:len(keys)][pieces.row] > ranks[len(keys):][answer]
+            word, count = pieces.word, pieces.count
             np.add.at(change, word[later], 1)
             np.add.at(change, word[later] + count[later], -1)
             own = np.flatnonzero(~later & (covered > 0))
@@ -260,7 +294,7 @@ def _apply(least: int):
 
 def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
                       least: int = LEAST, block_bytes: int = BLOCK_BYTES,
-                      shard_bytes: int = SHARD_BYTES) -> DataFrame:
+                      shard_bytes: int = SHARD_BYTES, hot: int = HOT) -> DataFrame:
     """Per row: the key, ``n_words``, ``removed`` (merged word spans: start, words) and
     ``kept``, the other words joined by one space.
 
@@ -275,19 +309,20 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
     kind = dict(rows.dtypes)["k"]
     blocks = staged(rows.mapInArrow(
         _gather(least, block_bytes),
-        "block bigint, payload binary, bytes bigint, anchors array<bigint>, many int"), "blocks")
+        "block bigint, payload binary, bytes bigint, anchors array<bigint>, texts array<int>"), "blocks")
     shards = max(4, -(-(blocks.agg(F.sum("bytes")).first()[0] or 0) // shard_bytes))
-    listed = blocks.select("block", "many", F.posexplode("anchors").alias("pos", "anchor")).select(
-        "block", "anchor", F.when(F.col("pos") < F.col("many"), 2).otherwise(1).alias("n"))
+    listed = blocks.select("block", F.explode(F.arrays_zip("anchors", "texts")).alias("a")).select(
+        "block", F.col("a.anchors").alias("anchor"), F.col("a.texts").alias("n"))
     # At most a row per block and anchor: the groups of this window are no larger than that.
-    several = F.sum("n").over(Window.partitionBy("anchor")) > 1
-    shared = staged(listed.withColumn("several", several).where("several").groupBy("block").agg(
-        F.collect_list("anchor").alias("anchors")), "anchors")
-    whole = blocks.select("block", "payload").groupBy("block")
-    sent = whole.cogroup(shared.groupBy("block")).applyInArrow(
+    total = F.sum("n").over(Window.partitionBy("anchor"))
+    shared = staged(listed.withColumn("total", total).where("total > 1").groupBy("block").agg(
+        F.collect_list("anchor").alias("shared"),
+        F.collect_list(F.when(F.col("total") > hot, F.col("anchor"))).alias("hot")), "anchors")
+    whole = blocks.select("block", "payload").join(shared, "block", "left")
+    sent = whole.mapInArrow(
         _send(least, shards), f"shard bigint, block bigint, piece int, k {kind}, words binary")
     answers = sent.groupBy("shard").applyInArrow(
         _answer(least), f"block bigint, piece int, k {kind}, covered bigint")
-    return whole.cogroup(answers.groupBy("block")).applyInArrow(
+    return whole.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         _apply(least), f"k {kind}, n_words bigint, removed array<struct<start:bigint,words:bigint>>, "
         "kept string").withColumnRenamed("k", key)
