@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import cache
+from importlib import resources
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -81,69 +83,8 @@ APP_CATEGORY_VERBATIM = {
     "30": ("Parenting", "출산/육아", "육아"),
 }
 
-# First-level divisions (ISO 3166-2:KR), their names, and their cities, counties
-# and districts, without the ending that says which of these they are. Districts that several
-# cities have are listed with it.
-REGION_NAMES = {
-    "11": (
-        "dobong", "dongdaemun", "dongjak", "eunpyeong", "gangbuk", "gangdong", "gangnam", "gangseo",
-        "geumcheon", "guro", "gwanak", "gwangjin", "jongno", "jung-gu", "junggu", "jungnang", "mapo",
-        "nowon", "seocho", "seodaemun", "seongbuk", "seongdong", "seoul", "soeul", "songpa",
-        "yangcheon", "yeongdeungpo", "yongsan",
-    ),
-    "26": (
-        "buk-gu", "busan", "busanjin", "dong-gu", "donggu", "geumjeong", "gijang", "haeundae",
-        "nam-gu", "saha", "sasang", "seo-gu", "yeongdo", "yeonje",
-    ),
-    "27": ("daegu", "dalseo", "dalseong", "suseong", "suyeong"),
-    "28": ("bupyeong", "ganghwa", "gyeyang", "incheon", "namdong", "ongjin", "yeonsu"),
-    "29": ("gwangju", "gwangsan"),
-    "30": ("daedeok", "daejeon", "yuseong"),
-    "31": ("ulju", "ulsan"),
-    "41": (
-        "ansan", "anseong", "anyang", "bucheon", "bundang", "dongan", "dongducheon", "gapyeong",
-        "gimpo", "goyang", "gunpo", "guri", "gwacheon", "gwangmyeong", "gyeonggi", "hanam",
-        "hwaseong", "icheon", "namyangju", "osan", "paju", "pocheon", "pyeongtaek", "seongnam",
-        "siheung", "suji", "suwon", "uijeongbu", "uiwang", "yangju", "yeoju", "yeoncheon", "yongin",
-    ),
-    "42": (
-        "cheorwon", "chuncheon", "donghae", "gangneung", "gangwon", "goseong", "hoengseong",
-        "hongcheon", "hwacheon", "inje", "jeongseon", "pyeongchang", "samcheok", "sokcho", "taebaek",
-        "wonju", "yanggu", "yangyang", "yeongwol",
-    ),
-    "43": (
-        "boeun", "cheongju", "cheongwon", "cheorwon-gun", "chungbuk", "chungcheongbuk", "chungju",
-        "danyang", "eumseong", "heungdeok", "jecheon", "okcheon", "yeongdong",
-    ),
-    "44": (
-        "asan", "boryeong", "buyeo", "cheonan", "cheongyang", "chungcheongnam", "chungnam",
-        "geumsan", "gongju", "gyeryong", "hongseong", "nonsan", "north chungcheong", "seocheon",
-        "seosan", "taean", "yesan",
-    ),
-    "45": (
-        "buan", "gimje", "gochang", "gunsan", "iksan", "imsil", "jeollabuk", "jeonbuk", "jeongeup",
-        "jeonju", "jinan", "muju", "sunchang", "wanju",
-    ),
-    "46": (
-        "boseong", "damyang", "gangjin", "goheung", "gokseong", "gurye", "gwangyang", "haenam",
-        "hampyeong", "hwasun", "jangheung", "jangseong", "jeollanam", "jeonnam", "jindo", "mokpo",
-        "muan", "naju", "suncheon", "wando", "yeongam", "yeonggwang", "yeosu",
-    ),
-    "47": (
-        "andong", "bonghwa", "cheongdo", "cheongsong", "chilgok", "gimcheon", "goryeong", "gumi",
-        "gunwi", "gyeongbuk", "gyeongju", "gyeongsan", "gyeongsangbuk", "mungyeong", "pohang",
-        "sangju", "seongju", "uiseong", "uljin", "yecheon", "yeongcheon", "yeongdeok", "yeongju",
-        "yeongyang",
-    ),
-    "48": (
-        "changnyeong", "changwon", "geochang", "geoje", "gimhae", "gyeongnam", "gyeongsangnam",
-        "hadong", "haman", "hamyang", "hapcheon", "jinhae", "jinju", "miryang", "namhae", "sacheon",
-        "sancheong", "tongyeong", "uiryeong", "yangsan",
-    ),
-    "49": ("jeju", "seogwipo"),
-    "50": ("sejong",),
-}
-REGION_SUFFIX = "[- ](do|si|gu|gun|city|county|gwangyeoksi|teukbyeolsi|teukbyeoljachido)$"
+# Region spellings and their codes, as bid requests have them; lower case.
+REGION_SPELLINGS = "functions/region_spellings.csv"
 
 
 def by_position(code: Column, labels: Sequence[str]) -> Column:
@@ -196,37 +137,30 @@ def app_category(df: DataFrame, column: str, out: str) -> DataFrame:
     return step.withColumn(out, label).drop("__squeezed", "__first", "__second")
 
 
-def region_code(region: Column) -> Column:
-    """``KR-nn`` from an ISO code or a romanised name, as listed or without its ending; else NULL."""
-    text = F.lower(region)
-    number = F.regexp_extract(text, "^(?:kr-)?([0-9]{2})$", 1)
-    names = F.create_map(*[
-        F.lit(x) for name, code in _inverted(REGION_NAMES).items() for x in (name, f"KR-{code}")
-    ])
-    return F.when(text == "kr", "KR-0").when(
-        number.isin(*REGION_NAMES), F.concat(F.lit("KR-"), number)
-    ).otherwise(F.coalesce(
-        F.try_element_at(names, text),
-        F.try_element_at(names, F.regexp_replace(text, REGION_SUFFIX, "")),
-    ))
+@cache
+def region_spellings() -> dict[str, str]:
+    """The fixed table of region spellings, spelling to code."""
+    text = resources.files("adflow").joinpath(REGION_SPELLINGS).read_text(encoding="utf-8")
+    return dict(line.split(",") for line in text.splitlines()[1:])
 
 
 def recode_region(
     df: DataFrame, column: str, out: str, spellings: DataFrame | None = None
 ) -> DataFrame:
-    """Region code by rule, after an optional table ``(spelling, code)`` of local names.
+    """Region code of a spelling in any case; NULL for one that no table has.
 
-    The table belongs to the user and may have any size: no broadcast is forced.
+    An optional table ``(spelling, code)`` of the user's comes before the fixed one. It may have
+    any size: no broadcast is forced.
     """
+    lowered = df.withColumn("__region", F.lower(F.col(column)))
+    fixed = recode(lowered, "__region", region_spellings(), out)
     if spellings is None:
-        return df.withColumn(out, region_code(F.col(column)))
+        return fixed.drop("__region")
     table = spellings.select(
-        F.lower("spelling").alias("__spelling"), F.col("code").alias("__code")
+        F.lower("spelling").alias("__spelling"), F.col("code").alias("__own")
     ).dropDuplicates(["__spelling"])
-    joined = df.join(table, F.lower(F.col(column)) == F.col("__spelling"), "left")
-    return joined.withColumn(
-        out, F.coalesce("__code", region_code(F.col(column)))
-    ).drop("__spelling", "__code")
+    joined = fixed.join(table, F.col("__region") == F.col("__spelling"), "left")
+    return joined.withColumn(out, F.coalesce("__own", out)).drop("__region", "__spelling", "__own")
 
 
 def device_type(df: DataFrame, column: str, out: str) -> DataFrame:

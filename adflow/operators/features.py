@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adflow.functions.recode import app_category, device_type, os_class, region_code, size_class
+from adflow.functions.recode import app_category, device_type, os_class, recode_region, size_class
 from adflow.functions.scalars import (
     bid_flag,
     clk_flag,
@@ -22,7 +22,7 @@ from adflow.operators.skew import assert_unique, fanout_left_join, skew_join, st
 def request_attributes(bronze: DataFrame) -> DataFrame:
     """Device, placement and place of each bid request."""
     device = "BidStream.request.device"
-    return bronze.select(
+    rows = bronze.select(
         "tid",
         F.lower(f"{device}.os").alias("os"),
         F.lower(f"{device}.make").alias("deviceMake"),
@@ -32,11 +32,12 @@ def request_attributes(bronze: DataFrame) -> DataFrame:
         F.col("BidStream.bundle_domain").alias("bundle"),
         F.col("BidStream.bidfloor").cast("double").alias("bidfloor"),
         F.col(f"{device}.geo.country").alias("country"),
-        region_code(F.col(f"{device}.geo.region")).alias("region"),
+        F.col(f"{device}.geo.region").alias("region"),
         F.col(f"{device}.geo.lat").cast("string").alias("lat"),
         F.col(f"{device}.geo.lon").cast("string").alias("lon"),
         "actiontime_date",
     )
+    return recode_region(rows, "region", "region")
 
 
 def with_category(bids: DataFrame, apps: DataFrame) -> DataFrame:

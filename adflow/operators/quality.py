@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from decimal import Decimal
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adflow.functions.timewin import moment
+from adflow.operators.skew import staged
 from adflow.sources.sinks import append
 
 SKIPPED_NULL_TYPES = (T.BooleanType, T.StructType, T.DateType)
@@ -114,16 +117,18 @@ def summarize(
     """Per column, as rows: count, NULLs and their share, range, mean, deviation, quartiles and
     distinct values.
 
-    All but the last come from one pass; quartiles are off by one row in ``accuracy`` at
-    most. Distinct values are counted column by column in two steps, each reading its own
-    column, so no row is repeated; ``approx=True`` counts them by sketch.
+    Counts, range, mean and deviation come from one pass. Distinct values and quartiles are
+    exact: counted column by column, each pass reading its own column, so no row is repeated.
+    ``approx=True`` takes both from sketches in the one pass; its quartiles are off by one row
+    in ``accuracy`` at most.
     """
     cols = list(cols or df.columns)
     numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)}
+    quarters = (25, 50, 75)
 
     def stats(c: str) -> list[Column]:
         number = F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")
-        quartiles = F.percentile_approx(number, [0.25, 0.5, 0.75], accuracy)
+        sketch = F.percentile_approx(number, [q / 100 for q in quarters], accuracy)
         return [
             F.count(c).alias(f"{c}__count"),
             F.count_if(F.col(c).isNull()).alias(f"{c}__nulls"),
@@ -132,7 +137,8 @@ def summarize(
             F.max(c).cast("string").alias(f"{c}__max"),
             F.avg(number).alias(f"{c}__mean"),
             F.stddev(number).alias(f"{c}__stddev"),
-            *[F.get(quartiles, F.lit(i)).alias(f"{c}__p{q}") for i, q in enumerate((25, 50, 75))],
+            *[(F.get(sketch, F.lit(i)) if approx else F.lit(None).cast("double")).alias(f"{c}__p{q}")
+              for i, q in enumerate(quarters)],
         ]
 
     one = df.agg(*[s for c in cols for s in stats(c)])
@@ -140,7 +146,46 @@ def summarize(
         F.struct(F.lit(c).alias("column"), *[F.col(f"{c}__{s}").alias(s) for s in SUMMARY[1:]])
         for c in cols
     ]))
-    return one.select(rows.alias("r")).select("r.*").join(distinct_counts(df, cols, approx), "column")
+    found = one.select(rows.alias("r")).select("r.*")
+    if not approx and numeric & set(cols):
+        exact = quantiles(df, [c for c in cols if c in numeric], [q / 100 for q in quarters])
+        wide = exact.groupBy("column").agg(*[
+            F.max(F.when(F.col("share") == q / 100, F.col("value"))).alias(f"p{q}") for q in quarters])
+        found = found.drop(*[f"p{q}" for q in quarters]).join(wide, "column", "left").select(*SUMMARY)
+    return found.join(distinct_counts(df, cols, approx), "column")
+
+
+def quantiles(df: DataFrame, cols: Sequence[str], shares: Sequence[float]) -> DataFrame:
+    """``column``, ``share``, ``value``: the least value that at least this share of the
+    column's values does not exceed, exactly. NULLs do not count; a column without values has
+    no rows.
+
+    Selection in three steps. Values fold to counts, which lie sorted in ranges; the counts of
+    whole ranges say which range has a wanted rank; only such ranges, one per column and
+    share, are added up value by value. No task holds more than a range.
+    """
+    values = reduce(DataFrame.unionAll, [
+        df.where(F.col(c).isNotNull()).select(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
+        for c in cols])
+    counts = values.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    ranged = staged(counts.repartitionByRange("column", "value").withColumn(
+        "range", F.spark_partition_id()), "ranges")
+    sizes = ranged.groupBy("column", "range").agg(F.sum("n").alias("size"))
+    ordered = Window.partitionBy("column").orderBy("range")
+    placed = sizes.select(
+        "column", "range", "size", (F.sum("size").over(ordered) - F.col("size")).alias("before"),
+        F.sum("size").over(Window.partitionBy("column")).alias("total"))
+    # Whole numbers: the rank of a share is not rounded by floating point.
+    wanted = F.explode(F.array(*[F.struct(
+        F.lit(float(s)).alias("share"),
+        F.greatest(F.ceil(F.col("total") * F.lit(Decimal(str(s)))).cast("long"), F.lit(1).cast("long")).alias("rank"))
+        for s in shares]))
+    wanted = placed.select("column", "range", "size", "before", wanted.alias("w")).where(
+        "w.rank > before AND w.rank <= before + size").select("column", "range", "before", "w.*")
+    within = Window.partitionBy("column", "share").orderBy("value")
+    return ranged.join(F.broadcast(wanted), ["column", "range"]).withColumn(
+        "upto", F.col("before") + F.sum("n").over(within)).where("upto >= rank").groupBy(
+        "column", "share").agg(F.min("value").alias("value"))
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adflow.operators.dedup import first_by
-from adflow.operators.skew import assert_unique
 
 
 def append_rows(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -75,28 +75,33 @@ def new_ids(current: DataFrame, known: DataFrame, key: str) -> DataFrame:
 
 def overlay(
     raw: DataFrame, wash: DataFrame, keys: Sequence[str], descriptors: Sequence[str],
-    metrics: Sequence[str], unique: bool = False,
+    metrics: Sequence[str], unique: bool = True,
 ) -> DataFrame:
     """Late restatement: washed keys keep raw descriptors and take wash metrics.
 
     Equal descriptors of a washed key merge into one row. Untouched raw rows
     pass through as they are, repeats included; a wash key absent from raw adds
-    nothing. The wash batch is one row per key; ``unique=True`` checks that.
+    nothing. A wash key with two rows stops the job; with ``unique=False`` the greater
+    metrics of its rows count.
 
-    One left join. Restated rows are merged by a grouping in which every untouched row
-    has a number of its own.
+    Each side is shuffled once, by the keys: the wash rows fold by them, and the rows of a key
+    and its descriptors, which merge, are where the join has put them.
     """
     keys = list(keys)
     columns = [*dict.fromkeys([*keys, *descriptors, *metrics])]
+    new = F.max(F.struct(*metrics))
     if unique:
-        assert_unique(wash, keys)
-    new = wash.select(*keys, F.struct(*metrics).alias("__new"))
-    joined = raw.select(*columns).join(new, keys, "left")
+        twice = F.raise_error(F.concat_ws(" ", F.lit("more than one wash row of"), F.to_json(F.struct(*keys))))
+        new = F.when(F.count(F.lit(1)) > 1, twice).otherwise(new)
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    folded = wash.where(known).groupBy(*keys).agg(new.alias("__new"))
+    joined = raw.select(*columns).join(folded, keys, "left")
     washed = F.col("__new").isNotNull()
     values = [F.when(washed, F.col(f"__new.{c}")).otherwise(F.col(c)).alias(c)
               if c in metrics else F.col(c) for c in columns]
-    row = F.when(~washed, F.monotonically_increasing_id()).alias("__row")
-    return joined.select(*values, row).distinct().drop("__row")
+    same = Window.partitionBy(*dict.fromkeys([*keys, *descriptors])).orderBy(F.lit(1))
+    merged = joined.withColumn("__n", F.row_number().over(same))
+    return merged.where(~washed | (F.col("__n") == 1)).select(*values)
 
 
 def enrich(stats: DataFrame, dims: Sequence[tuple[DataFrame, Sequence[str]]], how: str = "inner") -> DataFrame:

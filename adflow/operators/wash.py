@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,22 +34,23 @@ def wash(
 ) -> DataFrame:
     """Recompute ``[start, end)``, replace it in the table, and validate the result.
 
-    The window replaced is the window computed, so a second run changes nothing. A missing
+    The window replaced is the window computed, so a second run changes nothing. With
+    ``by="day"`` the job runs per day, and all days are replaced in one change. A missing
     table is made with partitions by ``partition_by``, so that later runs rewrite days only.
     Returns the validation row; it is also appended to ``runs`` when given.
     """
-    for low, high in intervals(start, end, by):
-        rows = job(low, high)
-        if not spark.catalog.tableExists(table):
-            overwrite(rows, table, partition_by)
-            continue
+    spans = intervals(start, end, by)
+    rows = reduce(lambda a, b: a.unionByName(b), [job(low, high) for low, high in spans])
+    if not spark.catalog.tableExists(table):
+        overwrite(rows, table, partition_by)
+    else:
         kind = spark.table(table).schema[date_col].dataType
-        window = (F.col(date_col) >= moment(low).cast(kind)) & (
-            F.col(date_col) < moment(high).cast(kind)
+        window = (F.col(date_col) >= moment(start).cast(kind)) & (
+            F.col(date_col) < moment(end).cast(kind)
         )
         if kind.typeName() == "string":
-            window = (F.col(date_col) >= low.strftime("%Y-%m-%d")) & (
-                F.col(date_col) < high.strftime("%Y-%m-%d")
+            window = (F.col(date_col) >= start.strftime("%Y-%m-%d")) & (
+                F.col(date_col) < end.strftime("%Y-%m-%d")
             )
         replace_window(rows, table, window, scope)
     database, _, name = table.rpartition(".")

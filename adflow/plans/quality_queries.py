@@ -84,24 +84,36 @@ def expectations(spark, sf_dir):
 SUM_COLS = ["p_partkey", "p_name", "p_brand", "p_size"]
 
 
-def _summary_sql(c):
-    number = c in ("p_partkey", "p_size")
+LINE_COLS = ["l_orderkey", "l_extendedprice", "l_discount", "l_linestatus"]
+
+
+def _summary_sql(c, table, numbers):
+    number = c in numbers
     quartiles = ", ".join(
         (f"CAST(quantile_disc({c}, {q / 100}) AS DOUBLE)" if number else "CAST(NULL AS DOUBLE)") + f" AS p{q}"
         for q in (25, 50, 75)
     )
-    mean = f"CAST(SUM({c}) AS DOUBLE) / COUNT({c}) AS mean, round(STDDEV_SAMP({c}), 4) AS stddev" if number else (
+    mean = f"round(CAST(SUM({c}) AS DOUBLE) / COUNT({c}), 4) AS mean, round(STDDEV_SAMP({c}), 4) AS stddev" if number else (
         "CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS stddev")
     return (
         f"SELECT '{c}' AS \"column\", COUNT({c}) AS \"count\", COUNT(*) - COUNT({c}) AS nulls, (COUNT(*) - COUNT({c})) / COUNT(*) AS null_share, "
-        f"COUNT(DISTINCT {c}) AS \"distinct\", CAST(MIN({c}) AS VARCHAR) AS \"min\", CAST(MAX({c}) AS VARCHAR) AS \"max\", {mean}, {quartiles} FROM part"
+        f"COUNT(DISTINCT {c}) AS \"distinct\", CAST(MIN({c}) AS VARCHAR) AS \"min\", CAST(MAX({c}) AS VARCHAR) AS \"max\", {mean}, {quartiles} FROM {table}"
     )
 
 
-@query("q11_summarize", " UNION ALL ".join(_summary_sql(c) for c in SUM_COLS))
+def _summary(df, cols):
+    return ql.summarize(df, cols).withColumns({c: F.round(c, 4) for c in ("mean", "stddev")})
+
+
+@query("q11_summarize", " UNION ALL ".join(_summary_sql(c, "part", ("p_partkey", "p_size")) for c in SUM_COLS))
 def summarize(spark, sf_dir):
-    rows = ql.summarize(read(spark, sf_dir, "part"), SUM_COLS)
-    return rows.withColumn("stddev", F.round("stddev", 4))
+    return _summary(read(spark, sf_dir, "part"), SUM_COLS)
+
+
+@query("q11_summarize_lines", " UNION ALL ".join(_summary_sql(c, "lineitem", LINE_COLS[:3]) for c in LINE_COLS))
+def summarize_lines(spark, sf_dir):
+    """More rows than a sketch would hold."""
+    return _summary(read(spark, sf_dir, "lineitem"), LINE_COLS)
 
 
 # --- re-processing ---------------------------------------------------------

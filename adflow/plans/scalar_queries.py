@@ -195,11 +195,11 @@ def code_labels(spark, sf_dir):
   regexp_replace({REGION_SQL}, 'KR-', '') AS region, substring(props, 2, 3) AS part FROM events""",
 )
 def text_functions(spark, sf_dir):
-    region = rc.region_code(F.expr(REQUEST["region"]))
-    return _events(spark, sf_dir).select(
+    rows = _events(spark, sf_dir).withColumn("reg", F.expr(REQUEST["region"]))
+    return rc.recode_region(rows, "reg", "region").select(
         "event_id", F.lower("event_type").alias("low"),
         F.replace(F.col("props"), F.lit(" "), F.lit("")).alias("squeezed"),
-        F.regexp_replace(region, "KR-", "").alias("region"),
+        F.regexp_replace("region", "KR-", "").alias("region"),
         F.substring("props", 2, 3).alias("part"),
     )
 

@@ -59,15 +59,27 @@ def stream_table(spark, sf_dir):
     return _run(rows, spark, "s2")
 
 
-for _k in fn.KINDS:
+CLOSED = "epoch_us(window_end) <= (SELECT epoch_us(MAX(ts)) // 1000 * 1000 FROM events WHERE event_type = '{kind}') - {delay} * 3600000000"
 
-    @query(f"z1_dedup_{_k}", f"SELECT DISTINCT {HEAD['tid']} AS tid FROM events WHERE event_type = '{KIND_OF[_k]}'")
-    def dedup(spark, sf_dir, kind=_k):
-        rows = ss.dedup_stream(_kind(spark, sf_dir, kind), ["tid"], "ts", ss.DEDUP_DELAY[kind])
-        return _run(rows.select("tid"), spark, "z1")
 
+def _first_sql(kind):
+    """Events of a key that follow each other within the delay are one; its first by time counts, once
+    the watermark (the latest event less the delay, in whole milliseconds) has passed its end."""
+    hours = int(ss.DEDUP_DELAY[kind].split()[0])
+    return f"""WITH e AS (SELECT {HEAD['tid']} AS tid, ts, CAST(user_id % 5 AS INT) AS ad_adv, {PRICE} AS price FROM events WHERE event_type = '{KIND_OF[kind]}'),
+b AS (SELECT *, CASE WHEN lag(ts) OVER (PARTITION BY tid ORDER BY ts) >= ts - INTERVAL {hours} HOUR THEN 0 ELSE 1 END AS new FROM e),
+s AS (SELECT *, SUM(new) OVER (PARTITION BY tid ORDER BY ts) AS session FROM b),
+f AS (SELECT *, row_number() OVER (PARTITION BY tid, session ORDER BY ts, ad_adv, price) AS rn,
+  MAX(ts) OVER (PARTITION BY tid, session) + INTERVAL {hours} HOUR AS window_end FROM s)
+SELECT tid, ts, ad_adv, CAST(price AS DOUBLE) AS price FROM f WHERE rn = 1 AND {CLOSED.format(kind=KIND_OF[kind], delay=hours)}"""
 
-CLOSED = "epoch_us(window_end) <= (SELECT epoch_us(MAX(ts)) // 1000 * 1000 FROM events WHERE event_type = '{kind}') - {delay} * 3600000000"
+
+for _k in fn.KINDS:
+
+    @query(f"z1_dedup_{_k}", _first_sql(_k))
+    def dedup(spark, sf_dir, kind=_k):
+        rows = ss.first_per_key(_kind(spark, sf_dir, kind), ["tid"], "ts", ss.DEDUP_DELAY[kind], ["ad_adv", "price"])
+        return _run(_ntz(rows.withColumn("price", F.col("price").cast("double")), "ts"), spark, "z1")
 
 
 @query(
@@ -155,6 +167,21 @@ def stream_expectations(spark, sf_dir):
     return ss.ledger(spark, book)
 
 
+@query(
+    "q9_stream_ledger",
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS rule, COUNT(*) FILTER (WHERE {r}) AS passed, COUNT(*) - COUNT(*) FILTER (WHERE {r}) AS dropped FROM events"
+        for n, r in RULES.items()
+    ),
+)
+def stream_ledger(spark, sf_dir):
+    """A stream into plain files, counted by what its progress reports say."""
+    book = work_dir(spark, "ledger")
+    ledger = ss.ExpectationLedger(spark, book, RULES)
+    ledger.run(ledger.watched(_stream(spark, sf_dir)), work_dir(spark, "q9"))
+    return ss.ledger(spark, book)
+
+
 @query("z6_stream_kept_rows", f"SELECT * FROM events WHERE {' AND '.join(f'({r})' for r in RULES.values())}")
 def stream_kept_rows(spark, sf_dir):
     kept, book = work_dir(spark, "z6"), work_dir(spark, "ledger")
@@ -174,6 +201,25 @@ def backfill(spark, sf_dir):
     return spark.table(table).withColumn("day", F.col("day").cast("string"))
 
 
+@query(
+    "z7_backfill_widened",
+    """SELECT event_id, ts, event_type, CASE WHEN CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12' THEN value END AS value,
+  CAST(user_id AS BIGINT) AS user_id, CAST(CAST(ts AS DATE) AS STRING) AS day FROM events""",
+)
+def backfill_widened(spark, sf_dir):
+    """The landed files have a column more than the table, and a wider type of another."""
+    events = read(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    landed = work_dir(spark, "landed")
+    full = events.select("event_id", "ts", "event_type", F.col("value").cast("double").alias("value"), F.col("user_id").cast("long").alias("user_id"), "day")
+    full.write.options(**rd.MICROS).json(landed)
+    table = f"{temp_database(spark, 'bronze')}.events"
+    broken = F.col("day").between(F.lit("2024-01-10").cast("date"), F.lit("2024-01-12").cast("date"))
+    old = events.select("event_id", "ts", "event_type", F.col("user_id").cast("int").alias("user_id"), "day")
+    sk.overwrite(old.where(~broken | (F.col("event_type") == "view")), table, ["day"])
+    ss.backfill(spark, landed, table, broken, full.schema, widen=True)
+    return spark.table(table).withColumn("day", F.col("day").cast("string"))
+
+
 # --- joins of streams ------------------------------------------------------
 
 END = "end of the fixture"

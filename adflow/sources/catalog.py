@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adflow.functions.names import leaves
+from adflow.sources import versions as vs
 from adflow.sources.sinks import overwrite, partition_columns
 
 DEV_PREFIX = "tt_"
@@ -17,13 +18,19 @@ DATE_WORDS = ("date", "Date", "start")
 
 
 def list_tables(spark: SparkSession, databases: Sequence[str]) -> list[tuple[str, str]]:
-    """(database, table) of every table that is not a view."""
-    return sorted(
-        (db, t.name)
-        for db in databases
-        for t in spark.catalog.listTables(db)
-        if t.tableType != "VIEW" and not t.isTemporary
-    )
+    """(database, table) of every table that is not a view.
+
+    A versioned table counts as one, by its name; the tables behind it do not.
+    """
+    out = set()
+    for db in databases:
+        for t in spark.catalog.listTables(db):
+            base = vs.base_name(t.name)
+            if base is not None:
+                out.add((db, base))
+            elif t.tableType != "VIEW" and not t.isTemporary:
+                out.add((db, t.name))
+    return sorted(out)
 
 
 def find_tables(
@@ -115,7 +122,7 @@ def sync_dev(spark: SparkSession, database: str, dev_database: str) -> DataFrame
     stale = sorted({r["table"] for r in diff.collect()})
     source = {t for _, t in list_tables(spark, [database])}
     for name in stale:
-        spark.sql(f"DROP TABLE IF EXISTS {dev_database}.{name}")
+        vs.remove(spark, f"{dev_database}.{name}")
     return clone_tables(spark, database, dev_database, [n for n in stale if n in source])
 
 

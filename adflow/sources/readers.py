@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adflow.functions.names import strip_names
+from adflow.sources import versions
 
 # Keeps microseconds when times pass through text.
 MICROS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
@@ -27,7 +28,7 @@ def stream_json(
 
 
 def stream_table(spark: SparkSession, name: str) -> DataFrame:
-    return spark.readStream.table(name)
+    return versions.stream(spark, name)
 
 
 def stream_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

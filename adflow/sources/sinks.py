@@ -2,92 +2,42 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from adflow.session import work_dir
+from adflow.sources import versions as vs
 
 
-def _sized(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Even file sizes: Spark merges small pieces of a partition and splits big ones.
-
-    A plain repartition by the columns would put a hot day into one task.
-    """
-    return df.hint("rebalance", *partition_by) if partition_by else df
-
-
-def _folder(spark: SparkSession, table: str) -> str:
-    """A fresh folder beside the table's database, for a new version of its files."""
-    database, _, name = table.rpartition(".")
-    base = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def remove_files(spark: SparkSession, path: str) -> None:
-    """Delete a folder that this library wrote and nothing refers to any more."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def recover(spark: SparkSession, table: str) -> None:
-    """Finish a swap that stopped after the old table had gone: its successor is complete."""
-    if not spark.catalog.tableExists(table) and spark.catalog.tableExists(f"{table}__next"):
-        spark.sql(f"ALTER TABLE {table}__next RENAME TO {table}")
-
-
-def publish(spark: SparkSession, path: str, table: str, schema, partition_by: Sequence[str] = ()) -> None:
-    """Put complete files at ``path`` in the place of ``table``, or make the table.
-
-    The successor is registered first, under a name of its own; only then does the old
-    table go and the successor take its name. A run that stops in between is finished
-    by ``recover``, which every write calls first.
-    """
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    clause = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in partition_by)})" if partition_by else ""
-    spark.sql(f"DROP TABLE IF EXISTS {table}__next")
-    spark.sql(f"CREATE TABLE {table}__next ({columns}) USING parquet {clause} LOCATION '{path}'")
-    if partition_by:
-        spark.sql(f"ALTER TABLE {table}__next RECOVER PARTITIONS")
-    old = _location(spark, table) if spark.catalog.tableExists(table) else None
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {table}__next RENAME TO {table}")
-    if old:
-        remove_files(spark, old)
-
-
-def _location(spark: SparkSession, table: str) -> str:
-    rows = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").collect()
-    return rows[0]["data_type"]
+def append(
+    df: DataFrame, table: str, partition_by: Sequence[str] = (), widen: bool = False
+) -> None:
+    """Add rows to a table, or make it. Columns go by name; a column that the table lacks is an
+    error, or with ``widen`` a new column of the table."""
+    spark = df.sparkSession
+    vs.recover(spark, table)
+    if not spark.catalog.tableExists(table):
+        overwrite(df, table, partition_by)
+    elif vs.pointer(spark, table):
+        vs.add(df, table, widen=widen)
+    else:
+        _take_over(spark.table(table), df, table, widen)
 
 
-def append(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
-    recover(df.sparkSession, table)
-    if df.sparkSession.catalog.tableExists(table):
-        _sized(df.select(*df.sparkSession.table(table).columns), partition_by).write.insertInto(table)
-    else:
-        overwrite(df, table, partition_by)
+def _take_over(kept: DataFrame, new: DataFrame, table: str, widen: bool) -> None:
+    """A table that someone else made becomes a versioned one with its first change here: all of
+    it is written once."""
+    rows = kept.unionByName(new, allowMissingColumns=widen)
+    vs.replace_all(rows, table, partition_columns(kept.sparkSession, table))
 
 
 def overwrite(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
-    """New content for a table, or a new table. The files are complete before the catalog
-    changes, so a failed run leaves the table as it was; ``df`` may read the table."""
-    spark = df.sparkSession
-    recover(spark, table)
-    if not spark.catalog.tableExists(table):
-        writer = _sized(df, partition_by).write
-        (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
-        return
-    path = _folder(spark, table)
-    writer = _sized(df, partition_by).write
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    ordered = df.select(*[c for c in df.columns if c not in partition_by], *partition_by)
-    publish(spark, path, table, ordered.schema, partition_by)
+    """New content for a table, or a new table: shown by one statement when all files are
+    complete, so a failed run leaves the table as it was. ``df`` may read the table."""
+    vs.replace_all(df, table, partition_by)
 
 
 def refresh_dim(df: DataFrame, table: str) -> None:
@@ -105,7 +55,7 @@ def export_parquet(df: DataFrame, base: str, date: str, hour: str | None = None)
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Partitioned files; partitions present in ``df`` replace their old content."""
     (
-        _sized(df, partition_by)
+        vs.sized(df, partition_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
@@ -121,9 +71,20 @@ def write_sized(df: DataFrame, path: str, rows_per_file: int) -> None:
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    own = vs.pointer(spark, table)
+    if own:
+        return own.parts
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
+def partitions(spark: SparkSession, table: str) -> DataFrame:
+    """The table's partitions, as rows of its partition columns."""
+    own = vs.pointer(spark, table)
+    if own:
+        return vs.live(spark, own).select(*own.parts).distinct()
+    return spark.table(table).select(*partition_columns(spark, table)).distinct()
+
+
 def _one_of(parts: Sequence[str], values: Sequence[Row]) -> Column:
     """Partition predicate as literals, which prunes the file listing."""
     if len(parts) == 1 and all(v[0] is not None for v in values):
@@ -135,136 +96,53 @@ def _one_of(parts: Sequence[str], values: Sequence[Row]) -> Column:
     return reduce(lambda a, b: a | b, matches)
 
 
+def _only(cond: Column, columns: DataFrame) -> bool:
+    """Whether a predicate needs no more than these columns."""
+    try:
+        columns.where(cond)
+    except AnalysisException:
+        return False
+    return True
+
+
 def replace_window(
-    new: DataFrame, table: str, window: Column, scope: Mapping[str, object] | None = None
+    new: DataFrame, table: str, window: Column, scope: Mapping[str, object] | None = None,
+    widen: bool = False,
 ) -> None:
-    """Delete the rows of a window (and scope), then add ``new``.
-
-    The window need not match partition bounds. Partitions it touches are written anew, as
-    their surviving rows plus the new ones, into folders of their own; when all files are
-    complete the catalog is pointed at them, then the old folders go. A run that fails
-    while writing leaves the table as it was. One that stops while the catalog changes
-    leaves old partitions beside new ones and loses nothing; repeating it completes it.
-    Rows for which the predicate is unknown (NULL) survive.
+    """Delete the rows of a window (and scope), then add ``new``, in one change.
 
-    ``new`` is written to the shared folder first: it is computed once, and may
-    read the table it is going to change. That copy is removed after success.
+    The window need not match partition bounds. Partitions that lose rows are written anew, as
+    their surviving rows plus the new ones; partitions that only gain rows get files more.
+    Rows for which the predicate is unknown (NULL) survive. A window over partition columns
+    alone is answered by the list of partitions: they go whole, unread. ``new`` is computed
+    once and may read the table. ``widen`` as in ``append``.
     """
     spark = new.sparkSession
-    recover(spark, table)
-    parts = partition_columns(spark, table)
-    target = spark.table(table)
-    columns = target.columns
+    vs.recover(spark, table)
+    target, parts = spark.table(table), partition_columns(spark, table)
     doomed = window
     for name, value in (scope or {}).items():
         doomed = doomed & (F.col(name) == F.lit(value))
-
-    staged_at = work_dir(spark, "staged")
-    new.select(*columns).write.parquet(staged_at)
-    staged = spark.read.schema(target.schema).parquet(staged_at)
     survives = ~F.coalesce(doomed, F.lit(False))
-    if parts:
-        _replace_partitions(target, staged, table, parts, doomed, survives)
-    else:
-        path, old = _folder(spark, table), _location(spark, table)
-        target.where(survives).unionByName(staged).write.parquet(path)
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-        spark.catalog.refreshTable(table)
-        remove_files(spark, old)
-    remove_files(spark, staged_at)
-
-
-def _spec(parts: Sequence[str], row: Row) -> str:
-    return ", ".join(
-        f"`{p}` = NULL" if row[p] is None else f"`{p}` = '{row[p]}'" for p in parts
-    )
-
-
-def _replace_partitions(target, staged, table, parts, doomed, survives) -> None:
-    """Write the touched partitions beside the old ones, then change the catalog.
-
-    Partition values are catalog metadata: as many as the window has folders. A window over
-    partition columns alone is answered by the catalog: its partitions go whole, unread.
-    """
-    spark = target.sparkSession
-    try:
-        gone = _known_partitions(target, table, parts).where(doomed).collect()
-        read = set(map(tuple, gone))
-    except AnalysisException:
-        gone = target.where(doomed).select(*parts).distinct().collect()
-        read = set()
-    fresh = staged.select(*parts).distinct().collect()
-    touched = list({tuple(r): r for r in [*gone, *fresh]}.values())
-    if not touched:
+    if vs.pointer(spark, table) is None:
+        _take_over(target.where(survives), new, table, widen)
         return
-    path = _folder(spark, table)
-    result, partly = staged, [r for r in touched if tuple(r) not in read]
-    if partly:
-        kept = target.where(_one_of(parts, partly)).where(survives)
-        result = kept.unionByName(staged)
-    result = result.select(*target.columns)
-    _sized(result, parts).write.partitionBy(*parts).parquet(path)
-
-    # The new folders as a table: its partitions say where each lies.
-    new, columns = f"{table}__parts", ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}" for f in target.schema.fields)
-    clause = ", ".join(f"`{p}`" for p in parts)
-    spark.sql(f"DROP TABLE IF EXISTS {new}")
-    spark.sql(f"CREATE TABLE {new} ({columns}) USING parquet PARTITIONED BY ({clause}) LOCATION '{path}'")
-    spark.sql(f"ALTER TABLE {new} RECOVER PARTITIONS")
-    written, before = _partitions(spark, new), _partitions(spark, table)
-    old = []
-    for row in touched:
-        spec, key = _spec(parts, row), tuple(None if v is None else str(v) for v in row)
-        if key in before:
-            old.append(_part_location(spark, table, spec))
-        if key not in written:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
-        else:
-            place = _part_location(spark, new, spec)
-            spark.sql(
-                f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{place}'" if key in before
-                else f"ALTER TABLE {table} ADD PARTITION ({spec}) LOCATION '{place}'")
-    spark.sql(f"DROP TABLE {new}")
-    spark.catalog.refreshTable(table)
-    for place in old:
-        remove_files(spark, place)
-
-
-def _known_partitions(target: DataFrame, table: str, parts: Sequence[str]) -> DataFrame:
-    """The catalog's partitions as rows of the partition columns."""
-    spark = target.sparkSession
-    rows = list(_partitions(spark, table))
-    texts = spark.createDataFrame(rows, ", ".join(f"`{p}` string" for p in parts))
-    return texts.select(*[F.col(p).cast(target.schema[p].dataType).alias(p) for p in parts])
-
-
-NULL_PART = "__HIVE_DEFAULT_PARTITION__"
-
-
-def _partitions(spark: SparkSession, table: str) -> set[tuple]:
-    """Values of the table's partitions, as text."""
-    out = set()
-    for (text,) in spark.sql(f"SHOW PARTITIONS {table}").collect():
-        values = (unquote(piece.split("=", 1)[1]) for piece in text.split("/"))
-        out.add(tuple(None if v in (NULL_PART, "null") else v for v in values))
-    return out
-
-
-def _part_location(spark: SparkSession, table: str, spec: str) -> str:
-    rows = spark.sql(f"DESCRIBE FORMATTED {table} PARTITION ({spec})").where(
-        "col_name = 'Location'").collect()
-    return rows[0]["data_type"]
+    if not parts:
+        rows = target.where(survives).unionByName(new, allowMissingColumns=widen)
+        vs.add(rows, table, gone=target.limit(0), widen=widen)
+        return
+    schema, kept = target.select(*parts).schema, None
+    if _only(doomed, spark.createDataFrame([], schema)):
+        gone = partitions(spark, table).where(doomed)
+    else:
+        # As many values as the window has partitions.
+        found = target.where(doomed).select(*parts).distinct().collect()
+        gone = spark.createDataFrame(found, schema)
+        kept = target.where(_one_of(parts, found)).where(survives) if found else None
+    rows = kept.unionByName(new, allowMissingColumns=widen) if kept is not None else new
+    vs.add(rows, table, gone=gone, widen=widen)
 
 
 def save_features(df: DataFrame, table: str) -> None:
-    """Feature rows as a table; vector columns keep their type, which only Spark's own
-    writer stores. A new table is complete or absent; an old one is replaced at the end."""
-    spark = df.sparkSession
-    if not spark.catalog.tableExists(table):
-        df.write.saveAsTable(table)
-        return
-    spark.sql(f"DROP TABLE IF EXISTS {table}__next")
-    df.write.saveAsTable(f"{table}__next")
-    spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"ALTER TABLE {table}__next RENAME TO {table}")
+    """Feature rows as a table; vector columns keep their type."""
+    overwrite(df, table)

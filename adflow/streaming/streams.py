@@ -6,12 +6,12 @@ zone and are read in the session's zone, since watermarks need that type.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Mapping, Sequence
 
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from adflow.functions.timewin import between_seconds
 from adflow.operators.quality import observed
@@ -27,31 +27,36 @@ def event_time(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp") for c in columns})
 
 
-def fold_repeats(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
-    """The latest event per key of each Arrow batch: a stateless step before a shuffle.
+def dedup_stream(df: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:
+    """One event per key within the delay, the first that arrives, at once; older keys leave
+    the state.
 
-    Spark has no partial form of stream de-duplication. With this a key that a third of
-    all events have sends a row per batch of rows instead of all of them. The latest event
-    is the one least likely to be too late.
+    Every event goes through the shuffle. ``first_per_key`` folds before it, and its result
+    does not depend on the order of arrival.
     """
-    columns, by = df.columns, list(keys)
+    return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
-    def run(batches):
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            order = pc.sort_indices(table, sort_keys=[(ts, "descending")])
-            rank = pa.table({**{k: table.column(k) for k in by},
-                             "__row": pa.array(range(table.num_rows))}).take(order)
-            first = rank.group_by(by, use_threads=False).aggregate([("__row", "first")])
-            yield from table.take(first.column("__row_first")).select(columns).to_batches()
 
-    return df.mapInArrow(run, df.schema)
+# Lets a task fold the events of a key before the shuffle.
+LOCAL_SESSIONS = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
 
 
-def dedup_stream(df: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:
-    """One event per key within the delay; older keys leave the state."""
-    folded = fold_repeats(df, keys, ts)
-    return folded.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+def first_per_key(
+    df: DataFrame, keys: Sequence[str], ts: str, delay: str, ties: Sequence[str] = ()
+) -> DataFrame:
+    """The earliest event of each key, as long as its events follow within the delay of each
+    other; emitted once no more can follow.
+
+    A session per key, with its first event by time and ``ties``: the same rows whatever
+    files the events come in. As an aggregate it folds in the tasks, so a key that a third
+    of all events have sends a row per task.
+    """
+    df.sparkSession.conf.set(LOCAL_SESSIONS, "true")
+    rest = [c for c in df.columns if c not in keys]
+    order = F.struct(ts, *ties) if ties else F.col(ts)
+    first = F.min_by(F.struct(*rest), order).alias("first")
+    grouped = df.withWatermark(ts, delay).groupBy(F.session_window(ts, delay), *keys).agg(first)
+    return grouped.select(*keys, *[F.col(f"first.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
 def first_per_window(
@@ -62,7 +67,7 @@ def first_per_window(
 
     The batch job's "first per transaction and bucket" as a stream. Being an
     aggregate it folds repeats on the map side, so a key with very many events
-    sends one row per task; ``dedup_stream`` answers sooner but sends them all.
+    sends one row per task.
     """
     rest = [c for c in df.columns if c not in keys]
     order = F.struct(ts, *ties) if ties else F.col(ts)
@@ -198,6 +203,58 @@ def expect_batches(
 LEDGER = "rule string, passed bigint, dropped bigint"
 
 
+class ExpectationLedger(StreamingQueryListener):
+    """Counts per rule of any stream, whatever its sink: those that ``watched`` observes.
+
+    Spark reports them with the progress of each batch. They are stored per query and batch, so
+    a batch that runs again is counted once. The driver keeps no more than one report.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, rules: Mapping[str, str], name: str = "rules"):
+        self.spark, self.path, self.rules, self.name = spark, path, dict(rules), name
+        self.ended = threading.Event()
+        self.failed: Exception | None = None
+
+    def watched(self, df: DataFrame) -> DataFrame:
+        """``df``, its rows counted per rule on their way to the sink."""
+        passed = [F.count_if(F.expr(rule)).alias(n) for n, rule in self.rules.items()]
+        return df.observe(self.name, F.count(F.lit(1)).alias("rows"), *passed)
+
+    def run(self, df: DataFrame, path: str, **options):
+        """``run_available`` under this ledger; returns when all reports are stored."""
+        self.ended.clear()
+        self.spark.streams.addListener(self)
+        try:
+            done = run_available(df, path, **options)
+            if not self.ended.wait(60):
+                raise TimeoutError("the stream has ended, its reports have not come")
+        finally:
+            self.spark.streams.removeListener(self)
+        if self.failed:
+            raise self.failed
+        return done
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        got = event.progress.observedMetrics.get(self.name)
+        if got is None:
+            return
+        entries = [(n, got[n], got["rows"] - got[n]) for n in self.rules]
+        try:
+            self.spark.createDataFrame(entries, LEDGER).coalesce(1).write.mode("overwrite").parquet(
+                f"{self.path}/query_id={event.progress.id}/batch_id={event.progress.batchId}")
+        except Exception as exc:  # the listener's thread: told to the one that waits
+            self.failed = exc
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.set()
+
+
 def ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
     """Passed and dropped rows per rule over all batches."""
     return spark.read.parquet(ledger_path).groupBy("rule").agg(
@@ -257,8 +314,12 @@ def window_batches(table: str, ts: str) -> Callable[[DataFrame, int], None]:
 
 
 def backfill(
-    spark: SparkSession, paths: str, table: str, window: Column, schema
+    spark: SparkSession, paths: str, table: str, window: Column, schema, widen: bool = False
 ) -> None:
-    """Reload a broken window of a bronze table from its landed files."""
+    """Reload a broken window of a bronze table from its landed files, in one change.
+
+    ``widen=True`` adds columns that ``schema`` has and the table lacks, and takes over wider
+    types; rows outside the window have NULL there.
+    """
     rows = read_json(spark, paths, schema).where(window)
-    replace_window(rows, table, window)
+    replace_window(rows, table, window, widen=widen)

@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from adflow.operators.sets import overlay
 
 SF = "/root/testdata/sf0.001"
 
@@ -43,6 +44,13 @@ def test_user_agent_needs_no_shuffle(plan):
     assert shuffles(plan("u1_enrich_ua")) == 0
 
 
+def test_overlay_shuffles_each_side_once(spark, plan):
+    raw = spark.range(1000).selectExpr("id % 50 AS k", "id % 7 AS name", "id AS m")
+    wash = spark.range(20).selectExpr("id AS k", "id AS m")
+    df = overlay(raw, wash, ["k"], ["name"], ["m"])
+    assert shuffles(df._jdf.queryExecution().executedPlan().toString()) == 2
+
+
 def test_window_filter_reaches_the_scan(plan):
     text = plan("f1_where_window")
     pushed = re.search(r"PushedFilters: \[([^\n]*)\]", text).group(1)

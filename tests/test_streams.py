@@ -131,7 +131,35 @@ def test_window_batches_replace_their_windows(spark, rows):
     assert rows(spark.table(name), "n") == [(1,), (2,), (3,)]
 
 
-def test_fold_keeps_the_latest_of_a_hot_key(spark):
-    events = spark.createDataFrame([("a", at(m)) for m in range(500)] + [(None, at(1)), ("b", at(0))], "tid string, ts timestamp")
-    got = ss.fold_repeats(events.coalesce(1), ["tid"], "ts").collect()
-    assert {(r["tid"], r["ts"]) for r in got} == {("a", at(499)), (None, at(1)), ("b", at(0))}
+def test_first_per_key_does_not_depend_on_files(spark):
+    """All columns of the first event, whether events come in one file, in order, or backwards."""
+    events = [("hot", m, m % 3) for m in range(0, 50)] + [("b", 7, 1), ("b", 3, 2), ("b", 3, 1), ("b", 90, 4), ("c", 200, 1), ("end", 900, 1)]
+    want = sorted([("hot", at(0), 0), ("b", at(3), 1), ("b", at(90), 4), ("c", at(200), 1)])
+    for cuts in ([events], [events[:20], events[20:54], events[54:]], [events[54:55], events[20:54][::-1], events[:20], events[55:]]):
+        topic = Topic(spark, "first")
+        for part in cuts:
+            topic.add(*part)
+        stream = ss.first_per_key(topic.stream(), ["tid"], "ts", "1 hour", ["adv"])
+        got = topic.run(stream).select("tid", F.col("ts").cast("timestamp_ntz").alias("ts"), "adv")
+        assert sorted(tuple(r) for r in got.collect()) == want
+
+
+def test_first_per_key_has_no_python_and_folds_before_the_shuffle(spark):
+    topic = Topic(spark, "plan")
+    topic.add(("a", 0, 1))
+    plan = ss.first_per_key(topic.stream(), ["tid"], "ts", "1 hour")._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    assert spark.conf.get(ss.LOCAL_SESSIONS) == "true"
+
+
+def test_ledger_of_a_plain_sink(spark):
+    topic = Topic(spark, "plain")
+    book = work_dir(spark, "ledger")
+    ledger = ss.ExpectationLedger(spark, book, {"known": "adv IN (1, 2)", "named": "tid <> 'x'"})
+    topic.add(("a", 0, 1), ("x", 1, 2), ("b", 2, None))
+    ledger.run(ledger.watched(topic.stream()), topic.out, checkpoint=topic.checkpoint)
+    topic.add(("c", 3, 9))
+    ledger.run(ledger.watched(topic.stream()), topic.out, checkpoint=topic.checkpoint)
+    got = {r["rule"]: (r["passed"], r["dropped"]) for r in ss.ledger(spark, book).collect()}
+    assert got == {"known": (2, 2), "named": (3, 1)}
+    assert spark.read.parquet(topic.out).count() == 4

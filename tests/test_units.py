@@ -1,7 +1,10 @@
 """Edge rows that the driver tables do not hold."""
 
+import math
+import random
 from datetime import date, datetime
 from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -105,14 +108,14 @@ def test_app_category_classes(spark):
     }
 
 
-def test_region_rule_and_spellings(spark):
+def test_region_spellings_of_the_user(spark):
     texts = ["KR", "11", "kr-26", "Gyeonggi-do", "Chungcheongbuk-do", "Jeju", "99", "haeundae-gu", None]
     df = spark.createDataFrame([(t,) for t in texts], "r string")
-    local = spark.createDataFrame([("Haeundae-gu", "KR-26")], "spelling string, code string")
+    local = spark.createDataFrame([("Haeundae-gu", "KR-99"), ("99", "KR-1")], "spelling string, code string")
     got = {r["r"]: r["o"] for r in rc.recode_region(df, "r", "o", local).collect()}
     assert got == {
         "KR": "KR-0", "11": "KR-11", "kr-26": "KR-26", "Gyeonggi-do": "KR-41",
-        "Chungcheongbuk-do": "KR-43", "Jeju": "KR-49", "99": None, "haeundae-gu": "KR-26", None: None,
+        "Chungcheongbuk-do": "KR-43", "Jeju": "KR-49", "99": "KR-1", "haeundae-gu": "KR-99", None: None,
     }
 
 
@@ -238,6 +241,10 @@ def test_overlay(spark, rows):
     assert got == [(1, "a", 99), (1, "b", 99), (2, "c", 20), (None, "d", 30)]
     same = rows(st.overlay(raw, wash.where("false"), ["k"], ["name"], ["m"]), "k", "name", "m")
     assert same == rows(raw)
+    twice = wash.union(spark.createDataFrame([(1, 98), (None, 1), (None, 2)], "k int, m int"))
+    with pytest.raises(Exception, match="more than one wash row"):
+        st.overlay(raw, twice, ["k"], ["name"], ["m"]).collect()
+    assert rows(st.overlay(raw, twice, ["k"], ["name"], ["m"], unique=False), "k", "name", "m") == got
 
 
 def test_reconcile_sides(spark):
@@ -313,6 +320,18 @@ def test_cardinality_and_summary(spark):
     assert (got["n"]["count"], got["n"]["nulls"], got["n"]["min"], got["n"]["mean"]) == (2, 1, "1", 2.0)
 
 
+def test_quantiles_are_exact(spark, rng=random.Random(3)):
+    values = [(rng.randrange(-500, 30_000) / 4, rng.choice([1, 1, 1, 2, 7])) for _ in range(40_003)]
+    df = spark.createDataFrame([*values, (None, None), (float("nan"), None)], "a double, b int").withColumn("c", F.lit(None).cast("int"))
+    shares = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
+    got = {(r["column"], r["share"]): r["value"] for r in ql.quantiles(df, ["a", "b", "c"], shares).collect()}
+    for c, own in (("a", sorted(v for v, _ in values) + [math.nan]), ("b", sorted(v for _, v in values))):
+        for s in shares:
+            want = own[max(math.ceil(len(own) * Fraction(str(s))), 1) - 1]
+            assert got[c, s] == want or (math.isnan(want) and math.isnan(got[c, s]))
+    assert len(got) == 2 * len(shares)
+
+
 def test_decode_codes_of_a_shared_key(spark, rows):
     df = spark.createDataFrame([("zero", [1, 9]), ("zero", [2]), ("zero", [2]), ("u", []), ("v", None)], "id string, a array<int>")
     codes = spark.createDataFrame([(1, "one"), (2, "two")], "code int, label string")
@@ -359,16 +378,20 @@ def test_airbridge_and_export_fields(spark):
     assert jn.export_fields(spark.createDataFrame([(1, 2)], "a int, b int"), fields, "click").columns == ["a"]
 
 
-def test_regions_by_code_name_and_ending(spark):
-    from adflow.functions.recode import region_code
-
-    want = {
-        "KR": "KR-0", "11": "KR-11", "kr-26": "KR-26", "Gangnam-gu": "KR-11", "suwon": "KR-41", "Suwon-si": "KR-41",
+def test_every_region_spelling_has_its_code(spark):
+    table = rc.region_spellings()
+    assert len(table) == 345 and len(set(table.values())) == 18
+    df = spark.createDataFrame([(k.upper(), v) for k, v in table.items()], "r string, want string")
+    assert rc.recode_region(df, "r", "c").where("NOT c <=> want").count() == 0
+    some = {
+        "KR": "KR-0", "11": "KR-11", "kr-26": "KR-26", "Gangnam-gu": "KR-11", "suwon": "KR-41", "kimje": "KR-45",
         "jeju city": "KR-49", "soeul": "KR-11", "north chungcheong": "KR-44", "cheorwon": "KR-42", "Cheorwon-gun": "KR-43",
-        "buk-gu": "KR-26", "Gapyeong County": "KR-41", "busan-gwangyeoksi": "KR-26", "nowhere": None, "99": None, None: None,
+        "ulchin": "KR-47", "yongam": "KR-43", "seoul_t'ukpyolsi": "KR-11", "juan-dong": "KR-28", "jinjeop-eup": "KR-41",
+        "Suwon-si": None, "nowhere": None, "99": None, None: None,
     }
-    df = spark.createDataFrame([(k,) for k in want], "r string")
-    assert {r["r"]: r["c"] for r in df.select("r", region_code(F.col("r")).alias("c")).collect()} == want
+    df = spark.createDataFrame([(k,) for k in some], "r string")
+    assert {r["r"]: r["c"] for r in rc.recode_region(df, "r", "c").collect()} == some
+
 
 
 def test_costs_of_all_channels_have_one_unit(spark):
