@@ -119,30 +119,34 @@ def _search(estimator, grid, evaluator, folds: int, seed: int, parallelism: int,
 
 def fit_gbt_cls(
     train: DataFrame, depths: Sequence[int] = (2, 5), rounds: Sequence[int] = (10, 100),
-    folds: int = 3, seed: int = 42, parallelism: int = 4, metric: str = "f1",
+    folds: int = 3, seed: int = 42, parallelism: int = 4, metric: str = "f1", bins: int = 32,
 ) -> CrossValidatorModel:
     """Boosted trees over a grid, one model per class against the rest.
 
     The metric is named: scores printed elsewhere as accuracy were F1.
     """
-    base = GBTClassifier(labelCol=LABEL, featuresCol=FEATURES, seed=seed)
+    base = GBTClassifier(labelCol=LABEL, featuresCol=FEATURES, seed=seed, maxBins=bins)
     estimator = OneVsRest(
         labelCol=LABEL, featuresCol=FEATURES, classifier=base, parallelism=parallelism
     )
-    candidates = [
-        base.copy({base.maxDepth: d, base.maxIter: r}) for d in depths for r in rounds
-    ]
-    grid = ParamGridBuilder().addGrid(estimator.classifier, candidates).build()
+    # By the classifier's own parameters: a copy of OneVsRest keeps its classifier and hands
+    # them on, while a classifier in the grid would be overwritten by the first one.
+    grid = (
+        ParamGridBuilder()
+        .addGrid(base.maxDepth, list(depths))
+        .addGrid(base.maxIter, list(rounds))
+        .build()
+    )
     evaluator = MulticlassClassificationEvaluator(labelCol=LABEL, metricName=metric)
     return _search(estimator, grid, evaluator, folds, seed, parallelism, train)
 
 
 def fit_gbt_reg(
     train: DataFrame, depths: Sequence[int] = (2, 5), rounds: Sequence[int] = (10, 100),
-    folds: int = 3, seed: int = 42, parallelism: int = 4,
+    folds: int = 3, seed: int = 42, parallelism: int = 4, bins: int = 32,
 ) -> CrossValidatorModel:
     """Boosted regression trees over a grid, chosen by RMSE."""
-    model = GBTRegressor(labelCol=LABEL, featuresCol=FEATURES, seed=seed)
+    model = GBTRegressor(labelCol=LABEL, featuresCol=FEATURES, seed=seed, maxBins=bins)
     grid = (
         ParamGridBuilder()
         .addGrid(model.maxDepth, list(depths))

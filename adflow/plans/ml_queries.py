@@ -172,6 +172,160 @@ def importances(spark, sf_dir):
     return found.withColumn("importance", F.round("importance", 6))
 
 
+# --- real features, trees of one split -------------------------------------
+#
+# With a bin per value a tree of depth one is the best of all splits of all features, which SQL
+# can search: the features in steps, so that a bin per value is enough at any size.
+
+STEPS = {
+    "price": "CAST(floor(o_totalprice / 10000) AS DOUBLE)",
+    "balance": "CAST(floor(c_acctbal / 500) AS DOUBLE)",
+    "month": "CAST(month(o_orderdate) AS DOUBLE)",
+    "priority": "CAST(substring(o_orderpriority, 1, 1) AS DOUBLE)",
+    "segment": "CAST(length(c_mktsegment) AS DOUBLE)",
+}
+BINS = 512
+# A label that no split tells exactly: it depends on the numbers as they are, not in steps.
+LABEL_OF = "CASE WHEN o_totalprice > 150000 + 10 * c_acctbal THEN {0} WHEN o_totalprice > 62500 THEN {1} ELSE {2} END"
+LABEL_SQL = LABEL_OF.format(*(f"{k}.0::DOUBLE" for k in range(3)))
+
+
+def _steps(spark, sf_dir, label=LABEL_OF.format("0.0D", "1.0D", "2.0D")):
+    """Orders and their customers as features in steps, as a table."""
+    orders, customers = read(spark, sf_dir, "orders"), read(spark, sf_dir, "customer")
+    rows = orders.join(customers, orders.o_custkey == customers.c_custkey).selectExpr(
+        "o_orderkey", *[f"{e} AS {c}" for c, e in STEPS.items()], f"{label} AS label")
+    ready = ml.assemble(rows, list(STEPS))
+    table = f"{temp_database(spark, 'steps')}.orders"
+    save_features(ready.select("o_orderkey", ml.FEATURES, ml.LABEL), table)
+    return spark.table(table), ready
+
+
+def _splits_sql(targets):
+    """CTEs: rows, and per target the split with the least squared error and its sides' means.
+    For shares of classes the sum over the targets is the impurity."""
+    columns = ", ".join(f"{e} AS {c}" for c, e in STEPS.items())
+    kinds = ", ".join(f"{e} AS {t}" for t, e in targets.items())
+    sums = ", ".join(f"SUM({t}) AS s_{t}, SUM({t} * {t}) AS q_{t}" for t in targets)
+    long = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, {k} AS place, {c} AS v, COUNT(*) AS n, {sums} FROM d GROUP BY {c}"
+        for k, c in enumerate(STEPS))
+    window = "OVER (PARTITION BY feature ORDER BY v)"
+    below = ", ".join(f"SUM(s_{t}) {window} AS l_{t}, SUM(s_{t}) OVER (PARTITION BY feature) AS a_{t}" for t in targets)
+    return f"""WITH d AS (SELECT o_orderkey, {columns}, {LABEL_SQL} AS label, {kinds}
+  FROM orders JOIN customer ON o_custkey = c_custkey),
+v AS ({long}),
+c AS (SELECT feature, place, v, SUM(n) {window} AS ln, SUM(n) OVER (PARTITION BY feature) AS an, {below},
+  LEAD(v) {window} AS after FROM v)"""
+
+
+def _gain(targets):
+    """What a split explains; the larger, the less error is left."""
+    return " + ".join(f"l_{t} * l_{t} / ln + (a_{t} - l_{t}) * (a_{t} - l_{t}) / (an - ln)" for t in targets)
+
+
+def _best(target_list, name):
+    gain = _gain(target_list)
+    means = ", ".join(f"l_{t} / ln AS lm_{t}, (a_{t} - l_{t}) / (an - ln) AS rm_{t}" for t in target_list)
+    return (f"{name} AS (SELECT feature, (v + after) / 2 AS cut, ln, an, {means} FROM c WHERE after IS NOT NULL "
+            f"ORDER BY round({gain}, 6) DESC, place, v LIMIT 1)")
+
+
+def _side(name):
+    """Whether a row of d is below the cut of a best split."""
+    whens = " ".join(f"WHEN '{c}' THEN d.{c}" for c in STEPS)
+    return f"(CASE {name}.feature {whens} END <= {name}.cut)"
+
+
+CLASSES = {f"k{k}": f"CASE WHEN {LABEL_SQL} = {k} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END" for k in range(3)}
+SIGNS = {f"k{k}": f"CASE WHEN {LABEL_SQL} = {k} THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END" for k in range(3)}
+
+
+def _argmax(values):
+    """The first class with the greatest value."""
+    top = f"GREATEST({', '.join(values)})"
+    return f"CASE {top} WHEN {values[0]} THEN 0.0::DOUBLE WHEN {values[1]} THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END"
+
+
+FOREST_SQL = f"""{_splits_sql(CLASSES)}, {_best(list(CLASSES), "b")},
+p AS (SELECT d.*, b.feature, CASE WHEN {_side("b")} THEN {_argmax([f"lm_{t}" for t in CLASSES])} ELSE {_argmax([f"rm_{t}" for t in CLASSES])} END AS prediction
+  FROM d, b)"""
+STUMP = {"trees": 1, "maxDepth": 1, "maxBins": BINS, "bootstrap": False, "featureSubsetStrategy": "all"}
+
+
+@query("m12_one_split_forest", f"{FOREST_SQL} SELECT label, prediction, COUNT(*) AS \"rows\" FROM p GROUP BY ALL")
+def one_split_forest(spark, sf_dir):
+    """A forest of one tree and one split, on the real features."""
+    table, _ = _steps(spark, sf_dir)
+    return ml.confusion(ml.score(ml.fit_rf(table, **STUMP), table))
+
+
+@query("m18_one_split_score", f"{FOREST_SQL} SELECT o_orderkey, prediction FROM p")
+def one_split_score(spark, sf_dir):
+    table, _ = _steps(spark, sf_dir)
+    return ml.score(ml.fit_rf(table, **STUMP), table).select("o_orderkey", "prediction")
+
+
+@query(
+    "m15_one_split_importances",
+    f"""{FOREST_SQL} SELECT f AS name, CASE WHEN f = feature THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS importance
+FROM (SELECT unnest([{", ".join(f"'{c}'" for c in STEPS)}]) AS f), b""",
+)
+def one_split_importances(spark, sf_dir):
+    table, ready = _steps(spark, sf_dir)
+    return ml.importances(ml.fit_rf(table, **STUMP), ready)
+
+
+@query(
+    "m13_one_split_classifier",
+    f"""{_splits_sql(SIGNS)}, {", ".join(_best([t], f"b{t}") for t in SIGNS)}
+SELECT label, {_argmax([f"CASE WHEN {_side(f'b{t}')} THEN b{t}.lm_{t} ELSE b{t}.rm_{t} END" for t in SIGNS])} AS prediction, COUNT(*) AS \"rows\"
+FROM d, {", ".join(f"b{t}" for t in SIGNS)} GROUP BY ALL""",
+)
+def one_split_classifier(spark, sf_dir):
+    """Boosting of one round: per class the split that tells it from the others best."""
+    table, _ = _steps(spark, sf_dir)
+    search = ml.fit_gbt_cls(table, depths=(1,), rounds=(1,), folds=2, bins=BINS)
+    return ml.confusion(ml.score(search.bestModel, table))
+
+
+PRICE_LABEL = {"y": "CAST(o_totalprice AS DOUBLE) / 1000"}
+
+
+@query(
+    "m14_one_split_regressor",
+    f"""{_splits_sql(PRICE_LABEL)}, {_best(["y"], "b")}
+SELECT b.feature AS name, round(sqrt(AVG(power(y - CASE WHEN {_side("b")} THEN lm_y ELSE rm_y END, 2))), 4) AS rmse FROM d, b GROUP BY b.feature""",
+)
+def one_split_regressor(spark, sf_dir):
+    """Boosting of one round: the price from the features in steps, the price's own step among them."""
+    table, ready = _steps(spark, sf_dir, "CAST(o_totalprice AS DOUBLE) / 1000")
+    best = ml.fit_gbt_reg(table, depths=(1,), rounds=(1,), folds=2, bins=BINS).bestModel
+    error = ml.score(best, table).agg(
+        F.round(F.sqrt(F.avg(F.pow(F.col(ml.LABEL) - F.col("prediction"), 2))), 4).alias("rmse"))
+    chosen = ml.importances(best, ready).where("importance > 0.5").first()["name"]
+    return error.select(F.lit(chosen).alias("name"), "rmse")
+
+
+def _moments_sql():
+    columns = list(STEPS)
+    cells = [f"COVAR_SAMP({a}, {b})" for a in columns for b in columns]
+    trace = " + ".join(f"VAR_SAMP({a})" for a in columns)
+    squares = " + ".join(f"power({c}, 2)" for c in cells)
+    rows = ", ".join(f"{e} AS {c}" for c, e in STEPS.items())
+    return f"""SELECT 1.0::DOUBLE AS shares, round(({squares}) / power({trace}, 2), 6) AS squares
+FROM (SELECT {rows} FROM orders JOIN customer ON o_custkey = c_custkey)"""
+
+
+@query("m10_pca_moments", _moments_sql())
+def pca_moments(spark, sf_dir):
+    """All components: their shares add up to the trace, their squares to the Frobenius norm."""
+    table, _ = _steps(spark, sf_dir)
+    shares = ml.explained_variance(table, len(STEPS))
+    return shares.agg(F.round(F.sum("variance"), 6).alias("shares"),
+                      F.round(F.sum(F.col("variance") * F.col("variance")), 6).alias("squares"))
+
+
 # A prediction by rule: the priority's number, over the three classes.
 GUESS = "CAST(CAST(substring(o_orderpriority, 1, 1) AS INT) % 3 AS DOUBLE)"
 

@@ -14,6 +14,7 @@ from adflow.plans.funnel_queries import DAY_ROWS, STAT_SELECT, _day_rows, _reven
 from adflow.plans.registry import query
 from adflow.plans.views import REPORT_SQL, read, report
 from adflow.session import temp_database
+from adflow.sources import catalog as ct
 from adflow.sources import sinks as sk
 from adflow.sources.catalog import detect_date_col
 
@@ -84,6 +85,27 @@ def expectations(spark, sf_dir):
 SUM_COLS = ["p_partkey", "p_name", "p_brand", "p_size"]
 
 
+@query(
+    "q2_date_columns",
+    """SELECT 'lineitem' AS "table", 'l_shipdate' AS "column", CAST(MIN(l_shipdate) AS DATE) AS first, CAST(MAX(l_shipdate) AS DATE) AS last, COUNT(*) AS "rows" FROM lineitem
+UNION ALL SELECT 'orders', 'o_orderdate', CAST(MIN(o_orderdate) AS DATE), CAST(MAX(o_orderdate) AS DATE), COUNT(*) FROM orders
+UNION ALL SELECT "table", NULL, NULL, NULL, "rows" FROM (
+  SELECT 'customer' AS "table", COUNT(*) AS "rows" FROM customer UNION ALL SELECT 'documents', COUNT(*) FROM documents UNION ALL SELECT 'events', COUNT(*) FROM events
+  UNION ALL SELECT 'nation', COUNT(*) FROM nation UNION ALL SELECT 'part', COUNT(*) FROM part UNION ALL SELECT 'region', COUNT(*) FROM region UNION ALL SELECT 'supplier', COUNT(*) FROM supplier)""",
+)
+def date_columns(spark, sf_dir):
+    """The date column found in each table by its name and type, and the dates it holds."""
+    out = None
+    for name in ("customer", "documents", "events", "lineitem", "nation", "orders", "part", "region", "supplier"):
+        rows = read(spark, sf_dir, name)
+        found = ct.detect_date_col(rows.schema)
+        day = F.col(found).cast("date") if found else F.lit(None).cast("date")
+        one = rows.agg(F.min(day).alias("first"), F.max(day).alias("last"), F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("table"), F.lit(found).cast("string").alias("column"), "first", "last", "rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 LINE_COLS = ["l_orderkey", "l_extendedprice", "l_discount", "l_linestatus"]
 
 

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from adflow.functions.timewin import Window, preset
+from adflow.operators.skew import staged
 from adflow.plans.registry import ORACLES, query
 from adflow.plans.report_sql import REPORTS
 from adflow.plans.views import exprs, read, struct_text
@@ -102,8 +103,9 @@ def _lines(spark, sf_dir):
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey)
 
 
-def google_landed(spark, sf_dir):
-    return _lines(spark, sf_dir).selectExpr(*exprs(_nested(list(LEAVES))))
+def google_landed(spark, sf_dir, lines=None):
+    lines = _lines(spark, sf_dir) if lines is None else lines
+    return lines.selectExpr(*exprs(_nested(list(LEAVES))))
 
 
 def filled(name, leaves):
@@ -217,7 +219,9 @@ FB_LEAF = {**FB, **{v: FB_VIDEO.format(i=i) for i, v in enumerate(VIDEO)}}
 FB_LINK = f"CASE l_returnflag WHEN 'R' THEN CAST(CAST(l_quantity AS BIGINT) + 1 AS STRING) WHEN 'A' THEN NULL ELSE {QTY} END"
 
 
-def facebook_landed(spark, sf_dir):
+def facebook_landed(spark, sf_dir, lines=None):
+    lines = _lines(spark, sf_dir) if lines is None else lines
+
     def action(kind, value):
         return F.struct(F.lit(kind).alias("action_type"), F.expr(value).alias("value"))
 
@@ -229,7 +233,7 @@ def facebook_landed(spark, sf_dir):
         F.when(F.col("l_returnflag") != "N", F.array(F.struct(F.expr(f"CAST(l_suppkey + {i} AS STRING)").alias("value")))).alias(v)
         for i, v in enumerate(VIDEO)
     ]
-    return _lines(spark, sf_dir).select(
+    return lines.select(
         *[F.expr(e).alias(n) for n, e in FB.items()], *video, actions.alias("actions"), actions.alias("unique_actions"),
     )
 
@@ -375,8 +379,9 @@ CRITEO = {
 }
 
 
-def _criteo(spark, sf_dir):
-    return _lines(spark, sf_dir).select(*[F.expr(e).alias(n) for n, e in CRITEO.items()], F.lit("x").alias("extra"))
+def _criteo(spark, sf_dir, lines=None):
+    lines = _lines(spark, sf_dir) if lines is None else lines
+    return lines.select(*[F.expr(e).alias(n) for n, e in CRITEO.items()], F.lit("x").alias("extra"))
 
 
 TWO_DAYS = preset(AS_OF, ch.CRITEO.window)
@@ -464,11 +469,15 @@ SELECT CAST(CAST(ts AS DATE) AS VARCHAR), 'airbridge', 'main', event_type, NULL,
 
 @query("c19_cross_channel_fact", FACT_SQL)
 def cross_channel_fact(spark, sf_dir):
-    """Every channel at its finest grain, cost in whole units."""
+    """Every channel at its finest grain, cost in whole units. The rows that three channels have
+    landed in are joined once."""
+    lines = staged(_lines(spark, sf_dir).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+        "l_discount", "l_returnflag", "l_linestatus", "l_shipdate", "o_custkey"), "landed")
     return union_facts([
-        (normalize_report(google_landed(spark, sf_dir), ch.GOOGLE_AD), ch.GOOGLE_AD),
-        (normalize_report(facebook_landed(spark, sf_dir), ch.FACEBOOK_AD), ch.FACEBOOK_AD),
-        (normalize_report(_criteo(spark, sf_dir), ch.CRITEO), ch.CRITEO),
+        (normalize_report(google_landed(spark, sf_dir, lines), ch.GOOGLE_AD), ch.GOOGLE_AD),
+        (normalize_report(facebook_landed(spark, sf_dir, lines), ch.FACEBOOK_AD), ch.FACEBOOK_AD),
+        (normalize_report(_criteo(spark, sf_dir, lines), ch.CRITEO), ch.CRITEO),
         (kakao_creatives(spark, sf_dir), ch.KAKAO_FACT),
         (promoted_tweets(spark, sf_dir), ch.TWITTER_FACT),
         (organic_tweets(spark, sf_dir), ch.TWITTER_ORGANIC_FACT),

@@ -332,6 +332,17 @@ def test_quantiles_are_exact(spark, rng=random.Random(3)):
     assert len(got) == 2 * len(shares)
 
 
+def test_the_grid_reaches_the_classifiers(spark):
+    from pyspark.ml.feature import VectorAssembler
+
+    rows = spark.range(60).selectExpr("CAST(id % 3 AS DOUBLE) AS label", "CAST(id % 7 AS DOUBLE) AS a", "CAST(id % 5 AS DOUBLE) AS b")
+    table = VectorAssembler(inputCols=["a", "b"], outputCol=ml.FEATURES).transform(rows)
+    for depth, n in ((1, 2), (2, 3)):
+        best = ml.fit_gbt_cls(table, depths=(depth,), rounds=(n,), folds=2).bestModel
+        assert [m.getNumTrees for m in best.models] == [n] * 3
+        assert all(t.depth <= depth for m in best.models for t in m.trees)
+
+
 def test_decode_codes_of_a_shared_key(spark, rows):
     df = spark.createDataFrame([("zero", [1, 9]), ("zero", [2]), ("zero", [2]), ("u", []), ("v", None)], "id string, a array<int>")
     codes = spark.createDataFrame([(1, "one"), (2, "two")], "code int, label string")
