@@ -5,8 +5,8 @@ tag path (with class and id words) and its words, both hashed to vectors. The ne
 reads all blocks of a page in both directions and labels each as main text or not.
 
 It learns on a bounded sample of pages. Their blocks are labelled by what their tag paths
-say; copies of these pages with other wrappers and added menus, notices, forms, sidebars
-and comments teach it to read other markup as well.
+say; copies of these pages with other wrappers, many of which say nothing, and with added
+menus, notices, forms, sidebars and comments teach it to read other markup as well.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from adflow.llm.text import Texts, slices
 
 SAMPLE = 300  # pages the network learns on, at most
-COPIES = 4
+COPIES = 8
 HIDDEN = 16
 PATH_PLACES = 256
 LEAF_PLACES = 16
@@ -297,9 +297,38 @@ _BESIDE = [("nav",), ("header",), ("footer",), ("aside",), ("form",), ("div", ".
            ("div", ".advert"), ("div", ".banner"), ("section", ".comments"),
            ("div", ".comments"), ("div", ".comment"), ("ul", ".menu"), ("div", ".related"),
            ("div", ".share"), ("div", ".newsletter"), ("section", ".sidebar")]
-_MAIN = [("article",), ("main",), ("main", "article"), ("div", ".content"),
-         ("div", ".article"), ("div", ".post"), ("div", ".entry", ".content"),
-         ("section", ".article"), ("div", ".main")]
+# Tags that hold main text, plain or with names.
+_HOLDERS = ["div", "section", "div", "td", "article", "main"]
+
+
+def _word(rng: np.random.Generator) -> str:
+    """A name that says nothing."""
+    return "." + "".join(chr(97 + k) for k in rng.integers(0, 26, rng.integers(2, 8)))
+
+
+def _named(rng: np.random.Generator, tag: str, telling: list[str]) -> tuple[str, ...]:
+    """A tag with a telling name among others, as class lists and ids have them."""
+    names = [f".{telling[rng.integers(len(telling))]}"] + [_word(rng) for _ in range(rng.integers(0, 3))]
+    return (tag, *[names[k] for k in rng.permutation(len(names))])
+
+
+def _main_wrap(rng: np.random.Generator) -> tuple[str, ...]:
+    """What main text is in: a telling tag, a tag with telling names, or one that says nothing."""
+    tag = _HOLDERS[rng.integers(len(_HOLDERS))]
+    kind = rng.random()
+    if kind < 0.25:
+        return [("article",), ("main",), ("main", "article")][rng.integers(3)]
+    if kind < 0.7:
+        return _named(rng, tag, sorted(MAIN_NAMES))
+    return (tag, _word(rng)) if kind < 0.85 else ("div",) if kind < 0.95 else ()
+
+
+def _beside_wrap(rng: np.random.Generator) -> tuple[str, ...]:
+    if rng.random() < 0.5:
+        return _BESIDE[rng.integers(len(_BESIDE))]
+    return _named(rng, ["div", "section", "ul", "aside"][rng.integers(4)], sorted(ASIDE_NAMES))
+
+
 # Leaves that main text may have besides paragraphs, headings and lists.
 _LEAVES = [("figure", "figcaption"), ("blockquote",), ("blockquote", "p"), ("pre",), ("table", "tr", "td"),
            ("table", "tr", "th"), ("table", "tbody", "tr", "td"), ("dl", "dt"), ("dl", "dd"), ("h5",),
@@ -312,7 +341,7 @@ def vary(page: list[Block], labels: np.ndarray, rng: np.random.Generator):
     words = " ".join(t for _, t, _ in page).split() or ["-"]
 
     def extra(inside: tuple) -> list[tuple[Block, float]]:
-        wrap = _BESIDE[rng.integers(len(_BESIDE))]
+        wrap = _beside_wrap(rng)
         leaf = [("p",), ("ul", "li"), (), ("div",), ("h2",)][rng.integers(5)]
         out = []
         for _ in range(rng.integers(1, 6)):
@@ -322,7 +351,7 @@ def vary(page: list[Block], labels: np.ndarray, rng: np.random.Generator):
             out.append(((("html", "body") + inside + wrap + leaf, text, linked), 0.0))
         return out
 
-    main = _MAIN[rng.integers(len(_MAIN))]
+    main = _main_wrap(rng)
     out: list[tuple[Block, float]] = []
     for _ in range(rng.integers(0, 4)):
         out += extra(())
@@ -346,8 +375,8 @@ def vary(page: list[Block], labels: np.ndarray, rng: np.random.Generator):
     return [b for b, _ in out], np.array([y for _, y in out])
 
 
-def fit(pages: list[str], epochs: int = 24, batch: int = 24, rate: float = 0.01) -> BiLstm:
-    """Train on pages and ``COPIES`` varied copies of each, with Adam."""
+def fit(pages: list[str], epochs: int = 24, batch: int = 24, rate: float = 0.01) -> BiLstm | None:
+    """Train on pages and ``COPIES`` varied copies of each, with Adam; None without a block."""
     rng = np.random.default_rng(13)
     net = BiLstm.fresh(rng)
     data = []
@@ -357,6 +386,8 @@ def fit(pages: list[str], epochs: int = 24, batch: int = 24, rate: float = 0.01)
             y = teach(own)
             data.append((own, y))
             data += [v for v in (vary(own, y, rng) for _ in range(COPIES)) if v[0]]
+    if not data:
+        return None
     data = [(features([p]), y) for p, y in data]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in net.params]
     step = 0
@@ -377,8 +408,12 @@ def fit(pages: list[str], epochs: int = 24, batch: int = 24, rate: float = 0.01)
     return net
 
 
-def main_texts(net: BiLstm, pages: list[str]) -> list[str]:
+def main_texts(net: BiLstm | None, pages: list[str]) -> list[str]:
+    """The main blocks' texts per page. Where the network finds none, or there is no network, the
+    tag paths decide, as they do for the labels it learns from: an article is never lost whole."""
     found = [blocks(p) for p in pages]
+    if net is None:
+        return [" ".join(t for (_, t, _), y in zip(p, teach(p)) if y) for p in found]
     x = features(found)
     at = np.concatenate([[0], np.cumsum([len(p) for p in found])])
     keep = np.zeros(len(x), bool)
@@ -393,13 +428,14 @@ def main_texts(net: BiLstm, pages: list[str]) -> list[str]:
                              [len(found[i]) for i in own])
         keep[np.concatenate([np.arange(at[i], at[i + 1]) for i in own])] = (
             net.logits(rows, live) > 0).T[live.T]
-    return [" ".join(t for (_, t, _), y in zip(p, keep[a:b]) if y)
+    return [" ".join(t for (_, t, _), y in zip(p, keep[a:b] if keep[a:b].any() else teach(p)) if y)
             for p, a, b in zip(found, at, at[1:])]
 
 
 def train(pages: DataFrame, key: str = "page_id", page: str = "html",
-          most: int = SAMPLE) -> BiLstm:
-    """Fit on the first ``most`` pages in hash order of their key."""
+          most: int = SAMPLE) -> BiLstm | None:
+    """Fit on the first ``most`` pages in hash order of their key; pages without a key, null and
+    empty ones do not count. None without a page to learn from."""
     every = pages.select(F.col(key).alias("k"), F.col(page).alias("page")).where(
         F.col("k").isNotNull() & (F.length("page") > 0))
     picked = every.select("k").orderBy(F.xxhash64("k"), "k").limit(most)
@@ -407,9 +443,15 @@ def train(pages: DataFrame, key: str = "page_id", page: str = "html",
     return fit([r["page"] for r in sorted(rows, key=lambda r: (str(r["k"]), r["page"]))][:most])
 
 
-def extract(pages: DataFrame, net: BiLstm, keep: list[str], page: str = "html") -> DataFrame:
-    """``keep`` columns and the main ``text``. A null or empty page, or one without a main
-    block, has empty text; repeated rows are treated alike."""
+def extract(pages: DataFrame, net: BiLstm | None, keep: list[str], page: str = "html") -> DataFrame:
+    """``keep`` columns and the main ``text``.
+
+    A null or empty page, or one without a main block, has empty text. A page whose blocks the
+    network all refuses, and every page where there is no network, is read by its tag paths.
+    Repeated rows are treated alike; pages are read whole, whatever their length. A block whose
+    score is a tie (0) is not main text. An empty table gives no rows. Only ``keep`` and the page
+    are read, so other columns may have any name.
+    """
     picked = pages.select(*keep, F.col(page).alias("__page"))
 
     def run(batches):

@@ -358,7 +358,7 @@ def links(units: DataFrame) -> DataFrame:
     own = F.struct("k", "n", "m", "pos")
     postings = able.select("k", "n", "m", "common", F.posexplode("prefix").alias("pos", "key"))
     leaders = postings.groupBy("key").agg(
-        F.max_by(own, F.struct("common", -F.col("k"))).alias("best"),
+        F.min_by(own, F.struct(-F.col("common"), "k")).alias("best"),
         F.min_by(own, "k").alias("least"), F.count(F.lit(1)).alias("size")).where("size > 1")
     met = staged(postings.join(leaders, "key").select(
         "key", "k", "n", "m", "pos", "best", "least", "size"), "met")

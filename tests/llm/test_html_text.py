@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -79,6 +80,55 @@ def test_other_markup(net):
     assert ht.main_texts(net, [page]) == ["A title This is the first paragraph of text, which is long. Second one here, of some length."]
 
 
+P1 = "This is the first paragraph of the text, which is long enough to be one, and has a comma."
+P2 = "Here is the second paragraph, of some length too; it ends the article."
+
+
+@pytest.mark.parametrize("names", [
+    "story-body", "story", "text", "body", "entry", "post", "article-text", "main-content", "entry-content x7", "page-story q", "prose", "lede", "", "w3 zz"])
+@pytest.mark.parametrize("before", ["", '<div class="cookie-notice"><p>We use cookies to make this site better.</p></div>'])
+def test_articles_of_any_wrapper_are_whole(net, names, before):
+    """Names the labels know, alone or among others, and names that say nothing."""
+    page = f'<nav><ul><li><a href="/">Home</a><li><a href="/n">News</a></ul></nav>{before}<div class="{names}"><p>{P1}</p><p>{P2}</p></div><footer>Copyright</footer>'
+    assert ht.main_texts(net, [page]) == [f"{P1} {P2}"]
+    alone = f'{before}<div class="{names}"><p>{P1}</p><p>{P2}</p></div>'
+    assert ht.main_texts(net, [alone]) == [f"{P1} {P2}"]
+
+
+def test_bare_text_and_no_network(spark, net):
+    assert ht.main_texts(net, [f"{P1} {P2}", "<nav>menu</nav>", ""]) == [f"{P1} {P2}", "", ""]
+    assert ht.fit([]) is None and ht.fit(["", "<br>"]) is None
+    page = f"<nav>Home News</nav><h1>A title</h1><p>{P1}</p><footer>Copyright</footer>"
+    rows = spark.createDataFrame([(None, "u", page), (None, "v", None)], "page_id bigint, url string, html string")
+    assert sorted(r["text"] for r in ht.page_texts(rows).collect()) == ["", f"A title {P1}"]
+
+
+def slow_logits(net, x):
+    """The network step by step, with plain loops over gates and units."""
+    def one(side, rows):
+        w, u, b = net.params[3 * side:3 * side + 3]
+        h, c, out = [0.0] * ht.HIDDEN, [0.0] * ht.HIDDEN, []
+        for row in rows:
+            z = [b[j] + sum(row[k] * w[k, j] for k in range(len(row)) if row[k]) + sum(h[k] * u[k, j] for k in range(ht.HIDDEN))
+                 for j in range(4 * ht.HIDDEN)]
+            s = lambda v: 1 / (1 + math.exp(-v))
+            n = ht.HIDDEN
+            c = [s(z[n + k]) * c[k] + s(z[k]) * math.tanh(z[3 * n + k]) for k in range(n)]
+            h = [s(z[2 * n + k]) * math.tanh(c[k]) for k in range(n)]
+            out.append(h)
+        return out
+
+    left, right = one(0, x), one(1, x[::-1])[::-1]
+    return [sum(v * w for v, w in zip(a + b, net.params[6])) + net.params[7][0] for a, b in zip(left, right)]
+
+
+def test_network_against_a_slow_twin(net):
+    page = f"<nav><a>Home</a></nav><div class=post><h1>Title</h1><p>{P1}</p><p>{P2}</p></div><footer>end</footer>"
+    own = ht.blocks(page)
+    x, live = ht._padded(ht.features([own]), [len(own)])
+    assert np.allclose(net.logits(x, live)[:, 0], slow_logits(net, x[:, 0].astype(float)), atol=1e-4)
+
+
 def test_varied_pages_are_labelled(net):
     rng = np.random.default_rng(8)
     page = [(("html", "body", "nav", "ul", "li"), "menu", 4)] + [

@@ -121,3 +121,16 @@ def test_shingle_sets_of_short_texts():
     sets = nj.shingle_sets(pa.array(["a b", "A B", "b a", "", None, "a b c d e", "a b c d e f"]))
     assert [len(s) for s in sets] == [1, 1, 1, 0, 0, 1, 2]
     assert sets[0] == sets[1] and sets[0] != sets[2] and sets[5][0] in sets[6]
+
+
+@pytest.mark.parametrize("kind", ["string", "int", "decimal(12,1)", "date"])
+def test_key_types(spark, rng, kind):
+    """The same groups whatever the type of the key, by its own order."""
+    base = [words(rng, 60) for _ in range(3)]
+    texts = [" ".join(base[k % 3][:-1] + [f"end{k}"]) if k % 2 else " ".join(base[k % 3]) for k in range(12)]
+    key = {"date": "date_add(DATE'2024-01-01', n)", "string": "concat('doc ', lpad(CAST(n AS STRING), 3, '0'))"}.get(
+        kind, f"CAST(n AS {kind})")
+    docs = spark.createDataFrame(list(enumerate(texts)), "n int, text string").selectExpr("n", f"{key} AS doc_id", "text")
+    name = {r["doc_id"]: r["n"] for r in docs.collect()}
+    got = {name[r["doc_id"]]: name[r["component_id"]] for r in nj.near_duplicates(docs.drop("n")).collect()}
+    assert got == {k: k % 3 for k in range(12)}

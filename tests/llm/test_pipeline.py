@@ -74,6 +74,15 @@ def test_clean_documents_stay(spark, make_docs):
     assert all(cut[k] == t for k, t in rows if k in cut and k != 201)
 
 
+def test_repeated_rows_are_one_document(spark, make_docs):
+    rng = random.Random(6)
+    one, two = " ".join(words(rng, 60)), " ".join(words(rng, 60))
+    rows = [(5, one), (5, one), (9, one), (7, two), (7, two + " and more"), (None, one), (None, one), (None, None)]
+    kept = cp.near_duplicates(spark, make_docs(rows).withColumn("n", F.lit(1)), SF).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in kept), key=str) == sorted(
+        [(5, one), (7, two), (None, one), (None, one), (None, None)], key=str)
+
+
 def test_odd_rows_go_through(spark, make_docs, odd_rows):
     # Without a host, so that the short ones do not take the long ones with them.
     docs = make_docs(odd_rows).withColumn("source", F.lit(None).cast("string")).withColumn("score", F.lit(1)).withColumn("row", F.lit(2)).withColumn("k", F.lit(3))
