@@ -9,7 +9,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from adflow.llm import decontaminate, host_rules, ngram_join, packing, toxicity as toxic
@@ -25,18 +25,32 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Null and empty texts fail the base rules and go; a document without a host is judged by
+    them alone. Repeated rows are judged alike and all count for their host."""
     return host_rules.kept(docs)
 
 
+def _one_per_key(docs: DataFrame) -> DataFrame:
+    """Of rows that repeat a doc_id the one with the smallest text; rows without one all stay."""
+    again = staged(docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "repeated")
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    first = docs.join(again, "doc_id", "left_semi").select(*docs.columns, place.alias("__place")).where(
+        "__place = 1")
+    return docs.join(again, "doc_id", "left_anti").select(docs.columns).union(first.select(docs.columns))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A document without a doc_id, or without words, is in no group and stays."""
+    """A document without a doc_id, or without words, is in no group and stays. Rows that repeat a
+    doc_id are one document, of which one row stays."""
     found = ngram_join.near_duplicates(docs.select("doc_id", "text"))
     gone = staged(found.where(F.col("component_id") < F.col("doc_id")).select("doc_id"), "copies")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return _one_per_key(docs.join(gone, "doc_id", "left_anti").select(docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents stay, without the passages; ``n_chars`` follows the text."""
+    """Documents stay, without the passages; ``n_chars`` follows the text. A null text stays null,
+    an item without words is in no document, repeated rows are cut alike."""
     cut = decontaminate.cut(docs, table(spark, sf_dir, "benchmark"))
     return cut.withColumn("n_chars", F.when(
         F.col("text").isNotNull(), F.length("text")).otherwise(F.col("n_chars")).cast(
@@ -44,6 +58,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences; a null text is an empty one."""
     return packing.pack(docs.select("doc_id", "text"))
 
 
