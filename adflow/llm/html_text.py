@@ -152,15 +152,21 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
-def teach(page: list[Block]) -> np.ndarray:
-    """Labels from tag paths: inside a main container, not inside anything beside it. On a
-    page without a container, text outside of what is beside it that is mostly no links."""
+def told(page: list[Block]) -> tuple[np.ndarray, np.ndarray]:
+    """Which blocks their tag paths put inside a main container, and which beside the text."""
     main = [any(n in MAIN_TAGS or n[1:] in MAIN_NAMES and n[0] == "." for n in path)
             for path, _, _ in page]
     aside = [any(n in ASIDE_TAGS or n[1:] in ASIDE_NAMES and n[0] == "." for n in path)
              for path, _, _ in page]
-    if any(m and not a for m, a in zip(main, aside)):
-        return np.array([m and not a for m, a in zip(main, aside)], np.float64)
+    return np.array(main, bool), np.array(aside, bool)
+
+
+def teach(page: list[Block]) -> np.ndarray:
+    """Labels from tag paths: inside a main container, not inside anything beside it. On a
+    page without a container, text outside of what is beside it that is mostly no links."""
+    main, aside = told(page)
+    if (main & ~aside).any():
+        return (main & ~aside).astype(np.float64)
     return np.array([not a and 2 * linked < len(text)
                      for a, (_, text, linked) in zip(aside, page)], np.float64)
 
@@ -409,8 +415,9 @@ def fit(pages: list[str], epochs: int = 24, batch: int = 24, rate: float = 0.01)
 
 
 def main_texts(net: BiLstm | None, pages: list[str]) -> list[str]:
-    """The main blocks' texts per page. Where the network finds none, or there is no network, the
-    tag paths decide, as they do for the labels it learns from: an article is never lost whole."""
+    """The main blocks' texts per page. Tag paths that tell are followed, as for the labels that the
+    network learns from; it decides about all other blocks. Where no block is left, or there is
+    no network, the rule of the labels is used, so an article is never lost whole."""
     found = [blocks(p) for p in pages]
     if net is None:
         return [" ".join(t for (_, t, _), y in zip(p, teach(p)) if y) for p in found]
@@ -428,10 +435,17 @@ def main_texts(net: BiLstm | None, pages: list[str]) -> list[str]:
                              [len(found[i]) for i in own])
         keep[np.concatenate([np.arange(at[i], at[i + 1]) for i in own])] = (
             net.logits(rows, live) > 0).T[live.T]
-    return [" ".join(t for (_, t, _), y in zip(p, keep[a:b] if keep[a:b].any() else teach(p)) if y)
+    return [" ".join(t for (_, t, _), y in zip(p, _decided(p, keep[a:b])) if y)
             for p, a, b in zip(found, at, at[1:])]
 
 
+def _decided(page: list[Block], keep: np.ndarray) -> np.ndarray:
+    """Tag paths that tell are followed; the network decides about all other blocks."""
+    main, aside = told(page)
+    keep = (keep | main) & ~aside
+    return keep if keep.any() else teach(page)
+
+
 def train(pages: DataFrame, key: str = "page_id", page: str = "html",
           most: int = SAMPLE) -> BiLstm | None:
     """Fit on the first ``most`` pages in hash order of their key; pages without a key, null and
