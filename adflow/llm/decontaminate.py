@@ -1,8 +1,10 @@
 """Benchmark passages in documents, found with an FM-index per shard of texts.
 
-The phrases (windows of benchmark words) are a stated query set. They travel in blocks of
-at most ``BLOCK_BYTES`` of benchmark text, one pass over the documents per block, so what
-a task holds does not grow with the benchmark. There is no shuffle: a row stays a row.
+The phrases (windows of benchmark words) are a stated query set. Tasks make them in blocks of
+about ``BLOCK_BYTES`` of benchmark text and never of more than twice that; the driver reads one
+block at a time. There is a pass over the documents per block, each written to the shared folder
+before the next, so neither a task nor the plan grows with the benchmark. Documents are not
+shuffled: a row stays a row.
 
 An index is built over the alphabet of its block's phrases. A word that no phrase has
 ends a stretch, and stretches shorter than the shortest phrase are left out of the index
@@ -20,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adflow.llm.fm_index import FMIndex
+from adflow.llm.stage import staged
 from adflow.llm.text import NOT_ALNUM, Texts, slices
 
 WINDOW = 10
@@ -59,17 +62,62 @@ class Phrases:
                    [sorted(v) for v in found.values()])
 
 
+def _pieces(text: str, window: int, most: int) -> Iterator[str]:
+    """A text of more than ``most`` bytes in stretches that have all its windows between them."""
+    raw = text.encode()
+    if len(raw) <= most:
+        yield text
+        return
+    words = Texts.of(pa.array([text], pa.string())).words(NOT_ALNUM)
+    at, end, n = 0, 0, len(words.start)
+    while end < n:
+        end = max(int(np.searchsorted(words.end, words.start[at] + most, "right")), at + window)
+        yield raw[words.start[at]:words.end[min(end, n) - 1]].decode()
+        at = end - window + 1
+
+
+def _parts(rows: list[tuple[str, str]], window: int, most: int) -> Iterator[list[tuple[str, str]]]:
+    own, size = [], 0
+    for item, text in rows:
+        for piece in _pieces(text, window, most):
+            if own and size + len(piece) > 2 * most:
+                yield own
+                own, size = [], 0
+            own.append((item, piece))
+            size += len(piece)
+    yield own
+
+
+_BLOCK = pa.schema([("block", pa.int64()), ("part", pa.int64()), ("vocabulary", pa.binary()),
+                    ("symbols", pa.binary()), ("lengths", pa.binary()),
+                    ("items", pa.list_(pa.list_(pa.string())))])
+
+
 def blocks(benchmark: DataFrame, window: int, most: int, item: str, text: str) -> Iterator[Phrases]:
-    rows, size = [], 0
-    for r in benchmark.select(F.coalesce(F.col(item).cast("string"), F.lit("")), text).where(
-            F.col(text).isNotNull()).toLocalIterator():
-        rows.append((r[0], r[1]))
-        size += len(r[1])
-        if size >= most:
-            yield Phrases.of(rows, window)
-            rows, size = [], 0
-    if rows:
-        yield Phrases.of(rows, window)
+    """All phrases of the benchmark, a block at a time; a block without phrases is left out."""
+    rows = benchmark.select(F.coalesce(F.col(item).cast("string"), F.lit("")).alias("item"),
+                            F.col(text).alias("text")).where("text IS NOT NULL").distinct()
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    count = max(-(-size // most), 1)
+
+    def build(group: pa.Table) -> pa.Table:
+        own = sorted(zip(group.column("item").to_pylist(), group.column("text").to_pylist()))
+        out = []
+        for part, chosen in enumerate(_parts(own, window, most)):
+            p = Phrases.of(chosen, window)
+            if len(p.lengths):
+                out.append((group.column("block")[0].as_py(), part, p.vocabulary.tobytes(),
+                            p.symbols.astype(np.int32).tobytes(), p.lengths.tobytes(), p.items))
+        return pa.Table.from_pylist([dict(zip(_BLOCK.names, r)) for r in out], _BLOCK)
+
+    table = staged(rows.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(count))).groupBy(
+        "block").applyInArrow(build, "block bigint, part bigint, vocabulary binary, symbols binary, "
+                              "lengths binary, items array<array<string>>"), "phrases")
+    for r in table.select("block", "part").orderBy("block", "part").collect():
+        own = table.where((F.col("block") == r["block"]) & (F.col("part") == r["part"])).first()
+        yield Phrases(np.frombuffer(own["vocabulary"], np.uint64),
+                      np.frombuffer(own["symbols"], np.int32).reshape(-1, window).astype(np.int64),
+                      np.frombuffer(own["lengths"], np.int64), own["items"])
 
 
 class _Shard:
@@ -201,6 +249,7 @@ def find(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "te
     df = docs.select(*keep, F.col(text).alias("__text"))
     first = True
     for phrases in blocks(benchmark, window, block_bytes, item, item_text):
+        df = df if first else staged(df, "hits")
         df, first = _pass(df, phrases, keep, first, SHARD_SYMBOLS), False
     return _pass(df, Phrases.of([], window), keep, True, SHARD_SYMBOLS) if first else df
 

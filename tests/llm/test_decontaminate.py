@@ -99,3 +99,33 @@ def test_cut_removes_passages_and_keeps_the_rest(make_docs, bench):
             (5, f"a {passage} b {passage.upper()} c")]
     got = {r["doc_id"]: r["text"] for r in dc.cut(make_docs(docs), bench([(1, passage)])).collect()}
     assert got == {1: "É start . end", 2: "nothing of it", 3: None, 4: "", 5: "a  b  c"}
+
+
+def test_long_items_are_cut_without_losing_a_window():
+    rng = random.Random(5)
+    for n in (0, 1, 9, 10, 11, 300):
+        text = " ".join(words(rng, n, 50)) + "."
+        for most in (1, 30, 200, 10_000):
+            pieces = list(dc._pieces(text, 10, most))
+            got = {p for piece in pieces for p in _windows(piece)}
+            assert got == set(_windows(text))
+            assert all(len(p) <= max(most, len(text) if n < 11 else 200) for p in pieces)
+
+
+def _windows(text):
+    w = WORD.findall(text.lower())
+    return [tuple(w[k:k + 10]) for k in range(max(len(w) - 9, 1) if w else 0)]
+
+
+def test_blocks_are_bounded_and_whole(bench):
+    rng = random.Random(6)
+    items = [(k, " ".join(words(rng, rng.randrange(0, 90), 40))) for k in range(40)] + [
+        (40, " ".join(words(rng, 2000, 40))), (None, "a b"), (1, None)]
+    got = list(dc.blocks(bench(items + items), 10, 500, "item_id", "text"))
+    want = {(w, str(i if i is not None else "")) for i, t in items for w in _windows(t or "")}
+    found = set()
+    for p in got:
+        assert len(p.lengths) <= 500
+        found |= {(tuple(p.vocabulary[s[:n] - 2].tolist()), i)
+                  for s, n, own in zip(p.symbols, p.lengths, p.items) for i in own}
+    assert len(got) > 20 and len(found) == len(want)
