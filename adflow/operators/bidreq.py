@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from adflow.operators.dedup import first_by
 from adflow.operators.rollup import count_by
-from adflow.operators.useragent import parse_ua
+from adflow.operators.useragent import agent_table, enrich_ua, parse_ua
 
 KEYS = ("ad_adv", "ad_cam", "ad_grp", "InventoryIdx")
 TIMES = ("tid", "actiontime_local", "actiontime_date", "actiontime_hour")
@@ -49,12 +49,19 @@ def split_geo(flat: DataFrame) -> DataFrame:
     )
 
 
-def split_ua(flat: DataFrame) -> DataFrame:
-    """Parsed user agent next to what the request says about the device."""
-    return flat.select(
-        parse_ua(F.col("device.ua")).alias("parsed_ua"),
-        "device.os", "device.osv", "device.make", "device.model", *KEYS, *TIMES,
-    ).select("parsed_ua.*", "os", "osv", "make", "model", *KEYS, *TIMES)
+def split_ua(flat: DataFrame, rules: DataFrame | None = None) -> DataFrame:
+    """Parsed user agent next to what the request says about the device.
+
+    A stream is read by the default rules.
+    """
+    if flat.isStreaming:
+        if rules is not None:
+            raise ValueError("a stream takes no rule table")
+        parsed = flat.withColumn("parsed_ua", parse_ua(F.col("device.ua")))
+    else:
+        parsed = enrich_ua(flat, F.col("device.ua"), "parsed_ua", rules)
+    return parsed.select("parsed_ua", "device.os", "device.osv", "device.make", "device.model",
+                         *KEYS, *TIMES).select("parsed_ua.*", "os", "osv", "make", "model", *KEYS, *TIMES)
 
 
 SPLIT_KEYS = {
@@ -75,13 +82,14 @@ def count_split(flat: DataFrame, split: str) -> DataFrame:
     """Transactions per split value and key, each counted once at its first event.
 
     Only the key columns travel, and the group limit of ``first_by`` sends one
-    row per transaction and task. User agents are counted as text first and
-    parsed per distinct text and key, not per event.
+    row per transaction and task. User agents are counted as text; each distinct
+    one is parsed once and its fields are joined to the counts.
     """
     if split == "ua":
         raw = flat.select(F.col("device.ua").alias("__ua"), *COUNT_KEYS, "tid", "actiontime_local")
         texts = count_by(_first(raw, ("__ua", *COUNT_KEYS)), ("__ua", *COUNT_KEYS))
-        parsed = texts.select(parse_ua(F.col("__ua")).alias("p"), *COUNT_KEYS, "count")
+        agents = agent_table(flat, F.col("device.ua"))
+        parsed = enrich_ua(texts, F.col("__ua"), "p", agents=agents)
         keys = [F.col(f"p.{k}").alias(k) for k in SPLIT_KEYS["ua"]]
         return parsed.groupBy(*keys, *COUNT_KEYS).agg(F.sum("count").alias("count"))
     keys = (*SPLIT_KEYS[split], *COUNT_KEYS)

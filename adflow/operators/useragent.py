@@ -1,15 +1,20 @@
-"""User agent families by ordered patterns, as JVM expressions.
+"""User agent families by ordered rules.
 
-Covers the families seen in app traffic. The first rule that matches wins. All
-of it compiles into the surrounding stage: no Python per row and no shuffle,
-whatever the number of distinct agents.
+The rules are a table: ``field``, ``rank``, ``needles``, ``pattern``, ``label``. Of the rules
+of a field that match an agent the one with the least rank gives the value, so a family is a
+row. ``enrich_ua`` reads every distinct agent once against the table and joins the result
+back. ``parse_ua`` is the default table as one JVM expression, for streams, in which distinct
+agents cannot be told. Neither runs Python on rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adflow.operators.skew import staged
+
 UNKNOWN = "Unknown"
 
 # A rule is (needles, pattern, label). One of the needles has to occur, which is
@@ -149,3 +154,104 @@ def parse_ua(ua: Column) -> Column:
     fields.append(F.coalesce(_has(ua, MOBILE), F.lit(False)).alias("ua_is_mobile"))
     fields.append(F.coalesce(_has(ua, BOTS), F.lit(False)).alias("ua_is_bot"))
     return F.struct(*fields)
+
+
+BOOLEANS = {"ua_is_mobile": MOBILE, "ua_is_bot": BOTS}
+RULE_TYPE = pa.schema([
+    ("field", pa.string()), ("rank", pa.int32()), ("needles", pa.list_(pa.string())),
+    ("pattern", pa.string()), ("label", pa.string()),
+])
+# A rule table travels to every task and meets every distinct agent.
+MOST_RULES = 10_000
+# Parsed agents up to this size go to every task; beyond it both sides are shuffled.
+BROADCAST_BYTES = 64 << 20
+
+
+def rule_table(spark: SparkSession) -> DataFrame:
+    """The default rules. Ranks are ten apart: a new family's row fits between any two."""
+    rows = [
+        (field, 10 * place, list(needles), pattern, label)
+        for field, (rules, _) in FIELDS.items()
+        for place, (needles, pattern, label) in enumerate(rules, 1)
+    ] + [(field, 10, list(needles), None, "true") for field, needles in BOOLEANS.items()]
+    table = pa.Table.from_pylist([dict(zip(RULE_TYPE.names, r)) for r in rows], RULE_TYPE)
+    return spark.createDataFrame(table)
+
+
+def _rule_value(ua: Column) -> Column:
+    """What the rule at hand says about the agent; NULL where its pattern does not match."""
+    label, pattern = F.col("label"), F.col("pattern")
+    group = F.when(label.contains("{1}"), 1).when(label.contains("{2}"), 2)
+    found = F.nullif(F.call_function("regexp_extract", ua, pattern, group), F.lit(""))
+    plain = F.when(pattern.isNull() | F.rlike(ua, pattern), label)
+    return F.when(group.isNull(), plain).otherwise(
+        F.replace(label, F.concat(F.lit("{"), group.cast("string"), F.lit("}")), found))
+
+
+def parse_agents(agents: DataFrame, rules: DataFrame | None = None) -> DataFrame:
+    """``__ua`` and the struct ``__parsed`` for distinct, non-null agents in ``__ua``.
+
+    One join to the rules on their needles, one fold per agent. Rules of one field with the
+    same rank: the least value counts. A rule without needles, or with an unknown field, is
+    an error, and so are more than ``MOST_RULES`` rules.
+    """
+    if rules is None:
+        rules = rule_table(agents.sparkSession)
+    else:
+        _check_rules(rules)
+    near = F.exists("needles", lambda needle: F.col("__ua").contains(needle))
+    met = agents.join(F.broadcast(rules.select(RULE_TYPE.names)), near, "left").select(
+        "__ua", "field", "rank", _rule_value(F.col("__ua")).alias("value"))
+    best = {
+        field: F.min(F.when((F.col("field") == field) & F.col("value").isNotNull(),
+                            F.struct("rank", "value")))["value"].alias(field)
+        for field in (*FIELDS, *BOOLEANS)
+    }
+    fields = []
+    for field, (_, missing) in FIELDS.items():
+        value = F.coalesce(field, F.lit(missing))
+        value = F.replace(value, F.lit("_"), F.lit(".")) if field.endswith("version") else value
+        fields.append(value.alias(field))
+    fields += [F.col(field).isNotNull().alias(field) for field in BOOLEANS]
+    return met.groupBy("__ua").agg(*best.values()).select("__ua", F.struct(*fields).alias("__parsed"))
+
+
+def _check_rules(rules: DataFrame) -> None:
+    known = F.col("field").isin(*FIELDS, *BOOLEANS)
+    bad = ~F.coalesce(known & (F.size("needles") > 0), F.lit(False)) | (
+        F.col("rank").isNull() | F.col("label").isNull())
+    n, wrong = rules.agg(F.count(F.lit(1)), F.count_if(bad)).first()
+    if wrong:
+        raise ValueError(f"{wrong} user agent rules lack needles, rank or label, or name an unknown field")
+    if n > MOST_RULES:
+        raise ValueError(f"{n} user agent rules; at most {MOST_RULES}")
+
+
+def _missing() -> Column:
+    """A missing agent: 'Unknown' and false."""
+    return F.struct(*[F.lit(UNKNOWN).alias(f) for f in FIELDS],
+                    *[F.lit(False).alias(f) for f in BOOLEANS])
+
+
+def agent_table(df: DataFrame, ua: Column, rules: DataFrame | None = None) -> DataFrame:
+    """The distinct agents of ``df``, each parsed once, written to the shared folder.
+
+    So their size is known: up to ``BROADCAST_BYTES`` they go to the rows, beyond it both sides
+    are shuffled by agent and a hot agent's rows are split by adaptive execution.
+    """
+    agents = df.select(ua.alias("__ua")).where("__ua IS NOT NULL").distinct()
+    parsed = staged(parse_agents(agents, rules), "agents")
+    size = sum((F.octet_length(F.col("__parsed")[f]) for f in FIELDS), F.octet_length("__ua") + 64)
+    total = parsed.agg(F.sum(size)).first()[0] or 0
+    return F.broadcast(parsed) if total <= BROADCAST_BYTES else parsed
+
+
+def enrich_ua(df: DataFrame, ua: Column, name: str = "parsed_ua", rules: DataFrame | None = None,
+              agents: DataFrame | None = None) -> DataFrame:
+    """``df`` with the struct ``name`` of device, OS and browser.
+
+    ``agents`` is an ``agent_table`` that has all agents of ``df``, where there is one already.
+    """
+    side = agent_table(df, ua, rules) if agents is None else agents
+    return df.withColumn("__ua", ua).join(side, "__ua", "left").select(
+        *[F.col(f"`{c}`") for c in df.columns], F.coalesce("__parsed", _missing()).alias(name))

@@ -94,7 +94,7 @@ U1_SQL = f"SELECT event_id, {sql_cols(UA_COLS)} FROM events"
 @query("u1_enrich_ua", U1_SQL)
 def enrich_ua(spark, sf_dir):
     events = read(spark, sf_dir, "events").select("event_id", F.expr(REQUEST["ua"]).alias("ua"))
-    return events.select("event_id", uag.parse_ua(F.col("ua")).alias("p")).select("event_id", "p.*")
+    return uag.enrich_ua(events, F.col("ua"), "p").select("event_id", "p.*")
 
 
 def _count_sql(split):

@@ -145,6 +145,46 @@ def test_user_agents(spark):
     df = spark.createDataFrame([(a,) for a in agents], "ua string")
     got = {r["ua"]: tuple(r["p"]) for r in df.select("ua", uag.parse_ua(F.col("ua")).alias("p")).collect()}
     assert got == agents
+    joined = uag.enrich_ua(df.union(df), F.col("ua"), "p").collect()
+    assert len(joined) == 2 * len(agents) and all(tuple(r["p"]) == agents[r["ua"]] for r in joined)
+
+
+def test_user_agent_rules_are_rows(spark, monkeypatch):
+    texts = [
+        "Mozilla/5.0 (X11; Linux x86_64) Gecko/20100101 Firefox/110.0", "a+b Foo/3_1 Chrome/1.2.3",
+        "Mozilla/5.0 (Linux; Android 12; SM-S908N Build/X; wv) Chrome/102.0.5005.125 Mobile Safari/537.36",
+        "Mozilla/5.0 (iPhone; CPU iPhone OS 16_1 like Mac OS X) Mobile/15E148 Instagram 10.0.5 (x)",
+        "Baiduspider/2.0 Daum/1 Trident/7", "Edg", "Version/", "EdgA/ SamsungBrowser/", "x" * 5000, " ",
+    ]
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "ua string")
+    by_rule = uag.parse_ua(F.col("ua")).alias("p")
+    want = {r["ua"]: tuple(r["p"]) for r in df.select("ua", by_rule).collect()}
+
+    def read(rules=None):
+        return {r["ua"]: tuple(r["p"]) for r in uag.enrich_ua(df, F.col("ua"), "p", rules).collect()}
+
+    assert read() == want
+    more = spark.createDataFrame([
+        ("ua_browser_family", 5, ["Foo/"], None, "Foo"),
+        ("ua_browser_version", 5, ["Foo/"], r"(a\+b) Foo/([0-9_]+)", "v{2}"),
+        ("ua_device_brand", 999, ["Foo/"], "no such", "Never"),
+        ("ua_is_bot", 5, ["Foo/"], None, "true"),
+    ], "field string, rank int, needles array<string>, pattern string, label string")
+    got = read(uag.rule_table(spark).union(more))
+    row = got.pop(texts[1])
+    assert row == (*want[texts[1]][:5], "Foo", "v3.1", False, True)
+    assert got == {k: v for k, v in want.items() if k != texts[1]}
+    monkeypatch.setattr(uag, "BROADCAST_BYTES", 0)
+    assert read() == want
+    for bad in (("ua_colour", 1, ["x"], None, "y"), ("ua_is_bot", 1, [], None, "y"),
+                ("ua_is_bot", None, ["x"], None, "y"), ("ua_is_bot", 1, ["x"], None, None)):
+        with pytest.raises(ValueError):
+            read(spark.createDataFrame([bad], more.schema))
+    monkeypatch.setattr(uag, "MOST_RULES", 3)
+    with pytest.raises(ValueError):
+        read(more)
+    empty = uag.enrich_ua(df.limit(0), F.col("ua"))
+    assert empty.columns == ["ua", "parsed_ua"] and empty.count() == 0
 
 
 def _flat(spark, data):
