@@ -4,7 +4,8 @@
 2. Count pieces per length. At most ``size`` counts reach the driver.
 3. Enumerate patterns of up to three lengths on a coarser grid, fit their repeats to the
    histogram by non-negative least squares, round, and place what is left best fit first.
-   The plan is a list of (lengths, repeats); its size depends on ``size``, not on the data.
+   Sequences that are not full are then taken apart and placed again, so that a plan never
+   has more sequences than best fit alone would. The plan is a list of (lengths, repeats); its size depends on ``size``, not on the data.
 4. Number the pieces of each length and look up the plan's slot of each number.
 """
 
@@ -30,6 +31,7 @@ UNIT = 4
 SALT_ROWS = 100_000
 CACHED_WORDS = 3 << 18
 SLICE_BYTES = 1 << 21
+ROOMS = (256, 64, 16, 4, 0, -1)  # sequences with more room than this are placed again
 VOCABULARY = "word_bpe_49k.json"
 END = 0
 
@@ -254,7 +256,28 @@ def plan(histogram: dict[int, int], size: int = SIZE, unit: int = UNIT) -> list[
                     left[x] -= m * n
                     if not left[x]:
                         open_lengths.remove(x)
-    return _best_fit(out, {k: v for k, v in left.items() if v}, size)
+    return _repaired(_best_fit(out, {k: v for k, v in left.items() if v}, size), size)
+
+
+def _repaired(planned: list[tuple[tuple, int]], size: int) -> list[tuple[tuple, int]]:
+    """The plan with the fewest sequences among ``planned`` and what it becomes when sequences
+    with more than each of ``ROOMS`` free are placed again, best fit. The last one frees all."""
+    least = -(-sum(sum(content) * n for content, n in planned) // size)
+    best, fewest = planned, sum(n for _, n in planned)
+    for room in ROOMS:
+        if fewest == least:
+            break
+        kept, freed = [], Counter()
+        for content, n in planned:
+            if size - sum(content) <= room:
+                kept.append((content, n))
+            else:
+                for length in content:
+                    freed[length] += n
+        again = _best_fit(kept, freed, size)
+        if sum(n for _, n in again) < fewest:
+            best, fewest = again, sum(n for _, n in again)
+    return best
 
 
 def _best_fit(bins: list[tuple[tuple, int]], left: dict[int, int],
@@ -365,7 +388,9 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = S
     """One row per piece: key, piece, start, length, ids_crc32, sequence_id, offset (and ids).
 
     Every row of ``docs`` is packed, repeated ones each. A null or empty text is one piece
-    that holds the end token. An empty table gives no piece.
+    that holds the end token, a text of any length as many pieces as it fills. Pieces of equal
+    length are dealt in the order of a hash, then key and piece. Other columns are not read,
+    whatever they are called. An empty table gives no piece.
     """
     cut = staged(pieces(docs, key, text, size, vocabulary, with_ids), "packing")
     return place(cut, size).withColumnRenamed("k", key)

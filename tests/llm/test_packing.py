@@ -80,7 +80,23 @@ def test_plan_uses_every_piece_and_few_sequences(seed):
             used[length] += n
     assert used == lengths
     best = sum(n for _, n in pk._best_fit([], dict(lengths), 2048))
-    assert sum(n for _, n in planned) <= best * 1.01 + 1
+    assert sum(n for _, n in planned) <= best
+
+
+def test_repair_keeps_full_sequences():
+    """Full sequences stay; what the loose ones hold fits into fewer."""
+    planned = [((2048,), 5), ((1024, 1024), 2), ((1500,), 3), ((548,), 3)]
+    got = pk._repaired(planned, 2048)
+    assert sum(n for _, n in got) == 10
+    assert Counter(dict(planned))[(1024, 1024)] == sum(n for c, n in got if c == (1024, 1024))
+    assert sum(n for c, n in got if sorted(c) == [548, 1500]) == 3
+
+
+def test_clashing_names(make_docs):
+    rows = [(1, "one text"), (2, None), (1, "one text")]
+    docs = make_docs(rows).selectExpr("*", "1 AS k", "2 AS t", "3 AS piece", "4 AS length", "5 AS salt", "6 AS ids")
+    plain = pk.pack(make_docs(rows)).drop("sequence_id", "offset").collect()
+    assert Counter(pk.pack(docs).drop("sequence_id", "offset").collect()) == Counter(plain)
 
 
 def test_plan_size_does_not_follow_the_data():
