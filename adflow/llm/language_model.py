@@ -303,7 +303,7 @@ def statistics(docs: DataFrame, key: str = "doc_id", text: str = "text", parts:
     shards = max(4, -(-chars // SHARD_CHARS))
     schema = "shard bigint, block bigint, directory boolean, payload binary"
     kind = dict(picked.dtypes)["k"]
-    arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+    arrow = picked.select("k").limit(0).toArrow().schema.field("k").type
     return staged(picked.mapInArrow(_send(shards, parts, rest, BLOCK_TOKENS), schema).groupBy(
         "shard").applyInArrow(_answer, schema).groupBy("block").applyInArrow(
         _collect(arrow, shards), f"k {kind}, apart boolean, {_RESULT}"), "language-model")
