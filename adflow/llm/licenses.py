@@ -1,23 +1,26 @@
 """Licences of files: TF-IDF cosine of passages to templates, then inheritance from the
 nearest directory above that has one.
 
-Inverse document frequencies of the words of ``TEMPLATES`` come from all files; any other word
-counts as the rarest. Every line of every text is a candidate header, and a file that is named as
+Inverse document frequencies of all templates' words come from all files; any other word counts
+as the rarest. Every line of every text is a candidate header, and a file that is named as
 a licence file is one as a whole, too. Besides, runs of up to ``LINES`` lines, blocks between blank
 lines and whole texts of all files are held against ``TEMPLATES`` and the headers and full texts
-of ``notices``. Such a passage counts where it reaches the least cosine and is better than every
+of ``notices``; an SPDX line is a licence's only if it has all words of its identifier. Such a
+passage counts where it reaches the least cosine and is better than every
 line. Where the best passage does not tell between versions of a licence, the best one that does
 goes before it; without one, the first word that tells in the lines after it decides.
 """
 
 from __future__ import annotations
 
+from copy import copy
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adflow.llm.notices import notices
+from adflow.llm.notices import SPDX, notices
 from adflow.llm.stage import staged
 from adflow.llm.text import NEWLINE, NOT_ALNUM, Texts, slices
 
@@ -58,11 +61,13 @@ TEMPLATES = [
 
 
 class Templates:
-    """Words of the templates and, per template, which it has."""
+    """Words of the templates and, per template, which it has. An ``exact`` template is matched
+    only by passages that have all its words."""
 
     def __init__(self, templates: list[tuple[str, str]]):
         words = Texts.of(pa.array([t for _, t in templates]), lower=True).words(NOT_ALNUM)
         self.names = [n for n, _ in templates]
+        self.exact = [t.startswith(SPDX) for _, t in templates]
         hashes = words.hashes()
         self.words = np.unique(hashes)
         self.has = np.zeros((len(templates), len(self.words)))
@@ -77,6 +82,12 @@ class Templates:
             self.siblings[k] = [(int(s), np.flatnonzero(has[k] != has[s])) for s in near
                                 if self.names[s] != self.names[k]]
 
+    def first(self, n: int) -> Templates:
+        """The first ``n`` templates over the same words, for matching alone."""
+        out = copy(self)
+        out.names, out.exact, out.has = self.names[:n], self.exact[:n], self.has[:n]
+        return out
+
     def place(self, hashes: np.ndarray) -> np.ndarray:
         """Number of each word, or -1."""
         at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
@@ -122,6 +133,8 @@ def _cosines(part: np.ndarray, parts: int, hashes: np.ndarray, templates: Templa
         own = has[place] > 0
         dot = np.bincount(part[own], weights=weight[own] ** 2, minlength=parts)
         cosine = dot / np.maximum(norm * length[k], 1e-12)
+        if templates.exact[k]:
+            cosine[dot < length[k] ** 2 * (1 - 1e-9)] = 0
         better = cosine > top + 1e-12
         best[better], top[better] = k, cosine[better]
     return best, top
@@ -269,13 +282,11 @@ def scan(files: DataFrame, keep: list[str], least: float = LEAST,
 
     Under ``least`` the licence is null. A null or empty text has none, with cosine 0.
     """
-    own = Templates(templates)
-    count, n = frequencies(files, own)
+    every = Templates([*templates, *notices()])
+    own = every.first(len(templates))
+    count, n = frequencies(files, every)
     rarest = float(np.log(1 + n) + 1)
     idf = np.log((1 + n) / (1 + count)) + 1
-    every = Templates([*templates, *notices()])
-    weights = np.full(len(every.words), rarest)
-    weights[every.place(own.words)] = idf
     names = np.array([*every.names, None], object)
 
     def run(batches):
@@ -283,7 +294,7 @@ def scan(files: DataFrame, keep: list[str], least: float = LEAST,
             whole = batch.column("__whole").to_numpy(zero_copy_only=False).astype(bool)
             template, score = match(batch.column("t"), whole, own, idf, rarest)
             template[score < least] = -1
-            wide, cosine, told = passages(batch.column("t"), every, weights, rarest, least)
+            wide, cosine, told = passages(batch.column("t"), every, idf, rarest, least)
             better = (wide >= 0) & (told | (cosine > score + 2e-9))
             template[better], score[better] = wide[better], cosine[better]
             yield pa.RecordBatch.from_arrays(

@@ -5,6 +5,19 @@ from __future__ import annotations
 from functools import cache
 from importlib import resources
 
+SPDX = "SPDX-License-Identifier:"
+# SPDX identifiers, each with the name its licence has here.
+IDENTIFIERS = {
+    "MIT": "MIT", "ISC": "ISC", "Unlicense": "Unlicense", "Apache-2.0": "Apache-2.0",
+    "BSD-2-Clause": "BSD-2-Clause", "BSD-3-Clause": "BSD-3-Clause", "MPL-2.0": "MPL-2.0",
+    "GPL-2.0": "GPL-2.0", "GPL-2.0-only": "GPL-2.0", "GPL-2.0-or-later": "GPL-2.0",
+    "GPL-3.0": "GPL-3.0", "GPL-3.0-only": "GPL-3.0", "GPL-3.0-or-later": "GPL-3.0",
+    "LGPL-2.1": "LGPL-2.1", "LGPL-2.1-only": "LGPL-2.1", "LGPL-2.1-or-later": "LGPL-2.1",
+    "LGPL-3.0": "LGPL-3.0", "LGPL-3.0-only": "LGPL-3.0", "LGPL-3.0-or-later": "LGPL-3.0",
+    "AGPL-3.0": "AGPL-3.0", "AGPL-3.0-only": "AGPL-3.0", "AGPL-3.0-or-later": "AGPL-3.0",
+    "CC0-1.0": "CC0-1.0", "CC-BY-4.0": "CC-BY-4.0", "CC-BY-SA-4.0": "CC-BY-SA-4.0",
+    "CC-BY-NC-4.0": "CC-BY-NC-4.0", "CC-BY-NC-SA-4.0": "CC-BY-NC-SA-4.0",
+}
 _GNU = ("{this} is free software; you can redistribute it and/or modify it under the terms of the GNU "
         "{kind} as published by the Free Software Foundation; either version {version} of the "
         "License, or (at your option) any later version.")
@@ -62,7 +75,7 @@ _REMOTE = (" GNU AFFERO GENERAL PUBLIC LICENSE specifically designed to ensure c
 
 @cache
 def notices() -> list[tuple[str, str]]:
-    """(SPDX identifier, text) of headers and full texts."""
+    """(SPDX identifier, text) of headers, SPDX lines and full texts."""
     out = [("MIT", _MIT), ("MIT", " ".join([
         "MIT License", _MIT, "The above copyright notice and this permission notice shall be included "
         "in all copies or substantial portions of the Software.", _AS_IS]))]
@@ -87,4 +100,5 @@ def notices() -> list[tuple[str, str]]:
     folder = resources.files("adflow.llm") / "license_texts"
     full = {n: (folder / f"{n}.txt").read_text("utf-8") for n in (
         "Apache-2.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0")}
+    out += [(name, f"{SPDX} {identifier}") for identifier, name in IDENTIFIERS.items()]
     return [*out, *full.items(), ("AGPL-3.0", full["GPL-3.0"] + _REMOTE)]

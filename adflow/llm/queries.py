@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from adflow.llm import (
@@ -12,6 +14,7 @@ from adflow.llm import (
     language_model,
     licenses,
     ngram_join,
+    notices,
     packing,
     quality,
     repeat_queries,  # noqa: F401  registers its queries
@@ -136,10 +139,13 @@ _PATH9 = """CASE WHEN doc_id % 1000 = 0 THEN 'd' || (doc_id // 1000) || '/LICENS
   WHEN doc_id % 50 = 0 THEN 'd' || (doc_id // 1000) || '/d' || (doc_id // 50) || '/LICENSE'
   ELSE 'd' || (doc_id // 1000) || '/d' || (doc_id // 50) || '/' || doc_id || '.txt' END"""
 _LOWER9 = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+# The words that the other templates have, besides those written out in the SQL.
+_OTHER9 = " ".join(sorted({w for _, t in notices.notices() for w in re.findall(_WORD9, t.lower())}))
 OP9_SQL = f"""
 WITH templates(k, name, t) AS (VALUES {", ".join(
     f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(licenses.TEMPLATES))}),
 tw AS (SELECT DISTINCT k, unnest(regexp_extract_all({_LOWER9.format("t")}, '{_WORD9}')) AS w FROM templates),
+other AS (SELECT unnest(regexp_extract_all('{_OTHER9}', '{_WORD9}')) AS w),
 files AS (SELECT doc_id, {_PATH9} AS path, COALESCE(text, '') AS t FROM documents),
 passages AS (
     SELECT doc_id, unnest(range(len(string_split(t, chr(10))))) AS part, unnest(string_split(t, chr(10))) AS line FROM files
@@ -147,7 +153,7 @@ passages AS (
 tokens AS (SELECT DISTINCT doc_id, part, unnest(regexp_extract_all({_LOWER9.format("line")}, '{_WORD9}')) AS w FROM passages),
 size AS (SELECT COUNT(*) AS n FROM files),
 idf AS (
-    SELECT w, ln((1 + n) / (1 + COALESCE(d, 0))) + 1 AS x FROM (SELECT DISTINCT w FROM tw)
+    SELECT w, ln((1 + n) / (1 + COALESCE(d, 0))) + 1 AS x FROM (SELECT w FROM tw UNION SELECT w FROM other)
     LEFT JOIN (SELECT w, COUNT(DISTINCT doc_id) AS d FROM tokens GROUP BY w) USING (w), size),
 norms AS (
     SELECT doc_id, part, sqrt(SUM(COALESCE(x, ln(1 + n) + 1) ** 2)) AS norm
@@ -181,7 +187,8 @@ def op9_licenses(spark, sf_dir):
         number % 50 == 0, F.concat_ws("/", top, low, F.lit("LICENSE"))).otherwise(
         F.concat(F.concat_ws("/", top, low, number.cast("string")), F.lit(".txt")))
     docs = table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text")
-    return licenses.licenses(docs, key="doc_id").withColumn("cosine", F.round("cosine", 6))
+    # Nine digits first, as ties between templates are decided on them.
+    return licenses.licenses(docs, key="doc_id").withColumn("cosine", F.round(F.round("cosine", 9), 6))
 
 
 _LOWERED = ("translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "

@@ -15,7 +15,7 @@ FILES = "path string, text string"
 def brute(rows, least=lc.LEAST):
     """Best template per file by dictionaries."""
     split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").lower())
-    vocabulary = {w for _, t in lc.TEMPLATES for w in split(t)}
+    vocabulary = {w for _, t in [*lc.TEMPLATES, *notices()] for w in split(t)}
     n, files = len(rows), Counter()
     for _, text in rows:
         files.update(set(split(text)) & vocabulary)
@@ -109,3 +109,25 @@ def test_wrapped_headers_and_full_texts(files):
     assert {k: got[k][0] for k in want} == want
     assert all(got[p] == (p.split("/")[0], "own") for p, _ in rows if p.endswith("COPYING"))
     assert got["GPL-3.0/deep/code.py"] == ("GPL-3.0", "inherited")
+
+
+def test_spdx_lines_need_the_whole_identifier(files):
+    code = "import os\nx = os.path.join(a, b)\n" * 20
+    want = {
+        "MIT": "MIT", "GPL-3.0-or-later": "GPL-3.0", "GPL-2.0-only": "GPL-2.0", "GPL-2.0": "GPL-2.0", "LGPL-2.1-or-later": "LGPL-2.1",
+        "AGPL-3.0-only": "AGPL-3.0", "Apache-2.0": "Apache-2.0", "BSD-2-Clause": "BSD-2-Clause", "BSD-3-Clause": "BSD-3-Clause",
+        "CC-BY-SA-4.0": "CC-BY-SA-4.0", "CC-BY-4.0": "CC-BY-4.0", "CC0-1.0": "CC0-1.0", "ISC": "ISC",
+        "Zlib": None, "Foo-2.0": None, "EPL-2.0": None, "EPL-2.0-or-later": None}
+    rows = [(f"{k}.py", f"#!/usr/bin/env python\n# SPDX-License-Identifier: {k}\n{code}") for k in want]
+    got = {r["path"][:-3]: r["license"] for r in lc.licenses(files(rows)).collect()}
+    assert got == want
+
+
+def test_words_of_all_templates_are_counted(files):
+    """A word that every file has weighs least, also if only a full text has it."""
+    rows = [(f"{k}.txt", f"notwithstanding {k}") for k in range(20)]
+    every = lc.Templates([*lc.TEMPLATES, *notices()])
+    df = files(rows).selectExpr("text AS t")
+    count, n = lc.frequencies(df, every)
+    word = lc.Texts.of(lc.pa.array(["notwithstanding"]), lower=True).words(lc.NOT_ALNUM).hashes()
+    assert n == 20 and count[every.place(word)[0]] == 20
