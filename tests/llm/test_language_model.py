@@ -125,3 +125,13 @@ def test_trie_searches_within_a_context():
     for (a, b), c in zip(asked.tolist(), got):
         assert c == pytest.approx(pairs.get((a, b), 0), rel=0.06)
     assert (nt.Trie(context[:0], word[:0], np.zeros(0)).lookup(asked[:, 0], asked[:, 1]) == 0).all()
+
+
+@pytest.mark.parametrize("kind", ["smallint", "int", "decimal(12,0)", "string", "date"])
+def test_keys_of_any_type_and_clashing_names(make_docs, kind):
+    rows = [(k, t) for k, t in corpus(random.Random(6))[:40] if k is not None]
+    cast = f"CAST({'date_add(DATE 2020-01-01, CAST(doc_id AS int))' if kind == 'date' else f'doc_id AS {kind}'}" + ("" if kind != "date" else " AS date") + ") AS doc_id"
+    docs = make_docs(rows).selectExpr(cast.replace("DATE 2020-01-01", "DATE '2020-01-01'"), "text", "1 AS k", "2 AS t", "3 AS shard", "4 AS kind", "5 AS score")
+    got = lm.score(docs)
+    assert dict(got.dtypes)["doc_id"] == kind and got.count() == len(rows)
+    assert sorted(r["doc_id"] for r in got.select("doc_id").collect()) == sorted(r["doc_id"] for r in docs.select("doc_id").collect())
