@@ -129,7 +129,8 @@ def judge(docs: DataFrame, key: str = "doc_id", host: str = "source",
 
     Null or empty text fails the base rules (no words). A null host has no verdict: only
     the base rules decide. Repeated rows each get a row and each count for their host. A
-    null key is passed through. An empty table gives an empty result.
+    null key is passed through. Texts are measured whole, however long. Other columns are not
+    read, whatever they are called. An empty table gives an empty result.
     """
     own = docs.select(F.col(key).alias("k"), F.col(host).alias("h"), F.col(text).alias("t"))
     judged = staged(measures(own, ["k", "h"], "t").withColumn("base_failed", base_failed())

@@ -481,6 +481,11 @@ def extract(pages: DataFrame, net: BiLstm | None, keep: list[str], page: str = "
 
 
 def page_texts(pages: DataFrame) -> DataFrame:
-    """page_id, url, text and n_chars of every page."""
+    """page_id, url, text and n_chars of every page.
+
+    Pages are read whole, however long; a null or empty page has the empty text. Repeated rows
+    each get a row. Other columns are not read, whatever they are called. An empty table gives
+    no row.
+    """
     return extract(pages, train(pages), ["page_id", "url"]).withColumn(
         "n_chars", F.length("text").cast("long"))

@@ -241,6 +241,11 @@ def identify(docs: DataFrame, model: Model, keep: list[str], text: str = "text")
 
 
 def languages(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, lang_pred and score of every document."""
+    """doc_id, held_out, lang_pred and score of every document.
+
+    Texts are read whole, however long. Of equal shares the first name in alphabetical order
+    wins. A row without a key is not learned from and never held out. Columns besides doc_id,
+    text and lang are not read, whatever they are called. An empty table gives no row.
+    """
     return identify(docs, train(docs), ["doc_id"]).select(
         "doc_id", held_out("doc_id", 5, 0).alias("held_out"), "lang_pred", "score")

@@ -336,7 +336,9 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", parts: int =
     """Per text: key, held_out, n_tokens, n_known, train_tokens, base_score and score.
 
     A null or empty text is its end token. Repeated rows count, and are scored, each. A null
-    key is never held out. Without training texts every word is unknown: N and V are 0.
+    key is never held out. Without training texts every word is unknown: N and V are 0. Texts
+    are read whole, however long. Keys may have any type; other columns are not read, whatever
+    they are called. An empty table gives no row.
     """
     sums = statistics(docs, key, text, parts, rest)
     size = sums.where("kind = 2").agg(F.sum("known"), F.sum("total")).first()

@@ -320,6 +320,8 @@ def licenses(files: DataFrame, key: str = "path", path: str = "path", text: str
     A licence file (by its name) rules its folder and all below, the nearest one first; of
     several in a folder the best match rules, then the smallest path. A file's own header
     goes before what it inherits. A null path is in no folder. Repeated rows each get a row.
+    Texts are scanned whole, however long. Other columns are not read, whatever they are called.
+    An empty table gives no row.
     """
     name = F.regexp_extract(F.coalesce(F.col(path), F.lit("")), "[^/]*$", 0)
     picked = files.select(F.col(key).alias("k"), F.col(path).alias("p"), F.col(text).alias("t"),

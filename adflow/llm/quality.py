@@ -248,7 +248,14 @@ def score(docs: DataFrame, vectors: np.ndarray, net: Network, keep: list[str],
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score and predicted of every document."""
+    """doc_id, held_out, score and predicted of every document.
+
+    Texts are read whole, however long; a score of exactly one half is predicted 1. A row
+    without a key has no label and is never held out, but its words count for the vectors, as
+    do those of each repeated row. Other columns are not read, whatever they are called. An
+    empty table gives no row; without labels of both classes every score is that of the class
+    there is, 0 without any.
+    """
     vectors = word_vectors(docs)
     return score(docs, vectors, train(docs, labels, vectors), ["doc_id"]).select(
         "doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", "predicted")

@@ -137,7 +137,13 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") ->
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score and predicted of every document."""
+    """doc_id, held_out, score and predicted of every document.
+
+    Texts are read whole, however long; a score of exactly one half is predicted 1. A row
+    without a key has no label and is never held out. Other columns are not read, whatever they
+    are called. An empty table gives no row; without labels of both classes every score is that
+    of the class there is, 0 without any.
+    """
     scored = score(docs, train(docs, labels), ["doc_id"])
     return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"),
                          "score", "predicted")
