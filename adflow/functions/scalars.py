@@ -37,9 +37,13 @@ def orientation(width: Column, height: Column) -> Column:
     )
 
 
-def id_from_number_text(text: Column) -> Column:
-    """Id printed as a number (``1.4E17``) to a long, without passing a double."""
-    return text.cast("decimal(38,0)").cast("long")
+def id_from_number_text(text: Column, strict: bool = True) -> Column:
+    """Id printed as a number (``1.4E17``) to a long, without passing a double.
+
+    A number that no long holds stops the job; with ``strict=False`` its id is NULL.
+    """
+    number = text.cast("decimal(38,0)")
+    return number.cast("long") if strict else number.try_cast("long")
 
 
 def decode_base64(text: Column) -> Column:

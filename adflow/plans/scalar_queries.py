@@ -280,7 +280,7 @@ def orientation(spark, sf_dir):
 )
 def number_ids(spark, sf_dir):
     text = F.concat(F.col("user_id").cast("string"), F.lit(".5E15"))
-    return _events(spark, sf_dir).select("event_id", sc.id_from_number_text(text).alias("id"))
+    return _events(spark, sf_dir).select("event_id", sc.id_from_number_text(text, strict=False).alias("id"))
 
 
 @query(

@@ -23,6 +23,7 @@ from adflow.operators import rollup as ru
 from adflow.operators import sets as st
 from adflow.operators import useragent as uag
 from adflow.operators import web
+from adflow.plans import load_all
 from adflow.reports import joined as jn
 from adflow.sources import catalog as ct
 from adflow.sources import readers as rd
@@ -131,6 +132,15 @@ def test_scalar_traps(spark):
     assert clock.select(tw.clock_time(F.col("t"))).first()[0] == "10:11:12"
 
 
+def test_number_ids_beyond_a_long_keep_their_rows(spark, rows, tmp_path):
+    users = [(1, 7), (2, 9222), (3, 9223), (4, 90_000), (5, None)]
+    spark.createDataFrame(users, "event_id long, user_id long").write.parquet(str(tmp_path / "events.parquet"))
+    got = rows(load_all().QUERIES["x19_number_ids"](spark, str(tmp_path)))
+    assert got == [(1, 7_500_000_000_000_000), (2, 9_222_500_000_000_000_000), (3, None), (4, None), (5, None)]
+    with pytest.raises(Exception, match="OVERFLOW"):
+        spark.sql("SELECT '9223.5E15' AS t").select(sc.id_from_number_text(F.col("t"))).collect()
+
+
 def test_user_agents(spark):
     agents = {
         "Mozilla/5.0 (iPhone; CPU iPhone OS 15_2 like Mac OS X) AppleWebKit/605 Version/15.2 Mobile/15E148 Safari/604.1":
