@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adflow.operators.dedup import first_by
@@ -84,8 +84,9 @@ def overlay(
     nothing. A wash key with two rows stops the job; with ``unique=False`` the greater
     metrics of its rows count.
 
-    Each side is shuffled once, by the keys: the wash rows fold by them, and the rows of a key
-    and its descriptors, which merge, are where the join has put them.
+    Each side is shuffled once and sorted once, by a number made of the key: numbers are told
+    apart without looking at the texts of the keys. Rows that would merge are counted before the
+    join, which keeps their order. Raw rows with a NULL key match nothing and are spread.
     """
     keys = list(keys)
     columns = [*dict.fromkeys([*keys, *descriptors, *metrics])]
@@ -94,14 +95,29 @@ def overlay(
         twice = F.raise_error(F.concat_ws(" ", F.lit("more than one wash row of"), F.to_json(F.struct(*keys))))
         new = F.when(F.count(F.lit(1)) > 1, twice).otherwise(new)
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    folded = wash.where(known).groupBy(*keys).agg(new.alias("__new"))
-    joined = raw.select(*columns).join(folded, keys, "left")
+    number = _key_number(raw, wash, keys)
+    folded = wash.where(known).withColumn("__key", number).groupBy("__key", *keys).agg(new.alias("__new"))
+    spread = F.when(known, number).otherwise(F.xxhash64(*columns))
+    placed = raw.select(*columns, spread.alias("__key")).repartition("__key", *keys)
+    same = Window.partitionBy("__key", *dict.fromkeys([*keys, *descriptors])).orderBy(F.lit(1))
+    counted = placed.withColumn("__n", F.row_number().over(same))
+    joined = counted.join(folded, ["__key", *keys], "left")
     washed = F.col("__new").isNotNull()
     values = [F.when(washed, F.col(f"__new.{c}")).otherwise(F.col(c)).alias(c)
               if c in metrics else F.col(c) for c in columns]
-    same = Window.partitionBy(*dict.fromkeys([*keys, *descriptors])).orderBy(F.lit(1))
-    merged = joined.withColumn("__n", F.row_number().over(same))
-    return merged.where(~washed | (F.col("__n") == 1)).select(*values)
+    return joined.where(~washed | (F.col("__n") == 1)).select(*values)
+
+
+def _key_number(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> Column:
+    """A long that is the same on both frames for keys a join takes as equal.
+
+    Only keys of one plain type on both sides go in; the join compares the keys as well.
+    """
+    plain = {"string", "boolean", "tinyint", "smallint", "int", "bigint", "date", "timestamp", "timestamp_ntz"}
+    kinds = [(k, a.schema[k].dataType.simpleString(), b.schema[k].dataType.simpleString()) for k in keys]
+    alike = [k for k, x, y in kinds if x == y and x in plain]
+    # Without any: always 0, but not a literal, which the planner would take out of the join keys.
+    return F.xxhash64(*alike) if alike else F.pmod(F.xxhash64(*keys), F.lit(1))
 
 
 def enrich(stats: DataFrame, dims: Sequence[tuple[DataFrame, Sequence[str]]], how: str = "inner") -> DataFrame:

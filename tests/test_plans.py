@@ -51,6 +51,16 @@ def test_overlay_shuffles_each_side_once(spark, plan):
     assert shuffles(df._jdf.queryExecution().executedPlan().toString()) == 2
 
 
+def test_overlay_sorts_the_raw_side_once(spark):
+    raw = spark.range(1000).selectExpr("id % 50 AS k", "id % 7 AS name", "id AS m")
+    wash = spark.range(20).selectExpr("id AS k", "id AS m").hint("merge")
+    text = overlay(raw, wash, ["k"], ["name"], ["m"])._jdf.queryExecution().executedPlan().toString()
+    left = text[text.index("SortMergeJoin"):].split("SortAggregate")[0].split("HashAggregate")[0]
+    assert text.index("SortMergeJoin") < text.index("Window") and left.count("Window [") == 1
+    # A sort above the join would be one more.
+    assert "Sort [" not in text[:text.index("SortMergeJoin")]
+
+
 def test_window_filter_reaches_the_scan(plan):
     text = plan("f1_where_window")
     pushed = re.search(r"PushedFilters: \[([^\n]*)\]", text).group(1)

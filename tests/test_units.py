@@ -297,6 +297,19 @@ def test_overlay(spark, rows):
     assert rows(st.overlay(raw, twice, ["k"], ["name"], ["m"], unique=False), "k", "name", "m") == got
 
 
+def test_overlay_keys_of_other_types_and_nulls(spark, rows):
+    raw = spark.createDataFrame(
+        [(1, "x", "a", 10), (1, "x", "a", 11), (1, "x", None, 12), (1, "x", None, 13), (1, None, "a", 14), (1, None, "a", 14), (2, "y", "b", 20), (2, "y", "b", 20)],
+        "k int, l string, name string, m int",
+    )
+    wash = spark.createDataFrame([(1, "x", 99), (1, None, 98), (3, "z", 97)], "k long, l string, m int")
+    expected = [(1, None, "a", 14), (1, None, "a", 14), (1, "x", "a", 99), (1, "x", None, 99), (2, "y", "b", 20), (2, "y", "b", 20)]
+    for other in (wash, wash.withColumn("k", F.col("k").cast("int")), wash.withColumn("k", F.col("k").cast("decimal(20,0)"))):
+        assert sorted(map(str, rows(st.overlay(raw, other, ["k", "l"], ["name"], ["m"])))) == sorted(map(str, expected))
+    lone = st.overlay(raw, wash.select("k", "m").where("m = 99"), ["k"], ["name"], ["m"])
+    assert sorted(map(str, rows(lone))) == sorted(map(str, [(1, "a", 99), (1, None, 99), (2, "b", 20), (2, "b", 20)]))
+
+
 def test_reconcile_sides(spark):
     a = spark.createDataFrame([("x", 1), ("x", 2), ("y", 5)], "k string, m int")
     b = spark.createDataFrame([("x", 3), ("z", 4)], "k string, m int")
